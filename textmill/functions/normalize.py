@@ -72,10 +72,11 @@ def special_normalize(c) -> Column:
     """
     (k0, v0), rest = rx.SPECIAL_MAP[0], rx.SPECIAL_MAP[1:]
     t = nfkc(F.replace(_c(c), F.lit(k0), F.lit(v0)))
+    def entry(k, v):
+        return lambda x: F.when(F.instr(x, k) > 0, nfkc(F.replace(x, F.lit(k), F.lit(v)))).otherwise(x)
+
     for k, v in rest:
-        def step(x, k=k, v=v):
-            return F.when(F.instr(x, k) > 0, nfkc(F.replace(x, F.lit(k), F.lit(v)))).otherwise(x)
-        t = let(t, step)
+        t = let(t, entry(k, v))
     return t
 
 
@@ -184,7 +185,8 @@ def detokenize(tokens) -> Column:
                             .otherwise(F.lit("N")))
 
         def with_kinds(kd):
-            qidx = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(kd, i + 1) == "Q")
+            idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+            qidx = F.filter(idx, lambda i: F.element_at(kd, i + 1) == "Q")
             init = F.struct(F.create_map().cast("map<string,int>").alias("m"), F.array().cast("array<int>").alias("d"))
 
             def step(acc, i):

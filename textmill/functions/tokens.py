@@ -7,30 +7,13 @@ and isolate every punctuation character as its own token.
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmill.functions.normalize import strip_accents
 from textmill.functions.text import _c
 
 
-def _accent_table() -> tuple[str, str]:
-    """Accent-stripping ``translate`` table, built by rule from Unicode data:
-    every letter in U+00C0..U+024F whose NFD form is one base letter plus
-    combining marks maps to that base letter."""
-    src, dst = [], []
-    for cp in range(0xC0, 0x250):
-        ch = chr(cp)
-        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
-        if base != ch and len(base) == 1:
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
-
-
-ACCENT_FROM, ACCENT_TO = _accent_table()
-
 # CJK ideograph blocks the BERT normaliser pads with spaces.
 CJK = (r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
        r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}]")
@@ -45,7 +28,7 @@ def word_normalize(c) -> Column:
     t = F.regexp_replace(_c(c), CONTROL, "")
     t = F.regexp_replace(t, WHITESPACE, " ")
     t = F.regexp_replace(t, "(" + CJK + ")", " $1 ")
-    return F.translate(F.lower(t), ACCENT_FROM, ACCENT_TO)
+    return strip_accents(F.lower(t))
 
 
 def word_tokens(c) -> Column:

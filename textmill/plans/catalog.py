@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from textmill.functions import segment as sg
 from textmill.functions import text as tx
+from textmill.functions.tokens import word_tokens
 from textmill.operators import profiles as pr
+from textmill.operators import vocab as vb
+from textmill.plans.jobs import filter_language
 from textmill.plans import duck as dk
 from textmill.sources.tables import docs_markup, docs_markup_duckdb, table
 
@@ -227,6 +230,102 @@ def q_md5(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.md5_hex("text").alias("hash"))
 
 
+# ---------------------------------------------------------------------------
+# G, F7, C5-C8, C15: vocabulary and token ratios
+# ---------------------------------------------------------------------------
+
+VOCAB = dk.vocab_cte()
+WINDOW = MIN_LEN
+
+
+def english_vocab(spark, d):
+    """The word vocabulary trained on the English part of ``documents``."""
+    docs = table(spark, d, "documents").where(F.col("lang") == "en")
+    return vb.build_vocab(docs)
+
+
+@register("q_word_tokens", _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", "documents"))
+def q_word_tokens(spark, d):
+    """G1: word / punctuation tokens of every document."""
+    return _explode(table(spark, d, "documents"), ["doc_id"], word_tokens("text"), "tok_no", "token")
+
+
+@register("q_vocab_topk", f"WITH {VOCAB} SELECT token, id, freq FROM vocab")
+def q_vocab_topk(spark, d):
+    """Top 2^16 tokens (with the two specials) of frequency >= 8."""
+    return english_vocab(spark, d)
+
+
+@register("q_encode", f"WITH {VOCAB} SELECT doc_id, tok_no, CAST(coalesce(v.id, 1) AS INTEGER) AS id FROM ("
+          + _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", "documents")
+          + ") t LEFT JOIN vocab v USING (token) WHERE tok_no < 65536")
+def q_encode(spark, d):
+    """G3 + F7: ids in text order (truncated to 2^16), exploded."""
+    enc = vb.encode(table(spark, d, "documents"), english_vocab(spark, d))
+    return _explode(enc, ["doc_id"], F.col("ids"), "tok_no", "id")
+
+
+@register("q_unk_ratio", f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')} SELECT * FROM ratios")
+def q_unk_ratio(spark, d):
+    """Unknown-token ratio per document."""
+    return vb.unk_ratios(table(spark, d, "documents"), english_vocab(spark, d))
+
+
+@register("q_pipeline_unk_cut", f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')} "
+          "SELECT doc_id FROM ratios WHERE unk_ratio <= 0.1")
+def q_pipeline_unk_cut(spark, d):
+    """Documents with unknown ratio <= 0.1."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return vb.unk_cut(docs, english_vocab(spark, d), 0.1).select("doc_id")
+
+
+@register("q_lang_filter", f"WITH {VOCAB}, {dk.unk_ratio_cte('(SELECT doc_id, substr(text, 1, 524288) AS text FROM documents)')} "
+          "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM ratios WHERE unk_ratio < 0.05)")
+def q_lang_filter(spark, d):
+    """J3 = C15 + C6: documents whose first 2^19 chars have unknown ratio < 0.05."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return filter_language(docs, english_vocab(spark, d)).select("doc_id", "lang")
+
+
+@register("q_token_char_ratio",
+          f"WITH {VOCAB}, {dk.piece_count_cte('documents', 'doc_id', 'text', 'pc')} "
+          "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, coalesce(pc.n_pieces, 0) AS n_pieces, "
+          "coalesce(pc.n_pieces, 0) / length(text) AS ratio FROM documents LEFT JOIN pc USING (doc_id)")
+def q_token_char_ratio(spark, d):
+    """Pieces per character of every document."""
+    pieces = vb.piece_table(english_vocab(spark, d))
+    r = vb.token_char_ratios(table(spark, d, "documents"), ["doc_id"], pieces)
+    return r.withColumn("n_chars", F.col("n_chars").cast("long"))
+
+
+@register("q_redundancy_filter",
+          f"WITH {VOCAB}, {dk.piece_count_cte('documents', 'doc_id', 'text', 'pc')} "
+          "SELECT doc_id FROM documents LEFT JOIN pc USING (doc_id) "
+          "WHERE coalesce(pc.n_pieces, 0) / length(text) < 0.25")
+def q_redundancy_filter(spark, d):
+    """Documents whose token/char ratio is below 0.25."""
+    pieces = vb.piece_table(english_vocab(spark, d))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return vb.redundancy_filter(docs, pieces).select("doc_id")
+
+
+_WIN_SRC = ("(" + _duck_explode("doc_id", dk.char_windows("text", WINDOW), "win", "wtext", "documents") + ")")
+
+
+@register("q_redundancy_gate",
+          f"WITH {VOCAB}, {dk.piece_count_cte(_WIN_SRC, 'doc_id, win', 'wtext', 'pc')}, "
+          f"w AS {_WIN_SRC}, r AS (SELECT w.doc_id, coalesce(pc.n_pieces, 0) / length(w.wtext) AS ratio "
+          "FROM w LEFT JOIN pc USING (doc_id, win)), "
+          "s AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_windows, avg(CASE WHEN ratio > 0.3 THEN 1.0 ELSE 0.0 END) "
+          "AS bad_share FROM r GROUP BY doc_id) "
+          "SELECT doc_id, n_windows, bad_share, NOT (bad_share > 0.1) AS kept FROM s")
+def q_redundancy_gate(spark, d):
+    """C7 + G8 + E10: share of 500-char windows with token/char ratio > 0.3; kept if <= 0.10."""
+    pieces = vb.piece_table(english_vocab(spark, d))
+    s = vb.window_bad_share(table(spark, d, "documents"), pieces, WINDOW, 0.3)
+    return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -237,3 +237,44 @@ def sentence_pack(x, max_len: int):
 
 def char_windows(x, width: int):
     return let(x, "t", f"list_transform(range(0, length(t), {width}), lambda i: substr(t, i + 1, {width}))")
+
+
+# --- word tokens, vocabulary, ratios ---------------------------------------------------
+
+PUNCT = r"[\pP!-/:-@\[-`{-~]"
+CJK = (r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
+       r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}]")
+
+
+def word_tokens(x):
+    t = rr(x, r"[^\PC\t\n\r]|\x{FFFD}", "")
+    t = rr(t, r"[\s\p{Zs}]", " ")
+    t = rr(t, "(" + CJK + ")", r" \1 ")
+    t = rr(f"strip_accents(lower({t}))", "(" + PUNCT + ")", r" \1 ")
+    return f"list_filter(string_split({t}, ' '), lambda w: w <> '')"
+
+
+def vocab_cte(src: str = "documents WHERE lang = 'en'", size: int = 2**16, min_freq: int = 8) -> str:
+    """G2 as SQL: ``vocab(token, id, freq)``."""
+    return (f"vocab AS (SELECT token, CAST(id AS INTEGER) AS id, CAST(freq AS BIGINT) AS freq FROM ("
+            f"SELECT token, rk + 1 AS id, freq FROM (SELECT token, freq, row_number() OVER "
+            f"(ORDER BY freq DESC, token ASC) AS rk FROM (SELECT token, count(*) AS freq FROM "
+            f"(SELECT unnest({word_tokens('text')}) AS token FROM {src}) GROUP BY token "
+            f"HAVING count(*) >= {min_freq})) WHERE rk <= {size - 2} "
+            f"UNION ALL SELECT '<pad>', 0, 0 UNION ALL SELECT '<unk>', 1, 0))")
+
+
+def unk_ratio_cte(src: str, key: str = "doc_id", text: str = "text", name: str = "ratios") -> str:
+    """G4 as SQL (needs the ``vocab`` CTE): ``name(key, n_tokens, n_unk, unk_ratio)``."""
+    return (f"{name} AS (SELECT {key}, CAST(count(*) AS BIGINT) AS n_tokens, "
+            f"CAST(sum(CASE WHEN v.id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unk, "
+            f"sum(CASE WHEN v.id IS NULL THEN 1 ELSE 0 END) / count(*) AS unk_ratio "
+            f"FROM (SELECT {key}, unnest({word_tokens(text)}) AS token FROM {src}) t "
+            f"LEFT JOIN vocab v USING (token) GROUP BY {key})")
+
+
+def piece_count_cte(src: str, keys: str, text: str, name: str) -> str:
+    """G5 as SQL (needs ``vocab``): known word = 1 piece, else one per character."""
+    return (f"{name} AS (SELECT {keys}, CAST(sum(CASE WHEN v.id > 1 THEN 1 ELSE length(t.token) END) AS BIGINT) "
+            f"AS n_pieces FROM (SELECT {keys}, unnest({word_tokens(text)}) AS token FROM {src}) t "
+            f"LEFT JOIN vocab v USING (token) GROUP BY {keys})")
