@@ -19,7 +19,9 @@ from textmill.functions import text as tx
 from textmill.functions.tokens import word_tokens
 from textmill.operators import profiles as pr
 from textmill.operators import vocab as vb
-from textmill.plans.jobs import filter_language
+from textmill.functions import rx
+from textmill.operators import dedup as dd
+from textmill.plans.jobs import filter_language, process_corpus
 from textmill.plans import duck as dk
 from textmill.sources.tables import docs_markup, docs_markup_duckdb, table
 
@@ -326,6 +328,121 @@ def q_redundancy_gate(spark, d):
     return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
 
 
+# ---------------------------------------------------------------------------
+# Dedup within and across runs
+# ---------------------------------------------------------------------------
+
+_HASHED = "(SELECT doc_id, lang, md5(text) AS hash FROM documents)"
+_NEW = f"(SELECT hash, min(doc_id) AS doc_id FROM {_HASHED} GROUP BY hash)"
+_SAVED = "(SELECT DISTINCT md5(text) AS hash FROM documents WHERE lang = 'en')"
+_EMITTED = f"(SELECT hash, doc_id FROM {_NEW} n WHERE hash NOT IN (SELECT hash FROM {_SAVED}))"
+
+
+def _hashed_docs(spark, d):
+    return dd.with_hash(table(spark, d, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", "hash")
+
+
+def _saved_list(spark, d):
+    """The hash list a previous run left: it processed the English documents."""
+    return _hashed_docs(spark, d).where(F.col("lang") == "en").select("hash").distinct()
+
+
+def _emitted(spark, d):
+    new = dd.dedup_exact(_hashed_docs(spark, d).select("hash", "doc_id"), order=["doc_id"])
+    return dd.drop_known(new, _saved_list(spark, d))
+
+
+@register("q_dedup_exact", f"SELECT hash, doc_id FROM {_NEW}")
+def q_dedup_exact(spark, d):
+    """one document per text hash (smallest doc_id survives)."""
+    return dd.dedup_exact(_hashed_docs(spark, d).select("hash", "doc_id"), order=["doc_id"])
+
+
+@register("q_dedup_incremental", f"SELECT hash, doc_id FROM {_EMITTED}")
+def q_dedup_incremental(spark, d):
+    """this run's unique documents minus those a previous run saved."""
+    return _emitted(spark, d)
+
+
+@register("q_hash_union", f"SELECT hash FROM {_SAVED} UNION ALL SELECT hash FROM {_EMITTED}")
+def q_hash_union(spark, d):
+    """the hash list after the run."""
+    return dd.union_hashes(_saved_list(spark, d), _emitted(spark, d))
+
+
+@register("q_dup_count", f"SELECT CAST(count(*) - (SELECT count(*) FROM {_EMITTED}) AS BIGINT) AS duplicates "
+          "FROM documents")
+def q_dup_count(spark, d):
+    """rows dropped as in-run or cross-run duplicates."""
+    before = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"))
+    after = _emitted(spark, d).agg(F.count(F.lit(1)).alias("m"))
+    return before.crossJoin(after).select((F.col("n") - F.col("m")).alias("duplicates"))
+
+
+# ---------------------------------------------------------------------------
+# J1 (flagship), J2
+# ---------------------------------------------------------------------------
+
+ALL_SUBSETS = list(rx.SUBSET_PROFILES)
+
+
+def _j1_duck(normalize: bool = True, gates: bool = True) -> str:
+    subs = ", ".join(dk.lit(x) for x in ALL_SUBSETS)
+    paras = dk.clean_by_subset("text", "subset", ALL_SUBSETS)
+    if normalize:
+        paras = f"list_transform({paras}, lambda np: {dk.normalize_text('np')})"
+    paras = f"flatten(list_transform({paras}, lambda pp: {dk.sentence_pack('pp', CHUNK)}))"
+    text = f"array_to_string(list_filter({paras}, lambda p5: length(p5) > 5), chr(10))"
+    win = "(" + _duck_explode("doc_id", dk.char_windows("text", MIN_LEN), "win", "wtext", "c3") + ")"
+    chunks = (f"CASE WHEN length(text) < {MAX_LEN} THEN [text] ELSE "
+              f"list_filter({dk.sentence_pack('text', MAX_LEN)}, lambda cc: length(cc) >= {MIN_LEN}) END")
+    return (
+        f"WITH {VOCAB}, m AS {MARKUP[:-5]}, "
+        f"g AS (SELECT doc_id, subset, text FROM m WHERE subset IN ({subs}) AND length(text) >= {MIN_LEN}), "
+        f"{dk.unk_ratio_cte('g')}, "
+        + (f"g2 AS (SELECT g.* FROM g JOIN ratios USING (doc_id) WHERE unk_ratio <= 0.1), " if gates else
+           "g2 AS (SELECT * FROM g), ") +
+        f"c AS (SELECT doc_id, subset, {text} AS text FROM g2), "
+        f"c3 AS (SELECT * FROM c WHERE length(text) >= {MIN_LEN}), "
+        f"w AS {win}, {dk.piece_count_cte('w', 'doc_id, win', 'wtext', 'pc')}, "
+        f"sh AS (SELECT w.doc_id, avg(CASE WHEN coalesce(pc.n_pieces, 0) / length(w.wtext) > 0.3 THEN 1.0 ELSE 0.0 END) "
+        f"AS bad_share FROM w LEFT JOIN pc USING (doc_id, win) GROUP BY w.doc_id), "
+        + (f"c7 AS (SELECT c3.* FROM c3 LEFT JOIN sh USING (doc_id) WHERE NOT (coalesce(sh.bad_share, 0) > 0.1)), "
+           if gates else "c7 AS (SELECT * FROM c3), ") +
+        f"ch AS (SELECT doc_id, subset, {chunks} AS arr FROM c7), "
+        f"r AS (SELECT doc_id, subset, unnest(generate_series(0, len(arr) - 1)) AS chunk_no, unnest(arr) AS text FROM ch), "
+        f"h AS (SELECT *, md5(text) AS hash, row_number() OVER (PARTITION BY md5(text) ORDER BY subset, doc_id, chunk_no) AS rn FROM r) "
+        f"SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1")
+
+
+def _j1(spark, d, normalize=True, gates=True):
+    docs = docs_markup(spark, d)
+    vocab = english_vocab(spark, d) if gates else None
+    return process_corpus(docs, ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True,
+                          text_chunk_size=CHUNK, max_unk_ratio=0.1, sp_filter_ratio=0.3, vocab=vocab,
+                          pieces=vb.piece_table(vocab) if gates else None, normalize=normalize)
+
+
+@register("q_process_corpus", _j1_duck(True))
+def q_process_corpus(spark, d):
+    """J1 (flagship): gates, unknown-token cut, per-source cleaning, normalising,
+    sentence chunking, redundancy gate, long-document chunking, md5 and dedup."""
+    return _j1(spark, d, True)
+
+
+@register("q_process_corpus_raw", _j1_duck(False))
+def q_process_corpus_raw(spark, d):
+    """J1 with the normaliser switched off (its ``normalize=False`` option)."""
+    return _j1(spark, d, False)
+
+
+@register("q_process_corpus_nogates", _j1_duck(True, False))
+def q_process_corpus_nogates(spark, d):
+    """J1 without a vocabulary (no unknown-token cut, no redundancy gate): the
+    cleaning, normalising, chunking and dedup path over every document."""
+    return _j1(spark, d, True, False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -278,3 +278,69 @@ def piece_count_cte(src: str, keys: str, text: str, name: str) -> str:
     return (f"{name} AS (SELECT {keys}, CAST(sum(CASE WHEN v.id > 1 THEN 1 ELSE length(t.token) END) AS BIGINT) "
             f"AS n_pieces FROM (SELECT {keys}, unnest({word_tokens(text)}) AS token FROM {src}) t "
             f"LEFT JOIN vocab v USING (token) GROUP BY {keys})")
+
+
+# --- normaliser ----------------------------------------------------------------------
+
+def special_map(x):
+    """D21 without NFKC (DuckDB has none; the test tables hold no compatibility characters)."""
+    for k, v in rx.SPECIAL_MAP:
+        x = f"replace({x}, {lit(k)}, {lit(v)})"
+    return x
+
+
+def moses_punct_normalize(x):
+    from textmill.functions.normalize import PUNCT_RULES
+
+    for pat, rep in PUNCT_RULES:
+        x = rr(x, pat, rep.replace("$1", "\\1").replace("$2", "\\2"))
+    return strip_ws(x)
+
+
+def ws_tokens(x):
+    return f"list_filter(string_split_regex({x}, '\\s+'), lambda w: w <> '')"
+
+
+def detokenize(tokens):
+    from textmill.functions.normalize import XML_UNESCAPES
+
+    text = f"(' ' || array_to_string({tokens}, ' ') || ' ')"
+    text = f"replace({text}, ' @-@ ', '-')"
+    for k, v in XML_UNESCAPES:
+        text = f"replace({text}, {lit(k)}, {lit(v)})"
+    kind = ("CASE WHEN regexp_matches(tk, '^[\\p{Sc}(\\[{¿¡]+$') THEN 'R' "
+            "WHEN regexp_matches(tk, '^[,.?!:;\\\\%}\\])]+$') THEN 'L' "
+            "WHEN j > 1 AND regexp_matches(tk, '^''\\pL') THEN 'C' "
+            "WHEN regexp_matches(tk, '^[''\"„“`]+$') THEN 'Q' ELSE 'N' END")
+    kinds = f"list_transform(tt, lambda tk, j: {kind})"
+    qidx = "list_filter(range(1, len(tt) + 1), lambda j: kd[j] = 'Q')"
+    key = "CASE WHEN regexp_matches(tt[j], '^[„“”]+$') THEN '\"' ELSE tt[j] END"
+    cnt = f"coalesce(acc.cnts[list_position(acc.keys, {key})], 0)"
+    bump = (f"CASE WHEN list_position(acc.keys, {key}) IS NULL THEN list_append(acc.cnts, {cnt} + 1) "
+            f"ELSE list_transform(acc.cnts, lambda cv, ci: CASE WHEN ci = list_position(acc.keys, {key}) "
+            f"THEN cv + 1 ELSE cv END) END")
+    keys = (f"CASE WHEN list_position(acc.keys, {key}) IS NULL THEN list_append(acc.keys, {key}) "
+            f"ELSE acc.keys END")
+    poss = "(tt[j] = '''' AND j > 1 AND suffix(tt[j - 1], 's'))"
+    step = (f"CASE WHEN {cnt} % 2 = 0 AND {poss} THEN {{'keys': acc.keys, 'cnts': acc.cnts, 'd': list_append(acc.d, 2)}} "
+            f"WHEN {cnt} % 2 = 0 THEN {{'keys': {keys}, 'cnts': {bump}, 'd': list_append(acc.d, 0)}} "
+            f"ELSE {{'keys': {keys}, 'cnts': {bump}, 'd': list_append(acc.d, 1)}} END")
+    init = "{'keys': []::VARCHAR[], 'cnts': []::INTEGER[], 'd': []::INTEGER[]}"
+    dec = f"list_reduce({qidx}, lambda acc, j: {step}, {init}).d"
+    qd = "dd[list_position(qx, {i})]"
+    opens = f"(kd[{{i}}] = 'R' OR (kd[{{i}}] = 'Q' AND {qd} = 0))"
+    left = f"(kd[{{i}}] IN ('L', 'C') OR (kd[{{i}}] = 'Q' AND {qd} <> 0))"
+    piece = (f"CASE WHEN j > 1 AND NOT {left.format(i='j')} AND NOT {opens.format(i='j - 1')} "
+             f"THEN ' ' || tk ELSE tk END")
+    joined = f"array_to_string(list_transform(tt, lambda tk, j: {piece}), '')"
+    body = let(kinds, "kd", let(qidx, "qx", let(dec, "dd", joined)))
+    out = let(ws_tokens(text), "tt", body)
+    return strip_ws(rr(out, " {2,}", " "))
+
+
+def fix_tokenized(x):
+    return detokenize(ws_tokens(x))
+
+
+def normalize_text(x):
+    return fix_tokenized(moses_punct_normalize(special_map(x)))
