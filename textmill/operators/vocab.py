@@ -26,10 +26,15 @@ MIN_FREQ = 2**3
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def by_doc(df: DataFrame, key: str = "doc_id") -> DataFrame:
+def by_doc(df: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFrame:
     """Hash-partition by the document key once, so that per-document aggregates
-    of exploded tokens and the joins back to the text need no further shuffle."""
-    return df.repartition(key)
+    of exploded tokens and the joins back to the text need no further shuffle.
+
+    The partition count is fixed (``spark.sql.shuffle.partitions`` unless
+    given) so that AQE does not coalesce it away and a checkpoint of the
+    result keeps the partitioning for the later per-document joins."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
 
 
 def _maybe_broadcast(table: DataFrame, size_expr: Column) -> DataFrame:
@@ -111,18 +116,22 @@ def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str
 
 
 def unk_ratios(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-               pad_to: int | None = None) -> DataFrame:
+               pad_to: int | None = None, carry: list[str] | None = None) -> DataFrame:
     """``key, n_tokens, n_unk, unk_ratio`` per document.
 
     Documents without tokens get a NULL ratio (the reference divides by zero).
     ``pad_to`` reproduces a tokenizer saved with padding: the denominator is
     then ``max(pad_to, n_tokens)`` and only the first ``pad_to`` tokens count.
+    ``carry`` adds per-document columns to the grouping key (functionally
+    dependent on ``key``): the token branch then reads the same columns as
+    the text branch, so both share one shuffle.
     """
-    toks = token_rows(docs, [key], text_col, pos=pad_to is not None)
+    keys = [key] + list(carry or [])
+    toks = token_rows(docs, keys, text_col, pos=pad_to is not None)
     if pad_to is not None:
         toks = toks.where(F.col("pos") < pad_to)
     ids = lookup_ids(toks, vocab)
-    agg = ids.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"),
+    agg = ids.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_tokens"),
                                F.sum((F.col("id") == UNK_ID).cast("long")).alias("n_unk"))
     denom = F.col("n_tokens") if pad_to is None else F.greatest(F.col("n_tokens"), F.lit(pad_to))
     return agg.withColumn("unk_ratio", F.col("n_unk") / denom)
@@ -131,8 +140,9 @@ def unk_ratios(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col:
 def with_unk_ratio(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
                    pad_to: int | None = None) -> DataFrame:
     """Attach ``unk_ratio`` (NULL for token-less documents)."""
-    r = unk_ratios(docs, vocab, key, text_col, pad_to).select(key, "unk_ratio")
-    return docs.join(r, key, "left")
+    carry = [c for c in docs.columns if c not in (key, text_col)]
+    r = unk_ratios(docs, vocab, key, text_col, pad_to, carry).select(key, *carry, "unk_ratio")
+    return docs.join(r, [key] + carry, "left")
 
 
 def unk_cut(docs: DataFrame, vocab: DataFrame, max_unk_ratio: float = 0.1, **kw) -> DataFrame:
@@ -183,19 +193,31 @@ def redundancy_filter(rows: DataFrame, pieces: DataFrame, key: str = "doc_id", t
 def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
                      key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """G8 over E10 windows: ``key, n_windows, bad_share`` where a window of
-    ``width`` chars is bad if its token/char ratio exceeds ``sp_filter_ratio``."""
+    ``width`` chars is bad if its token/char ratio exceeds ``sp_filter_ratio``.
+
+    One aggregate per (document, window) and one per document; both stay
+    inside a partitioning by ``key`` when the input has it.  The window count
+    comes from the text length, so windows without tokens (ratio 0) need no
+    join to be counted.
+    """
     from textmill.functions.segment import char_windows
 
     wins = docs.select(key, F.posexplode(char_windows(F.col(text_col), width)).alias("win", "wtext"))
-    r = token_char_ratios(wins, [key, "win"], pieces, "wtext")
-    return r.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_windows"),
-        F.avg((F.col("ratio") > sp_filter_ratio).cast("double")).alias("bad_share"))
+    toks = wins.select(key, "win", F.length("wtext").alias("wlen"), F.explode(word_tokens(F.col("wtext"))).alias("token"))
+    p = _maybe_broadcast(pieces, F.length("token") + 24)
+    per_win = (toks.join(p, "token", "left")
+               .groupBy(key, "win", "wlen")
+               .agg(F.sum(F.coalesce(F.col("pieces"), F.length("token"))).alias("n_pieces")))
+    bad = per_win.groupBy(key).agg(F.sum((F.col("n_pieces") / F.col("wlen") > sp_filter_ratio).cast("long")).alias("n_bad"))
+    n_win = F.ceil(F.length(text_col) / F.lit(width)).cast("long")
+    return (docs.select(key, n_win.alias("n_windows")).join(bad, key, "left")
+            .select(key, "n_windows", (F.coalesce(F.col("n_bad"), F.lit(0)) / F.col("n_windows")).alias("bad_share")))
 
 
 def redundancy_gate(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float = 0.3,
                     max_bad_share: float = 0.10, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Drop documents whose share of bad windows is greater than 0.10."""
     s = window_bad_share(docs, pieces, width, sp_filter_ratio, key, text_col).select(key, "bad_share")
-    return docs.join(s, key, "left").where(~(F.coalesce(F.col("bad_share"), F.lit(0.0)) > max_bad_share)) \
-               .drop("bad_share")
+    return (docs.join(s, key, "left")
+            .where(~(F.coalesce(F.col("bad_share"), F.lit(0.0)) > max_bad_share))
+            .drop("bad_share"))

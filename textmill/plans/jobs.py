@@ -8,10 +8,12 @@ J1 ``process_corpus`` plan, for a 100 TB input:
 2. unknown-token ratio: exploded tokens hash-join the vocabulary (broadcast
    after a size check) and aggregate per document inside that partitioning;
    the join back to the text reuses it (no shuffle);
-3. cleaning, normalising, chunking, hashing: one projection of column
-   expressions per row (JVM, no Python), behind a generator barrier so no
-   later filter re-runs it;
+3. cleaning and normalising: one projection of column expressions per row
+   (JVM, no Python), behind a generator barrier so no later filter re-runs
+   it; when the redundancy gate follows, the cleaned text is checkpointed to
+   the shared checkpoint folder so that its two readers do not clean twice;
 4. redundancy gate: character windows, same per-document pattern as 2;
+   then long-document chunking and md5 per output row;
 5. dedup: a map-side-combined ``min`` per hash (one shuffle of the output
    text), then an anti join with the saved hash list.
 """
@@ -27,6 +29,7 @@ from textmill.functions.text import let
 from textmill.operators import dedup as dd
 from textmill.operators import vocab as vb
 from textmill.operators.profiles import clean_by_subset, validate_subsets
+from textmill.session import checkpoint_keep_partitioning
 
 ALL_SUBSETS = ["Books3", "Gutenberg (PG-19)", "OpenWebText2", "Pile-CC", "Wikipedia (en)"]
 
@@ -81,6 +84,12 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
     d = d.select("doc_id", "subset", F.explode(F.array(join_lines(paras))).alias("text"))  # E12
     d = d.where(F.length("text") >= min_text_length)                                       # C3
     if pieces is not None:
+        # The gate reads the cleaned text twice (windows, and the rows it
+        # keeps): materialise it once in the shared checkpoint folder rather
+        # than cleaning twice; the partitioning by doc_id is kept.
+        if repartition and vocab is None:
+            d = vb.by_doc(d)
+        d = checkpoint_keep_partitioning(d)
         d = vb.redundancy_gate(d, pieces, min_text_length, sp_filter_ratio)              # C7
     out = d.select("doc_id", "subset",
                    F.posexplode(chunk_document(F.col("text"), min_text_length, max_text_length))

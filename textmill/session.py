@@ -61,3 +61,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def checkpoint_keep_partitioning(df):
+    """Reliable ``checkpoint()`` into the shared checkpoint folder that keeps the
+    hash partitioning of ``df`` visible to later plans.
+
+    With adaptive execution on, a checkpointed plan reports no partitioning,
+    so later per-key joins and aggregates would shuffle again; the checkpoint
+    itself is therefore planned without it (the rest of the job keeps AQE).
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
