@@ -21,9 +21,10 @@ from textmill.operators import profiles as pr
 from textmill.operators import vocab as vb
 from textmill.functions import rx
 from textmill.operators import dedup as dd
-from textmill.plans.jobs import filter_language, process_corpus
+from textmill.operators import classify as cl
+from textmill.plans.jobs import filter_language, predict_genre, prepare_books, process_corpus, train_genre_model
 from textmill.plans import duck as dk
-from textmill.sources.tables import docs_markup, docs_markup_duckdb, table
+from textmill.sources.tables import book_files, book_metadata, book_metadata_duckdb, docs_markup, docs_markup_duckdb, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -374,9 +375,9 @@ def q_hash_union(spark, d):
           "FROM documents")
 def q_dup_count(spark, d):
     """rows dropped as in-run or cross-run duplicates."""
-    before = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n"))
-    after = _emitted(spark, d).agg(F.count(F.lit(1)).alias("m"))
-    return before.crossJoin(after).select((F.col("n") - F.col("m")).alias("duplicates"))
+    before = table(spark, d, "documents").select(F.lit(1).alias("w"))
+    after = _emitted(spark, d).select(F.lit(-1).alias("w"))
+    return before.unionByName(after).agg(F.sum("w").cast("long").alias("duplicates"))
 
 
 # ---------------------------------------------------------------------------
@@ -443,6 +444,124 @@ def q_process_corpus_nogates(spark, d):
     return _j1(spark, d, True, False)
 
 
+# ---------------------------------------------------------------------------
+# classifier
+# ---------------------------------------------------------------------------
+
+_META = f"({book_metadata_duckdb()})"
+_LABELLED = (f"(SELECT m.book_name, CASE WHEN list_contains(m.categories, 'Fiction') THEN 1 "
+             f"WHEN list_contains(m.categories, 'Nonfiction') THEN 0 ELSE 2 END AS label FROM {_META} m)")
+_BOOKS = "(SELECT 'doc' || CAST(doc_id AS VARCHAR) || '.txt' AS book_name, text FROM documents)"
+_TRAINSET = f"(SELECT l.book_name, l.label, b.text FROM {_LABELLED} l JOIN {_BOOKS} b USING (book_name) WHERE l.label <> 2)"
+
+
+def _labelled(spark, d):
+    return book_metadata(spark, d).withColumn("label", cl.label_from_categories("categories"))
+
+
+def _trainset(spark, d):
+    """F6 + H1 + H2: labelled fiction / nonfiction books with their text."""
+    lab = _labelled(spark, d).where(F.col("label") != cl.UNKNOWN).select("book_name", "label")
+    return cl.attach_books(lab, book_files(spark, d))
+
+
+@register("q_labels", f"SELECT book_name, label FROM {_LABELLED}")
+def q_labels(spark, d):
+    """H1: genre label from the categories."""
+    return _labelled(spark, d).select("book_name", "label")
+
+
+@register("q_class_counts", f"SELECT label, count(*) AS n_books FROM {_LABELLED} GROUP BY label")
+def q_class_counts(spark, d):
+    """G10 + H2: books per class (0 nonfiction, 1 fiction, 2 unknown)."""
+    return cl.class_counts(_labelled(spark, d))
+
+
+@register("q_attach_books", f"SELECT book_name, label, CAST(length(text) AS BIGINT) AS n_chars FROM {_TRAINSET}")
+def q_attach_books(spark, d):
+    """metadata joined to the book texts by file name."""
+    return _trainset(spark, d).select("book_name", "label", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("q_concat_labelled", f"SELECT book_name, label FROM {_TRAINSET}")
+def q_concat_labelled(spark, d):
+    """F8: fiction set (label 1) and nonfiction set (label 0) concatenated."""
+    nonfic, fic, _ = cl.split_by_label(_labelled(spark, d))
+    return cl.concat_labelled(fic.select("book_name"), nonfic.select("book_name")).select("book_name", "label")
+
+
+_BOW_SQL = (
+    f"WITH {VOCAB}, t AS ("
+    + _duck_explode("book_name", dk.word_tokens("text"), "pos", "token", _TRAINSET + " tr")
+    + "), ids AS (SELECT book_name, coalesce(v.id, 1) AS id FROM t LEFT JOIN vocab v USING (token) WHERE pos < 65536), "
+    "c AS (SELECT book_name, id, count(*) AS c FROM ids GROUP BY book_name, id UNION ALL "
+    "SELECT book_name, 0, 65536 - count(*) FROM ids GROUP BY book_name HAVING count(*) < 65536), "
+    "cl AS (SELECT book_name, id, CAST(least(c, 5000) AS DOUBLE) AS c FROM c) "
+    "SELECT book_name, CAST(id AS INTEGER) AS id, c / sqrt(sum(c * c) OVER (PARTITION BY book_name)) AS weight FROM cl")
+
+
+@register("q_bow", _BOW_SQL)
+def q_bow(spark, d):
+    """Clipped, L2-normalised bag of words (pad id 0 counted) per labelled book."""
+    return cl.bow_long(_trainset(spark, d).select("book_name", "text"), english_vocab(spark, d), key="book_name")
+
+
+@register("q_split", f"SELECT book_name, label, row_number() OVER (PARTITION BY label ORDER BY md5(book_name || ':42')) "
+          f"<= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM {_TRAINSET}")
+def q_split(spark, d):
+    """H3: exact stratified 80/20 split, seed 42."""
+    return cl.stratified_split(_trainset(spark, d).select("book_name", "label"), key="book_name", seed=42)
+
+
+_REPORT_SQL = (
+    f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')}, "
+    "pred AS (SELECT CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END AS y, CASE WHEN r.unk_ratio < 0.05 THEN 1 ELSE 0 END AS p "
+    "FROM documents d JOIN ratios r USING (doc_id)), "
+    "conf AS (SELECT y, p, count(*) AS n FROM pred GROUP BY y, p), "
+    "cls AS (SELECT y AS c FROM conf UNION SELECT p FROM conf), "
+    "per AS (SELECT c, coalesce((SELECT sum(n) FROM conf WHERE y = c AND p = c), 0) AS tp, "
+    "coalesce((SELECT sum(n) FROM conf WHERE p = c), 0) AS pp, coalesce((SELECT sum(n) FROM conf WHERE y = c), 0) AS support FROM cls), "
+    "m AS (SELECT *, CASE WHEN pp > 0 THEN tp / pp ELSE 0 END AS pr, CASE WHEN support > 0 THEN tp / support ELSE 0 END AS rc FROM per), "
+    "m2 AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END AS f1 FROM m) "
+    "SELECT CAST(c AS VARCHAR) AS row, round(pr, 3) AS precision, round(rc, 3) AS recall, round(f1, 3) AS f1, "
+    "CAST(support AS BIGINT) AS support FROM m2 "
+    "UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 3), CAST(sum(support) AS BIGINT) FROM m2 "
+    "UNION ALL SELECT 'macro avg', round(avg(pr), 3), round(avg(rc), 3), round(avg(f1), 3), CAST(sum(support) AS BIGINT) FROM m2 "
+    "UNION ALL SELECT 'weighted avg', round(sum(pr * support) / sum(support), 3), round(sum(rc * support) / sum(support), 3), "
+    "round(sum(f1 * support) / sum(support), 3), CAST(sum(support) AS BIGINT) FROM m2")
+
+
+@register("q_class_report", _REPORT_SQL)
+def q_class_report(spark, d):
+    """Classification report of the unknown-ratio language filter (C6) as a
+    detector of English documents (truth: the ``lang`` column)."""
+    docs = table(spark, d, "documents")
+    r = vb.unk_ratios(docs, english_vocab(spark, d)).select("doc_id", "unk_ratio")
+    pred = docs.join(r, "doc_id").select((F.col("lang") == "en").cast("int").alias("label"),
+                                         (F.col("unk_ratio") < 0.05).cast("int").alias("prediction"))
+    return cl.classification_report(pred)
+
+
+def _genre_model(spark, d):
+    tok, vocab = prepare_books(book_metadata(spark, d), book_files(spark, d), english_vocab(spark, d))
+    model, train_rep, test_rep = train_genre_model(tok)
+    return model, vocab, train_rep, test_rep
+
+
+@register("q_train_report")
+def q_train_report(spark, d):
+    """J5 (H3-H5, G6-G9): GBT genre model; classification report on the test split."""
+    return _genre_model(spark, d)[3]
+
+
+@register("q_predict_filter")
+def q_predict_filter(spark, d):
+    """J6 (H6, C16): the documents the trained genre model predicts as class 1."""
+    model, vocab, _, _ = _genre_model(spark, d)
+    lines = table(spark, d, "documents").select(F.col("doc_id").alias("line_no"), "text")
+    return predict_genre(lines, model, vocab).select("line_no")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

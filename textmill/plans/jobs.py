@@ -115,3 +115,68 @@ def filter_language(docs: DataFrame, vocab: DataFrame, unk_threshold: float = 0.
     head = docs.select(key, F.substring(text_col, 1, head_chars).alias("_head"))
     keep = vb.language_filter(head, vocab, unk_threshold, key=key, text_col="_head").select(key)
     return docs.join(keep, key, "left_semi")
+
+
+# ---------------------------------------------------------------------------
+# The genre classifier
+# ---------------------------------------------------------------------------
+
+def prepare_books(meta: DataFrame, books: DataFrame, vocab: DataFrame | None = None,
+                  head_chars: int = 2**22) -> tuple[DataFrame, DataFrame]:
+    """Label the metadata (H1), attach the book texts (F6, first 2^22 chars
+    as the reference reads them), build the vocabulary if none is given (G2)
+    and encode (G3).  Returns ``(tokenized, vocab)``; ``tokenized`` has
+    ``book_name, categories, label, ids, n_pad`` for the fiction and
+    nonfiction books (label 2, unknown, is set aside as in the reference)."""
+    from textmill.operators import classify as cl
+
+    labelled = meta.withColumn("label", cl.label_from_categories("categories"))
+    texts = books.select("book_name", F.substring("text", 1, head_chars).alias("text"))
+    joined = cl.attach_books(labelled.where(F.col("label") != cl.UNKNOWN), texts)
+    if vocab is None:
+        vocab = vb.build_vocab(texts)
+    enc = vb.encode(joined.select("book_name", "text"), vocab, key="book_name")
+    return joined.drop("text").join(enc, "book_name"), vocab
+
+
+def train_genre_model(tokenized: DataFrame, vocab_size: int = 2000, kind: str = "gbt", seed: int = 42):
+    """BOW features (G6/G7, on the ``vocab_size`` most frequent ids), exact
+    stratified 80/20 split (H3), GBT training (H4), predictions on train and
+    test (H5) and their classification reports (G9).
+    Returns ``(model, train_report, test_report)``."""
+    from textmill.operators import classify as cl
+
+    ids = tokenized.select("book_name", F.explode("ids").alias("id"), "n_pad")
+    counts = ids.groupBy("book_name", "id").agg(F.count(F.lit(1)).alias("c"))
+    pad = tokenized.where(F.col("n_pad") > 0).select("book_name", F.lit(vb.PAD_ID).alias("id"),
+                                                      F.col("n_pad").alias("c"))
+    long = bow_from_counts(counts.unionByName(pad), key="book_name")
+    feats = cl.bow_vectors(long, vb.VOCAB_SIZE, key="book_name", max_id=vocab_size)
+    data = feats.join(tokenized.select("book_name", "label"), "book_name")
+    split = cl.stratified_split(data, key="book_name", seed=seed)
+    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
+    model = cl.train_classifier(train, kind=kind)
+    return (model, cl.classification_report(cl.predict(model, train)),
+            cl.classification_report(cl.predict(model, test)))
+
+
+def bow_from_counts(counts: DataFrame, key: str, clip: int = 5000) -> DataFrame:
+    """G6 from ``key, id, c`` counts: clip, then L2-normalise per document."""
+    from pyspark.sql import Window
+
+    c = F.least(F.col("c"), F.lit(clip)).cast("double")
+    clipped = counts.select(key, F.col("id").cast("int").alias("id"), c.alias("c"))
+    norm = F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy(key)))
+    return clipped.select(key, "id", (F.col("c") / norm).alias("weight"))
+
+
+def predict_genre(lines: DataFrame, model, vocab: DataFrame, key: str = "line_no", text_col: str = "text",
+                  vocab_size: int = 2000) -> DataFrame:
+    """J6 (H6): encode each line, vectorise, predict, keep the class-1 lines (C16);
+    returns the input rows unchanged."""
+    from textmill.operators import classify as cl
+
+    long = cl.bow_long(lines.select(key, text_col), vocab, key=key, text_col=text_col)
+    feats = cl.bow_vectors(long, vb.VOCAB_SIZE, key=key, max_id=vocab_size)
+    keep = cl.keep_positive(cl.predict(model, feats)).select(key)
+    return lines.join(keep, key, "left_semi")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -60,3 +61,33 @@ def docs_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def docs_markup_duckdb() -> str:
     """The same view as a DuckDB sub-query over the pre-registered ``documents``."""
     return DOCS_MARKUP_SQL.replace("{documents}", "documents")
+
+
+# Stand-in book metadata for the classifier jobs: one record per document, in
+# the (book_name, categories) schema.  Labelled documents get a genre category
+# from their quality label (1 -> Fiction, 0 -> Nonfiction) plus "Adult" when
+# flagged toxic; unlabelled ones get "General".
+BOOK_META_SQL = """
+SELECT concat('doc', CAST(d.doc_id AS STRING), '.txt') AS book_name,
+  CASE WHEN l.quality IS NULL THEN array('General')
+       WHEN l.quality = 1 AND l.toxic = 1 THEN array('Fiction', 'Adult')
+       WHEN l.quality = 1 THEN array('Fiction')
+       WHEN l.toxic = 1 THEN array('Nonfiction', 'Adult')
+       ELSE array('Nonfiction') END AS categories
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
+"""
+
+
+def book_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BOOK_META_SQL, documents=table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
+
+
+def book_metadata_duckdb() -> str:
+    return (BOOK_META_SQL.replace("{documents}", "documents").replace("{labels}", "labels")
+            .replace("AS STRING", "AS VARCHAR").replace("array(", "list_value("))
+
+
+def book_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book texts as (book_name, text) rows."""
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("book_name"), "text")
