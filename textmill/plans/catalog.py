@@ -562,6 +562,33 @@ def q_predict_filter(spark, d):
     return predict_genre(lines, model, vocab).select("line_no")
 
 
+# ---------------------------------------------------------------------------
+# The corpus job as a stream
+# ---------------------------------------------------------------------------
+
+@register("q_stream_dedup", _j1_duck(True, False))
+def q_stream_dedup(spark, d):
+    """S1 + S2: the vocabulary-free corpus job over the documents file stream
+    (availableNow), deduplicated across micro-batches through the persisted
+    hash table; equals the batch job's result."""
+    import os
+    import uuid
+
+    from textmill.sources.tables import DOCS_MARKUP_SQL
+    from textmill.streaming.incremental import run_stream_dedup
+
+    schema = table(spark, d, "documents").schema
+
+    def prepare(stream):
+        docs = spark.sql(DOCS_MARKUP_SQL, documents=stream)
+        return process_corpus(docs, ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True,
+                              text_chunk_size=CHUNK, deduplicate=False)
+
+    out = run_stream_dedup(spark, os.path.join(d, "documents*.parquet"), schema, prepare,
+                           order=["subset", "doc_id", "chunk_no"], name=f"stream_dedup_{uuid.uuid4().hex}")
+    return out.select("doc_id", "chunk_no", "subset", "text", "hash")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
