@@ -42,8 +42,27 @@ FROM {documents}
 """
 
 
+# Text tables and their row keys.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Give CPU-heavy text work at least two partitions per core.
+
+    A large input already arrives in many scan splits and is returned as is
+    (no shuffle).  A small one (a few files, one row group each) would run on
+    a single core; it is hash-partitioned by its row key instead, which also
+    hands the per-document operators a partitioning they can reuse.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(2 * target, key) if key else df.repartition(2 * target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
