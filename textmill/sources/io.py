@@ -47,7 +47,7 @@ def read_json_strings(spark: SparkSession, path: str) -> DataFrame:
 
 def read_books(spark: SparkSession, path: str, head_chars: int = 2**22, pattern: str = "*.txt") -> DataFrame:
     """A3: whole text files (``book_name``, first ``head_chars`` chars as ``text``)."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
     return df.select(F.col("_metadata.file_name").alias("book_name"),
                      F.substring("value", 1, head_chars).alias("text"))
 
