@@ -97,6 +97,17 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     return specials.unionByName(words)
 
 
+def load_or_build_vocab(docs: DataFrame, path: str, **kw) -> DataFrame:
+    """The vocabulary artefact at ``path`` (parquet); built from ``docs``
+    and saved there first if it does not exist yet."""
+    from textmill.operators.dedup import _exists
+
+    spark = docs.sparkSession
+    if not _exists(spark, path):
+        build_vocab(docs, **kw).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def lookup_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """token -> id with ``<unk>`` as default (left join, small side broadcast if it fits)."""
     v = _maybe_broadcast(vocab.select("token", "id"), F.length("token") + 24)

@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions import normalize as nz
 from textmill.functions import segment as sg
 from textmill.functions import text as tx
 from textmill.functions.tokens import word_tokens
@@ -24,6 +25,7 @@ from textmill.operators import dedup as dd
 from textmill.operators import classify as cl
 from textmill.plans.jobs import filter_language, predict_genre, prepare_books, process_corpus, train_genre_model
 from textmill.plans import duck as dk
+from textmill.sources import io
 from textmill.sources.tables import book_files, book_metadata, book_metadata_duckdb, docs_markup, docs_markup_duckdb, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -562,6 +564,87 @@ def q_predict_filter(spark, d):
     return predict_genre(lines, model, vocab).select("line_no")
 
 
+# ---------------------------------------------------------------------------
+# normaliser
+# ---------------------------------------------------------------------------
+
+def _paras(spark, d):
+    """Cleaned paragraphs of every document (webcrawl cleaner), one row each."""
+    return _explode(docs_markup(spark, d), ["doc_id"], pr.clean_webcrawl("text"), "para_no", "para")
+
+
+_PARAS_SQL = "(" + _duck_explode("doc_id", dk.clean_webcrawl("text"), "para_no", "para", MARKUP) + ")"
+
+for _name, _sfn, _dfn, _doc in [
+    ("q_special_map", nz.special_normalize, dk.special_map, "D21: special map + NFKC on every cleaned paragraph."),
+    ("q_punct_norm", nz.moses_punct_normalize, dk.moses_punct_normalize, "D20: punctuation normalisation."),
+    ("q_ws_collapse", nz.fix_tokenized, dk.fix_tokenized, "D24 (+D23): whitespace split and detokenise."),
+    ("q_normalize", nz.normalize_text, dk.normalize_text, "D25 / J2: the default normaliser chain."),
+]:
+    def _q(spark, d, _sfn=_sfn):
+        return _paras(spark, d).select("doc_id", "para_no", _sfn(F.col("para")).alias("text"))
+    _q.__doc__ = _doc
+    register(_name, f"SELECT doc_id, para_no, {_dfn('para')} AS text FROM {_PARAS_SQL} z")(_q)
+
+
+@register("q_lower", "SELECT doc_id, lower(text) AS text FROM documents")
+def q_lower(spark, d):
+    """D19."""
+    return table(spark, d, "documents").select("doc_id", nz.lowerize("text").alias("text"))
+
+
+@register("q_unescape", "SELECT page_id, replace(replace(replace(replace(html, '&quot;', '\"'), '&middot;', '·'), "
+          "'&copy;', '©'), '&amp;', '&') AS text FROM pages")
+def q_unescape(spark, d):
+    """HTML entities of the raw pages decoded."""
+    return table(spark, d, "pages").select("page_id", nz.unescape_html("html").alias("text"))
+
+
+@register("q_moses_tok")
+def q_moses_tok(spark, d):
+    """Moses-style tokens of every document (rows only: no SQL form)."""
+    return _explode(table(spark, d, "documents"), ["doc_id"], nz.moses_tokenize("text"), "tok_no", "token")
+
+
+# ---------------------------------------------------------------------------
+# JSON sources and sinks as round trips
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    import os
+    import uuid
+
+    from textmill.session import checkpoint_dir
+
+    return os.path.join(checkpoint_dir(spark), f"{name}_{uuid.uuid4().hex}")
+
+
+@register("q_jsonl_roundtrip", f"SELECT subset, text, md5(text) AS hash FROM {MARKUP}")
+def q_jsonl_roundtrip(spark, d):
+    """A1 + B1: documents written as Pile-style JSONL, read back with the
+    document source, and written / read again as the corpus sink."""
+    path = _scratch(spark, "pile_jsonl")
+    io.write_pile_jsonl(docs_markup(spark, d), path)
+    docs = io.read_documents(spark, path)
+    out = _scratch(spark, "corpus_jsonl")
+    io.write_corpus(dd.with_hash(docs), out)
+    return spark.read.schema("subset string, text string, hash string").json(out)
+
+
+_JSON_LIST = ("'[' || array_to_string(list_transform({arr}, lambda js: "
+              "regexp_extract(to_json([js]), '^\\[(.*)\\]$', 1)), ', ') || ']'")
+
+
+@register("q_json_roundtrip", "SELECT " + _JSON_LIST.format(arr=dk.clean_webcrawl("text")) + " AS json FROM documents")
+def q_json_roundtrip(spark, d):
+    """A2 + B2 + D26: documents written one JSON string per line, read back, and
+    each line cleaned through the JSON wrapper (JSON list of paragraphs out)."""
+    path = _scratch(spark, "json_strings")
+    io.write_json_strings(table(spark, d, "documents"), path)
+    lines = io.read_json_strings(spark, path)
+    return lines.select(io.process_jsonl(F.col("raw"), pr.clean_webcrawl).alias("json"))
+
+
 # ---------------------------------------------------------------------------
 # The corpus job as a stream
 # ---------------------------------------------------------------------------

@@ -106,3 +106,25 @@ def with_counters(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFram
     ``Observation.get`` returns them after the first action."""
     obs = Observation(name)
     return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
+
+
+def json_list(arr) -> Column:
+    """A JSON list of strings, items separated by ``", "`` (Python ``json.dumps`` layout)."""
+    arr = F.col(arr) if isinstance(arr, str) else arr
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, json_string), ", "), F.lit("]"))
+
+
+def decode_json_string(c) -> Column:
+    """A2 decoding of one JSON string literal."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>")[0]
+
+
+def process_jsonl(c, cleaner) -> Column:
+    """JSON string in -> cleaner -> JSON list of paragraphs out."""
+    return json_list(cleaner(decode_json_string(c)))
+
+
+def write_pile_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Documents (``subset, text``) as Pile-style JSONL (``text``, ``meta.pile_set_name``)."""
+    df.select("text", F.struct(F.col("subset").alias("pile_set_name")).alias("meta")).write.mode(mode).json(path)
