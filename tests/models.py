@@ -78,3 +78,55 @@ def short_line_runs(s: str) -> str:
     for part in out:
         res += "\n" if part is None else part + "\n"
     return res + lines[-1]
+
+
+def punct_normalize(s: str) -> str:
+    """Every punctuation rule in order (the reference list), then strip."""
+    from textmill.functions.normalize import PUNCT_RULES
+
+    for pat, rep in PUNCT_RULES:
+        s = re.sub(pat, rep.replace("$1", r"\1").replace("$2", r"\2"), s)
+    return s.strip()
+
+
+XML = [("&bar;", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&bra;", "["), ("&ket;", "]"),
+       ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&amp;", "&")]
+
+
+def detokenize(text: str) -> str:
+    """The English detokeniser rules over whitespace tokens, one token at a time."""
+    t = " " + " ".join(text.split()) + " "
+    t = t.replace(" @-@ ", "-")
+    for k, v in XML:
+        t = t.replace(k, v)
+    toks = t.split()
+    out, glue_next, counts = [], False, {}
+    for i, tok in enumerate(toks):
+        space = "" if (i == 0 or glue_next) else " "
+        if re.fullmatch(r"[\p{Sc}(\[{¿¡]+".replace(r"\p{Sc}", "$€£¥"), tok):
+            out.append(space + tok)
+            glue_next = True
+        elif re.fullmatch(r"[,.?!:;\\%}\])]+", tok):
+            out.append(tok)
+            glue_next = False
+        elif i > 0 and len(tok) > 1 and tok[0] == "'" and tok[1].isalpha():
+            out.append(tok)
+            glue_next = False
+        elif re.fullmatch(r"['\"„“`]+", tok):
+            key = '"' if re.fullmatch("[„“”]+", tok) else tok
+            n = counts.get(key, 0)
+            if n % 2 == 0 and tok == "'" and i > 0 and toks[i - 1].endswith("s"):
+                out.append(tok)
+                glue_next = False
+            elif n % 2 == 0:
+                out.append(space + tok)
+                glue_next = True
+                counts[key] = n + 1
+            else:
+                out.append(tok)
+                glue_next = False
+                counts[key] = n + 1
+        else:
+            out.append(space + tok)
+            glue_next = False
+    return re.sub(" {2,}", " ", "".join(out)).strip()

@@ -43,3 +43,31 @@ def test_tokenize(one):
     toks = one(nz.moses_tokenize, "Hello, world! It's (x) $5.")
     assert toks[:4] == ["Hello", ",", "world", "!"]
     assert "&apos;s" in toks and toks[-1] == "."
+
+
+def _rand(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def test_punct_groups_match_sequential_rules(many):
+    import random
+
+    from models import punct_normalize
+
+    rng = random.Random(2)
+    alphabet = ["a", "b", "1", " ", "  ", "(", ")", ".", ",", ":", ";", "%", "`", "'", '"', "„", "“", "”", "–", "—",
+                "´", "‘", "’", "…", "«", "»", " ", "nº", "\r", "\n"]
+    texts = [_rand(rng, alphabet, rng.randint(0, 40)) for _ in range(300)]
+    assert many(nz.moses_punct_normalize, texts) == [punct_normalize(t) for t in texts]
+
+
+def test_detokenize_matches_model(many):
+    import random
+
+    from models import detokenize
+
+    rng = random.Random(4)
+    words = ["word", "Jones", "is", "'s", "'", '"', "``", ",", ".", "?!", ")", "(", "$", "€", "5", "&amp;", "@-@", "it",
+             "„", "“", "x y"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 15))) for _ in range(300)]
+    assert many(nz.fix_tokenized, texts) == [detokenize(t) for t in texts]

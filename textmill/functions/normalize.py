@@ -138,11 +138,42 @@ PUNCT_RULES = [
 ]
 
 
+# Rule groups (slices of PUNCT_RULES) and a pattern that matches whenever any
+# rule of the group could fire.  A group whose pattern does not match the
+# current text is skipped: every rule in it would leave the text unchanged.
+_NBSP = "\u00a0"
+PUNCT_GROUPS = [
+    (slice(0, 3), r"[\r()]"),
+    (slice(3, 4), None),  # space runs: always
+    (slice(4, 10), r"\) [.!:?;,]|\( | \)|\d %| [:;]"),
+    (slice(10, 12), r"`|''"),
+    (slice(12, 27), "[„“”–—´‘‚’…]|''|  "),
+    (slice(27, 33), "[«»]"),
+    (slice(33, 43), _NBSP + "|  "),
+    (slice(43, 44), r'"[,.]'),
+    (slice(44, 45), _NBSP),
+]
+
+
 def moses_punct_normalize(c) -> Column:
-    """Ordered punctuation rewrites, then strip."""
+    """Ordered punctuation rewrites, then strip.
+
+    The 45 rewrites run in 9 ordered groups; a group runs only on texts where
+    one of its rules can match, so plain text pays for a few scans, not 45.
+    """
+    def rules(sl):
+        def apply(x):
+            for pat, rep in PUNCT_RULES[sl]:
+                x = F.regexp_replace(x, pat, rep)
+            return x
+        return apply
+
+    def guarded(apply, guard):
+        return lambda x: F.when(F.regexp_like(x, F.lit(guard)), apply(x)).otherwise(x)
+
     t = _c(c)
-    for pat, rep in PUNCT_RULES:
-        t = F.regexp_replace(t, pat, rep)
+    for sl, guard in PUNCT_GROUPS:
+        t = rules(sl)(t) if guard is None else let(t, guarded(rules(sl), guard))
     return strip_ws(t)
 
 
@@ -226,9 +257,26 @@ def detokenize(tokens) -> Column:
     return strip_ws(F.regexp_replace(out, " {2,}", " "))
 
 
+# A token that is not plain for the detokeniser: right- or left-shifting
+# punctuation, a contraction, or a stand-alone quote; or text the detokeniser
+# rewrites before splitting (XML entities, ``@-@``).
+_WS = rx.PY_WS
+_SPECIAL_TOKEN = ("(?:^|" + _WS + ")(?:[\\p{Sc}(\\[{¿¡]+|[,.?!:;\\\\%}\\])]+|['\"„“`]+)(?=" + _WS + "|$)"
+                  "|" + _WS + "'\\p{IsAlphabetic}|&|@-@")
+
+
 def fix_tokenized(c) -> Column:
-    """Split on any whitespace and detokenise (newlines vanish)."""
-    return detokenize(ws_tokens(c))
+    """Split on any whitespace and detokenise (newlines vanish).
+
+    Text whose tokens are all plain words comes out as its tokens joined by
+    single spaces; only text with a special token runs the full detokeniser.
+    """
+
+    def body(t):
+        plain = F.array_join(ws_tokens(t), " ")
+        return F.when(F.regexp_like(t, F.lit(_SPECIAL_TOKEN)), detokenize(ws_tokens(t))).otherwise(plain)
+
+    return let(c, body)
 
 
 def normalize_text(c) -> Column:

@@ -82,7 +82,13 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     """``token, id, freq``; ``<pad>``=0, ``<unk>``=1, then the most frequent
     tokens with at least ``min_freq`` occurrences (ties by token), up to
     ``vocab_size`` entries including the two specials."""
-    counts = word_counts(docs, text_col).where(F.col("freq") >= min_freq)
+    from textmill.session import checkpoint_dir
+
+    checkpoint_dir(docs.sparkSession)
+    # The corpus is tokenised once: the counts (one row per distinct frequent
+    # token) are materialised in the shared checkpoint folder for the
+    # histogram and the ranking below.
+    counts = word_counts(docs, text_col).where(F.col("freq") >= min_freq).checkpoint()
     k = vocab_size - 2
     # Prune with the count histogram first: only tokens whose count reaches
     # the k-th largest count can enter the vocabulary.
