@@ -34,7 +34,10 @@ def by_doc(df: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFram
     given) so that AQE does not coalesce it away and a checkpoint of the
     result keeps the partitioning for the later per-document joins."""
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    # The explicit not-null filter keeps both readers of the partitioned rows
+    # identical (the join would otherwise infer it on one side only), so Spark
+    # reuses the one exchange instead of shuffling the text twice.
+    return df.where(F.col(key).isNotNull()).repartition(n, key)
 
 
 def _maybe_broadcast(table: DataFrame, size_expr: Column) -> DataFrame:
@@ -158,8 +161,9 @@ def with_unk_ratio(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_
                    pad_to: int | None = None) -> DataFrame:
     """Attach ``unk_ratio`` (NULL for token-less documents)."""
     carry = [c for c in docs.columns if c not in (key, text_col)]
-    r = unk_ratios(docs, vocab, key, text_col, pad_to, carry).select(key, *carry, "unk_ratio")
-    return docs.join(r, [key] + carry, "left")
+    r = unk_ratios(docs, vocab, key, text_col, pad_to, carry).select(key, "unk_ratio")
+    # Hash the small per-document side instead of sorting the text.
+    return docs.join(r.hint("shuffle_hash"), key, "left")
 
 
 def unk_cut(docs: DataFrame, vocab: DataFrame, max_unk_ratio: float = 0.1, **kw) -> DataFrame:
@@ -231,10 +235,41 @@ def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_r
             .select(key, "n_windows", (F.coalesce(F.col("n_bad"), F.lit(0)) / F.col("n_windows")).alias("bad_share")))
 
 
+def _bad_share_by_doc(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
+                      key: str, text_col: str) -> DataFrame:
+    """``key, bad_share`` for documents with at least one token, without a join
+    back to ``docs`` (the window count travels with the exploded rows)."""
+    from textmill.functions.segment import char_windows
+
+    n_win = F.ceil(F.length(text_col) / F.lit(width)).cast("long")
+    wins = docs.select(key, n_win.alias("n_windows"),
+                       F.posexplode(char_windows(F.col(text_col), width)).alias("win", "wtext"))
+    toks = wins.select(key, "n_windows", "win", F.length("wtext").alias("wlen"),
+                       F.explode(word_tokens(F.col("wtext"))).alias("token"))
+    p = _maybe_broadcast(pieces, F.length("token") + 24)
+    per_win = (toks.join(p, "token", "left")
+               .groupBy(key, "n_windows", "win", "wlen")
+               .agg(F.sum(F.coalesce(F.col("pieces"), F.length("token"))).alias("n_pieces")))
+    return per_win.groupBy(key, "n_windows").agg(
+        (F.sum((F.col("n_pieces") / F.col("wlen") > sp_filter_ratio).cast("long")) / F.col("n_windows"))
+        .alias("bad_share")).select(key, "bad_share")
+
+
 def redundancy_gate(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float = 0.3,
-                    max_bad_share: float = 0.10, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Drop documents whose share of bad windows is greater than 0.10."""
-    s = window_bad_share(docs, pieces, width, sp_filter_ratio, key, text_col).select(key, "bad_share")
+                    max_bad_share: float = 0.10, key: str = "doc_id", text_col: str = "text",
+                    materialize: bool = False) -> DataFrame:
+    """Drop documents whose share of bad windows is greater than 0.10.
+
+    With ``materialize`` (for an input already hash-partitioned by ``key``,
+    e.g. a partition-keeping checkpoint) the per-document shares are
+    checkpointed too, so the join back is between two co-partitioned
+    relations and moves no text.
+    """
+    s = _bad_share_by_doc(docs, pieces, width, sp_filter_ratio, key, text_col)
+    if materialize:
+        from textmill.session import checkpoint_keep_partitioning
+
+        s = checkpoint_keep_partitioning(s)
     return (docs.join(s, key, "left")
             .where(~(F.coalesce(F.col("bad_share"), F.lit(0.0)) > max_bad_share))
             .drop("bad_share"))

@@ -90,7 +90,7 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
         if repartition and vocab is None:
             d = vb.by_doc(d)
         d = checkpoint_keep_partitioning(d)
-        d = vb.redundancy_gate(d, pieces, min_text_length, sp_filter_ratio)              # C7
+        d = vb.redundancy_gate(d, pieces, min_text_length, sp_filter_ratio, materialize=True)  # C7
     out = d.select("doc_id", "subset",
                    F.posexplode(chunk_document(F.col("text"), min_text_length, max_text_length))
                    .alias("chunk_no", "text"))                                              # E11, C4
