@@ -61,6 +61,7 @@ def bow_long(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: s
     padded id lists do) without being materialised.  Counts are clipped at
     ``clip`` and each document's vector is L2-normalised.
     """
+    docs = vb.by_doc(docs.select(key, text_col), key)
     toks = vb.token_rows(docs, [key], text_col, pos=True).where(F.col("pos") < max_len)
     ids = vb.lookup_ids(toks, vocab)
     counts = ids.groupBy(key, "id").agg(F.count(F.lit(1)).alias("c"))

@@ -128,6 +128,9 @@ def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str
            max_len: int = VOCAB_SIZE) -> DataFrame:
     """``key, ids, n_pad``: ids in text order, truncated to ``max_len``; the
     left padding to ``max_len`` stays virtual (``n_pad`` pad ids)."""
+    # Partition the text by key first: the per-document list is then built
+    # where the tokens are produced, instead of shuffling every token row.
+    docs = by_doc(docs.select(key, text_col), key)
     ids = lookup_ids(token_rows(docs, [key], text_col, pos=True), vocab)
     enc = (ids.groupBy(key)
            .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
@@ -158,10 +161,17 @@ def unk_ratios(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col:
 
 
 def with_unk_ratio(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-                   pad_to: int | None = None) -> DataFrame:
-    """Attach ``unk_ratio`` (NULL for token-less documents)."""
+                   pad_to: int | None = None, head_chars: int | None = None) -> DataFrame:
+    """Attach ``unk_ratio`` (NULL for token-less documents), computed on the
+    first ``head_chars`` characters when given.  The other columns (small
+    per-document metadata) are carried through the token branch so that both
+    readers of a ``by_doc`` exchange are identical and share it."""
     carry = [c for c in docs.columns if c not in (key, text_col)]
-    r = unk_ratios(docs, vocab, key, text_col, pad_to, carry).select(key, "unk_ratio")
+    src = docs
+    if head_chars is not None:
+        src = docs.withColumn("_head", F.substring(text_col, 1, head_chars)).drop(text_col) \
+                  .withColumnRenamed("_head", text_col)
+    r = unk_ratios(src, vocab, key, text_col, pad_to, carry).select(key, "unk_ratio")
     # Hash the small per-document side instead of sorting the text.
     return docs.join(r.hint("shuffle_hash"), key, "left")
 

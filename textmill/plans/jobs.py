@@ -112,9 +112,9 @@ def filter_language(docs: DataFrame, vocab: DataFrame, unk_threshold: float = 0.
     """Keep the documents whose unknown-token share of the first
     ``head_chars`` characters (C15, the job's own memory guard) is below the
     threshold (C6).  Returns the documents that pass, unchanged."""
-    head = docs.select(key, F.substring(text_col, 1, head_chars).alias("_head"))
-    keep = vb.language_filter(head, vocab, unk_threshold, key=key, text_col="_head").select(key)
-    return docs.join(keep, key, "left_semi")
+    d = vb.by_doc(docs, key)
+    r = vb.with_unk_ratio(d, vocab, key=key, text_col=text_col, head_chars=head_chars)
+    return r.where(F.col("unk_ratio") < unk_threshold).drop("unk_ratio")
 
 
 # ---------------------------------------------------------------------------
