@@ -60,3 +60,12 @@ def test_corpus_rejects_bad_options(spark):
         process_corpus(docs, ["Unknown source"])
     with pytest.raises(ValueError):
         process_corpus(docs, min_text_length=0)
+
+
+def test_corpus_counters(spark):
+    counters = {}
+    out = process_corpus(docs_markup(spark, SF_SMALL), min_text_length=200, max_text_length=1500,
+                         counters=counters)
+    n = out.count()
+    gated, rows, emitted = (counters[k].get["n"] for k in ("gated", "rows", "emitted"))
+    assert emitted == n and rows >= emitted and gated > 0

@@ -439,6 +439,30 @@ def q_process_corpus_raw(spark, d):
     return _j1(spark, d, False)
 
 
+_FIRST_RUN = ["Books3", "Wikipedia (en)"]
+
+
+def _j1_incremental_duck() -> str:
+    base = _j1_duck(True, False)
+    head, tail = base.rsplit("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1", 1)
+    first = ", ".join(dk.lit(x) for x in _FIRST_RUN)
+    return (head + "SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1 AND hash NOT IN "
+            f"(SELECT hash FROM h WHERE subset IN ({first}))" + tail)
+
+
+@register("q_process_corpus_incremental", _j1_incremental_duck())
+def q_process_corpus_incremental(spark, d):
+    """J1 twice with a persisted hash list (F3, F4, B7 inside the job): a first
+    run over the Books3 and Wikipedia documents saves its hashes; the second
+    run over all sources drops every text the first run emitted."""
+    docs = docs_markup(spark, d)
+    kw = dict(min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True, text_chunk_size=CHUNK)
+    first = process_corpus(docs, _FIRST_RUN, **kw)
+    path = _scratch(spark, "hash_list")
+    dd.save_new_hashes(first, path)
+    return process_corpus(docs, ALL_SUBSETS, hash_list=dd.load_hash_list(spark, path), **kw)
+
+
 @register("q_process_corpus_nogates", _j1_duck(True, False))
 def q_process_corpus_nogates(spark, d):
     """J1 without a vocabulary (no unknown-token cut, no redundancy gate): the

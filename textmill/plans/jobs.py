@@ -62,19 +62,32 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
                    max_text_length: int = 1_000_000_000, chunk_text: bool = False, text_chunk_size: int = 1024,
                    max_unk_ratio: float = 0.1, sp_filter_ratio: float = 0.3, vocab: DataFrame | None = None,
                    pieces: DataFrame | None = None, normalize: bool = True, deduplicate: bool = True,
-                   hash_list: DataFrame | None = None, repartition: bool = True) -> DataFrame:
+                   hash_list: DataFrame | None = None, repartition: bool = True,
+                   counters: dict | None = None) -> DataFrame:
     """``doc_id, chunk_no, subset, text, hash`` for the kept documents.
 
     ``docs`` needs ``doc_id, subset, text``.  ``vocab`` enables the unknown
     token cut (C5), ``pieces`` the redundancy gate (C7), ``hash_list`` the
-    cross-run dedup (F3).
+    cross-run dedup (F3).  Pass a dict as ``counters`` to receive B8 run
+    counters (``Observation`` objects, filled by the first action on the
+    result): ``gated`` documents after C1/C2, ``rows`` before dedup and
+    ``emitted`` after it; duplicates = rows - emitted.
     """
+    from pyspark.sql import Observation
+
+    def observe(df, name):
+        if counters is None:
+            return df
+        counters[name] = Observation(name)
+        return df.observe(counters[name], F.count(F.lit(1)).alias("n"))
+
     subsets = list(subsets or ALL_SUBSETS)
     validate_subsets(subsets)
     if min_text_length < 1:
         raise ValueError("min_text_length must be >= 1")
     d = docs.select("doc_id", "subset", "text").where(
         F.col("subset").isin(*subsets) & (F.length("text") >= min_text_length))          # C1, C2
+    d = observe(d, "gated")
     if repartition and (vocab is not None or pieces is not None):
         d = vb.by_doc(d)
     if vocab is not None:
@@ -94,12 +107,13 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
     out = d.select("doc_id", "subset",
                    F.posexplode(chunk_document(F.col("text"), min_text_length, max_text_length))
                    .alias("chunk_no", "text"))                                              # E11, C4
-    out = dd.with_hash(out)                                                                # F1
+    out = observe(dd.with_hash(out), "rows")                                               # F1, B8
     if deduplicate:
         out = dd.dedup_exact(out, order=["subset", "doc_id", "chunk_no"])                  # F2
         if hash_list is not None:
             out = dd.drop_known(out, hash_list)                                            # F3
-    return out.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), "subset", "text", "hash")
+    out = out.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), "subset", "text", "hash")
+    return observe(out, "emitted")
 
 
 def normalize_corpus(lines: DataFrame, text_col: str = "text") -> DataFrame:
