@@ -71,3 +71,7 @@ def test_detokenize_matches_model(many):
              "„", "“", "x y"]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 15))) for _ in range(300)]
     assert many(nz.fix_tokenized, texts) == [detokenize(t) for t in texts]
+
+
+def test_unescape_html5(one):
+    assert one(lambda c: nz.unescape_html(c, html5=True), "&amp; &NotEqualTilde; &copy x") == "& ≂̸ © x"

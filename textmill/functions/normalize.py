@@ -48,9 +48,16 @@ def strip_accents(c) -> Column:
     return F.regexp_replace(nfd(c), "\\p{Mn}", "")
 
 
-def unescape_html(c) -> Column:
-    """HTML entities and numeric character references -> characters
-    (HTML 4 entity set, commons-text).  Rows without ``&`` skip the call."""
+def unescape_html(c, html5: bool = False) -> Column:
+    """HTML entities and numeric character references -> characters.
+
+    Default: HTML 4 entity set (commons-text, JVM).  ``html5=True`` uses
+    Python's full HTML5 table through an Arrow UDF for the rows holding ``&``.
+    Rows without ``&`` skip either call."""
+    if html5:
+        from textmill.functions.pyhelpers import html5_unescape
+
+        return let(c, lambda t: F.coalesce(html5_unescape(F.when(F.instr(t, "&") > 0, t)), t))
 
     def body(t):
         return F.when(F.instr(t, "&") > 0,

@@ -1,45 +1,21 @@
-"""The few per-row steps Spark has no built-in for, as Arrow-batched UDFs.
+"""Per-row helpers that need Python, as Arrow-batched UDFs.
 
-Each helper is a small function applied to a pandas Series batch; callers feed
-them NULL for rows that do not need them (NULL in -> NULL out, nearly free), so
-the common path stays JVM-side.
+Only one: the full HTML5 entity table of Python's ``html.unescape`` (2 000+
+names, entities without semicolons).  The default JVM path
+(``normalize.unescape_html``) covers HTML 4 names and numeric references;
+``unescape_html(c, html5=True)`` routes rows that contain ``&`` here, all
+other rows pass NULL and cost nothing.
 """
 
 from __future__ import annotations
 
 import html
-import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.functions import rx
-
-
-def _map_str(fn, s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else fn(v))
-
-
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC (no Spark built-in exists)."""
-    return _map_str(lambda v: unicodedata.normalize("NFKC", v), s)
-
-
-def _special_then_nfkc(v: str) -> str:
-    for k, r in rx.SPECIAL_MAP:
-        v = unicodedata.normalize("NFKC", v.replace(k, r))
-    return v
-
-
-@F.pandas_udf(T.StringType())
-def special_nfkc(s: pd.Series) -> pd.Series:
-    """D21 for non-ASCII texts: the special map with NFKC after every entry."""
-    return _map_str(_special_then_nfkc, s)
-
 
 @F.pandas_udf(T.StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
-    """D18 full form: every HTML5 named entity and numeric reference."""
-    return _map_str(html.unescape, s)
+def html5_unescape(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else html.unescape(v))
