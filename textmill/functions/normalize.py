@@ -57,7 +57,8 @@ def unescape_html(c, html5: bool = False) -> Column:
     if html5:
         from textmill.functions.pyhelpers import html5_unescape
 
-        return let(c, lambda t: F.coalesce(html5_unescape(F.when(F.instr(t, "&") > 0, t)), t))
+        t = _c(c)  # Python UDFs cannot sit inside lambda functions: no let() here
+        return F.coalesce(html5_unescape(F.when(F.instr(t, "&") > 0, t)), t)
 
     def body(t):
         return F.when(F.instr(t, "&") > 0,
