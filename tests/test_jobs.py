@@ -69,3 +69,32 @@ def test_corpus_counters(spark):
     n = out.count()
     gated, rows, emitted = (counters[k].get["n"] for k in ("gated", "rows", "emitted"))
     assert emitted == n and rows >= emitted and gated > 0
+
+
+def test_file_jobs(spark, tmp_path):
+    import json
+
+    from textmill.plans.jobs import filter_language_files, normalize_files, process_corpus_files
+
+    src = tmp_path / "in"
+    src.mkdir()
+    body = "This is a clean sentence with plenty of words. " * 8
+    docs = [{"text": body + f"Number {i}.", "meta": {"pile_set_name": "Pile-CC"}} for i in range(3)]
+    docs.append(docs[0])  # an exact duplicate
+    (src / "00.jsonl").write_text("\n".join(json.dumps(d) for d in docs) + "\n")
+    hashes = str(tmp_path / "hashes")
+    c1 = process_corpus_files(spark, str(src), str(tmp_path / "out1"), deduplicate=hashes, min_text_length=50)
+    assert c1["emitted"] == 3 and c1["duplicates"] == 1
+    c2 = process_corpus_files(spark, str(src), str(tmp_path / "out2"), deduplicate=hashes, min_text_length=50)
+    assert c2["emitted"] == 0 and c2["duplicates"] == 4
+
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.jsonl").write_text(json.dumps("«Hi» — there…") + "\n" + json.dumps("the the the") + "\n")
+    normalize_files(spark, str(lines), str(tmp_path / "norm"))
+    got = sorted(json.loads(x) for x in spark.read.text(str(tmp_path / "norm")).toPandas()["value"])
+    assert got == ['"Hi" - there...', "the the the"]
+    vocab = spark.createDataFrame([("<pad>", 0, 0), ("<unk>", 1, 0), ("the", 2, 9)], "token string, id int, freq long")
+    filter_language_files(spark, str(lines), str(tmp_path / "lang"), vocab)
+    kept = [r.value for r in spark.read.text(str(tmp_path / "lang")).collect()]
+    assert kept == [json.dumps("the the the")]

@@ -76,7 +76,8 @@ SPECIAL_MAP = [
 ]
 
 # ---------------------------------------------------------------------------
-# Patterns (Java syntax)
+# The reference's cleaning patterns, re-typed in Java syntax
+# (UNIX_LINES flags, non-capturing groups, possessive line runs; see above).
 # ---------------------------------------------------------------------------
 
 LEADING_SPACES = r"(?md)^ +"

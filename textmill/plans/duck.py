@@ -38,6 +38,9 @@ def let(value: str, var: str, body: str) -> str:
 
 WS = r"\s"
 
+# Fixed values below: the same reference patterns as textmill.functions.rx,
+# written for RE2 (plain, non-possessive forms; ``\1`` replacements).
+
 
 def strip_indent(x):
     return rr(x, r"(?m)^ +", "")

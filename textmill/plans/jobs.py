@@ -194,3 +194,49 @@ def predict_genre(lines: DataFrame, model, vocab: DataFrame, key: str = "line_no
     feats = cl.bow_vectors(long, vb.VOCAB_SIZE, key=key, max_id=vocab_size)
     keep = cl.keep_positive(cl.predict(model, feats)).select(key)
     return lines.join(keep, key, "left_semi")
+
+
+# ---------------------------------------------------------------------------
+# File-to-file forms of the three command-line jobs (options as parameters)
+# ---------------------------------------------------------------------------
+
+def process_corpus_files(spark, input_path: str, output_path: str, deduplicate: str = "", vocab=None,
+                         pieces=None, by_subset: bool = False, **options) -> dict:
+    """J1 end to end: JSONL documents (A1/A5) -> ``process_corpus`` -> corpus
+    JSONL (B1).  ``deduplicate`` names the hash-list folder (B7): loaded if it
+    exists (missing -> empty), and the run's new hashes are appended to it.
+    Returns the run counters (B8): documents gated, rows, emitted, duplicates."""
+    from textmill.sources import io
+
+    docs = io.read_documents(spark, input_path)
+    hashes = dd.load_hash_list(spark, deduplicate) if deduplicate else None
+    counters: dict = {}
+    out = process_corpus(docs, vocab=vocab, pieces=pieces, hash_list=hashes, counters=counters, **options)
+    if deduplicate:
+        # Write once, then derive the new hashes from the written corpus
+        # rather than recomputing the job.
+        io.write_corpus(out, output_path, by_subset=by_subset)
+        written = spark.read.schema("subset string, text string, hash string").json(output_path)
+        dd.save_new_hashes(written, deduplicate)
+    else:
+        io.write_corpus(out, output_path, by_subset=by_subset)
+    got = {k: v.get["n"] for k, v in counters.items()}
+    got["duplicates"] = got.get("rows", 0) - got.get("emitted", 0)
+    return got
+
+
+def normalize_files(spark, input_path: str, output_path: str) -> None:
+    """J2 end to end: JSON strings (A2) -> normaliser (D25) -> JSON strings (B2)."""
+    from textmill.sources import io
+
+    io.write_json_strings(normalize_corpus(io.read_json_strings(spark, input_path)), output_path)
+
+
+def filter_language_files(spark, input_path: str, output_path: str, vocab, unk_threshold: float = 0.05) -> None:
+    """J3 end to end: JSON strings (A2) -> language filter on the first 2^19
+    chars (C15, C6) -> the passing input lines, unchanged (B3)."""
+    from textmill.sources import io
+
+    lines = io.read_json_strings(spark, input_path)
+    kept = filter_language(lines, vocab, unk_threshold, key="line_no", text_col="text")
+    io.write_raw_lines(kept, output_path)
