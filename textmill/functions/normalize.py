@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textmill.functions import rx
+from textmill.functions.segment import prefix_sums
 from textmill.functions.text import _c, let, strip_ws
 
 
@@ -225,7 +226,9 @@ def detokenize(tokens) -> Column:
 
         def with_kinds(kd):
             idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-            qidx = F.filter(idx, lambda i: F.element_at(kd, i + 1) == "Q")
+            return let(F.filter(idx, lambda i: F.element_at(kd, i + 1) == "Q"), lambda qidx: with_q(kd, qidx))
+
+        def with_q(kd, qidx):
             init = F.struct(F.create_map().cast("map<string,int>").alias("m"), F.array().cast("array<int>").alias("d"))
 
             def step(acc, i):
@@ -240,24 +243,27 @@ def detokenize(tokens) -> Column:
                         .otherwise(F.struct(bumped.alias("m"), F.concat(acc["d"], F.array(F.lit(1))).alias("d"))))
 
             dec = F.aggregate(qidx, init, step)["d"]
+            # rank of each quote token among the quote tokens (1-based), O(n)
+            qrank = prefix_sums(F.transform(kd, lambda k: F.when(k == "Q", F.lit(1)).otherwise(F.lit(0))))
+
+            def body(d, r):
+                def qd(i):
+                    return F.try_element_at(d, F.greatest(F.element_at(r, i + 1), F.lit(1)))
 
-            def body(d):
                 def opens(i):  # token i leaves no space after it
                     k = F.element_at(kd, i + 1)
-                    qd = F.try_element_at(d, F.greatest(F.array_position(qidx, i), F.lit(1)).cast("int"))
-                    return (k == "R") | ((k == "Q") & (qd == 0))
+                    return (k == "R") | ((k == "Q") & (qd(i) == 0))
 
                 def attaches_left(i):
                     k = F.element_at(kd, i + 1)
-                    qd = F.try_element_at(d, F.greatest(F.array_position(qidx, i), F.lit(1)).cast("int"))
-                    return (k == "L") | (k == "C") | ((k == "Q") & (qd != 0))
+                    return (k == "L") | (k == "C") | ((k == "Q") & (qd(i) != 0))
 
                 pieces = F.transform(toks, lambda t, i: F.when(
                     (i > 0) & ~attaches_left(i) & ~opens(F.greatest(i - 1, F.lit(0))), F.concat(F.lit(" "), t))
                     .otherwise(t))
                 return F.array_join(pieces, "")
 
-            return let(dec, body)
+            return let(dec, lambda d: let(qrank, lambda r: body(d, r)))
 
         return let(kinds, with_kinds)
 

@@ -1,9 +1,9 @@
 """Array / segmentation column expressions.
 
 Paragraph lists stay ``ARRAY<STRING>`` columns; nothing is exploded until the
-job needs rows.  The sentence packer is one ``aggregate`` over the boundary
-offsets of a paragraph, so it runs JVM-side and in time linear in the number
-of boundaries.
+job needs rows.  Everything here runs in time linear (or n log n) in the text:
+running offsets use doubling prefix sums, windows one regex scan, and the
+sentence packer cuts segments from UTF-8 byte offsets.
 """
 
 from __future__ import annotations
@@ -40,15 +40,38 @@ def split_lines(c) -> Column:
     return split_keep_empty(c, rx.LINE_SPLIT)
 
 
+def prefix_sums(arr, block: int = 128) -> Column:
+    """Inclusive running sums of an int array without a quadratic fold: block
+    totals, their running offsets (a fold over n/block values), then each
+    element adds the sum of its own block prefix (at most ``block`` values)."""
+
+    def body(a):
+        n = F.size(a)
+        nb = F.ceil(n / F.lit(block)).cast("int")
+        blocks = F.when(nb > 0, F.sequence(F.lit(0), nb - 1)).otherwise(F.array().cast("array<int>"))
+        tot = F.transform(blocks, lambda j: F.aggregate(F.slice(a, j * block + 1, F.lit(block)), F.lit(0),
+                                                        lambda x, y: x + y))
+        offs = F.aggregate(tot, F.struct(F.array().cast("array<int>").alias("o"), F.lit(0).alias("s")),
+                           lambda acc, x: F.struct(F.concat(acc["o"], F.array(acc["s"])).alias("o"),
+                                                   (acc["s"] + x).alias("s")))["o"]
+
+        def with_offs(o):
+            def elem(x, i):
+                j = F.floor(i / F.lit(block)).cast("int")
+                within = F.aggregate(F.slice(a, j * block + 1, i - j * block + 1), F.lit(0), lambda u, v: u + v)
+                return F.element_at(o, j + 1) + within
+
+            return F.transform(a, elem)
+
+        return let(offs, with_offs)
+
+    return let(arr, body)
+
+
 def sentence_boundaries(c) -> Column:
     """End offsets (0-based, exclusive) of every sentence boundary, ascending."""
     pieces = split_keep_empty(c, rx.SENTENCE_BOUNDARY)
-    lens = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x))
-    return F.aggregate(
-        lens,
-        F.array().cast("array<int>"),
-        lambda acc, n: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n)),
-    )
+    return prefix_sums(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x)))
 
 
 def _pack_cuts(c, max_len: int, carry_boundary: bool) -> Column:
@@ -93,6 +116,70 @@ def _pack_cuts(c, max_len: int, carry_boundary: bool) -> Column:
     return F.aggregate(lens, init, step, finish)
 
 
+def _pack_linear(text, m: int) -> Column:
+    """The default packer in time linear in the text (see ``sentence_pack``).
+
+    One fold over the sentence pieces keeps running (char, byte) offsets.  A
+    run of hard cuts always advances by exactly ``m`` chars from the last
+    boundary cut, so the fold records spans ``(byte start, byte end, h)``
+    between boundary cuts, ``h`` being the number of hard cuts inside.  Each
+    span is then decoded once from the UTF-8 bytes (a byte offset costs O(1);
+    a character offset into a string costs a scan from its start) and cut by
+    one regex scan into ``h`` chunks of ``m`` chars plus the rest.
+    """
+    mm = F.lit(m)
+    runs = F.lit("(?s).{1," + str(m) + "}")
+    null_int = F.lit(None).cast("int")
+
+    def st(off, boff, a, ba, h, last, blast, spans):
+        return F.struct(off.alias("off"), boff.alias("boff"), a.alias("a"), ba.alias("ba"), h.alias("h"),
+                        last.alias("last"), blast.alias("blast"), spans.alias("spans"))
+
+    def body(t):
+        pieces = split_keep_empty(t, rx.SENTENCE_BOUNDARY)
+        lens = F.transform(F.slice(pieces, 1, F.size(pieces) - 1),
+                           lambda p: F.struct(F.length(p).alias("n"), F.octet_length(p).alias("nb")))
+        init = st(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), null_int, null_int,
+                  F.array().cast("array<struct<b0:int,b1:int,h:int>>"))
+
+        def span(acc):
+            return F.array(F.struct(acc["ba"].alias("b0"), acc["blast"].alias("b1"), acc["h"].alias("h")))
+
+        def step(acc, z):
+            b, bb = acc["off"] + z["n"], acc["boff"] + z["nb"]
+            pos = acc["a"] + acc["h"] * mm
+            keep = st(b, bb, acc["a"], acc["ba"], acc["h"], b, bb, acc["spans"])
+            at_last = st(b, bb, acc["last"], acc["blast"], F.lit(0), null_int, null_int,
+                         F.concat(acc["spans"], span(acc)))
+            hard = st(b, bb, acc["a"], acc["ba"], acc["h"] + 1, null_int, null_int, acc["spans"])
+            return F.when(b - pos < mm, keep).when(acc["last"].isNotNull(), at_last).otherwise(hard)
+
+        def finish(acc):
+            spans = F.when(acc["last"].isNotNull(), F.concat(acc["spans"], span(acc))).otherwise(acc["spans"])
+            return F.struct(spans.alias("spans"), F.coalesce(acc["blast"], acc["ba"]).alias("ba"))
+
+        res = F.aggregate(lens, init, step, finish)
+
+        def with_bin(bin_):
+            def with_res(r):
+                def cut_span(sp):
+                    region = F.decode(F.substring(bin_, sp["b0"] + 1, sp["b1"] - sp["b0"]), "UTF-8")
+                    return let(F.regexp_extract_all(region, runs, 0), lambda ch: F.concat(
+                        F.slice(ch, 1, sp["h"]),
+                        F.array(F.array_join(F.slice(ch, sp["h"] + 1, F.greatest(F.size(ch) - sp["h"], F.lit(0))),
+                                             ""))))
+
+                main = F.flatten(F.transform(r["spans"], cut_span))
+                rest = F.decode(F.substring(bin_, r["ba"] + 1, F.lit(2**31 - 1)), "UTF-8")
+                return F.transform(F.concat(main, F.regexp_extract_all(rest, runs, 0)), strip_ws)
+
+            return let(res, with_res)
+
+        return let(F.encode(t, "UTF-8"), with_bin)
+
+    return let(text, body)
+
+
 def sentence_pack(c, max_len: int, carry_boundary: bool = False) -> Column:
     """Greedy sentence packing into segments of fewer than ``max_len`` chars.
 
@@ -101,8 +188,10 @@ def sentence_pack(c, max_len: int, carry_boundary: bool = False) -> Column:
     ``max_len``.  By default the boundary that did not fit is lost (the next
     segment may then be cut hard mid-sentence), as in the reference;
     ``carry_boundary=True`` keeps it for the next segment.  Segments are
-    whitespace-stripped.
+    whitespace-stripped.  The default form runs in time linear in the text.
     """
+    if not carry_boundary:
+        return _pack_linear(c, max_len)
 
     def segments(text):
         def from_cuts(cuts):
@@ -123,11 +212,9 @@ def pack_paragraphs(paras, max_len: int, carry_boundary: bool = False) -> Column
 
 
 def char_windows(c, width: int) -> Column:
-    """Consecutive windows of ``width`` chars; the last one may be short."""
-    text = _c(c)
-    n = F.length(text)
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(width))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(text, i + 1, F.lit(width)))
+    """Consecutive windows of ``width`` chars; the last one may be short.
+    One regex scan (linear; a substring per window would rescan the text)."""
+    return F.regexp_extract_all(_c(c), F.lit("(?s).{1," + str(width) + "}"), 0)
 
 
 def join_lines(arr) -> Column:
