@@ -108,3 +108,23 @@ def test_register_python_profile(spark):
     df = spark.createDataFrame([("MySource", "a\nb")], "s string, t string")
     out = df.select(pr.clean_by_subset(F.col("t"), F.col("s"), ["MySource"]).alias("o")).first()["o"]
     assert out == ["A", "B"]
+
+
+def test_books3_skipped_indent_strips_are_noops(many):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from textmill.functions.segment import split_chapters_books
+
+    def every_step(c):
+        b = c
+        for f, _ in pr._BOOKS3_STEPS:
+            b = tx.strip_indent(f(b))
+        return pr._chapters_to_paragraphs(split_chapters_books(b), strip_after_collapse=True)
+
+    rng = random.Random(21)
+    parts = [" ", "  ", "\n", "\n\n\n", "# head", "**b** x", "_it_", "[br]", ">", "1 a", "Chapter 9", "x",
+             "Some longer words of text.", "â\u0080\u0099", "Ã©", "**"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    assert many(pr.clean_books3, texts) == many(every_step, texts)

@@ -79,3 +79,20 @@ def test_idempotent(many):
     for f in (tx.strip_indent, tx.collapse_spaces, tx.strip_ws):
         once = many(f, texts)
         assert many(f, once) == once
+
+
+def test_pack_multibyte_matches_model(many):
+    rng = random.Random(9)
+    alphabet = "aé😀ß  .?!)'\"\n"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 500))) for _ in range(80)]
+    for m in (3, 16, 50):
+        assert many(lambda c: sg.sentence_pack(c, m), texts) == [pack(t, m) for t in texts]
+    assert many(sg.sentence_boundaries, texts) == [__import__("models").boundaries(t) for t in texts]
+
+
+def test_long_paragraph_matches_model(many):
+    rng = random.Random(13)
+    words = ["word", "ünï", "x" * 300, "end.", "why?", "😀", "(a.)", '"q."']
+    text = " ".join(rng.choice(words) for _ in range(40000))
+    assert many(lambda c: sg.sentence_pack(c, 1024), [text]) == [pack(text, 1024)]
+    assert many(lambda c: sg.char_windows(c, 777), [text])[0] == [text[i:i + 777] for i in range(0, len(text), 777)]

@@ -34,13 +34,31 @@ def _chapters_to_paragraphs(chapters: Column, strip_after_collapse: bool) -> Col
     return F.transform(chapters, clean)
 
 
+# Books3 steps and whether a step can put a space at the start of a line.
+# Every step is followed by D1 (leading spaces of lines removed); after a step
+# that cannot create a line-leading space D1 would find nothing to do, so it
+# is skipped there (only whole lines or non-space characters change).
+_BOOKS3_STEPS = [
+    (tx.drop_bold_runs, True),  # the first D1 also clears the input's own indents
+    (tx.drop_numbered_runs, False),
+    (tx.drop_short_line_runs, False),
+    (tx.fix_mojibake, False),
+    (tx.unwrap_italics, True),
+    (tx.unwrap_brackets, True),
+    (tx.drop_illustrations_books, True),
+    (tx.blockquote_to_space, True),
+    (tx.drop_md_headers, False),
+    (tx.drop_bold_lines, False),
+    (tx.drop_chapter_lines, False),
+    (tx.bold_markers_to_space, True),
+]
+
+
 def clean_books3(c) -> Column:
     """Books3 cleaner."""
     b = tx._c(c)
-    for f in (tx.drop_bold_runs, tx.drop_numbered_runs, tx.drop_short_line_runs, tx.fix_mojibake,
-              tx.unwrap_italics, tx.unwrap_brackets, tx.drop_illustrations_books, tx.blockquote_to_space,
-              tx.drop_md_headers, tx.drop_bold_lines, tx.drop_chapter_lines, tx.bold_markers_to_space):
-        b = tx.strip_indent(f(b))
+    for f, may_indent in _BOOKS3_STEPS:
+        b = tx.strip_indent(f(b)) if may_indent else f(b)
     return _chapters_to_paragraphs(split_chapters_books(b), strip_after_collapse=True)
 
 
