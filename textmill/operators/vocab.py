@@ -30,10 +30,14 @@ def by_doc(df: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFram
     """Hash-partition by the document key once, so that per-document aggregates
     of exploded tokens and the joins back to the text need no further shuffle.
 
-    The partition count is fixed (``spark.sql.shuffle.partitions`` unless
-    given) so that AQE does not coalesce it away and a checkpoint of the
-    result keeps the partitioning for the later per-document joins."""
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    The partition count is fixed so that AQE does not coalesce it away and a
+    checkpoint of the result keeps the partitioning for the later
+    per-document joins.  Unless given it is the larger of
+    ``spark.sql.shuffle.partitions`` and a quarter of the input splits (scan
+    splits are at most ``spark.sql.files.maxPartitionBytes``, 32 MB here, so
+    shuffle partitions hold about four splits' worth of text)."""
+    if n is None:
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions() // 4)
     # The explicit not-null filter keeps both readers of the partitioned rows
     # identical (the join would otherwise infer it on one side only), so Spark
     # reuses the one exchange instead of shuffling the text twice.
