@@ -24,6 +24,9 @@ VOCAB_SIZE = 2**16
 MIN_FREQ = 2**3
 # Broadcast a lookup table only below this many estimated bytes.
 BROADCAST_LIMIT = 64 * 1024 * 1024
+# Rank vocabulary candidates in one task only up to this many rows (counted
+# exactly before); beyond it a distributed global rank is used.
+RANK_IN_ONE_TASK = 1_000_000
 
 
 def by_doc(df: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFrame:
@@ -101,9 +104,17 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     # the k-th largest count can enter the vocabulary.
     hist = counts.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
     cum = hist.select("freq", F.sum("n").over(Window.orderBy(F.desc("freq"))).alias("cum"))
-    cut = cum.where(F.col("cum") >= k).agg(F.max("freq").alias("f")).first()["f"]
-    cand = counts if cut is None else counts.where(F.col("freq") >= cut)
-    ranked = global_rank(cand, F.desc("freq"), F.asc("token"))
+    row = cum.agg(F.max(F.when(F.col("cum") >= k, F.col("freq"))).alias("cut"),
+                  F.min(F.when(F.col("cum") >= k, F.col("cum"))).alias("n_cut"),
+                  F.max("cum").alias("n_all")).first()
+    cand = counts if row["cut"] is None else counts.where(F.col("freq") >= row["cut"])
+    n_cand = row["n_all"] if row["cut"] is None else row["n_cut"]
+    order = [F.desc("freq"), F.asc("token")]
+    if (n_cand or 0) <= RANK_IN_ONE_TASK:
+        # The candidate count is known exactly and small: rank them in one task.
+        ranked = cand.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    else:
+        ranked = global_rank(cand, *order)
     words = ranked.where(F.col("rank") <= k).select("token", (F.col("rank") + 1).cast("int").alias("id"), "freq")
     spark = docs.sparkSession
     specials = spark.createDataFrame([(PAD, PAD_ID, 0), (UNK, UNK_ID, 0)], "token string, id int, freq long")

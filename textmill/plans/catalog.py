@@ -331,6 +331,27 @@ def q_redundancy_gate(spark, d):
     return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
 
 
+def _bpe_pieces(spark, d):
+    from textmill.operators.subword import bpe_piece_table
+
+    docs = table(spark, d, "documents").where(F.col("lang") == "en")
+    return bpe_piece_table(docs, n_merges=1000, per_round=50)
+
+
+@register("q_bpe_pieces")
+def q_bpe_pieces(spark, d):
+    """BPE subword model (1000 merges) trained on the English documents;
+    pieces per word (rows only: an iterative training has no SQL form)."""
+    return _bpe_pieces(spark, d)
+
+
+@register("q_token_char_ratio_bpe")
+def q_token_char_ratio_bpe(spark, d):
+    """G5 + C8 with the BPE pieces: token/char ratio of every document (rows only)."""
+    r = vb.token_char_ratios(table(spark, d, "documents"), ["doc_id"], _bpe_pieces(spark, d))
+    return r.withColumn("n_chars", F.col("n_chars").cast("long"))
+
+
 # ---------------------------------------------------------------------------
 # Dedup within and across runs
 # ---------------------------------------------------------------------------
