@@ -132,7 +132,7 @@ def detokenize(text: str) -> str:
     return re.sub(" {2,}", " ", "".join(out)).strip()
 
 
-def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2) -> dict:
+def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2, disjoint: bool = False) -> dict:
     """Batch BPE over a word-frequency dict (see textmill.operators.subword)."""
     sym = {w: ["▁"] + list(w) for w in words}
     merges = []
@@ -150,7 +150,7 @@ def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2) ->
         for (a, b), _ in top:
             if len(merges) + len(chosen) >= n_merges:
                 break
-            if a in used or b in used:
+            if disjoint and (a in used or b in used):
                 continue
             chosen.append((a, b))
             used.update((a, b))

@@ -14,7 +14,8 @@ def test_bpe_matches_model(spark):
         w = "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
         words[w] = words.get(w, 0) + rng.randint(1, 20)
     df = spark.createDataFrame(list(words.items()), "token string, freq long")
-    merges, pieces = train_bpe(df, n_merges=40, per_round=7, checkpoint_every=2)
-    got = {r.token: r.pieces for r in pieces.collect()}
-    assert got == batch_bpe(words, 40, 7)
-    assert merges.count() <= 40
+    for disjoint in (True, False):
+        merges, pieces = train_bpe(df, n_merges=40, per_round=7, checkpoint_every=2, disjoint=disjoint)
+        got = {r.token: r.pieces for r in pieces.collect()}
+        assert got == batch_bpe(words, 40, 7, disjoint=disjoint)
+        assert merges.count() <= 40

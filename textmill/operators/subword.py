@@ -5,10 +5,11 @@ corpus.  The training data is the word-count table (one row per distinct
 word, with its frequency), never the raw text again.  Each round is one
 aggregate over adjacent symbol pairs (weighted by word frequency, combined
 map-side), a bounded top-k of the best pairs, and one ``aggregate`` per word
-that applies them.  Several pairs are merged per round: the best pairs in
-rank order that share no symbol with a pair already taken this round.  The
-word table is checkpointed to the shared checkpoint folder every few rounds
-to cut lineage.
+that applies them in a single left-to-right scan.  Several pairs are merged
+per round: the ``per_round`` best pairs (with ``disjoint=True`` only those
+sharing no symbol with a pair already taken this round, closer to one-merge
+BPE but more rounds).  The word table is checkpointed to the shared
+checkpoint folder every few rounds to cut lineage.
 
 A word's piece count is the length of its final symbol list (a word-start
 marker counts as a symbol until it is merged into the first piece).
@@ -42,8 +43,8 @@ def _apply(sym, keys: list[str]) -> F.Column:
     return F.aggregate(sym, F.array().cast("array<string>"), step)
 
 
-def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 50, min_count: int = 2,
-              checkpoint_every: int = 4) -> tuple[DataFrame, DataFrame]:
+def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 100, min_count: int = 2,
+              checkpoint_every: int = 5, disjoint: bool = False) -> tuple[DataFrame, DataFrame]:
     """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces)``:
     ``merges(rank, left, right)`` in the order learnt, ``pieces(token, pieces)``."""
     from textmill.session import checkpoint_dir
@@ -69,7 +70,7 @@ def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 50, min_c
         for r in top:
             if len(merges) + len(chosen) >= n_merges:
                 break
-            if r.a in used or r.b in used:
+            if disjoint and (r.a in used or r.b in used):
                 continue
             chosen.append((r.a, r.b))
             used.update((r.a, r.b))
@@ -83,6 +84,9 @@ def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 50, min_c
     return merges_df, w.select("token", F.size("sym").cast("int").alias("pieces"))
 
 
-def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, **kw) -> DataFrame:
-    """G5 piece table ``token, pieces`` trained on the words of ``docs``."""
-    return train_bpe(word_counts(docs, text_col), n_merges=n_merges, **kw)[1]
+def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, per_round: int = 100,
+                    min_word_freq: int = 2, **kw) -> DataFrame:
+    """G5 piece table ``token, pieces`` trained on the words of ``docs`` that
+    occur at least ``min_word_freq`` times (the usual BPE training set)."""
+    words = word_counts(docs, text_col).where(F.col("freq") >= min_word_freq)
+    return train_bpe(words, n_merges=n_merges, per_round=per_round, **kw)[1]

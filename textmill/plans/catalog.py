@@ -335,13 +335,14 @@ def _bpe_pieces(spark, d):
     from textmill.operators.subword import bpe_piece_table
 
     docs = table(spark, d, "documents").where(F.col("lang") == "en")
-    return bpe_piece_table(docs, n_merges=1000, per_round=50)
+    return bpe_piece_table(docs, n_merges=1000, per_round=100)
 
 
 @register("q_bpe_pieces")
 def q_bpe_pieces(spark, d):
-    """BPE subword model (1000 merges) trained on the English documents;
-    pieces per word (rows only: an iterative training has no SQL form)."""
+    """BPE subword model (1000 merges, up to 100 per round) trained on the
+    words of the English documents seen at least twice; pieces per word (rows
+    only: an iterative training has no SQL form)."""
     return _bpe_pieces(spark, d)
 
 
