@@ -118,7 +118,9 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     words = ranked.where(F.col("rank") <= k).select("token", (F.col("rank") + 1).cast("int").alias("id"), "freq")
     spark = docs.sparkSession
     specials = spark.createDataFrame([(PAD, PAD_ID, 0), (UNK, UNK_ID, 0)], "token string, id int, freq long")
-    return specials.unionByName(words)
+    # At most vocab_size rows: materialised once, so that its size check and
+    # every join that uses it read the result instead of re-ranking.
+    return specials.unionByName(words).checkpoint()
 
 
 def load_or_build_vocab(docs: DataFrame, path: str, **kw) -> DataFrame:
