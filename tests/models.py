@@ -31,7 +31,8 @@ def pack(s: str, max_len: int, carry: bool = False) -> list[str]:
         while k < len(bs):
             b = bs[k]
             if b - start < max_len:
-                best = b
+                if not (carry and b == start):  # a carried boundary at the start opens no empty segment
+                    best = b
                 k += 1
             else:
                 if not carry:

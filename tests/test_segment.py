@@ -41,6 +41,8 @@ def test_pack_matches_model(many):
     for m in (5, 17, 64):
         got = many(lambda c: sg.sentence_pack(c, m), texts)
         assert got == [pack(t, m) for t in texts]
+        got = many(lambda c: sg.sentence_pack(c, m, True), texts)
+        assert got == [pack(t, m, carry=True) for t in texts]
 
 
 def test_pack_invariants(many):
@@ -87,6 +89,7 @@ def test_pack_multibyte_matches_model(many):
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 500))) for _ in range(80)]
     for m in (3, 16, 50):
         assert many(lambda c: sg.sentence_pack(c, m), texts) == [pack(t, m) for t in texts]
+        assert many(lambda c: sg.sentence_pack(c, m, True), texts) == [pack(t, m, carry=True) for t in texts]
     assert many(sg.sentence_boundaries, texts) == [__import__("models").boundaries(t) for t in texts]
 
 

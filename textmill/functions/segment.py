@@ -74,49 +74,7 @@ def sentence_boundaries(c) -> Column:
     return prefix_sums(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x)))
 
 
-def _pack_cuts(c, max_len: int, carry_boundary: bool) -> Column:
-    """Cut offsets of the greedy packer (see ``sentence_pack``)."""
-    text = _c(c)
-    pieces = split_keep_empty(text, rx.SENTENCE_BOUNDARY)
-    lens = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x))
-    m = F.lit(max_len)
-    null_int = F.lit(None).cast("int")
-
-    def st(off, pos, last, cuts):
-        return F.struct(off.alias("off"), pos.alias("pos"), last.alias("last"), cuts.alias("cuts"))
-
-    init = st(F.lit(0), F.lit(0), null_int, F.array().cast("array<int>"))
-
-    def step(acc, n):
-        b = acc["off"] + n
-        fits = (b - acc["pos"]) < m
-        cut = F.coalesce(acc["last"], acc["pos"] + m)
-        keep = st(b, acc["pos"], b, acc["cuts"])
-        if not carry_boundary:
-            # The boundary that does not fit is consumed and never tried again.
-            close = st(b, cut, null_int, F.concat(acc["cuts"], F.array(cut)))
-        else:
-            # The boundary that does not fit opens the next segment; hard cuts
-            # fill any gap still wider than max_len.
-            k = F.floor((b - cut) / m).cast("int")
-            hard = F.when(k > 0, F.sequence(cut + m, cut + k * m, m)).otherwise(F.array().cast("array<int>"))
-            pos2 = cut + F.greatest(k, F.lit(0)) * m
-            close = st(b, pos2, F.when(b > pos2, b).otherwise(null_int),
-                       F.concat(acc["cuts"], F.array(cut), hard))
-        return F.when(fits, keep).otherwise(close)
-
-    def finish(acc):
-        cuts = F.when(acc["last"].isNotNull(), F.concat(acc["cuts"], F.array(acc["last"]))).otherwise(acc["cuts"])
-        pos = F.coalesce(acc["last"], acc["pos"])
-        total = F.length(text)
-        k = F.ceil((total - pos) / m).cast("int")
-        tail = F.when(pos < total, F.sequence(pos + m, pos + k * m, m)).otherwise(F.array().cast("array<int>"))
-        return F.concat(cuts, tail)
-
-    return F.aggregate(lens, init, step, finish)
-
-
-def _pack_linear(text, m: int) -> Column:
+def _pack_linear(text, m: int, carry: bool = False) -> Column:
     """The default packer in time linear in the text (see ``sentence_pack``).
 
     One fold over the sentence pieces keeps running (char, byte) offsets.  A
@@ -149,10 +107,23 @@ def _pack_linear(text, m: int) -> Column:
             b, bb = acc["off"] + z["n"], acc["boff"] + z["nb"]
             pos = acc["a"] + acc["h"] * mm
             keep = st(b, bb, acc["a"], acc["ba"], acc["h"], b, bb, acc["spans"])
-            at_last = st(b, bb, acc["last"], acc["blast"], F.lit(0), null_int, null_int,
-                         F.concat(acc["spans"], span(acc)))
-            hard = st(b, bb, acc["a"], acc["ba"], acc["h"] + 1, null_int, null_int, acc["spans"])
-            return F.when(b - pos < mm, keep).when(acc["last"].isNotNull(), at_last).otherwise(hard)
+            if not carry:
+                # The boundary that does not fit is used up.
+                at_last = st(b, bb, acc["last"], acc["blast"], F.lit(0), null_int, null_int,
+                             F.concat(acc["spans"], span(acc)))
+                hard = st(b, bb, acc["a"], acc["ba"], acc["h"] + 1, null_int, null_int, acc["spans"])
+                return F.when(b - pos < mm, keep).when(acc["last"].isNotNull(), at_last).otherwise(hard)
+            # carry: cut, add hard cuts until the boundary is in reach, then take it.
+            has_last = acc["last"].isNotNull()
+            a1 = F.when(has_last, acc["last"]).otherwise(acc["a"])
+            ba1 = F.when(has_last, acc["blast"]).otherwise(acc["ba"])
+            h1 = F.when(has_last, F.lit(0)).otherwise(acc["h"] + 1)
+            spans1 = F.when(has_last, F.concat(acc["spans"], span(acc))).otherwise(acc["spans"])
+            h2 = h1 + F.floor((b - (a1 + h1 * mm)) / mm).cast("int")
+            takes = b > a1 + h2 * mm
+            closed = st(b, bb, a1, ba1, h2, F.when(takes, b).otherwise(null_int),
+                        F.when(takes, bb).otherwise(null_int), spans1)
+            return F.when(b - pos < mm, keep).otherwise(closed)
 
         def finish(acc):
             spans = F.when(acc["last"].isNotNull(), F.concat(acc["spans"], span(acc))).otherwise(acc["spans"])
@@ -188,22 +159,9 @@ def sentence_pack(c, max_len: int, carry_boundary: bool = False) -> Column:
     ``max_len``.  By default the boundary that did not fit is lost (the next
     segment may then be cut hard mid-sentence), as in the reference;
     ``carry_boundary=True`` keeps it for the next segment.  Segments are
-    whitespace-stripped.  The default form runs in time linear in the text.
+    whitespace-stripped.  Both forms run in time linear in the text.
     """
-    if not carry_boundary:
-        return _pack_linear(c, max_len)
-
-    def segments(text):
-        def from_cuts(cuts):
-            starts = F.slice(F.concat(F.array(F.lit(0)), cuts), 1, F.size(cuts))
-            return F.transform(
-                F.arrays_zip(starts.alias("s"), cuts.alias("e")),
-                lambda z: strip_ws(F.substring(text, z["s"] + 1, z["e"] - z["s"])),
-            )
-
-        return let(_pack_cuts(text, max_len, carry_boundary), from_cuts)
-
-    return let(_c(c), segments)
+    return _pack_linear(c, max_len, carry_boundary)
 
 
 def pack_paragraphs(paras, max_len: int, carry_boundary: bool = False) -> Column:
