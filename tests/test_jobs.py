@@ -87,6 +87,8 @@ def test_file_jobs(spark, tmp_path):
     assert c1["emitted"] == 3 and c1["duplicates"] == 1
     c2 = process_corpus_files(spark, str(src), str(tmp_path / "out2"), deduplicate=hashes, min_text_length=50)
     assert c2["emitted"] == 0 and c2["duplicates"] == 4
+    c3 = process_corpus_files(spark, str(src), str(tmp_path / "out3"), min_text_length=50)  # no hash list: no dedup
+    assert c3["emitted"] == 4 and c3["duplicates"] == 0
 
     lines = tmp_path / "lines"
     lines.mkdir()

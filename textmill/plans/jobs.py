@@ -203,15 +203,18 @@ def predict_genre(lines: DataFrame, model, vocab: DataFrame, key: str = "line_no
 def process_corpus_files(spark, input_path: str, output_path: str, deduplicate: str = "", vocab=None,
                          pieces=None, by_subset: bool = False, **options) -> dict:
     """J1 end to end: JSONL documents (A1/A5) -> ``process_corpus`` -> corpus
-    JSONL (B1).  ``deduplicate`` names the hash-list folder (B7): loaded if it
-    exists (missing -> empty), and the run's new hashes are appended to it.
-    Returns the run counters (B8): documents gated, rows, emitted, duplicates."""
+    JSONL (B1).  As in the reference, rows are deduplicated only when
+    ``deduplicate`` names a hash-list folder (B7): loaded if it exists
+    (missing -> empty), used for in-run and cross-run dedup, and the run's new
+    hashes are appended to it.  Returns the run counters (B8): documents
+    gated, rows, emitted, duplicates."""
     from textmill.sources import io
 
     docs = io.read_documents(spark, input_path)
     hashes = dd.load_hash_list(spark, deduplicate) if deduplicate else None
     counters: dict = {}
-    out = process_corpus(docs, vocab=vocab, pieces=pieces, hash_list=hashes, counters=counters, **options)
+    out = process_corpus(docs, vocab=vocab, pieces=pieces, hash_list=hashes, counters=counters,
+                         deduplicate=bool(deduplicate), **options)
     if deduplicate:
         # Write once, then derive the new hashes from the written corpus
         # rather than recomputing the job.
