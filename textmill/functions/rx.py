@@ -66,7 +66,7 @@ GUTENBERG_END_MARKERS = [
 # Special normalisation map, applied in this order, NFKC after every entry.
 SPECIAL_MAP = [
     ("¨", '"'),
-    ("​", " "),
+    ("\u200b", " "),  # zero-width space
     ("’", "'"),
     ("♪", " "),
     ("♫", " "),
