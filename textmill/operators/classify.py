@@ -2,8 +2,8 @@
 
 Features are bag-of-words counts over the word vocabulary, clipped and
 L2-normalised, computed as a per-document aggregate in long form
-(``doc_id, id, weight``); only the final vector assembly is a small per-row
-helper.  Training and prediction are Spark ML (distributed GBT / logistic
+(``doc_id, id, weight``); only the final vector assembly is a small
+Arrow-batched helper (one call per document, not per token).  Training and prediction are Spark ML (distributed GBT / logistic
 regression).  The stratified split is exact and distributed: a global sort by
 (label, hash) and per-label offsets, no per-label window in one task.
 """
@@ -75,8 +75,9 @@ def bow_long(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: s
     return bow_from_counts(counts, key, clip)
 
 
-@F.udf(VectorUDT())
+@F.udf(VectorUDT(), useArrow=True)
 def _sparse(size, ids, ws):
+    """One ML vector per document (Arrow-batched; Spark SQL cannot build a UDT value)."""
     return SparseVector(size, ids, ws)
 
 
