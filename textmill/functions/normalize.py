@@ -2,7 +2,8 @@
 
 Unicode NFKC / NFD and HTML unescaping have no Spark SQL built-in, but the
 libraries Spark itself ships (ICU4J, commons-text) have static methods for
-them, called with ``java_method``: everything stays JVM-side, no Python.
+them, called with ``java_method``: everything stays JVM-side, no Python
+(except the optional full HTML5 entity table, ``unescape_html(html5=True)``).
 
 The punctuation normaliser and the (de)tokeniser follow the English rules of
 the Moses toolkit (Koehn et al., 2007) as published in its scripts; they are

@@ -4,7 +4,9 @@ All of them are shuffle aggregates or joins over exploded tokens:
 
 * the vocabulary is a ``groupBy(token).count()`` (map-side combined, so a hot
   token such as "the" costs one row per partition, not one per occurrence),
-  ranked by a distributed sort (no single-task top-k);
+  pruned by a count histogram, then ranked in one task only when the exact
+  candidate count is at most ``RANK_IN_ONE_TASK`` and by a distributed global
+  rank otherwise;
 * per-document ratios explode tokens, hash-join the vocabulary (broadcast only
   after its size is checked) and aggregate per document.  When the input is
   hash-partitioned by the document key (``by_doc``) the aggregate and the
