@@ -175,11 +175,14 @@ def has_non_space(c) -> Column:
     return F.regexp_like(_c(c), F.lit("[^" + rx.PY_WS[1:-1] + "]"))
 
 
+_ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def paragraph_ok(c) -> Column:
     """ASCII letters > len/3, no keyword, and longer than 5 chars."""
     c = _c(c)
     n = F.length(c)
-    letters = n - F.length(F.regexp_replace(c, "[a-zA-Z]", ""))
+    letters = n - F.length(F.translate(c, _ASCII_LETTERS, ""))
     no_kw = ~reduce(lambda a, b: a | b, [F.instr(c, k) > 0 for k in rx.PARAGRAPH_KEYWORDS])
     return (n > 5) & (letters * 3 > n) & no_kw
 
