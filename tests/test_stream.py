@@ -33,6 +33,9 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     got = sorted((r.doc_id, r.hash) for r in out.collect())
     assert len(got) == 1 + 8  # one "same text" survivor (the earliest) plus 8 unique texts
     assert got[0][0] == 0
+    state = run_stream_dedup(spark, os.path.join(str(src), "p*"), schema, prepare, order=["doc_id"],
+                             name="t_stream_state", max_files_per_trigger=1, mode="state")
+    assert sorted(r.hash for r in state.collect()) == sorted(h for _, h in got)
 
 
 def test_batch_writer_replay_is_idempotent(spark, tmp_path):

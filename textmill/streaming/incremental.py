@@ -50,17 +50,30 @@ def dedup_batch_writer(out_path: str, hashes_path: str, order: list[str], key: s
 
 
 def run_stream_dedup(spark: SparkSession, source_glob: str, schema, prepare, order: list[str],
-                     name: str = "stream_dedup", max_files_per_trigger: int | None = None) -> DataFrame:
+                     name: str = "stream_dedup", max_files_per_trigger: int | None = None,
+                     mode: str = "table") -> DataFrame:
     """Run S1 + S2 over the parquet files matching ``source_glob`` until no input is
     left (``availableNow``) and return the deduplicated output as a batch
     DataFrame.  State, outputs and the stream checkpoint live in the shared
-    checkpoint folder."""
+    checkpoint folder.
+
+    ``mode="table"``: the hash table above (deterministic survivor, the table
+    doubles as the saved hash list).  ``mode="state"``: Spark's own streaming
+    ``dropDuplicates`` on the hash, its state kept per key in the state store
+    (each micro-batch only looks up its own keys; with a RocksDB provider the
+    state may outgrow memory); which of two equal texts in the same
+    micro-batch survives is then not fixed."""
     base = os.path.join(checkpoint_dir(spark), name)
     out_path, hashes_path, ckpt = (os.path.join(base, p) for p in ("out", "hashes", "ckpt"))
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = clean_stream(reader.parquet(source_glob), prepare)
+    if mode == "state":
+        q = (stream.dropDuplicates(["hash"]).writeStream.format("parquet").option("path", out_path)
+             .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out_path)
     q = (stream.writeStream.foreachBatch(dedup_batch_writer(out_path, hashes_path, order))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
