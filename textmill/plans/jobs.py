@@ -3,8 +3,8 @@
 J1 ``process_corpus`` plan, for a 100 TB input:
 
 1. scan -> source and raw-length gates (pushed into the parquet scan where
-   pushable) -> hash-partition by ``doc_id`` once (skipped when the input is
-   already partitioned by it, e.g. a bucketed table);
+   pushable) -> hash-partition by ``doc_id`` once (pass ``repartition=False``
+   when the input is already partitioned by it, e.g. a bucketed table);
 2. unknown-token ratio: exploded tokens hash-join the vocabulary (broadcast
    after a size check) and aggregate per document inside that partitioning;
    the join back to the text reuses it (no shuffle);
@@ -12,8 +12,9 @@ J1 ``process_corpus`` plan, for a 100 TB input:
    (JVM, no Python), behind a generator barrier so no later filter re-runs
    it; when the redundancy gate follows, the cleaned text is checkpointed to
    the shared checkpoint folder so that its two readers do not clean twice;
-4. redundancy gate: character windows, same per-document pattern as 2;
-   then long-document chunking and md5 per output row;
+4. redundancy gate: character windows, same per-document pattern as 2; the
+   per-document shares are checkpointed with the same partitioning, so the
+   join back moves no text; then long-document chunking and md5 per row;
 5. dedup: a map-side-combined ``min`` per hash (one shuffle of the output
    text), then an anti join with the saved hash list.
 """
