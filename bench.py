@@ -36,8 +36,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    n_docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).count()
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf}))
+                      "queries": times, "sf": sf, "docs": n_docs,
+                      "j1_docs_per_sec": round(n_docs / times["q_process_corpus"], 1)}))
 
 
 if __name__ == "__main__":
