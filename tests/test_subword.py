@@ -19,3 +19,17 @@ def test_bpe_matches_model(spark):
         got = {r.token: r.pieces for r in pieces.collect()}
         assert got == batch_bpe(words, 40, 7, disjoint=disjoint)
         assert merges.count() <= 40
+
+
+def test_bpe_model_applies_to_new_words(spark):
+    from textmill.operators.subword import bpe_pieces
+
+    words = {"there": 30, "the": 50, "then": 20, "hen": 5}
+    df = spark.createDataFrame(list(words.items()), "token string, freq long")
+    _, pieces, model = train_bpe(df, n_merges=6, per_round=3, return_rounds=True)
+    trained = {r.token: r.pieces for r in pieces.collect()}
+    applied = {r.token: r.pieces for r in bpe_pieces(df.select("token"), model).collect()}
+    assert applied == trained
+    new = spark.createDataFrame([("thenthe",), ("zzz",)], "token string")
+    got = {r.token: r.pieces for r in bpe_pieces(new, model).collect()}
+    assert got["zzz"] == 4 and got["thenthe"] < 8

@@ -44,15 +44,19 @@ def _apply(sym, keys: list[str]) -> F.Column:
 
 
 def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 100, min_count: int = 2,
-              checkpoint_every: int = 5, disjoint: bool = False) -> tuple[DataFrame, DataFrame]:
+              checkpoint_every: int = 5, disjoint: bool = False, return_rounds: bool = False):
     """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces)``:
-    ``merges(rank, left, right)`` in the order learnt, ``pieces(token, pieces)``."""
+    ``merges(rank, left, right)`` in the order learnt, ``pieces(token, pieces)``
+    for the training words; with ``return_rounds`` also the model itself, the
+    list of per-round merge sets (at most ``n_merges`` pairs, driver-side),
+    which ``bpe_pieces`` applies to any other words."""
     from textmill.session import checkpoint_dir
 
     spark = words.sparkSession
     checkpoint_dir(spark)
     w = words.select("token", "freq", _symbols(F.col("token")).alias("sym")).checkpoint()
     merges: list[tuple[str, str]] = []
+    model: list[list[str]] = []
     rounds = 0
     while len(merges) < n_merges:
         pairs = (w.where(F.size("sym") > 1)
@@ -75,18 +79,35 @@ def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 100, min_
             chosen.append((r.a, r.b))
             used.update((r.a, r.b))
         merges.extend(chosen)
-        w = w.withColumn("sym", _apply(F.col("sym"), [a + SEP + b for a, b in chosen]))
+        model.append([a + SEP + b for a, b in chosen])
+        w = w.withColumn("sym", _apply(F.col("sym"), model[-1]))
         rounds += 1
         if rounds % checkpoint_every == 0:
             w = w.checkpoint()
     merges_df = spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(merges)],
                                       "rank int, left string, right string")
-    return merges_df, w.select("token", F.size("sym").cast("int").alias("pieces"))
+    pieces = w.select("token", F.size("sym").cast("int").alias("pieces"))
+    return (merges_df, pieces, model) if return_rounds else (merges_df, pieces)
+
+
+def bpe_pieces(tokens: DataFrame, model: list[list[str]]) -> DataFrame:
+    """Apply a trained model (its per-round merge sets, in order) to the
+    distinct ``token`` values of ``tokens``: ``token, pieces``.  Reproduces
+    exactly what training did to its own words."""
+    sym = _symbols(F.col("token"))
+    for keys in model:
+        sym = _apply(sym, keys) if keys else sym
+    return tokens.select("token").distinct().select("token", F.size(sym).cast("int").alias("pieces"))
 
 
 def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, per_round: int = 100,
-                    min_word_freq: int = 2, **kw) -> DataFrame:
-    """G5 piece table ``token, pieces`` trained on the words of ``docs`` that
-    occur at least ``min_word_freq`` times (the usual BPE training set)."""
-    words = word_counts(docs, text_col).where(F.col("freq") >= min_word_freq)
-    return train_bpe(words, n_merges=n_merges, per_round=per_round, **kw)[1]
+                    min_word_freq: int = 2, train_docs: DataFrame | None = None, **kw) -> DataFrame:
+    """G5 piece table ``token, pieces`` for every word of ``docs``, from a BPE
+    model trained on the words of ``train_docs`` (default ``docs``) that occur
+    at least ``min_word_freq`` times (the usual BPE training set)."""
+    from textmill.operators.vocab import token_rows
+
+    words = word_counts(train_docs if train_docs is not None else docs, text_col) \
+        .where(F.col("freq") >= min_word_freq)
+    _, _, model = train_bpe(words, n_merges=n_merges, per_round=per_round, return_rounds=True, **kw)
+    return bpe_pieces(token_rows(docs, [], text_col), model)

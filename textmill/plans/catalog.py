@@ -332,17 +332,19 @@ def q_redundancy_gate(spark, d):
 
 
 def _bpe_pieces(spark, d):
+    """Pieces of every word of ``documents`` under a BPE model trained on the
+    words of the English documents seen at least twice."""
     from textmill.operators.subword import bpe_piece_table
 
-    docs = table(spark, d, "documents").where(F.col("lang") == "en")
-    return bpe_piece_table(docs, n_merges=1000, per_round=100)
+    docs = table(spark, d, "documents")
+    return bpe_piece_table(docs, n_merges=1000, per_round=100, train_docs=docs.where(F.col("lang") == "en"))
 
 
 @register("q_bpe_pieces")
 def q_bpe_pieces(spark, d):
     """BPE subword model (1000 merges, up to 100 per round) trained on the
-    words of the English documents seen at least twice; pieces per word (rows
-    only: an iterative training has no SQL form)."""
+    English documents and applied to every word of every document; pieces per
+    word (rows only: an iterative training has no SQL form)."""
     return _bpe_pieces(spark, d)
 
 
