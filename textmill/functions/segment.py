@@ -83,7 +83,9 @@ def _pack_linear(text, m: int, carry: bool = False) -> Column:
     between boundary cuts, ``h`` being the number of hard cuts inside.  Each
     span is then decoded once from the UTF-8 bytes (a byte offset costs O(1);
     a character offset into a string costs a scan from its start) and cut by
-    one regex scan into ``h`` chunks of ``m`` chars plus the rest.
+    one regex scan into ``h`` chunks of ``m`` chars plus the rest.  The span
+    list itself grows by appends (about L/m entries), which only matters for
+    very small ``m`` on very long paragraphs.
     """
     mm = F.lit(m)
     runs = F.lit("(?s).{1," + str(m) + "}")
