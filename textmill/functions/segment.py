@@ -74,6 +74,9 @@ def sentence_boundaries(c) -> Column:
     return prefix_sums(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda x: F.length(x)))
 
 
+PACK_BLOCK = 256
+
+
 def _pack_linear(text, m: int, carry: bool = False) -> Column:
     """The default packer in time linear in the text (see ``sentence_pack``).
 
@@ -83,9 +86,8 @@ def _pack_linear(text, m: int, carry: bool = False) -> Column:
     between boundary cuts, ``h`` being the number of hard cuts inside.  Each
     span is then decoded once from the UTF-8 bytes (a byte offset costs O(1);
     a character offset into a string costs a scan from its start) and cut by
-    one regex scan into ``h`` chunks of ``m`` chars plus the rest.  The span
-    list itself grows by appends (about L/m entries), which only matters for
-    very small ``m`` on very long paragraphs.
+    one regex scan into ``h`` chunks of ``m`` chars plus the rest.  The fold
+    runs in blocks of pieces so that growing the span list stays linear too.
     """
     mm = F.lit(m)
     runs = F.lit("(?s).{1," + str(m) + "}")
@@ -127,11 +129,29 @@ def _pack_linear(text, m: int, carry: bool = False) -> Column:
                         F.when(takes, bb).otherwise(null_int), spans1)
             return F.when(b - pos < mm, keep).otherwise(closed)
 
-        def finish(acc):
-            spans = F.when(acc["last"].isNotNull(), F.concat(acc["spans"], span(acc))).otherwise(acc["spans"])
-            return F.struct(spans.alias("spans"), F.coalesce(acc["blast"], acc["ba"]).alias("ba"))
+        no_spans = F.array().cast("array<struct<b0:int,b1:int,h:int>>")
+
+        def blocked(L):
+            # The fold runs block by block (PACK_BLOCK pieces each): a block
+            # collects its own spans, so appends copy at most a block's worth.
+            nblk = F.ceil(F.size(L) / F.lit(PACK_BLOCK)).cast("int")
+            blocks = F.when(nblk > 0, F.sequence(F.lit(0), nblk - 1)).otherwise(F.array().cast("array<int>"))
+
+            def outer(acc, j):
+                s0 = acc["s"]
+                start = st(s0["off"], s0["boff"], s0["a"], s0["ba"], s0["h"], s0["last"], s0["blast"], no_spans)
+                inner = F.aggregate(F.slice(L, j * PACK_BLOCK + 1, F.lit(PACK_BLOCK)), start, step)
+                return let(inner, lambda r: F.struct(r.alias("s"), F.concat(acc["all"], F.array(r["spans"])).alias("all")))
+
+            def finish(acc):
+                s0, spans = acc["s"], F.flatten(acc["all"])
+                spans = F.when(s0["last"].isNotNull(), F.concat(spans, span(s0))).otherwise(spans)
+                return F.struct(spans.alias("spans"), F.coalesce(s0["blast"], s0["ba"]).alias("ba"))
+
+            init_o = F.struct(init.alias("s"), F.array().cast("array<array<struct<b0:int,b1:int,h:int>>>").alias("all"))
+            return F.aggregate(blocks, init_o, outer, finish)
 
-        res = F.aggregate(lens, init, step, finish)
+        res = let(lens, blocked)
 
         def with_bin(bin_):
             def with_res(r):
