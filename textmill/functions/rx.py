@@ -108,9 +108,10 @@ SPACE_RUN = r" +"
 
 # Python str.isspace() characters.
 PY_WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-# The look-behind starts the trailing alternative only at the first character
-# of a whitespace run, so a long run is scanned once, not once per position.
-STRIP_WS = "^" + PY_WS + "++|(?<!" + PY_WS + ")" + PY_WS + "++\\z"
+# The trailing alternative first matches one whitespace character (a cheap
+# test at every other position), then the look-behind rejects it unless it
+# starts a run, so a long run is scanned once, not once per position.
+STRIP_WS = "^" + PY_WS + "++|" + PY_WS + "(?<!" + PY_WS + PY_WS + ")" + PY_WS + "*+\\z"
 
 # Runs of list-like lines (possessive; see module doc).
 BOLD_RUN = r"(?md)(?:^\*\*.{1,100}\*\*.{0,100}\n++){2,}+"
