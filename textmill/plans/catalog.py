@@ -711,6 +711,9 @@ def q_stream_dedup(spark, d):
     schema = table(spark, d, "documents").schema
 
     def prepare(stream):
+        # One small file arrives as one split: spread it over the cores as the
+        # batch reader does (a stream cannot ask for its partition count).
+        stream = stream.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
         docs = spark.sql(DOCS_MARKUP_SQL, documents=stream)
         return process_corpus(docs, ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True,
                               text_chunk_size=CHUNK, deduplicate=False)

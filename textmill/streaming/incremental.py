@@ -32,19 +32,27 @@ def dedup_batch_writer(out_path: str, hashes_path: str, order: list[str], key: s
     """The ``foreachBatch`` function (see module doc)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        from pyspark import StorageLevel
+
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        uniq = dd.dedup_exact(batch, order=order, key=key)
-        known = dd.load_hash_list(spark, hashes_path)
-        if "batch_id" in known.columns:
-            known = known.where(F.col("batch_id") < batch_id)
-        new = dd.drop_known(uniq, known.select("hash"), key=key).withColumn("batch_id", F.lit(batch_id))
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-        written = spark.read.parquet(out_path).where(F.col("batch_id") == batch_id)
-        (written.select(F.col(key).alias("hash"), "batch_id").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hashes_path))
+        # A micro-batch is bounded (maxFilesPerTrigger); it is read twice
+        # below (emptiness test, dedup), so it is kept rather than recomputed.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                return
+            uniq = dd.dedup_exact(batch, order=order, key=key)
+            known = dd.load_hash_list(spark, hashes_path)
+            if "batch_id" in known.columns:
+                known = known.where(F.col("batch_id") < batch_id)
+            new = dd.drop_known(uniq, known.select("hash"), key=key).withColumn("batch_id", F.lit(batch_id))
+            (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(out_path))
+            written = spark.read.parquet(out_path).where(F.col("batch_id") == batch_id)
+            (written.select(F.col(key).alias("hash"), "batch_id").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hashes_path))
+        finally:
+            batch.unpersist()
 
     return write
 
