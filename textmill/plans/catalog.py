@@ -648,9 +648,9 @@ def q_unescape(spark, d):
     return table(spark, d, "pages").select("page_id", nz.unescape_html("html").alias("text"))
 
 
-@register("q_moses_tok")
+@register("q_moses_tok", _duck_explode("doc_id", dk.moses_tokenize("text"), "tok_no", "token", "documents"))
 def q_moses_tok(spark, d):
-    """Moses-style tokens of every document (rows only: no SQL form)."""
+    """Moses-style tokens of every document."""
     return _explode(table(spark, d, "documents"), ["doc_id"], nz.moses_tokenize("text"), "tok_no", "token")
 
 

@@ -347,3 +347,15 @@ def fix_tokenized(x):
 
 def normalize_text(x):
     return fix_tokenized(moses_punct_normalize(special_map(x)))
+
+
+def moses_tokenize(x):
+    """D22 as SQL: the same rewrite list in RE2 form (``\\pL`` for the
+    alphabetic class), then split on spaces."""
+    from textmill.functions.normalize import TOKENIZE_RULES
+
+    t = strip_ws(x)
+    for pat, rep in TOKENIZE_RULES:
+        t = rr(t, pat.replace("\\p{IsAlphabetic}", "\\pL").replace("\\p{N}", "\\pN"),
+               rep.replace("$1", "\\1").replace("$2", "\\2"))
+    return f"list_filter(string_split({strip_ws(t)}, ' '), lambda w: w <> '')"
