@@ -100,3 +100,22 @@ def test_file_jobs(spark, tmp_path):
     filter_language_files(spark, str(lines), str(tmp_path / "lang"), vocab)
     kept = [r.value for r in spark.read.text(str(tmp_path / "lang")).collect()]
     assert kept == [json.dumps("the the the")]
+
+
+def test_corpus_plan_moves_text_only_for_dedup(spark):
+    """After the two checkpoints, the only exchange left in J1's plan is the
+    dedup shuffle by hash (broadcasts off, as for a large input)."""
+    from textmill.operators.vocab import build_vocab, piece_table
+    from textmill.sources.tables import table
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vocab = build_vocab(table(spark, SF_SMALL, "documents").where(F.col("lang") == "en"))
+        out = process_corpus(docs_markup(spark, SF_SMALL), min_text_length=200, vocab=vocab,
+                             pieces=piece_table(vocab))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
+    assert len(exchanges) == 1 and "hashpartitioning(hash" in exchanges[0], plan
