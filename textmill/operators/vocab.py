@@ -235,9 +235,11 @@ def token_char_ratios(rows: DataFrame, keys: list[str], pieces: DataFrame, text_
 
 def redundancy_filter(rows: DataFrame, pieces: DataFrame, key: str = "doc_id", text_col: str = "text",
                       threshold: float = 0.25) -> DataFrame:
-    """Keep rows whose token/char ratio is below ``threshold``."""
-    r = token_char_ratios(rows, [key], pieces, text_col).select(key, "ratio")
-    return rows.join(r, key).where(F.col("ratio") < threshold).drop("ratio")
+    """Keep rows whose token/char ratio is below ``threshold``.  The rows
+    are partitioned by ``key`` first, so the per-row ratios join back locally."""
+    d = by_doc(rows, key)
+    r = token_char_ratios(d, [key], pieces, text_col).select(key, "ratio")
+    return d.join(r, key).where(F.col("ratio") < threshold).drop("ratio")
 
 
 def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
