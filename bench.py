@@ -26,8 +26,11 @@ def main() -> None:
     from textmill import get_session
     from textmill.plans.catalog import QUERIES
 
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="textmill-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage / task timings for tools/stages.py (a scratch folder of your own).
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="textmill-bench", extra=extra)
     # Warm up the JVM (JIT of the regex / higher-order-function paths) and the
     # parquet reader on the smallest tables next to the benchmark ones; not timed.
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
