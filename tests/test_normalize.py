@@ -75,3 +75,19 @@ def test_detokenize_matches_model(many):
 
 def test_unescape_html5(one):
     assert one(lambda c: nz.unescape_html(c, html5=True), "&amp; &NotEqualTilde; &copy x") == "& ≂̸ © x"
+
+
+def test_latin1_fast_paths_match_python(many):
+    import random
+    import unicodedata
+
+    rng = random.Random(17)
+    alphabet = ["a", "Z", " ", "é", "ß", "Ñ", "ÿ", "ª", "²", "½", "¨", " ", "µ", "´", "́", "ﬁ", "Ω", "한",
+                "…", "×", "¿", "ø"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    assert many(nz.nfkc, texts) == [unicodedata.normalize("NFKC", t) for t in texts]
+
+    def strip(t):
+        return "".join(ch for ch in unicodedata.normalize("NFD", t) if unicodedata.category(ch) != "Mn")
+
+    assert many(nz.strip_accents, texts) == [strip(t) for t in texts]

@@ -25,11 +25,33 @@ def _java(cls: str, method: str, *args) -> Column:
     return F.call_function("java_method", F.lit(cls), F.lit(method), *args)
 
 
+def _latin1_rules():
+    """Built by rule from Unicode data, for U+0000-U+00FF: the characters that
+    NFKC leaves unchanged (none of them is a combining mark, so a text made
+    only of them is NFKC already), and the accent-stripping map (NFD, then
+    drop non-spacing marks) of the Latin-1 letters."""
+    import unicodedata
+
+    stable = [chr(i) for i in range(0x100) if unicodedata.normalize("NFKC", chr(i)) == chr(i)]
+    src, dst = [], []
+    for i in range(0xC0, 0x100):
+        base = "".join(ch for ch in unicodedata.normalize("NFD", chr(i)) if unicodedata.category(ch) != "Mn")
+        if base != chr(i):
+            src.append(chr(i))
+            dst.append(base)
+    cls = "".join("\\x{%X}" % ord(ch) for ch in stable)
+    return "[^" + cls + "]", "".join(src), "".join(dst)
+
+
+_NFKC_GATE, _ACCENTED, _ACCENT_BASE = _latin1_rules()
+
+
 def nfkc(c) -> Column:
-    """Unicode NFKC (ICU4J).  Pure-ASCII strings are NFKC already and skip it."""
+    """Unicode NFKC (ICU4J).  A text made only of characters NFKC leaves
+    unchanged (ASCII and most of Latin-1) skips the call."""
 
     def body(t):
-        return F.when(F.regexp_like(t, F.lit("[^\\x00-\\x7F]")),
+        return F.when(F.regexp_like(t, F.lit(_NFKC_GATE)),
                       _java("com.ibm.icu.text.Normalizer", "compose", t, F.lit(True))).otherwise(t)
 
     return let(c, body)
@@ -46,8 +68,14 @@ def nfd(c) -> Column:
 
 
 def strip_accents(c) -> Column:
-    """NFD, then drop non-spacing marks."""
-    return F.regexp_replace(nfd(c), "\\p{Mn}", "")
+    """NFD, then drop non-spacing marks.  Text within U+0000-U+00FF takes an
+    exact ``translate`` of the Latin-1 letters instead of the NFD call."""
+
+    def body(t):
+        return F.when(F.regexp_like(t, F.lit("[^\\x00-\\xFF]")),
+                      F.regexp_replace(nfd(t), "\\p{Mn}", "")).otherwise(F.translate(t, _ACCENTED, _ACCENT_BASE))
+
+    return let(c, body)
 
 
 def unescape_html(c, html5: bool = False) -> Column:
