@@ -99,3 +99,9 @@ def test_long_paragraph_matches_model(many):
     text = " ".join(rng.choice(words) for _ in range(40000))
     assert many(lambda c: sg.sentence_pack(c, 1024), [text]) == [pack(text, 1024)]
     assert many(lambda c: sg.char_windows(c, 777), [text])[0] == [text[i:i + 777] for i in range(0, len(text), 777)]
+
+
+def test_header_strip_has_no_round_cap(one):
+    text = "Produced by someone\n\n" * 60 + "The book begins here.\n\nMore."
+    # each match takes two stacked headers: 30 strips, all before offset 10 000
+    assert one(tx.strip_headers, text) == strip_headers(text) == "The book begins here.\n\nMore."
