@@ -1,0 +1,40 @@
+"""The stages of the training-data pipeline (see ``corpus_pipeline.py`` at the repository top)."""
+
+from __future__ import annotations
+
+import os
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from textmill.llm import bpe, decontam
+from textmill.llm.queries import table, tokenizer_path
+from textmill.session import checkpoint_dir
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark window."""
+    return decontam.remove_documents(decontam.scan(docs, table(spark, sf_dir, "benchmark"))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the documents that are left."""
+    return bpe.encode(docs.select("doc_id", "text"), tokenizer_path()).select("doc_id", "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [("decontamination", decontaminate), ("bpe", encode)]
+
+
+def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
+    """Apply the stages to ``documents``; each result is written under the shared checkpoint folder
+    and read again, so a lost executor costs one stage at most."""
+    folder = os.path.join(checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in stages:
+        path = os.path.join(folder, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
