@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, secrets
+from textmill.llm import bpe, chat, decontam, langid, minhash, secrets
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         _digest("decoded").alias("decoded_sha256"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    counts = langid.train(docs.where(~langid.held_out()))
+    return langid.predict(docs.select("doc_id", "text"), counts).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -98,6 +109,8 @@ FROM o GROUP BY conv_id
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_langid": op2_langid,
+    "op3_minhash": op3_minhash,
     "op8_decontam": op8_decontam,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
