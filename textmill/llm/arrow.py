@@ -109,3 +109,33 @@ def map_text(df: DataFrame, text_col: str, fn: Callable[..., list[pa.Array]], fi
                 yield pa.RecordBatch.from_arrays(own + made, names=[*kept, *(f.name for f in fields)])
 
     return source.mapInArrow(run, schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, group starts) of a stream sorted by its first ``keys`` columns, never cutting a group.
+
+    A group that the end of a batch cuts is held until the next one, so groups must be bounded.
+    """
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks().to_batches()[0]
+        starts = _starts(rows, keys)
+        cut = int(starts[-1])
+        held = rows.slice(cut)
+        if cut:
+            yield _own(rows.slice(0, cut)), starts[:-1]
+    if held is not None:
+        yield _own(held), np.zeros(1, np.int64)
+
+
+def _own(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of a slice with buffers that begin at them."""
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([c, c.slice(0, 0)]) for c in rows.columns], names=rows.schema.names)
+
+
+def _starts(rows: pa.RecordBatch, keys: int) -> np.ndarray:
+    new = np.ones(rows.num_rows, bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in (rows.column(k).to_numpy() for k in range(keys))], axis=0)
+    return np.flatnonzero(new)

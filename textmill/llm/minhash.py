@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.arrow import lists, ragged, raw, slices, strings, words
+from textmill.llm.arrow import lists, ragged, raw, slices, strings, whole_groups, words
 from textmill.llm.graph import components
 from textmill.llm.store import saved
 
@@ -172,19 +172,15 @@ def _cross_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     need = SKETCH * (least + (1 - least) / 256)
     percent = round(100 * threshold)
 
-    def pairs_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def pairs_of(batch: pa.RecordBatch, start: np.ndarray) -> Iterator[pa.RecordBatch]:
         col = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
-        g = [col[c].to_numpy() for c in ("key", "i", "j")]
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = np.any([x[1:] != x[:-1] for x in g], axis=0)
-        start = np.flatnonzero(new)
         size = np.diff(np.append(start, batch.num_rows))
         last = np.repeat(start + size, size)
         ids, n, comp, side, band = (col[c].to_numpy() for c in ("id", "n", "root", "side", "band"))
         bands = col["bands"].flatten().to_numpy().reshape(batch.num_rows, -1)
         _, data = raw(col["sketch"])
         sketch = data.reshape(batch.num_rows, SKETCH)
-        same_block = g[1] == g[2]
+        same_block = col["i"].to_numpy() == col["j"].to_numpy()
         # Row x meets the later rows of its group; enough rows at a time for about 100 000 pairs.
         meets = last - np.arange(batch.num_rows) - 1
         upto = np.cumsum(meets)
@@ -206,18 +202,8 @@ def _cross_pairs(rows: DataFrame, threshold: float) -> DataFrame:
             at = to
 
     def run(batches):
-        held = None  # the group that the last batch ended in
-        for batch in batches:
-            table = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks()
-            whole = table.to_batches()[0] if table.num_rows else batch
-            g = [whole.column(k).to_numpy() for k in range(3)]
-            new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in g], axis=0)) + 1
-            cut = int(new[-1]) if len(new) else 0
-            done, held = whole.slice(0, cut), whole.slice(cut)
-            if cut:
-                yield from pairs_of(pa.Table.from_batches([done]).combine_chunks().to_batches()[0])
-        if held is not None and held.num_rows:
-            yield from pairs_of(pa.Table.from_batches([held]).combine_chunks().to_batches()[0])
+        for batch, start in whole_groups(batches, 3):
+            yield from pairs_of(batch, start)
 
     return rows.select("key", "i", "j", "side", "band", "id", "n", "root", "bands", "sketch").mapInArrow(run, "a bigint, b bigint")
 

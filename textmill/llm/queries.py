@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, langid, minhash, secrets
+from textmill.llm import bpe, chat, decontam, embed, langid, minhash, secrets
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -49,6 +49,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -111,6 +115,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
+    "op4_embeddings": op4_embeddings,
     "op8_decontam": op8_decontam,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
