@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, embed, langid, minhash, secrets
+from textmill.llm import bpe, chat, decontam, embed, langid, lines, minhash, secrets
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,40 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring_lines(docs).select("doc_id", "n_lines", "n_dropped", _digest(F.coalesce("text", F.lit(""))).alias("text_sha256"))
+
+
+_TOK = "list_filter(string_split_regex(line, '[ \\t\\x0B\\f\\r]+'), lambda x: x <> '')"
+OP7_SQL = f"""
+WITH l AS (
+  SELECT doc_id, text, generate_subscripts(a, 1) - 1 AS no, unnest(a) AS line
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)),
+p AS (SELECT doc_id, text, no, list_transform({_TOK}, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS parts FROM l),
+q AS (SELECT *, len(parts) AS n, list_slice(parts, 1, {lines.DEPTH}) AS head FROM p WHERE len(parts) > 0),
+seen AS (SELECT DISTINCT parts, n, head, text FROM q),
+by_line AS (SELECT parts, n, head, count(*) AS texts FROM seen GROUP BY ALL),
+open_ AS (SELECT n, head, count(*) AS kinds FROM by_line WHERE n >= {lines.DEPTH + lines.TAIL} GROUP BY ALL
+          HAVING sum(texts) >= {lines.MIN_DOCS} AND count(*) > 1),
+kinds AS (SELECT parts, n, head, kinds FROM by_line JOIN open_ USING (n, head)),
+places AS (SELECT parts, n, head, kinds, generate_subscripts(parts, 1) AS pos, unnest(parts) AS token FROM kinds),
+common AS (SELECT n, head, pos, token FROM places WHERE pos > {lines.DEPTH} GROUP BY ALL HAVING count(*) * 2 > max(kinds)),
+joined AS (SELECT parts, n, head FROM places JOIN common USING (n, head, pos, token) GROUP BY ALL
+           HAVING count(*) >= {lines.SIMILAR} * (n - {lines.DEPTH})),
+general AS (SELECT n, head FROM (SELECT DISTINCT n, head, text FROM seen JOIN joined USING (parts, n, head)) GROUP BY ALL
+            HAVING count(*) >= {lines.MIN_DOCS}),
+gone AS (SELECT parts FROM by_line WHERE texts >= {lines.MIN_DOCS} UNION SELECT parts FROM joined JOIN general USING (n, head)),
+cut AS (SELECT DISTINCT doc_id, text, no FROM q JOIN gone USING (parts)),
+rest AS (SELECT l.doc_id, l.text, string_agg(l.line, chr(10) ORDER BY l.no) FILTER (cut.no IS NULL) AS left_over,
+                count(*) AS n_lines, count(cut.no) AS n_dropped
+         FROM l LEFT JOIN cut ON l.doc_id = cut.doc_id AND l.text = cut.text AND l.no = cut.no GROUP BY l.doc_id, l.text)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+  sha256(coalesce(left_over, '')) AS text_sha256
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id AND d.text = r.text
+"""
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -116,8 +150,9 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
     "op4_embeddings": op4_embeddings,
+    "op7_lines": op7_lines,
     "op8_decontam": op8_decontam,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
 }
-ORACLES = {"op10_chat": OP10_SQL}
+ORACLES = {"op7_lines": OP7_SQL, "op10_chat": OP10_SQL}
