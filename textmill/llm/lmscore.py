@@ -1,0 +1,132 @@
+"""Cross-entropy difference scores from matched n-gram models.
+
+The target model is counted over the target documents, the background model over all documents.
+Both are byte trigram models of the same form (Witten-Bell interpolation down to the uniform
+distribution) over one vocabulary, the 256 byte values.  A token's loss is -log2 of its probability;
+a document's score is the mean over its tokens of background loss minus target loss (Moore and
+Lewis 2010): the higher, the more it resembles the target.
+
+Counts cover every byte of every document: each task sends the distinct trigrams of its texts with
+their counts.  The summed table has at most 2 ** 24 rows whatever the corpus, so it can be sent to
+all tasks.
+
+Defined results: a null or empty text has no tokens, losses 0 and score 0; without target documents
+the target model is uniform; rows are independent in scoring, and repeated rows count repeatedly;
+an empty table gives an empty table; input columns named as the outputs are replaced.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import cached_property
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textmill.llm.arrow import map_text, raw, slices, strings
+
+#: Stands for what precedes a text; no byte of UTF-8 has this value.
+EDGE = 0xFF
+
+FIELDS = [T.StructField("n_tokens", T.LongType(), False), T.StructField("loss_target", T.DoubleType(), False),
+          T.StructField("loss_background", T.DoubleType(), False), T.StructField("score", T.DoubleType(), False)]
+
+
+def _padded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the texts' bytes, bytes): two edge bytes precede each text."""
+    offs, data = raw(texts)
+    place = np.arange(len(data)) + 2 * np.repeat(np.arange(1, len(offs)), np.diff(offs))
+    out = np.full(len(data) + 2 * (len(offs) - 1), EDGE, np.uint8)
+    out[place] = data
+    return place, out
+
+
+def count(df: DataFrame, is_target: Column, text_col: str = "text") -> Trigrams:
+    """Trigram counts of all rows and of the rows where ``is_target`` holds."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "t"):
+                texts = strings(part.column(0))
+                place, data = _padded(texts)
+                if not len(place):
+                    continue
+                sizes = np.diff(raw(texts)[0])
+                target = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), sizes)
+                # Only bytes that occur take up room in the count table.
+                present = np.flatnonzero(np.bincount(data, minlength=256))
+                number = np.zeros(256, np.int64)
+                number[present] = np.arange(len(present))
+                c, m = number[data], len(present)
+                code = (c[place - 2] * m + c[place - 1]) * m + c[place]
+                everywhere = np.bincount(code, minlength=m ** 3)
+                wanted = np.bincount(code[target], minlength=m ** 3)
+                held = np.flatnonzero(everywhere)
+                name = (present[held // (m * m)] << 16) | (present[held // m % m] << 8) | present[held % m]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name.astype(np.int32)), pa.array(everywhere[held]), pa.array(wanted[held])], names=["code", "n", "target"])
+
+    rows = df.select(F.col(text_col).alias("t"), F.coalesce(is_target, F.lit(False)).alias("target"))
+    summed = rows.mapInArrow(run, "code int, n bigint, target bigint").groupBy("code").agg(
+        F.sum("n").alias("n"), F.sum("target").alias("target")).toArrow()
+    return Trigrams(*(summed[c].to_numpy().astype(np.int64) for c in ("code", "n", "target")))
+
+
+@dataclass
+class Trigrams:
+    """Distinct trigrams (three bytes as one code) with their counts in all and in target documents."""
+
+    code: np.ndarray
+    n: np.ndarray
+    target: np.ndarray
+
+    @cached_property
+    def losses(self) -> tuple[np.ndarray, np.ndarray]:
+        """-log2 of each trigram's last byte given the others: (target, background); built once in
+        each Python worker."""
+        return _losses(self.code, self.target), _losses(self.code, self.n)
+
+
+def _losses(code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    some = n > 0
+    code, n = code[some], n[some].astype(np.float64)
+    p = np.full(256, 1 / 256)
+    for k in (1, 2, 3):  # unigrams, bigrams, trigrams: the last k bytes of each code
+        low, inverse = np.unique(code & ((1 << 8 * k) - 1), return_inverse=True)
+        held = np.bincount(inverse, weights=n, minlength=len(low))
+        context = low >> 8
+        total = np.bincount(context, weights=held, minlength=256 ** (k - 1))
+        distinct = np.bincount(context, minlength=256 ** (k - 1)).astype(np.float64)
+        whole = np.where(total + distinct > 0, total + distinct, 1)
+        share = np.where(total > 0, distinct / whole, 1)
+        # A context's shorter one are its last bytes: p has a row for each of those.
+        out = np.tile(p.reshape(-1, 256).astype(np.float32 if k == 3 else np.float64), (256 if k > 1 else 1, 1)).reshape(-1, 256)
+        out *= share[:, None].astype(out.dtype)
+        out[context, low & 0xFF] += (held / whole[context]).astype(out.dtype)
+        p = out.ravel()
+    return -np.log2(p)
+
+
+def _score(model: Trigrams, texts: pa.Array) -> list[pa.Array]:
+    place, data = _padded(texts)
+    sizes = np.diff(raw(texts)[0])
+    d = data.astype(np.int64)
+    code = (d[place - 2] << 16) | (d[place - 1] << 8) | d[place]
+    some = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[some]
+    out = []
+    for table in model.losses:
+        mean = np.zeros(len(sizes))
+        if some.any():
+            mean[some] = np.add.reduceat(table[code].astype(np.float64), starts) / sizes[some]
+        out.append(mean)
+    return [pa.array(sizes), pa.array(out[0]), pa.array(out[1]), pa.array(out[1] - out[0])]
+
+
+def score(df: DataFrame, model: Trigrams, text_col: str = "text") -> DataFrame:
+    """Append ``n_tokens``, ``loss_target`` and ``loss_background`` (mean bits by token) and ``score``."""
+    shipped = df.sparkSession.sparkContext.broadcast(model)
+    return map_text(df, text_col, lambda t: _score(shipped.value, t), FIELDS)

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, embed, langid, lines, minhash, secrets
+from textmill.llm import bpe, chat, decontam, embed, langid, lines, lmscore, minhash, secrets
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,13 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
+    model = lmscore.count(docs.join(good.hint("shuffle_hash"), "doc_id", "left"), F.col("good"))
+    return lmscore.score(docs, model).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.drop_recurring_lines(docs).select("doc_id", "n_lines", "n_dropped", _digest(F.coalesce("text", F.lit(""))).alias("text_sha256"))
@@ -150,6 +157,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
     "op4_embeddings": op4_embeddings,
+    "op6_cross_entropy": op6_cross_entropy,
     "op7_lines": op7_lines,
     "op8_decontam": op8_decontam,
     "op9_secrets": op9_secrets,
