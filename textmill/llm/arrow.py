@@ -34,12 +34,12 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offs - offs[0], data
 
 
-def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of ``batch`` with at most SLICE_BYTES of text each (at least one row)."""
+def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Pieces of ``batch`` with at most ``limit`` bytes of text each (at least one row)."""
     offs, _ = raw(strings(batch.column(batch.schema.get_field_index(text_col))))
     at, n = 0, batch.num_rows
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offs, offs[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, embed, langid, lines, lmscore, minhash, secrets
+from textmill.llm import bpe, chat, decontam, embed, langid, lines, lmscore, minhash, secrets, substrings
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,12 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
@@ -157,6 +163,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
     "op4_embeddings": op4_embeddings,
+    "op5_substrings": op5_substrings,
     "op6_cross_entropy": op6_cross_entropy,
     "op7_lines": op7_lines,
     "op8_decontam": op8_decontam,
