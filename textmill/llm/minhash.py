@@ -250,3 +250,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "component_id", F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("root", "id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                         width: int = WIDTH) -> DataFrame:
+    """The rows of ``df`` without those that have a near duplicate of smaller id; of rows that repeat
+    id and text one stays, and rows with a null id all stay."""
+    found = near_duplicates(df, id_col, text_col, threshold, width)
+    gone = found.where(~F.col("kept")).select(id_col).distinct()
+    once = df
+    if not found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        null_ids = df.where(F.col(id_col).isNull())
+        once = df.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(null_ids)
+    return once.join(gone.hint("shuffle_hash"), id_col, "left_anti").select(*df.columns)
