@@ -88,6 +88,14 @@ def lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32), pa.int32()), values)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_text(df: DataFrame, text_col: str, fn: Callable[..., list[pa.Array]], fields: list[T.StructField],
              also: tuple[str, ...] = ()) -> DataFrame:
     """Append the columns ``fields``, which ``fn`` makes from the text column (and ``also``), to each row.

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.arrow import map_text, raw, strings
+from textmill.llm.arrow import fresh, map_text, raw, strings
 
 ORDER = 3
 SAMPLE_DOCS = 1000
@@ -107,6 +107,8 @@ class Model:
     def __init__(self, counts: Counts, max_cells: int = MAX_CELLS):
         self.languages, self.order = counts.languages, counts.order
         n_lang = len(self.languages)
+        if not n_lang:
+            return
         seen = np.unique(counts.code[counts.length == 0])
         self.classes = len(seen) + 2  # those bytes, any other byte, and the text edge
         other, edge = len(seen), len(seen) + 1
@@ -225,6 +227,6 @@ def predict(df: DataFrame, counts: Counts, text_col: str = "text") -> DataFrame:
     languages, 0 to 1) and ``bits_per_byte`` (the winner's code length by byte)."""
     shipped = df.sparkSession.sparkContext.broadcast(counts)
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    columns = [c for c in df.columns if c != "_letter"]
-    marked = df.select(*columns, letter.alias("_letter"))
-    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=("_letter",)).drop("_letter")
+    mark = fresh(df, "letter")
+    marked = df.withColumn(mark, letter)
+    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=(mark,)).drop(mark)
