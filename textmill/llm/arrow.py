@@ -97,11 +97,11 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_text(df: DataFrame, text_col: str, fn: Callable[..., list[pa.Array]], fields: list[T.StructField],
-             also: tuple[str, ...] = ()) -> DataFrame:
+             also: tuple[str, ...] = (), limit: int = SLICE_BYTES) -> DataFrame:
     """Append the columns ``fields``, which ``fn`` makes from the text column (and ``also``), to each row.
 
     Input columns that bear the name of one of ``fields`` are replaced; all others pass through.
-    Rows never leave their task (no shuffle).
+    Rows never leave their task (no shuffle), where about ``limit`` bytes of text are taken at a time.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
@@ -111,7 +111,7 @@ def map_text(df: DataFrame, text_col: str, fn: Callable[..., list[pa.Array]], fi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, limit):
                 made = fn(strings(part.column(part.schema.get_field_index(text_col))), *(part.column(part.schema.get_field_index(c)) for c in also))
                 own = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays(own + made, names=[*kept, *(f.name for f in fields)])

@@ -49,7 +49,7 @@ def count(df: DataFrame, is_target: Column, text_col: str = "text") -> Trigrams:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", 1 << 21):
                 texts = strings(part.column(0))
                 place, data = _padded(texts)
                 if not len(place):
@@ -129,4 +129,4 @@ def _score(model: Trigrams, texts: pa.Array) -> list[pa.Array]:
 def score(df: DataFrame, model: Trigrams, text_col: str = "text") -> DataFrame:
     """Append ``n_tokens``, ``loss_target`` and ``loss_background`` (mean bits by token) and ``score``."""
     shipped = df.sparkSession.sparkContext.broadcast(model)
-    return map_text(df, text_col, lambda t: _score(shipped.value, t), FIELDS)
+    return map_text(df, text_col, lambda t: _score(shipped.value, t), FIELDS, limit=1 << 21)
