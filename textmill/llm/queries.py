@@ -76,7 +76,9 @@ OP7_SQL = f"""
 WITH l AS (
   SELECT doc_id, text, generate_subscripts(a, 1) - 1 AS no, unnest(a) AS line
   FROM (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)),
-p AS (SELECT doc_id, text, no, list_transform({_TOK}, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS parts FROM l),
+w AS (SELECT doc_id, text, no, {_TOK} AS own FROM l),
+p AS (SELECT doc_id, text, no, CASE WHEN 2 * len(list_filter(own, lambda x: regexp_matches(x, '[0-9]'))) > len(own) THEN own
+  ELSE list_transform(own, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS parts FROM w),
 q AS (SELECT *, len(parts) AS n, list_slice(parts, 1, {lines.DEPTH}) AS head FROM p WHERE len(parts) > 0),
 seen AS (SELECT DISTINCT parts, n, head, text FROM q),
 by_line AS (SELECT parts, n, head, count(*) AS texts FROM seen GROUP BY ALL),
