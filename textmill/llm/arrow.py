@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at a time; longer single texts are taken alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def strings(column: pa.Array) -> pa.Array:
@@ -36,7 +36,9 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Pieces of ``batch`` with at most ``limit`` bytes of text each (at least one row)."""
-    offs, _ = raw(strings(batch.column(batch.schema.get_field_index(text_col))))
+    column = batch.column(batch.schema.get_field_index(text_col))
+    sizes = pc.fill_null(pc.binary_length(column if not pa.types.is_null(column.type) else column.cast(pa.string())), 0)
+    offs = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64))
     at, n = 0, batch.num_rows
     while at < n:
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)

@@ -165,7 +165,7 @@ def scan(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
     for k in range(blocks):
         block = [(r.i, r.t) for r in items.where(spread == k).collect()]
         shipped = df.sparkSession.sparkContext.broadcast(WindowSet(block, window))
-        df = map_text(df, text_col, lambda *columns, s=shipped: _scan(s.value, *columns), FIELDS, also=("item_ids", "spans") if k else ())
+        df = map_text(df, text_col, lambda *columns, s=shipped: _scan(s.value, *columns), FIELDS, also=("item_ids", "spans") if k else (), limit=1 << 20)
     return df
 
 

@@ -229,4 +229,4 @@ def predict(df: DataFrame, counts: Counts, text_col: str = "text") -> DataFrame:
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     mark = fresh(df, "letter")
     marked = df.withColumn(mark, letter)
-    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=(mark,), limit=1 << 21).drop(mark)
+    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=(mark,), limit=1 << 19).drop(mark)
