@@ -82,28 +82,56 @@ def short_line_runs(s: str) -> str:
 
 
 def punct_normalize(s: str) -> str:
-    """Every punctuation rule in order (the reference list), then strip."""
-    from textmill.functions.normalize import PUNCT_RULES
-
-    for pat, rep in PUNCT_RULES:
-        s = re.sub(pat, rep.replace("$1", r"\1").replace("$2", r"\2"), s)
-    return s.strip()
-
-
-XML = [("&bar;", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&bra;", "["), ("&ket;", "]"),
-       ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&amp;", "&")]
+    """The English punctuation rules, one replacement after the other, then strip."""
+    s = s.replace("\r", "").replace("(", " (").replace(")", ") ")
+    s = re.sub(" +", " ", s)
+    s = re.sub(r"\) ([.!:?;,])", r")\1", s).replace("( ", "(").replace(" )", ")")
+    s = re.sub(r"(\d) %", r"\1%", s).replace(" :", ":").replace(" ;", ";")
+    s = s.replace("`", "'").replace("''", ' " ')
+    for a, b in [("„", '"'), ("“", '"'), ("”", '"'), ("–", "-"), ("—", " - ")]:
+        s = s.replace(a, b)
+    s = re.sub(" +", " ", s).replace("´", "'")
+    for q in "‘’‚":
+        s = s.replace(q, "'")
+    s = s.replace("''", '"').replace("…", "...")
+    nb = "\u00a0"
+    for q in ("«", "»"):
+        s = s.replace(nb + q + nb, '"').replace(q + nb if q == "«" else nb + q, '"').replace(q, '"')
+    for mark in "%:?!;":
+        s = s.replace(nb + mark, mark)
+    s = s.replace("nº" + nb, "nº ").replace(nb + "ºC", " ºC").replace(nb + "cm", " cm").replace("," + nb, ", ")
+    s = re.sub(" +", " ", s)
+    s = re.sub('"([,.]+)', r'\1"', s)
+    return re.sub(rf"(\d){nb}(\d)", r"\1.\2", s).strip()
+
+
+def xml_unescape(s: str) -> str:
+    import html
+
+    for name, char in (("bar", "|"), ("bra", "["), ("ket", "]")):
+        s = s.replace(f"&{name};", char)
+    for code in ("lt", "gt", "quot", "apos", "#91", "#93", "#124", "amp"):
+        s = s.replace(f"&{code};", html.unescape(f"&{code};"))
+    return s
+
+
+def is_cjk(char: str) -> bool:
+    blocks = ((0x1100, 0x11FF), (0x2E80, 0xA4CF), (0xA840, 0xA87F), (0xAC00, 0xD7AF), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF65, 0xFFDC), (0x20000, 0x2FFFF))
+    return any(a <= ord(char) <= b for a, b in blocks)
 
 
 def detokenize(text: str) -> str:
     """The English detokeniser rules over whitespace tokens, one token at a time."""
     t = " " + " ".join(text.split()) + " "
     t = t.replace(" @-@ ", "-")
-    for k, v in XML:
-        t = t.replace(k, v)
-    toks = t.split()
+    toks = xml_unescape(t).split()
     out, glue_next, counts = [], False, {}
     for i, tok in enumerate(toks):
         space = "" if (i == 0 or glue_next) else " "
+        if is_cjk(tok[0]):
+            out.append(tok if i > 0 and is_cjk(toks[i - 1][-1]) else space + tok)
+            glue_next = False
+            continue
         if re.fullmatch(r"[\p{Sc}(\[{¿¡]+".replace(r"\p{Sc}", "$€£¥"), tok):
             out.append(space + tok)
             glue_next = True
@@ -133,7 +161,7 @@ def detokenize(text: str) -> str:
     return re.sub(" {2,}", " ", "".join(out)).strip()
 
 
-def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2, disjoint: bool = False) -> dict:
+def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2) -> dict:
     """Batch BPE over a word-frequency dict (see textmill.operators.subword)."""
     sym = {w: ["▁"] + list(w) for w in words}
     merges = []
@@ -151,7 +179,7 @@ def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2, di
         for (a, b), _ in top:
             if len(merges) + len(chosen) >= n_merges:
                 break
-            if disjoint and (a in used or b in used):
+            if a in used or b in used:
                 continue
             chosen.append((a, b))
             used.update((a, b))

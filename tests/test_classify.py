@@ -12,13 +12,20 @@ def test_labels(spark):
 
 
 def test_bow(spark):
-    from textmill.plans.jobs import bow_from_counts
-
     counts = spark.createDataFrame([(1, 5, 3), (1, 6, 4), (2, 5, 6000)], "k long, id int, c long")
-    got = {(r.k, r.id): round(r.weight, 9) for r in bow_from_counts(counts, "k").collect()}
+    got = {(r.k, r.id): round(r.weight, 9) for r in cl.bow_from_counts(counts, "k").collect()}
     assert got == {(1, 5): 0.6, (1, 6): 0.8, (2, 5): 1.0}
 
 
+def test_bow_keeps_documents_without_tokens(spark):
+    vocab = spark.createDataFrame([("a", 2)], "token string, id int")
+    docs = spark.createDataFrame([(1, "a a"), (2, ""), (3, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.id) for r in cl.bow_long(docs, vocab).collect()}
+    assert got == {(1, 2), (1, 0), (2, 0), (3, 0)}
+    vectors = {r.doc_id: r.features for r in cl.bow_vectors(cl.bow_long(docs, vocab)).collect()}
+    assert vectors[2].size == 65536 and vectors[2][0] == 1.0
+
+
 def test_report_from_published_confusion(spark):
     rows = [(0, 0)] * 775 + [(0, 1)] * 49 + [(1, 0)] * 37 + [(1, 1)] * 2406
     pred = spark.createDataFrame(rows, "label int, prediction int")

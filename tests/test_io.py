@@ -50,12 +50,27 @@ def test_json_strings_roundtrip(spark):
     assert spark.read.text(raw_out).first()["value"] == json.dumps("ünï")
 
 
+@pytest.mark.parametrize("line", ['"broken', '"a","b"', '{"x": 1}', "3", "[]", '"a" "b"', "", "null"])
+def test_malformed_json_string_aborts(spark, line):
+    d = tempfile.mkdtemp()
+    _write(os.path.join(d, "x.jsonl"), '"good"\n' + line + "\n")
+    with pytest.raises(Exception):
+        io.read_json_strings(spark, d).collect()
+
+
+def test_json_string_keeps_unicode_line_separators(spark):
+    text = "a\u2028b\u0085c"
+    got = spark.createDataFrame([(text,)], "t string").select(io.json_string("t").alias("j")).first().j
+    assert json.loads(got) == text
+
+
 def test_books_and_metadata(spark):
     d = tempfile.mkdtemp()
     _write(os.path.join(d, "a.txt"), "Once upon a time.\nEnd.")
     _write(os.path.join(d, "b.txt"), "x" * 50)
     books = {r.book_name: r.text for r in io.read_books(spark, d, head_chars=10).collect()}
     assert books == {"a.txt": "Once upon ", "b.txt": "x" * 10}
+    assert {r.book_name: len(r.text) for r in io.read_books(spark, d).collect()} == {"a.txt": 22, "b.txt": 50}
     meta = os.path.join(d, "meta.json")
     _write(meta, json.dumps([{"book_name": "a.txt", "categories": ["Fiction", "Fantasy"]},
                              {"book_name": "b.txt", "categories": "Science Fiction"}]))

@@ -103,8 +103,8 @@ def test_file_jobs(spark, tmp_path):
 
 
 def test_corpus_plan_moves_text_only_for_dedup(spark):
-    """After the two checkpoints, the only exchange left in J1's plan is the
-    dedup shuffle by hash (broadcasts off, as for a large input)."""
+    """The only exchange in J1's plan is the dedup shuffle by hash, with both gates on
+    (broadcasts off, as for a large input), and building it runs no job and keeps AQE on."""
     from textmill.operators.vocab import build_vocab, piece_table
     from textmill.sources.tables import table
 
@@ -112,10 +112,45 @@ def test_corpus_plan_moves_text_only_for_dedup(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         vocab = build_vocab(table(spark, SF_SMALL, "documents").where(F.col("lang") == "en"))
-        out = process_corpus(docs_markup(spark, SF_SMALL), min_text_length=200, vocab=vocab,
-                             pieces=piece_table(vocab))
+        out = process_corpus(docs_markup(spark, SF_SMALL), min_text_length=200, vocab=vocab, pieces=piece_table(vocab))
         plan = out._jdf.queryExecution().executedPlan().toString()
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
     assert len(exchanges) == 1 and "hashpartitioning(hash" in exchanges[0], plan
+
+
+def test_book_files_end_to_end(spark, tmp_path):
+    """A3, A4 -> J4 -> B4, B5 -> A6 -> J5 -> B6 -> A2 -> J6 -> B3."""
+    import json
+
+    from textmill.plans.jobs import predict_genre_files, prepare_books_files, train_genre_files
+
+    books = tmp_path / "books"
+    books.mkdir()
+    meta = []
+    for k in range(40):
+        genre = ["Fiction", "Nonfiction"][k % 2]
+        text = ("dragon castle magic sword " if k % 2 == 0 else "method result table figure ") * (5 + k % 3)
+        (books / f"b{k}.txt").write_text(" \n" if k == 6 else text)
+        meta.append({"book_name": f"b{k}.txt", "categories": [genre, "x"] if k % 3 else genre})
+    meta.append({"book_name": "missing.txt", "categories": "Fiction"})
+    meta.append({"book_name": "b0.txt", "categories": "Poetry"})
+    (tmp_path / "meta.json").write_text(json.dumps(meta))
+    out, vocab, model = (str(tmp_path / x) for x in ("tokens", "vocab", "model"))
+    counts = prepare_books_files(spark, str(tmp_path / "meta.json"), str(books), out, vocab)
+    assert counts == {0: 20, 1: 21, 2: 1}
+    from textmill.sources import io
+
+    back = {r.book_name: (r.label, r.tokens) for r in io.read_tokenized_books(spark, out).collect()}
+    assert len(back) == 40 and back["b6.txt"] == (1, []) and back["b1.txt"][0] == 0 and len(back["b1.txt"][1]) == 24
+    train, test = train_genre_files(spark, out, model, kind="logreg")
+    assert {r.row: r.support for r in test.collect()}["accuracy"] == 8
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    raw = [json.dumps(t) for t in ("dragon castle magic sword " * 6, "method result table figure " * 6, "")]
+    (lines / "a.jsonl").write_text("\n".join(raw) + "\n")
+    predict_genre_files(spark, str(lines), str(tmp_path / "kept"), model, vocab)
+    kept = {r.value for r in spark.read.text(str(tmp_path / "kept")).collect()}
+    assert raw[1] not in kept and raw[0] in kept and kept <= set(raw)

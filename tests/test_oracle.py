@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from textmill.sources.tables import TABLES
 
-SKIP = {"q_train_report", "q_predict_filter", "q_stream_dedup"}
+SKIP = {name for name in entry.queries() if not name.startswith("q_")}  # those have tests of their own
 
 
 def _norm(v):

@@ -14,19 +14,31 @@ def test_bpe_matches_model(spark):
         w = "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
         words[w] = words.get(w, 0) + rng.randint(1, 20)
     df = spark.createDataFrame(list(words.items()), "token string, freq long")
-    for disjoint in (True, False):
-        merges, pieces = train_bpe(df, n_merges=40, per_round=7, checkpoint_every=2, disjoint=disjoint)
-        got = {r.token: r.pieces for r in pieces.collect()}
-        assert got == batch_bpe(words, 40, 7, disjoint=disjoint)
+    for per_round in (1, 7):
+        merges, pieces, _ = train_bpe(df, n_merges=40, per_round=per_round, checkpoint_every=2)
+        rows = pieces.collect()
+        assert {r.token: r.pieces for r in rows} == batch_bpe(words, 40, per_round)
+        assert all("".join(r.sym) == "▁" + r.token for r in rows)
         assert merges.count() <= 40
 
 
+def test_long_token_is_linear(spark):
+    import time
+
+    df = spark.createDataFrame([("ab" * 50_000, 1), ("abab", 3)], "token string, freq long")
+    t0 = time.time()
+    _, pieces, _ = train_bpe(df, n_merges=6, per_round=1)
+    got = {len(r.token): r.pieces for r in pieces.select("token", "pieces").collect()}
+    assert got[4] == 2 and got[100_000] < 13_000
+    assert time.time() - t0 < 30
+
+
 def test_bpe_model_applies_to_new_words(spark):
     from textmill.operators.subword import bpe_pieces
 
     words = {"there": 30, "the": 50, "then": 20, "hen": 5}
     df = spark.createDataFrame(list(words.items()), "token string, freq long")
-    _, pieces, model = train_bpe(df, n_merges=6, per_round=3, return_rounds=True)
+    _, pieces, model = train_bpe(df, n_merges=6, per_round=3)
     trained = {r.token: r.pieces for r in pieces.collect()}
     applied = {r.token: r.pieces for r in bpe_pieces(df.select("token"), model).collect()}
     assert applied == trained

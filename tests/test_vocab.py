@@ -30,11 +30,31 @@ def test_unk_ratio_and_gates(spark):
                                   "token string, id int, freq long")
     docs = _docs(spark, [(1, "x a x b"), (2, "a a a a a a a a a x"), (3, "a b"), (4, "   ")])
     r = {x.doc_id: x.unk_ratio for x in vb.unk_ratios(docs, vocab).collect()}
-    assert r == {1: 0.5, 2: 0.1, 3: 0.0}
+    assert r == {1: 0.5, 2: 0.1, 3: 0.0, 4: None}
     assert {x.doc_id for x in vb.unk_cut(docs, vocab, 0.1).collect()} == {2, 3}
     assert {x.doc_id for x in vb.language_filter(docs, vocab, 0.1).collect()} == {3}
-    enc = {x.doc_id: (x.ids, x.n_pad) for x in vb.encode(docs, vocab, max_len=3).collect()}
-    assert enc[1] == ([1, 2, 1], 0) and enc[3] == ([2, 3], 1)
+    enc = {x.doc_id: (x.ids, x.n_pad) for x in vb.encode(docs, vocab, max_len=3, pad_to=3).collect()}
+    assert enc[1] == ([1, 2, 1], 0) and enc[3] == ([2, 3], 1) and enc[4] == ([], 3)
+    whole = {x.doc_id: (len(x.ids), x.n_pad) for x in vb.encode(docs, vocab).collect()}
+    assert whole == {1: (4, 65532), 2: (10, 65526), 3: (2, 65534), 4: (0, 65536)}
+
+
+def test_lookup_is_bounded(spark):
+    import pytest
+
+    rows = spark.range(5).select(F.col("id").cast("string").alias("token"), F.lit(1).alias("pieces"))
+    with pytest.raises(ValueError):
+        vb.Lookup(rows, "pieces", limit=4)
+    docs = _docs(spark, [(1, "a"), (2, None), (3, "")])
+    none = spark.createDataFrame([], "token string, id int")
+    assert {x.doc_id: x.n_unk for x in vb.unk_ratios(docs, none).collect()} == {1: 1, 2: 0, 3: 0}
+
+
+def test_encode_keeps_tokens_beyond_the_vocabulary_size(spark):
+    vocab = spark.createDataFrame([("a", 2)], "token string, id int")
+    docs = _docs(spark, [(1, "a " * 70_000)])
+    r = vb.encode(docs, vocab).first()
+    assert len(r.ids) == 70_000 and r.n_pad == 0
 
 
 def test_token_char_ratio_and_windows(spark):
@@ -43,6 +63,7 @@ def test_token_char_ratio_and_windows(spark):
     docs = _docs(spark, [(1, "ab ab"), (2, "xyz ab")])
     r = {x.doc_id: x.ratio for x in vb.token_char_ratios(docs, ["doc_id"], pieces).collect()}
     assert r == {1: 2 / 5, 2: 4 / 6}
+    assert {x.doc_id for x in vb.redundancy_filter(docs, pieces, threshold=0.5).collect()} == {1}
     share = {x.doc_id: (x.n_windows, x.bad_share) for x in vb.window_bad_share(docs, pieces, 3, 0.5).collect()}
     # windows "ab ", "ab" -> ratios 1/3, 1/2 (not > .5); "xyz", " ab" -> 1.0, 1/3
     assert share == {1: (2, 0.0), 2: (2, 0.5)}

@@ -129,7 +129,7 @@ PUNCT_RULES = [
     (r"\) ([.!:?;,])", ")$1"),
     (r"\( ", "("),
     (r" \)", ")"),
-    (r"(\d) %", "$1%"),
+    (r"(\p{Nd}) %", "$1%"),
     (r" :", ":"),
     (r" ;", ";"),
     # backtick and doubled apostrophe
@@ -172,7 +172,7 @@ PUNCT_RULES = [
     # English: quotation followed by comma / period
     (r'"([,.]+)', '$1"'),
     # numbers
-    ("(\\d)\u00a0(\\d)", "$1.$2"),
+    ("(\\p{Nd})\u00a0(\\p{Nd})", "$1.$2"),
 ]
 
 
@@ -183,7 +183,7 @@ _NBSP = "\u00a0"
 PUNCT_GROUPS = [
     (slice(0, 3), r"[\r()]"),
     (slice(3, 4), None),  # space runs: always
-    (slice(4, 10), r"\) [.!:?;,]|\( | \)|\d %| [:;]"),
+    (slice(4, 10), r"\) [.!:?;,]|\( | \)|\p{Nd} %| [:;]"),
     (slice(10, 12), r"`|''"),
     (slice(12, 27), "[„“”–—´‘‚’…]|''|  "),
     (slice(27, 33), "[«»]"),
@@ -217,7 +217,10 @@ def moses_punct_normalize(c) -> Column:
 
 # XML unescapes the Moses detokeniser applies first.
 XML_UNESCAPES = [("&bar;", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&bra;", "["), ("&ket;", "]"),
-                 ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&amp;", "&")]
+                 ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&#124;", "|"), ("&amp;", "&")]
+# The blocks whose characters the Moses detokeniser writes without spaces between.
+CJK = (r"\x{1100}-\x{11FF}\x{2E80}-\x{A4CF}\x{A840}-\x{A87F}\x{AC00}-\x{D7AF}\x{F900}-\x{FAFF}"
+       r"\x{FE30}-\x{FE4F}\x{FF65}-\x{FFDC}\x{20000}-\x{2FFFF}")
 
 _RIGHT_SHIFT = r"^[\p{Sc}(\[{¿¡]+$"
 _LEFT_SHIFT = r"^[,.?!:;\\%}\])]+$"
@@ -238,7 +241,8 @@ def detokenize(tokens) -> Column:
     closing punctuation and contractions attach left, currency signs and
     opening brackets attach right, and stand-alone quote tokens alternate
     opening / closing per quote kind (a lone ``'`` after a word ending in
-    ``s`` attaches left as a possessive without counting).
+    ``s`` attaches left as a possessive without counting).  A token that begins
+    with a CJK character attaches to one that ends with such a character.
     """
     text = F.concat(F.lit(" "), F.array_join(_c(tokens), " "), F.lit(" "))
     text = F.replace(text, F.lit(" @-@ "), F.lit("-"))
@@ -247,7 +251,8 @@ def detokenize(tokens) -> Column:
 
     def with_tokens(toks):
         n = F.size(toks)
-        kinds = F.transform(toks, lambda t, i: F.when(F.regexp_like(t, F.lit(_RIGHT_SHIFT)), F.lit("R"))
+        kinds = F.transform(toks, lambda t, i: F.when(F.regexp_like(t, F.lit(f"^[{CJK}]")), F.lit("K"))
+                            .when(F.regexp_like(t, F.lit(_RIGHT_SHIFT)), F.lit("R"))
                             .when(F.regexp_like(t, F.lit(_LEFT_SHIFT)), F.lit("L"))
                             .when((i > 0) & F.regexp_like(t, F.lit(_CONTRACTION)), F.lit("C"))
                             .when(F.regexp_like(t, F.lit(_QUOTE)), F.lit("Q"))
@@ -258,20 +263,24 @@ def detokenize(tokens) -> Column:
             return let(F.filter(idx, lambda i: F.element_at(kd, i + 1) == "Q"), lambda qidx: with_q(kd, qidx))
 
         def with_q(kd, qidx):
-            init = F.struct(F.create_map().cast("map<string,int>").alias("m"), F.array().cast("array<int>").alias("d"))
-
-            def step(acc, i):
+            # Quotes of one kind open and close in turn; "n" counts, "p" is a possessive, which
+            # counts only where it closes.  Read from the left, "n" and whatever follows it are
+            # a pair (0 opens, 1 closes), any other "p" stands alone (2).  The kinds are laid
+            # out one after the other, so one regex scan decides all of them.
+            def quote(i):
                 tok = F.element_at(toks, i + 1)
-                key = F.when(F.regexp_like(tok, F.lit(_DOUBLE_QUOTES)), F.lit('"')).otherwise(tok)
-                cnt = F.coalesce(F.try_element_at(acc["m"], key), F.lit(0))
-                bumped = F.map_concat(F.map_filter(acc["m"], lambda k, v: k != key), F.create_map(key, cnt + 1))
-                prev = F.when(i > 0, F.element_at(toks, F.greatest(i, F.lit(1)))).otherwise(F.lit(""))
-                poss = (tok == "'") & (i > 0) & prev.endswith("s")
-                return (F.when((cnt % 2 == 0) & poss, F.struct(acc["m"].alias("m"), F.concat(acc["d"], F.array(F.lit(2))).alias("d")))
-                        .when(cnt % 2 == 0, F.struct(bumped.alias("m"), F.concat(acc["d"], F.array(F.lit(0))).alias("d")))
-                        .otherwise(F.struct(bumped.alias("m"), F.concat(acc["d"], F.array(F.lit(1))).alias("d"))))
-
-            dec = F.aggregate(qidx, init, step)["d"]
+                poss = (tok == "'") & (i > 0) & F.element_at(toks, F.greatest(i, F.lit(1))).endswith("s")
+                return F.struct(F.when(F.regexp_like(tok, F.lit(_DOUBLE_QUOTES)), F.lit('"')).otherwise(tok).alias("key"),
+                                i.alias("i"), F.when(poss, F.lit("p")).otherwise(F.lit("n")).alias("f"))
+
+            def decide(qs):
+                flags = F.array_join(F.transform(qs, lambda q, j: F.when(
+                    (j > 0) & (q["key"] != F.element_at(qs, F.greatest(j, F.lit(1)))["key"]), F.concat(F.lit("|"), q["f"])).otherwise(q["f"])), "")
+                decided = F.translate(F.regexp_replace(flags, "n[np]", "01"), "np|", "02")
+                by_place = F.array_sort(F.zip_with(qs, F.split(decided, ""), lambda q, x: F.struct(q["i"].alias("i"), x.try_cast("int").alias("d"))))
+                return F.transform(F.filter(by_place, lambda x: x["i"].isNotNull()), lambda x: x["d"])
+
+            dec = let(F.array_sort(F.transform(qidx, quote)), decide)
             # rank of each quote token among the quote tokens (1-based), O(n)
             qrank = prefix_sums(F.transform(kd, lambda k: F.when(k == "Q", F.lit(1)).otherwise(F.lit(0))))
 
@@ -285,7 +294,8 @@ def detokenize(tokens) -> Column:
 
                 def attaches_left(i):
                     k = F.element_at(kd, i + 1)
-                    return (k == "L") | (k == "C") | ((k == "Q") & (qd(i) != 0))
+                    after_cjk = F.regexp_like(F.element_at(toks, F.greatest(i, F.lit(1))), F.lit(f"[{CJK}]$"))
+                    return (k == "L") | (k == "C") | ((k == "Q") & (qd(i) != 0)) | ((k == "K") & after_cjk)
 
                 pieces = F.transform(toks, lambda t, i: F.when(
                     (i > 0) & ~attaches_left(i) & ~opens(F.greatest(i - 1, F.lit(0))), F.concat(F.lit(" "), t))
@@ -305,7 +315,7 @@ def detokenize(tokens) -> Column:
 # rewrites before splitting (XML entities, ``@-@``).
 _WS = rx.PY_WS
 _SPECIAL_TOKEN = ("(?:^|" + _WS + ")(?:[\\p{Sc}(\\[{¿¡]+|[,.?!:;\\\\%}\\])]+|['\"„“`]+)(?=" + _WS + "|$)"
-                  "|" + _WS + "'\\p{IsAlphabetic}|&|@-@")
+                  "|" + _WS + "'\\p{IsAlphabetic}|&|@-@|[" + CJK + "]" + _WS + "+[" + CJK + "]")
 
 
 def fix_tokenized(c) -> Column:
@@ -327,12 +337,13 @@ def normalize_text(c) -> Column:
     return fix_tokenized(moses_punct_normalize(special_normalize(c)))
 
 
-# Moses tokeniser (D22), English, without the non-breaking-prefix word list:
-# fixed rule values as published with the Moses scripts.
+# Moses tokeniser (D22) rules for English, as published with the Moses scripts;
+# the word-final period is handled between the two lists.
 TOKENIZE_RULES = [
-    (r"\s+", " "),
+    (r"(?U)\s+", " "),
     (r"[\x00-\x1f]", ""),
     (r"([^\p{IsAlphabetic}\p{N}\s\.'`,\-])", " $1 "),
+    (r"(\.{2,})", " $1 "),
     (r"([^\p{N}]),", "$1 , "),
     (r",([^\p{N}])", " , $1"),
     (r"(\p{N}),$", "$1 ,"),
@@ -341,7 +352,8 @@ TOKENIZE_RULES = [
     (r"(\p{IsAlphabetic})'([^\p{IsAlphabetic}])", "$1 ' $2"),
     (r"(\p{IsAlphabetic})'(\p{IsAlphabetic})", "$1 '$2"),
     (r"(\p{N})'(s)", "$1 '$2"),
-    (r"\.([\]\)}>\"']*) *$", " . $1"),
+]
+ESCAPE_RULES = [
     (r"&", "&amp;"),
     (r"\|", "&#124;"),
     (r"<", "&lt;"),
@@ -351,11 +363,35 @@ TOKENIZE_RULES = [
     (r"\[", "&#91;"),
     (r"\]", "&#93;"),
 ]
+# English words whose final period is no sentence end (single capitals are added by
+# rule), and those for which that holds only before a number.
+PERIOD_WORDS = [
+    "Adj", "Adm", "Adv", "Asst", "Bart", "Bldg", "Brig", "Bros", "Capt", "Cmdr", "Col", "Comdr", "Con", "Corp", "Cpl", "DR", "Dr", "Drs",
+    "Ens", "Gen", "Gov", "Hon", "Hr", "Hosp", "Insp", "Lt", "MM", "MR", "MRS", "MS", "Maj", "Messrs", "Mlle", "Mme", "Mr", "Mrs", "Ms",
+    "Msgr", "Op", "Ord", "Pfc", "Ph", "Prof", "Pvt", "Rep", "Reps", "Res", "Rev", "Rt", "Sen", "Sens", "Sfc", "Sgt", "Sr", "St", "Supt",
+    "Surg", "v", "vs", "i.e", "rev", "e.g", "Nos", "Nr",
+]
+NUMBER_WORDS = ["No", "Art", "pp"]
+
+
+def _split_period(t, following) -> Column:
+    """A word-final period becomes a token unless the word is an abbreviation (it holds another
+    period and a letter, is listed, or a lower-case word follows)."""
+    pre = F.regexp_extract(t, r"^(\S+)\.$", 1)
+    kept = ((F.instr(pre, ".") > 0) & F.regexp_like(pre, F.lit(r"\p{IsAlphabetic}"))) | F.regexp_like(pre, F.lit("^[A-Z]$")) \
+        | pre.isin(*PERIOD_WORDS) | F.regexp_like(following, F.lit(r"^\p{IsLowercase}")) \
+        | (pre.isin(*NUMBER_WORDS) & F.regexp_like(following, F.lit("^[0-9]")))
+    return F.when((pre == "") | F.regexp_like(t, F.lit(r"^\.+$")) | kept, t).otherwise(F.concat(pre, F.lit(" .")))
 
 
 def moses_tokenize(c) -> Column:
-    """``ARRAY<STRING>`` Moses-style tokens (no non-breaking prefixes)."""
+    """``ARRAY<STRING>`` Moses tokens (English)."""
     t = strip_ws(_c(c))
     for pat, rep in TOKENIZE_RULES:
         t = F.regexp_replace(t, pat, rep)
-    return F.filter(F.split(strip_ws(t), " +", -1), lambda x: x != "")
+    words = F.filter(F.split(t, " +", -1), lambda x: x != "")
+    t = let(words, lambda w: F.array_join(F.transform(w, lambda x, i: _split_period(x, F.coalesce(F.get(w, i + 1), F.lit("")))), " "))
+    t = F.regexp_replace(t, r"\.' ?$", " . ' ")
+    for pat, rep in ESCAPE_RULES:
+        t = F.regexp_replace(t, pat, rep)
+    return F.filter(F.split(t, " +", -1), lambda x: x != "")

@@ -92,12 +92,7 @@ def let(value, body) -> Column:
 
 def cut_license(c) -> Column:
     """Truncate before the newline that opens the first end-of-book licence line."""
-
-    def body(t):
-        pos = F.regexp_instr(t, F.lit(rx.END_LICENSE))
-        return F.when(pos > 0, F.substring(t, F.lit(1), pos - 1)).otherwise(t)
-
-    return let(c, body)
+    return F.regexp_replace(_c(c), rx.END_LICENSE + r"(?s:.*)\z", "")
 
 
 def header_match_end(c) -> Column:
@@ -165,9 +160,10 @@ def drop_contents_runs(c) -> Column:
 
 
 def is_upper(c) -> Column:
-    """Python ``str.isupper()``: has a cased char and every cased char is upper case."""
+    """Python ``str.isupper()``: has an upper-case character, and none of lower or title case
+    (by Unicode property: the ordinal indicators count as lower case)."""
     c = _c(c)
-    return (F.upper(c) == c) & (F.lower(c) != c)
+    return F.regexp_like(c, F.lit(r"\p{IsUppercase}")) & ~F.regexp_like(c, F.lit(r"[\p{IsLowercase}\p{Lt}]"))
 
 
 def has_non_space(c) -> Column:

@@ -20,7 +20,7 @@ CJK = (r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73
 # BERT punctuation: ASCII symbol ranges plus every Unicode P* character.
 PUNCT = r"[\p{P}!-/:-@\[-`{-~]"
 CONTROL = r"[\p{C}&&[^\t\n\r]]|\x{FFFD}"
-WHITESPACE = r"[\s\p{Zs}]"
+WHITESPACE = r"[\s\p{Z}]"
 
 
 def word_normalize(c) -> Column:

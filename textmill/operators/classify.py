@@ -10,6 +10,8 @@ regression).  The stratified split is exact and distributed: a global sort by
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.operators import vocab as vb
+from textmill.session import checkpoint_dir
 
 FICTION, NONFICTION, UNKNOWN = 1, 0, 2
 BOW_CLIP = 5000
@@ -52,44 +55,38 @@ def concat_labelled(fiction: DataFrame, nonfiction: DataFrame, label_col: str =
             .unionByName(nonfiction.withColumn(label_col, F.lit(NONFICTION))))
 
 
-def bow_long(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-             max_len: int = vb.VOCAB_SIZE, clip: int = BOW_CLIP, count_pad: bool = True) -> DataFrame:
-    """G6 in long form: ``key, id, weight``.
+def bow_long(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text", clip: int = BOW_CLIP) -> DataFrame:
+    """G6 in long form: ``key, id, weight`` (see ``bow_from_ids``)."""
+    return bow_from_ids(vb.encode(docs, vocab, key, text_col), key, clip)
 
-    Token ids come from the vocabulary lookup of the first ``max_len`` tokens;
-    the left padding up to ``max_len`` is counted as id 0 (as the reference's
-    padded id lists do) without being materialised.  Counts are clipped at
-    ``clip`` and each document's vector is L2-normalised.
-    """
-    docs = vb.by_doc(docs.select(key, text_col), key)
-    toks = vb.token_rows(docs, [key], text_col, pos=True).where(F.col("pos") < max_len)
-    ids = vb.lookup_ids(toks, vocab)
-    counts = ids.groupBy(key, "id").agg(F.count(F.lit(1)).alias("c"))
-    if count_pad:
-        n = ids.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        pad = n.where(F.col("n") < max_len).select(key, F.lit(vb.PAD_ID).alias("id"),
-                                                  (F.lit(max_len) - F.col("n")).alias("c"))
-        counts = counts.unionByName(pad)
-    from textmill.plans.jobs import bow_from_counts
 
+def bow_from_ids(encoded: DataFrame, key: str = "doc_id", clip: int = BOW_CLIP) -> DataFrame:
+    """G6 from ``key, ids, n_pad``: counts per id, the left padding counted as id 0
+    without being materialised, clipped at ``clip`` and L2-normalised per document.
+    A document without tokens is all padding: weight 1 at id 0."""
+    pad = F.when(F.col("n_pad") > 0, F.array(F.struct(F.lit(vb.PAD_ID).alias("id"), F.col("n_pad").cast("long").alias("n"))))
+    rows = F.concat(F.transform("ids", lambda i: F.struct(i.alias("id"), F.lit(1).cast("long").alias("n"))),
+                    F.coalesce(pad, F.array().cast("array<struct<id:int,n:bigint>>")))
+    counts = encoded.select(key, F.explode(rows).alias("r")).groupBy(key, F.col("r.id").alias("id")).agg(F.sum("r.n").alias("c"))
     return bow_from_counts(counts, key, clip)
 
 
+def bow_from_counts(counts: DataFrame, key: str, clip: int = BOW_CLIP) -> DataFrame:
+    """G6 from ``key, id, c`` counts: clip, then L2-normalise per document."""
+    c = F.least(F.col("c"), F.lit(clip)).cast("double")
+    clipped = counts.select(key, F.col("id").cast("int").alias("id"), c.alias("c"))
+    norm = F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy(key)))
+    return clipped.select(key, "id", (F.col("c") / norm).alias("weight"))
+
+
 @F.udf(VectorUDT(), useArrow=True)
 def _sparse(size, ids, ws):
     """One ML vector per document (Arrow-batched; Spark SQL cannot build a UDT value)."""
     return SparseVector(size, ids, ws)
 
 
-def bow_vectors(long: DataFrame, size: int, key: str = "doc_id", max_id: int | None = None) -> DataFrame:
-    """One sparse vector per document (``key, features``).
-
-    ``max_id`` keeps only ids below it (a reduced vocabulary for the trees);
-    weights stay those of the full-width normalisation.
-    """
-    if max_id is not None:
-        long = long.where(F.col("id") < max_id)
-        size = max_id
+def bow_vectors(long: DataFrame, size: int = vb.VOCAB_SIZE, key: str = "doc_id") -> DataFrame:
+    """One sparse vector over all ``size`` ids per document (``key, features``)."""
     packed = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "weight"))).alias("p"))
     return packed.select(key, _sparse(F.lit(size), F.col("p.id"), F.col("p.weight")).alias("features"))
 
@@ -114,7 +111,14 @@ def train_classifier(train: DataFrame, label_col: str = "label", kind: str = "gb
         est = GBTClassifier(featuresCol="features", labelCol=label_col, seed=seed, maxIter=max_iter)
     else:
         est = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter)
-    return Pipeline(stages=[est]).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+    model = Pipeline(stages=[est]).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+    if kind == "gbt":
+        return model
+    # A fitted regression holds its training summary, and with it the session, which can't be sent
+    # to tasks once the session has run counters (Observation); the saved model has none.
+    path = f"{checkpoint_dir(train.sparkSession)}/model-{uuid.uuid4().hex}"
+    save_model(model, path)
+    return load_model(path)
 
 
 def predict(model: PipelineModel, feats: DataFrame) -> DataFrame:

@@ -45,14 +45,16 @@ def union_hashes(old: DataFrame, new_rows: DataFrame, key: str = "hash") -> Data
 
 
 def duplicate_count(before: DataFrame, after: DataFrame) -> int:
-    """rows dropped as duplicates (in-run plus known)."""
-    return before.count() - after.count()
+    """rows dropped as duplicates (in-run plus known), in one job."""
+    rows = before.select(F.lit(1).alias("w")).unionByName(after.select(F.lit(-1).alias("w")))
+    return rows.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
 
 
 def load_hash_list(spark: SparkSession, path: str) -> DataFrame:
-    """The saved hash list, or an empty one when the path does not exist."""
+    """The saved hash list (with all its columns), or an empty one when the
+    path does not exist."""
     if path and _exists(spark, path):
-        return spark.read.parquet(path).select("hash")
+        return spark.read.parquet(path)
     return spark.createDataFrame([], HASH_SCHEMA)
 
 

@@ -4,66 +4,62 @@ The reference's subword model file is missing; this trains one from the
 corpus.  The training data is the word-count table (one row per distinct
 word, with its frequency), never the raw text again.  Each round is one
 aggregate over adjacent symbol pairs (weighted by word frequency, combined
-map-side), a bounded top-k of the best pairs, and one ``aggregate`` per word
-that applies them in a single left-to-right scan.  Several pairs are merged
-per round: the ``per_round`` best pairs (with ``disjoint=True`` only those
-sharing no symbol with a pair already taken this round, closer to one-merge
-BPE but more rounds).  The word table is checkpointed to the shared
+map-side), a bounded top-k of the best pairs, and one linear rewrite of each
+word.  A round takes the best pairs that share no symbol with one another, up
+to ``per_round`` of them (1: plain BPE); each merge is then the same as if it
+had been chosen alone.  The word table is checkpointed to the shared
 checkpoint folder every few rounds to cut lineage.
 
-A word's piece count is the length of its final symbol list (a word-start
-marker counts as a symbol until it is merged into the first piece).
+A word is kept as one string of marked symbols, so a merge is a plain string
+replacement: linear in the word, left to right, never overlapping.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.operators.vocab import word_counts
 
 WORD_START = "▁"
-SEP = "\u0001"
+# Around each symbol; the word normaliser leaves no control characters in words.
+OPEN, CLOSE = "\u0001", "\u0002"
 
 
-def _symbols(token) -> F.Column:
-    return F.concat(F.array(F.lit(WORD_START)), F.regexp_extract_all(token, F.lit("(?s)."), 0))
+def _marked(token: Column) -> Column:
+    """The word mark and each character as a symbol of its own."""
+    return F.concat(F.lit(OPEN + WORD_START + CLOSE), F.regexp_replace(token, "(?s)(.)", OPEN + "$1" + CLOSE))
 
 
-def _apply(sym, keys: list[str]) -> F.Column:
-    """Merge, left to right, every adjacent pair listed in ``keys`` ("a" SEP "b")."""
-    lit_keys = F.array(*[F.lit(k) for k in keys])
+def _symbols(word: Column) -> Column:
+    """The symbols of a marked word, as an array."""
+    return F.split(F.regexp_replace(word, f"^{OPEN}|{CLOSE}$", ""), CLOSE + OPEN, -1)
 
-    def step(acc, s):
-        last = F.try_element_at(acc, F.lit(-1))
-        hit = last.isNotNull() & F.array_contains(lit_keys, F.concat(last, F.lit(SEP), s))
-        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(last, s)))
-        return F.when(hit, merged).otherwise(F.concat(acc, F.array(s)))
 
-    return F.aggregate(sym, F.array().cast("array<string>"), step)
+def _merged(word: Column, merges: list[tuple[str, str]]) -> Column:
+    """Apply the merges one after the other (a fold, so the expression stays flat)."""
+    if not merges:
+        return word
+    steps = F.array(*(F.struct(F.lit(OPEN + a + CLOSE + OPEN + b + CLOSE).alias("old"), F.lit(OPEN + a + b + CLOSE).alias("new")) for a, b in merges))
+    return F.aggregate(steps, word, lambda w, m: F.replace(w, m["old"], m["new"]))
 
 
-def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 100, min_count: int = 2,
-              checkpoint_every: int = 5, disjoint: bool = False, return_rounds: bool = False):
-    """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces)``:
-    ``merges(rank, left, right)`` in the order learnt, ``pieces(token, pieces)``
-    for the training words; with ``return_rounds`` also the model itself, the
-    list of per-round merge sets (at most ``n_merges`` pairs, driver-side),
-    which ``bpe_pieces`` applies to any other words."""
+def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 25, min_count: int = 2, checkpoint_every: int = 5):
+    """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces, model)``:
+    ``merges(rank, left, right)`` in the order learnt, ``pieces(token, sym,
+    pieces)`` of the training words, and the merges as a list (at most
+    ``n_merges`` pairs), which ``bpe_pieces`` applies to any other words."""
     from textmill.session import checkpoint_dir
 
     spark = words.sparkSession
     checkpoint_dir(spark)
-    w = words.select("token", "freq", _symbols(F.col("token")).alias("sym")).checkpoint()
-    merges: list[tuple[str, str]] = []
-    model: list[list[str]] = []
+    w = words.select("token", "freq", _marked(F.col("token")).alias("word")).checkpoint()
+    model: list[tuple[str, str]] = []
     rounds = 0
-    while len(merges) < n_merges:
-        pairs = (w.where(F.size("sym") > 1)
-                 .select("freq", F.explode(F.transform(F.sequence(F.lit(1), F.size("sym") - 1),
-                                                       lambda i: F.struct(F.element_at("sym", i).alias("a"),
-                                                                          F.element_at("sym", i + 1).alias("b"))))
-                         .alias("p"))
+    while len(model) < n_merges:
+        sym = _symbols(F.col("word"))
+        pairs = (w.select("freq", F.explode(F.arrays_zip(sym.alias("a"), F.slice(sym, 2, F.size(sym)).alias("b"))).alias("p"))
+                 .where(F.col("p.b").isNotNull())
                  .groupBy("p.a", "p.b").agg(F.sum("freq").alias("c"))
                  .where(F.col("c") >= min_count))
         top = pairs.orderBy(F.desc("c"), "a", "b").limit(per_round).collect()
@@ -72,42 +68,38 @@ def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 100, min_
         used: set[str] = set()
         chosen = []
         for r in top:
-            if len(merges) + len(chosen) >= n_merges:
-                break
-            if disjoint and (r.a in used or r.b in used):
-                continue
-            chosen.append((r.a, r.b))
-            used.update((r.a, r.b))
-        merges.extend(chosen)
-        model.append([a + SEP + b for a, b in chosen])
-        w = w.withColumn("sym", _apply(F.col("sym"), model[-1]))
+            if r.a not in used and r.b not in used and len(model) + len(chosen) < n_merges:
+                chosen.append((r.a, r.b))
+                used |= {r.a, r.b}
+        model += chosen
+        w = w.withColumn("word", _merged(F.col("word"), chosen))
         rounds += 1
         if rounds % checkpoint_every == 0:
             w = w.checkpoint()
-    merges_df = spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(merges)],
-                                      "rank int, left string, right string")
-    pieces = w.select("token", F.size("sym").cast("int").alias("pieces"))
-    return (merges_df, pieces, model) if return_rounds else (merges_df, pieces)
-
-
-def bpe_pieces(tokens: DataFrame, model: list[list[str]]) -> DataFrame:
-    """Apply a trained model (its per-round merge sets, in order) to the
-    distinct ``token`` values of ``tokens``: ``token, pieces``.  Reproduces
-    exactly what training did to its own words."""
-    sym = _symbols(F.col("token"))
-    for keys in model:
-        sym = _apply(sym, keys) if keys else sym
-    return tokens.select("token").distinct().select("token", F.size(sym).cast("int").alias("pieces"))
-
-
-def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, per_round: int = 100,
-                    min_word_freq: int = 2, train_docs: DataFrame | None = None, **kw) -> DataFrame:
-    """G5 piece table ``token, pieces`` for every word of ``docs``, from a BPE
-    model trained on the words of ``train_docs`` (default ``docs``) that occur
-    at least ``min_word_freq`` times (the usual BPE training set)."""
+    merges = spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(model)], "rank int, left string, right string")
+    return merges, _pieces(w), model
+
+
+def _pieces(marked: DataFrame) -> DataFrame:
+    return marked.select("token", _symbols(F.col("word")).alias("sym")).withColumn("pieces", F.size("sym"))
+
+
+def bpe_pieces(tokens: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
+    """Apply a trained model to the distinct ``token`` values of ``tokens``:
+    ``token, sym, pieces``.  Does to its words exactly what training did."""
+    return _pieces(tokens.select("token").distinct().withColumn("word", _merged(_marked(F.col("token")), model)))
+
+
+def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, min_word_freq: int = 1,
+                    train_docs: DataFrame | None = None, keep_pieces: bool = False, **kw) -> DataFrame:
+    """G5 piece table ``token, pieces`` (and ``sym``, the pieces, if asked) for every
+    word of ``docs``, from a BPE model trained on the words of ``train_docs``
+    (default ``docs``) that occur at least ``min_word_freq`` times.  It is
+    written to the checkpoint folder once: a later join reads it as it is."""
     from textmill.operators.vocab import token_rows
 
-    words = word_counts(train_docs if train_docs is not None else docs, text_col) \
-        .where(F.col("freq") >= min_word_freq)
-    _, _, model = train_bpe(words, n_merges=n_merges, per_round=per_round, return_rounds=True, **kw)
-    return bpe_pieces(token_rows(docs, [], text_col), model)
+    words = word_counts(train_docs if train_docs is not None else docs, text_col).where(F.col("freq") >= min_word_freq)
+    _, pieces, model = train_bpe(words, n_merges=n_merges, **kw)
+    if train_docs is not None or min_word_freq > 1:
+        pieces = bpe_pieces(token_rows(docs, [], text_col), model)
+    return (pieces if keep_pieces else pieces.select("token", "pieces")).checkpoint()

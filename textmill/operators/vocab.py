@@ -1,60 +1,31 @@
 """Vocabulary, encoding and token-ratio operators.
 
-All of them are shuffle aggregates or joins over exploded tokens:
-
-* the vocabulary is a ``groupBy(token).count()`` (map-side combined, so a hot
+* The vocabulary is a ``groupBy(token).count()`` (map-side combined, so a hot
   token such as "the" costs one row per partition, not one per occurrence),
-  pruned by a count histogram, then ranked in one task only when the exact
-  candidate count is at most ``RANK_IN_ONE_TASK`` and by a distributed global
-  rank otherwise;
-* per-document ratios explode tokens, hash-join the vocabulary (broadcast only
-  after its size is checked) and aggregate per document.  When the input is
-  hash-partitioned by the document key (``by_doc``) the aggregate and the
-  join back reuse that partitioning and add no shuffle.
+  pruned by a count histogram, then ranked by a distributed global rank.
+* It has at most ``VOCAB_SIZE`` rows by construction, so it is sent to every
+  task once and each text is scored where it is: ids, unknown counts and piece
+  counts are narrow (no shuffle), by an Arrow-batched lookup of the token
+  lists that the JVM makes.
+* Piece tables of any size (a BPE table has a row for each word of the corpus)
+  go through a join of (row, token) counts instead (``token_char_ratios``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.functions.segment import prefix_sums
 from textmill.functions.tokens import word_tokens
 
 PAD, UNK = "<pad>", "<unk>"
 PAD_ID, UNK_ID = 0, 1
 VOCAB_SIZE = 2**16
 MIN_FREQ = 2**3
-# Broadcast a lookup table only below this many estimated bytes.
-BROADCAST_LIMIT = 64 * 1024 * 1024
-# Rank vocabulary candidates in one task only up to this many rows (counted
-# exactly before); beyond it a distributed global rank is used.
-RANK_IN_ONE_TASK = 1_000_000
-
-
-def by_doc(df: DataFrame, key: str = "doc_id", n: int | None = None) -> DataFrame:
-    """Hash-partition by the document key once, so that per-document aggregates
-    of exploded tokens and the joins back to the text need no further shuffle.
-
-    The partition count is fixed so that AQE does not coalesce it away and a
-    checkpoint of the result keeps the partitioning for the later
-    per-document joins.  Unless given it is the larger of
-    ``spark.sql.shuffle.partitions`` and a quarter of the input splits (scan
-    splits are at most ``spark.sql.files.maxPartitionBytes``, 32 MB here, so
-    shuffle partitions hold about four splits' worth of text)."""
-    if n is None:
-        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions() // 4)
-    # The explicit not-null filter keeps both readers of the partitioned rows
-    # identical (the join would otherwise infer it on one side only), so Spark
-    # reuses the one exchange instead of shuffling the text twice.
-    return df.where(F.col(key).isNotNull()).repartition(n, key)
-
-
-def _maybe_broadcast(table: DataFrame, size_expr: Column) -> DataFrame:
-    """Broadcast ``table`` only if its measured size is below the limit."""
-    est = table.agg(F.coalesce(F.sum(size_expr), F.lit(0)).alias("b")).first()["b"]
-    return F.broadcast(table) if est < BROADCAST_LIMIT else table
-
-
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """1-based rank over the whole DataFrame in ``order`` without a single task.
 
@@ -106,17 +77,9 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     # the k-th largest count can enter the vocabulary.
     hist = counts.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
     cum = hist.select("freq", F.sum("n").over(Window.orderBy(F.desc("freq"))).alias("cum"))
-    row = cum.agg(F.max(F.when(F.col("cum") >= k, F.col("freq"))).alias("cut"),
-                  F.min(F.when(F.col("cum") >= k, F.col("cum"))).alias("n_cut"),
-                  F.max("cum").alias("n_all")).first()
-    cand = counts if row["cut"] is None else counts.where(F.col("freq") >= row["cut"])
-    n_cand = row["n_all"] if row["cut"] is None else row["n_cut"]
-    order = [F.desc("freq"), F.asc("token")]
-    if (n_cand or 0) <= RANK_IN_ONE_TASK:
-        # The candidate count is known exactly and small: rank them in one task.
-        ranked = cand.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    else:
-        ranked = global_rank(cand, *order)
+    cut = cum.agg(F.max(F.when(F.col("cum") >= k, F.col("freq")))).first()[0]
+    cand = counts if cut is None else counts.where(F.col("freq") >= cut)
+    ranked = global_rank(cand, F.desc("freq"), F.asc("token"))
     words = ranked.where(F.col("rank") <= k).select("token", (F.col("rank") + 1).cast("int").alias("id"), "freq")
     spark = docs.sparkSession
     specials = spark.createDataFrame([(PAD, PAD_ID, 0), (UNK, UNK_ID, 0)], "token string, id int, freq long")
@@ -136,73 +99,100 @@ def load_or_build_vocab(docs: DataFrame, path: str, **kw) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def lookup_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """token -> id with ``<unk>`` as default (left join, small side broadcast if it fits)."""
-    v = _maybe_broadcast(vocab.select("token", "id"), F.length("token") + 24)
-    return (tokens.join(v, "token", "left")
-            .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK_ID))))
+class Lookup:
+    """A token table small enough to be sent to every task: sorted tokens and a number for each."""
+
+    def __init__(self, rows: DataFrame, value: str, limit: int = VOCAB_SIZE):
+        found = rows.select("token", F.col(value).cast("int").alias("v")).limit(limit + 1).toArrow()
+        if found.num_rows > limit:
+            raise ValueError(f"a lookup table may have at most {limit} rows")
+        self.shipped = rows.sparkSession.sparkContext.broadcast(
+            (found["token"].combine_chunks(), found["v"].to_numpy().astype("int32")))
+
+    def column(self, tokens: Column, returns: str, fn) -> Column:
+        """Apply ``fn(token lists, values or -1, token array)`` to Arrow batches of token lists."""
+        shipped = self.shipped
+
+        @F.arrow_udf(returns)
+        def run(lists: pa.Array) -> pa.Array:
+            names, values = shipped.value
+            lists = pa.concat_arrays([lists])
+            flat = lists.flatten()
+            at = pc.index_in(flat, value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
+            found = np.where(at >= 0, values[at], -1) if len(values) else np.full(len(flat), -1, "int32")
+            return fn(lists, found.astype("int32"), flat)
+
+        return run(tokens)
+
+
+def _sums(lists: pa.ListArray, values: np.ndarray) -> np.ndarray:
+    """The sum of each list's values."""
+    total = np.append(0, np.cumsum(values, dtype=np.int64))
+    offs = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, int)
+    return total[offs[1:]] - total[offs[:-1]]
+
+
+def _ids(lists, found, _):
+    offs = pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32()) if len(lists) else pa.array([0], pa.int32())
+    return pa.ListArray.from_arrays(offs, pa.array(np.where(found < 0, UNK_ID, found), pa.int32()))
+
+
+def _unknown(lists, found, _):
+    n = pc.list_value_length(lists).cast(pa.int64())
+    return pa.StructArray.from_arrays([n, pa.array(_sums(lists, (found <= UNK_ID).astype(np.int64)))], names=["n_tokens", "n_unk"])
+
+
+def _pieces(lists, found, flat):
+    own = np.where(found < 0, pc.utf8_length(flat).to_numpy(zero_copy_only=False), found)
+    return pa.array(_sums(lists, own))
 
 
 def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-           max_len: int = VOCAB_SIZE) -> DataFrame:
-    """``key, ids, n_pad``: ids in text order, truncated to ``max_len``; the
-    left padding to ``max_len`` stays virtual (``n_pad`` pad ids)."""
-    # Partition the text by key first: the per-document list is then built
-    # where the tokens are produced, instead of shuffling every token row.
-    docs = by_doc(docs.select(key, text_col), key)
-    ids = lookup_ids(token_rows(docs, [key], text_col, pos=True), vocab)
-    enc = (ids.groupBy(key)
-           .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-           .select(key, F.slice(F.transform("_p", lambda x: x["id"]), 1, max_len).alias("ids")))
-    return enc.withColumn("n_pad", F.greatest(F.lit(0), F.lit(max_len) - F.size("ids")))
-
-
-def unk_ratios(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-               pad_to: int | None = None, carry: list[str] | None = None) -> DataFrame:
-    """``key, n_tokens, n_unk, unk_ratio`` per document.
-
-    Documents without tokens get a NULL ratio (the reference divides by zero).
+           max_len: int | None = None, pad_to: int = VOCAB_SIZE) -> DataFrame:
+    """G3 + F7: ``key, ids, n_pad``: ids in text order (``<unk>`` as default); the
+    left padding to ``pad_to`` stays virtual (``n_pad`` pad ids).  A text without
+    tokens has no ids, only padding.  ``max_len`` truncates (off)."""
+    toks = word_tokens(F.coalesce(F.col(text_col), F.lit("")))
+    toks = toks if max_len is None else F.slice(toks, 1, max_len)
+    ids = Lookup(vocab, "id").column(toks, "array<int>", _ids)
+    return docs.select(key, ids.alias("ids")).withColumn("n_pad", F.greatest(F.lit(0), F.lit(pad_to) - F.size("ids")))
+
+
+def with_unk_ratio(docs: DataFrame, vocab: DataFrame, text_col: str = "text", pad_to: int | None = None,
+                   head_chars: int | None = None) -> DataFrame:
+    """Adds ``n_tokens, n_unk, unk_ratio`` to every row, in place (no shuffle).
+
+    Rows without tokens get a NULL ratio (the reference divides by zero).
     ``pad_to`` reproduces a tokenizer saved with padding: the denominator is
     then ``max(pad_to, n_tokens)`` and only the first ``pad_to`` tokens count.
-    ``carry`` adds per-document columns to the grouping key (functionally
-    dependent on ``key``): the token branch then reads the same columns as
-    the text branch, so both share one shuffle.
+    ``head_chars`` scores only the first so many characters.  Both are off.
     """
-    keys = [key] + list(carry or [])
-    toks = token_rows(docs, keys, text_col, pos=pad_to is not None)
-    if pad_to is not None:
-        toks = toks.where(F.col("pos") < pad_to)
-    ids = lookup_ids(toks, vocab)
-    agg = ids.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_tokens"),
-                               F.sum((F.col("id") == UNK_ID).cast("long")).alias("n_unk"))
-    denom = F.col("n_tokens") if pad_to is None else F.greatest(F.col("n_tokens"), F.lit(pad_to))
-    return agg.withColumn("unk_ratio", F.col("n_unk") / denom)
-
-
-def with_unk_ratio(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text",
-                   pad_to: int | None = None, head_chars: int | None = None) -> DataFrame:
-    """Attach ``unk_ratio`` (NULL for token-less documents), computed on the
-    first ``head_chars`` characters when given.  The other columns (small
-    per-document metadata) are carried through the token branch so that both
-    readers of a ``by_doc`` exchange are identical and share it."""
-    carry = [c for c in docs.columns if c not in (key, text_col)]
-    src = docs
-    if head_chars is not None:
-        src = docs.withColumn("_head", F.substring(text_col, 1, head_chars)).drop(text_col) \
-                  .withColumnRenamed("_head", text_col)
-    r = unk_ratios(src, vocab, key, text_col, pad_to, carry).select(key, "unk_ratio")
-    # Hash the small per-document side instead of sorting the text.
-    return docs.join(r.hint("shuffle_hash"), key, "left")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    toks = word_tokens(text if head_chars is None else F.substring(text, 1, head_chars))
+    toks = toks if pad_to is None else F.slice(toks, 1, pad_to)
+    counted = docs.withColumn("_u", Lookup(vocab, "id").column(toks, "struct<n_tokens:bigint,n_unk:bigint>", _unknown))
+    n = F.col("_u.n_tokens")
+    denom = n if pad_to is None else F.greatest(n, F.lit(pad_to))
+    return counted.select(*docs.columns, n.alias("n_tokens"), F.col("_u.n_unk").alias("n_unk"),
+                          F.when(n > 0, F.col("_u.n_unk") / denom).alias("unk_ratio"))
+
+
+def unk_ratios(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``key, n_tokens, n_unk, unk_ratio`` per document."""
+    return with_unk_ratio(docs.select(key, text_col), vocab, text_col, **kw).drop(text_col)
+
+
+_RATIO = ("n_tokens", "n_unk", "unk_ratio")
 
 
 def unk_cut(docs: DataFrame, vocab: DataFrame, max_unk_ratio: float = 0.1, **kw) -> DataFrame:
     """Keep documents with ``unk_ratio <= max_unk_ratio`` (NULL dropped)."""
-    return with_unk_ratio(docs, vocab, **kw).where(F.col("unk_ratio") <= max_unk_ratio).drop("unk_ratio")
+    return with_unk_ratio(docs, vocab, **kw).where(F.col("unk_ratio") <= max_unk_ratio).drop(*_RATIO)
 
 
 def language_filter(docs: DataFrame, vocab: DataFrame, unk_threshold: float = 0.05, **kw) -> DataFrame:
     """Keep documents with ``unk_ratio < unk_threshold`` (the passing ones)."""
-    return with_unk_ratio(docs, vocab, **kw).where(F.col("unk_ratio") < unk_threshold).drop("unk_ratio")
+    return with_unk_ratio(docs, vocab, **kw).where(F.col("unk_ratio") < unk_threshold).drop(*_RATIO)
 
 
 # ---------------------------------------------------------------------------
@@ -215,92 +205,55 @@ def piece_table(vocab: DataFrame) -> DataFrame:
     return vocab.where(F.col("id") > UNK_ID).select("token", F.lit(1).alias("pieces"))
 
 
-def piece_counts(rows: DataFrame, keys: list[str], pieces: DataFrame, text_col: str = "text") -> DataFrame:
-    """``keys, n_pieces`` for every row of ``rows`` (text in ``text_col``)."""
-    toks = token_rows(rows, keys, text_col)
-    p = _maybe_broadcast(pieces, F.length("token") + 24)
-    per_tok = toks.join(p, "token", "left").select(
-        *keys, F.coalesce(F.col("pieces"), F.length("token")).alias("p"))
-    return per_tok.groupBy(*keys).agg(F.sum("p").cast("long").alias("n_pieces"))
-
-
 def token_char_ratios(rows: DataFrame, keys: list[str], pieces: DataFrame, text_col: str = "text") -> DataFrame:
-    """``keys, n_chars, n_pieces, ratio`` (pieces per character)."""
-    pc = piece_counts(rows, keys, pieces, text_col)
+    """``keys, n_chars, n_pieces, ratio`` (pieces per character), for piece
+    tables of any size.  Tokens are counted per row before the join, so a
+    token is one row per text, however often the text has it."""
+    counts = token_rows(rows, keys, text_col).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
+    summed = (counts.join(pieces, "token", "left")
+              .groupBy(*keys).agg(F.sum(F.col("n") * F.coalesce(F.col("pieces"), F.length("token"))).cast("long").alias("n_pieces")))
     base = rows.select(*keys, F.length(text_col).alias("n_chars"))
-    return (base.join(pc, keys, "left")
+    return (base.join(summed, keys, "left")
             .withColumn("n_pieces", F.coalesce(F.col("n_pieces"), F.lit(0)))
             .withColumn("ratio", F.col("n_pieces") / F.col("n_chars")))
 
 
-def redundancy_filter(rows: DataFrame, pieces: DataFrame, key: str = "doc_id", text_col: str = "text",
-                      threshold: float = 0.25) -> DataFrame:
-    """Keep rows whose token/char ratio is below ``threshold``.  The rows
-    are partitioned by ``key`` first, so the per-row ratios join back locally."""
-    d = by_doc(rows, key)
-    r = token_char_ratios(d, [key], pieces, text_col).select(key, "ratio")
-    return d.join(r, key).where(F.col("ratio") < threshold).drop("ratio")
+def redundancy_filter(rows: DataFrame, pieces: DataFrame, text_col: str = "text", threshold: float = 0.25) -> DataFrame:
+    """Keep rows whose token/char ratio is below ``threshold`` (narrow; ``pieces``
+    has at most VOCAB_SIZE rows).  Empty texts have no ratio and go."""
+    n = Lookup(pieces, "pieces").column(word_tokens(F.coalesce(F.col(text_col), F.lit(""))), "bigint", _pieces)
+    return (rows.withColumn("_n", n).where((F.length(text_col) > 0) & (F.col("_n") / F.length(text_col) < threshold)).drop("_n"))
 
 
 def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
-                     key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """G8 over E10 windows: ``key, n_windows, bad_share`` where a window of
-    ``width`` chars is bad if its token/char ratio exceeds ``sp_filter_ratio``.
-
-    One aggregate per (document, window) and one per document; both stay
-    inside a partitioning by ``key`` when the input has it.  The window count
-    comes from the text length, so windows without tokens (ratio 0) need no
-    join to be counted.
-    """
+                     text_col: str = "text") -> DataFrame:
+    """G8 over E10 windows: adds ``n_windows, bad_share`` to every row, where a
+    window of ``width`` chars is bad if its token/char ratio exceeds
+    ``sp_filter_ratio``.  Narrow; an empty text has no windows and a NULL share."""
     from textmill.functions.segment import char_windows
 
-    wins = docs.select(key, F.posexplode(char_windows(F.col(text_col), width)).alias("win", "wtext"))
-    toks = wins.select(key, "win", F.length("wtext").alias("wlen"), F.explode(word_tokens(F.col("wtext"))).alias("token"))
-    p = _maybe_broadcast(pieces, F.length("token") + 24)
-    per_win = (toks.join(p, "token", "left")
-               .groupBy(key, "win", "wlen")
-               .agg(F.sum(F.coalesce(F.col("pieces"), F.length("token"))).alias("n_pieces")))
-    bad = per_win.groupBy(key).agg(F.sum((F.col("n_pieces") / F.col("wlen") > sp_filter_ratio).cast("long")).alias("n_bad"))
-    n_win = F.ceil(F.length(text_col) / F.lit(width)).cast("long")
-    return (docs.select(key, n_win.alias("n_windows")).join(bad, key, "left")
-            .select(key, "n_windows", (F.coalesce(F.col("n_bad"), F.lit(0)) / F.col("n_windows")).alias("bad_share")))
-
-
-def _bad_share_by_doc(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
-                      key: str, text_col: str) -> DataFrame:
-    """``key, bad_share`` for documents with at least one token, without a join
-    back to ``docs`` (the window count travels with the exploded rows)."""
-    from textmill.functions.segment import char_windows
+    lookup = Lookup(pieces, "pieces")
+    # One list holds the tokens of all windows; the windows' token counts cut it up again.
+    wins = docs.withColumn("_w", char_windows(F.coalesce(F.col(text_col), F.lit("")), width))
+    toks = wins.withColumn("_t", F.transform("_w", word_tokens))
 
-    n_win = F.ceil(F.length(text_col) / F.lit(width)).cast("long")
-    wins = docs.select(key, n_win.alias("n_windows"),
-                       F.posexplode(char_windows(F.col(text_col), width)).alias("win", "wtext"))
-    toks = wins.select(key, "n_windows", "win", F.length("wtext").alias("wlen"),
-                       F.explode(word_tokens(F.col("wtext"))).alias("token"))
-    p = _maybe_broadcast(pieces, F.length("token") + 24)
-    per_win = (toks.join(p, "token", "left")
-               .groupBy(key, "n_windows", "win", "wlen")
-               .agg(F.sum(F.coalesce(F.col("pieces"), F.length("token"))).alias("n_pieces")))
-    return per_win.groupBy(key, "n_windows").agg(
-        (F.sum((F.col("n_pieces") / F.col("wlen") > sp_filter_ratio).cast("long")) / F.col("n_windows"))
-        .alias("bad_share")).select(key, "bad_share")
+    def by_window(lists, found, flat):
+        own = np.where(found < 0, pc.utf8_length(flat).to_numpy(zero_copy_only=False), found)
+        offs = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, int)
+        return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(own, pa.int32()))
+
+    each = lookup.column(F.flatten("_t"), "array<int>", by_window)
+    scored = toks.select(*docs.columns, F.transform("_w", F.length).alias("_l"), F.transform("_t", F.size).alias("_k"), each.alias("_p"))
+    ends = prefix_sums("_k")
+    sums = F.transform(F.arrays_zip(ends.alias("e"), F.col("_k").alias("k")), lambda x: F.aggregate(
+        F.slice(F.col("_p"), x["e"] - x["k"] + 1, x["k"]), F.lit(0), lambda a, b: a + b))
+    bad = F.filter(F.zip_with(sums, "_l", lambda p, n: p / n > sp_filter_ratio), lambda x: x)
+    n = F.size("_l").cast("long")
+    return scored.select(*docs.columns, n.alias("n_windows"), F.when(n > 0, F.size(bad) / n).alias("bad_share"))
 
 
 def redundancy_gate(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float = 0.3,
-                    max_bad_share: float = 0.10, key: str = "doc_id", text_col: str = "text",
-                    materialize: bool = False) -> DataFrame:
-    """Drop documents whose share of bad windows is greater than 0.10.
-
-    With ``materialize`` (for an input already hash-partitioned by ``key``,
-    e.g. a partition-keeping checkpoint) the per-document shares are
-    checkpointed too, so the join back is between two co-partitioned
-    relations and moves no text.
-    """
-    s = _bad_share_by_doc(docs, pieces, width, sp_filter_ratio, key, text_col)
-    if materialize:
-        from textmill.session import checkpoint_keep_partitioning
-
-        s = checkpoint_keep_partitioning(s)
-    return (docs.join(s, key, "left")
-            .where(~(F.coalesce(F.col("bad_share"), F.lit(0.0)) > max_bad_share))
-            .drop("bad_share"))
+                    max_bad_share: float = 0.10, text_col: str = "text") -> DataFrame:
+    """Drop documents whose share of bad windows is greater than 0.10."""
+    return (window_bad_share(docs, pieces, width, sp_filter_ratio, text_col)
+            .where(~(F.coalesce(F.col("bad_share"), F.lit(0.0)) > max_bad_share)).drop("n_windows", "bad_share"))

@@ -2,7 +2,9 @@
 oracle per operator of the inventory.
 
 Every query reads the driver's tables (or ``docs_markup``, which Spark
-derives from ``documents``) in full.  Array results are exploded to rows
+derives from ``documents``) in full.  Vocabularies are trained on all
+documents, except where "is it English" is the question (``english_vocab``:
+the unknown-token cut, the language filter and the corpus job).  Array results are exploded to rows
 (``*_no`` positions are 0-based) so that both engines return flat tables
 with the same column names.
 """
@@ -23,7 +25,8 @@ from textmill.operators import vocab as vb
 from textmill.functions import rx
 from textmill.operators import dedup as dd
 from textmill.operators import classify as cl
-from textmill.plans.jobs import filter_language, predict_genre, prepare_books, process_corpus, train_genre_model
+from textmill.plans.jobs import (filter_language, filter_language_files, normalize_files, predict_genre, prepare_books, process_corpus,
+                                 train_genre_model)
 from textmill.plans import duck as dk
 from textmill.sources import io
 from textmill.sources.tables import book_files, book_metadata, book_metadata_duckdb, docs_markup, docs_markup_duckdb, table
@@ -240,43 +243,48 @@ def q_md5(spark, d):
 # ---------------------------------------------------------------------------
 
 VOCAB = dk.vocab_cte()
+VOCAB_EN = dk.vocab_cte("documents WHERE lang = 'en'")
 WINDOW = MIN_LEN
 
 
+def corpus_vocab(spark, d):
+    """The word vocabulary of all documents."""
+    return vb.build_vocab(table(spark, d, "documents"))
+
+
 def english_vocab(spark, d):
-    """The word vocabulary trained on the English part of ``documents``."""
-    docs = table(spark, d, "documents").where(F.col("lang") == "en")
-    return vb.build_vocab(docs)
+    """The word vocabulary of the English documents, for telling English from other text."""
+    return vb.build_vocab(table(spark, d, "documents").where(F.col("lang") == "en"))
 
 
-@register("q_word_tokens", _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", "documents"))
+@register("q_word_tokens", _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", MARKUP))
 def q_word_tokens(spark, d):
-    """G1: word / punctuation tokens of every document."""
-    return _explode(table(spark, d, "documents"), ["doc_id"], word_tokens("text"), "tok_no", "token")
+    """G1: word / punctuation tokens of every markup document."""
+    return _explode(docs_markup(spark, d), ["doc_id"], word_tokens("text"), "tok_no", "token")
 
 
 @register("q_vocab_topk", f"WITH {VOCAB} SELECT token, id, freq FROM vocab")
 def q_vocab_topk(spark, d):
     """Top 2^16 tokens (with the two specials) of frequency >= 8."""
-    return english_vocab(spark, d)
+    return corpus_vocab(spark, d)
 
 
 @register("q_encode", f"WITH {VOCAB} SELECT doc_id, tok_no, CAST(coalesce(v.id, 1) AS INTEGER) AS id FROM ("
-          + _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", "documents")
-          + ") t LEFT JOIN vocab v USING (token) WHERE tok_no < 65536")
+          + _duck_explode("doc_id", dk.word_tokens("text"), "tok_no", "token", MARKUP)
+          + ") t LEFT JOIN vocab v USING (token)")
 def q_encode(spark, d):
-    """G3 + F7: ids in text order (truncated to 2^16), exploded."""
-    enc = vb.encode(table(spark, d, "documents"), english_vocab(spark, d))
+    """G3 + F7: ids in text order, exploded."""
+    enc = vb.encode(docs_markup(spark, d), corpus_vocab(spark, d))
     return _explode(enc, ["doc_id"], F.col("ids"), "tok_no", "id")
 
 
 @register("q_unk_ratio", f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')} SELECT * FROM ratios")
 def q_unk_ratio(spark, d):
     """Unknown-token ratio per document."""
-    return vb.unk_ratios(table(spark, d, "documents"), english_vocab(spark, d))
+    return vb.unk_ratios(table(spark, d, "documents"), corpus_vocab(spark, d))
 
 
-@register("q_pipeline_unk_cut", f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')} "
+@register("q_pipeline_unk_cut", f"WITH {VOCAB_EN}, {dk.unk_ratio_cte('documents')} "
           "SELECT doc_id FROM ratios WHERE unk_ratio <= 0.1")
 def q_pipeline_unk_cut(spark, d):
     """Documents with unknown ratio <= 0.1."""
@@ -284,21 +292,30 @@ def q_pipeline_unk_cut(spark, d):
     return vb.unk_cut(docs, english_vocab(spark, d), 0.1).select("doc_id")
 
 
-@register("q_lang_filter", f"WITH {VOCAB}, {dk.unk_ratio_cte('(SELECT doc_id, substr(text, 1, 524288) AS text FROM documents)')} "
+@register("q_lang_filter", f"WITH {VOCAB_EN}, {dk.unk_ratio_cte('documents')} "
           "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM ratios WHERE unk_ratio < 0.05)")
 def q_lang_filter(spark, d):
-    """J3 = C15 + C6: documents whose first 2^19 chars have unknown ratio < 0.05."""
+    """J3 = C6: documents with unknown ratio < 0.05."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
     return filter_language(docs, english_vocab(spark, d)).select("doc_id", "lang")
 
 
+@register("q_lang_filter_head",
+          f"WITH {VOCAB_EN}, {dk.unk_ratio_cte('(SELECT doc_id, substr(text, 1, 300) AS text FROM documents)')} "
+          "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM ratios WHERE unk_ratio < 0.05)")
+def q_lang_filter_head(spark, d):
+    """The language filter's head option, here 300 characters (the feature itself)."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return filter_language(docs, english_vocab(spark, d), head_chars=300).select("doc_id", "lang")
+
+
 @register("q_token_char_ratio",
           f"WITH {VOCAB}, {dk.piece_count_cte('documents', 'doc_id', 'text', 'pc')} "
           "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, coalesce(pc.n_pieces, 0) AS n_pieces, "
           "coalesce(pc.n_pieces, 0) / length(text) AS ratio FROM documents LEFT JOIN pc USING (doc_id)")
 def q_token_char_ratio(spark, d):
     """Pieces per character of every document."""
-    pieces = vb.piece_table(english_vocab(spark, d))
+    pieces = vb.piece_table(corpus_vocab(spark, d))
     r = vb.token_char_ratios(table(spark, d, "documents"), ["doc_id"], pieces)
     return r.withColumn("n_chars", F.col("n_chars").cast("long"))
 
@@ -309,7 +326,7 @@ def q_token_char_ratio(spark, d):
           "WHERE coalesce(pc.n_pieces, 0) / length(text) < 0.25")
 def q_redundancy_filter(spark, d):
     """Documents whose token/char ratio is below 0.25."""
-    pieces = vb.piece_table(english_vocab(spark, d))
+    pieces = vb.piece_table(corpus_vocab(spark, d))
     docs = table(spark, d, "documents").select("doc_id", "text")
     return vb.redundancy_filter(docs, pieces).select("doc_id")
 
@@ -326,33 +343,38 @@ _WIN_SRC = ("(" + _duck_explode("doc_id", dk.char_windows("text", WINDOW), "win"
           "SELECT doc_id, n_windows, bad_share, NOT (bad_share > 0.1) AS kept FROM s")
 def q_redundancy_gate(spark, d):
     """C7 + G8 + E10: share of 500-char windows with token/char ratio > 0.3; kept if <= 0.10."""
-    pieces = vb.piece_table(english_vocab(spark, d))
-    s = vb.window_bad_share(table(spark, d, "documents"), pieces, WINDOW, 0.3)
+    pieces = vb.piece_table(corpus_vocab(spark, d))
+    s = vb.window_bad_share(table(spark, d, "documents").select("doc_id", "text"), pieces, WINDOW, 0.3).drop("text")
     return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
 
 
-def _bpe_pieces(spark, d):
-    """Pieces of every word of ``documents`` under a BPE model trained on the
-    words of the English documents seen at least twice."""
-    from textmill.operators.subword import bpe_piece_table
-
-    docs = table(spark, d, "documents")
-    return bpe_piece_table(docs, n_merges=1000, per_round=100, train_docs=docs.where(F.col("lang") == "en"))
-
-
-@register("q_bpe_pieces")
+@register("q_bpe_pieces",
+          f"SELECT token, true AS joins_back, true AS in_range, true AS marked FROM "
+          f"(SELECT DISTINCT unnest({dk.word_tokens('text')}) AS token FROM documents)")
 def q_bpe_pieces(spark, d):
-    """BPE subword model (1000 merges, up to 100 per round) trained on the
-    English documents and applied to every word of every document; pieces per
-    word (rows only: an iterative training has no SQL form)."""
-    return _bpe_pieces(spark, d)
+    """BPE subword model (200 merges) trained on all words and applied to every
+    word.  SQL checks the words and that each word's pieces join back to it, that
+    there are 1 to length + 1 of them, and that the first one bears the word mark."""
+    from textmill.operators.subword import WORD_START, bpe_piece_table
+
+    p = bpe_piece_table(table(spark, d, "documents"), n_merges=200, keep_pieces=True)
+    n = F.size("sym")
+    return p.select("token", (F.array_join("sym", "") == F.concat(F.lit(WORD_START), "token")).alias("joins_back"),
+                    ((n >= 1) & (n <= F.length("token") + 1)).alias("in_range"), F.get("sym", 0).startswith(WORD_START).alias("marked"))
 
 
-@register("q_token_char_ratio_bpe")
+@register("q_token_char_ratio_bpe",
+          "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, true AS in_range FROM documents")
 def q_token_char_ratio_bpe(spark, d):
-    """G5 + C8 with the BPE pieces: token/char ratio of every document (rows only)."""
-    r = vb.token_char_ratios(table(spark, d, "documents"), ["doc_id"], _bpe_pieces(spark, d))
-    return r.withColumn("n_chars", F.col("n_chars").cast("long"))
+    """G5 + C8 with the BPE pieces: token/char ratio of every document.  SQL checks
+    the documents and that the pieces lie between the words and the characters plus one mark a word."""
+    from textmill.operators.subword import bpe_piece_table
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    r = vb.token_char_ratios(docs, ["doc_id"], bpe_piece_table(docs, n_merges=200))
+    n = docs.select("doc_id", F.size(word_tokens("text")).alias("w"))
+    ok = (F.col("n_pieces") >= F.col("w")) & (F.col("n_pieces") <= 2 * F.col("n_chars") + F.col("w"))
+    return r.join(n, "doc_id").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), ok.alias("in_range"))
 
 
 # ---------------------------------------------------------------------------
@@ -424,7 +446,7 @@ def _j1_duck(normalize: bool = True, gates: bool = True) -> str:
     chunks = (f"CASE WHEN length(text) < {MAX_LEN} THEN [text] ELSE "
               f"list_filter({dk.sentence_pack('text', MAX_LEN)}, lambda cc: length(cc) >= {MIN_LEN}) END")
     return (
-        f"WITH {VOCAB}, m AS {MARKUP[:-5]}, "
+        f"WITH {VOCAB_EN}, m AS {MARKUP[:-5]}, "
         f"g AS (SELECT doc_id, subset, text FROM m WHERE subset IN ({subs}) AND length(text) >= {MIN_LEN}), "
         f"{dk.unk_ratio_cte('g')}, "
         + (f"g2 AS (SELECT g.* FROM g JOIN ratios USING (doc_id) WHERE unk_ratio <= 0.1), " if gates else
@@ -501,7 +523,7 @@ def q_process_corpus_nogates(spark, d):
 _META = f"({book_metadata_duckdb()})"
 _LABELLED = (f"(SELECT m.book_name, CASE WHEN list_contains(m.categories, 'Fiction') THEN 1 "
              f"WHEN list_contains(m.categories, 'Nonfiction') THEN 0 ELSE 2 END AS label FROM {_META} m)")
-_BOOKS = "(SELECT 'doc' || CAST(doc_id AS VARCHAR) || '.txt' AS book_name, text FROM documents)"
+_BOOKS = f"(SELECT 'doc' || CAST(doc_id AS VARCHAR) || '.txt' AS book_name, text FROM {MARKUP})"
 _TRAINSET = f"(SELECT l.book_name, l.label, b.text FROM {_LABELLED} l JOIN {_BOOKS} b USING (book_name) WHERE l.label <> 2)"
 
 
@@ -543,9 +565,10 @@ def q_concat_labelled(spark, d):
 _BOW_SQL = (
     f"WITH {VOCAB}, t AS ("
     + _duck_explode("book_name", dk.word_tokens("text"), "pos", "token", _TRAINSET + " tr")
-    + "), ids AS (SELECT book_name, coalesce(v.id, 1) AS id FROM t LEFT JOIN vocab v USING (token) WHERE pos < 65536), "
+    + "), ids AS (SELECT book_name, coalesce(v.id, 1) AS id FROM t LEFT JOIN vocab v USING (token)), "
     "c AS (SELECT book_name, id, count(*) AS c FROM ids GROUP BY book_name, id UNION ALL "
-    "SELECT book_name, 0, 65536 - count(*) FROM ids GROUP BY book_name HAVING count(*) < 65536), "
+    f"SELECT b.book_name, 0, 65536 - count(ids.id) FROM {_TRAINSET} b LEFT JOIN ids USING (book_name) GROUP BY b.book_name "
+    "HAVING count(ids.id) < 65536), "
     "cl AS (SELECT book_name, id, CAST(least(c, 5000) AS DOUBLE) AS c FROM c) "
     "SELECT book_name, CAST(id AS INTEGER) AS id, c / sqrt(sum(c * c) OVER (PARTITION BY book_name)) AS weight FROM cl")
 
@@ -553,7 +576,20 @@ _BOW_SQL = (
 @register("q_bow", _BOW_SQL)
 def q_bow(spark, d):
     """Clipped, L2-normalised bag of words (pad id 0 counted) per labelled book."""
-    return cl.bow_long(_trainset(spark, d).select("book_name", "text"), english_vocab(spark, d), key="book_name")
+    return cl.bow_long(_trainset(spark, d).select("book_name", "text"), corpus_vocab(spark, d), key="book_name")
+
+
+@register("q_bow_vectors", _BOW_SQL)
+def q_bow_vectors(spark, d):
+    """The same features as one sparse vector per book, taken apart again."""
+    long = cl.bow_long(_trainset(spark, d).select("book_name", "text"), corpus_vocab(spark, d), key="book_name")
+
+    @F.udf("array<struct<id:int,weight:double>>", useArrow=True)
+    def entries(v):
+        return [(int(i), float(w)) for i, w in zip(v.indices, v.values)]
+
+    vectors = cl.bow_vectors(long, key="book_name")
+    return vectors.select("book_name", F.explode(entries("features")).alias("e")).select("book_name", "e.id", "e.weight")
 
 
 @register("q_split", f"SELECT book_name, label, row_number() OVER (PARTITION BY label ORDER BY md5(book_name || ':42')) "
@@ -564,7 +600,7 @@ def q_split(spark, d):
 
 
 _REPORT_SQL = (
-    f"WITH {VOCAB}, {dk.unk_ratio_cte('documents')}, "
+    f"WITH {VOCAB_EN}, {dk.unk_ratio_cte('documents')}, "
     "pred AS (SELECT CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END AS y, CASE WHEN r.unk_ratio < 0.05 THEN 1 ELSE 0 END AS p "
     "FROM documents d JOIN ratios r USING (doc_id)), "
     "conf AS (SELECT y, p, count(*) AS n FROM pred GROUP BY y, p), "
@@ -588,28 +624,81 @@ def q_class_report(spark, d):
     docs = table(spark, d, "documents")
     r = vb.unk_ratios(docs, english_vocab(spark, d)).select("doc_id", "unk_ratio")
     pred = docs.join(r, "doc_id").select((F.col("lang") == "en").cast("int").alias("label"),
-                                         (F.col("unk_ratio") < 0.05).cast("int").alias("prediction"))
+                                         F.coalesce(F.col("unk_ratio") < 0.05, F.lit(False)).cast("int").alias("prediction"))
     return cl.classification_report(pred)
 
 
-def _genre_model(spark, d):
-    tok, vocab = prepare_books(book_metadata(spark, d), book_files(spark, d), english_vocab(spark, d))
-    model, train_rep, test_rep = train_genre_model(tok)
-    return model, vocab, train_rep, test_rep
+_TOKENS_SQL = (
+    f"WITH {dk.vocab_cte(_BOOKS)}, t AS ("
+    + _duck_explode("book_name", dk.word_tokens("text"), "pos", "token", _TRAINSET + " tr")
+    + ") SELECT b.book_name, b.label, count(t.token) AS n_tokens, "
+    "md5(coalesce(string_agg(CAST(coalesce(v.id, 1) AS VARCHAR), ' ' ORDER BY t.pos) FILTER (t.token IS NOT NULL), '')) AS ids_md5 "
+    f"FROM {_TRAINSET} b LEFT JOIN t USING (book_name) LEFT JOIN vocab v ON v.token = t.token GROUP BY b.book_name, b.label")
+
+
+def _tokenized(spark, d):
+    """J4 -> B4 -> A6: tokenised books written one folder per class and read again."""
+    tok, vocab = prepare_books(book_metadata(spark, d), book_files(spark, d))
+    path = _scratch(spark, "tokenized")
+    io.write_tokenized_books(tok, path)
+    return io.read_tokenized_books(spark, path), vocab
+
+
+@register("q_prepare_books", _TOKENS_SQL)
+def q_prepare_books(spark, d):
+    """J4 with B4 and A6: every labelled book's ids, through the files."""
+    return _tokenized(spark, d)[0].select(
+        "book_name", "label", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("ids_md5"))
+
+
+def _genre_files(spark, d):
+    """J4 -> J5 -> B6: (tokenised books, vocabulary, model path, train and test report)."""
+    tok, vocab = _tokenized(spark, d)
+    model, train, test = train_genre_model(tok)
+    path = _scratch(spark, "genre_model")
+    cl.save_model(model, path)
+    return tok, vocab, model, path, train, test
+
+
+@register("q_train_report",
+          f"WITH s AS (SELECT label, count(*) AS n FROM {_TRAINSET} GROUP BY label), "
+          "r AS (SELECT label, n, round(0.2 * n) AS test FROM s) "
+          "SELECT part, CAST(label AS VARCHAR) AS row, CAST(CASE part WHEN 'test' THEN test ELSE n - test END AS BIGINT) AS support, true AS better_than_majority "
+          "FROM r, (VALUES ('train'), ('test')) p(part) UNION ALL "
+          "SELECT part, 'accuracy', CAST(sum(CASE part WHEN 'test' THEN test ELSE n - test END) AS BIGINT), true "
+          "FROM r, (VALUES ('train'), ('test')) p(part) GROUP BY part")
+def q_train_report(spark, d):
+    """J5 (H3-H5, G6-G9, B6): the genre model's reports.  SQL checks the classes,
+    their exact supports in the stratified split, and that the train accuracy is
+    at least the larger class's share (the test part only has to be there)."""
+    *_, train, test = _genre_files(spark, d)
 
+    def part(report, name, check):
+        top = report.where(F.col("row").isin("0", "1")).agg(F.max("support").alias("m"), F.sum("support").alias("n"))
+        ok = (F.col("f1") >= F.round(F.col("m") / F.col("n"), 3)) if check else F.lit(True)
+        return report.where(F.col("row").isin("0", "1", "accuracy")).crossJoin(F.broadcast(top)).select(
+            F.lit(name).alias("part"), "row", "support", F.when(F.col("row") == "accuracy", ok).otherwise(True).alias("better_than_majority"))
 
-@register("q_train_report")
-def q_train_report(spark, d):
-    """J5 (H3-H5, G6-G9): GBT genre model; classification report on the test split."""
-    return _genre_model(spark, d)[3]
+    return part(train, "train", True).unionByName(part(test, "test", False))
 
 
-@register("q_predict_filter")
+@register("q_predict_filter",
+          "SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) AS BIGINT) AS kept_plus_dropped, "
+          "CAST(0 AS BIGINT) AS differ_after_reload FROM documents")
 def q_predict_filter(spark, d):
-    """J6 (H6, C16): the documents the trained genre model predicts as class 1."""
-    model, vocab, _, _ = _genre_model(spark, d)
+    """J6 (H6, C16, B6): every document scored by the genre model as trained and as
+    saved and loaded again.  SQL checks that kept and dropped lines make up all
+    lines and that both models agree on each."""
+    _, vocab, model, path, _, _ = _genre_files(spark, d)
     lines = table(spark, d, "documents").select(F.col("doc_id").alias("line_no"), "text")
-    return predict_genre(lines, model, vocab).select("line_no")
+    feats = cl.bow_vectors(cl.bow_long(lines, vocab, key="line_no"), key="line_no")
+    both = cl.predict(model, feats).select("line_no", F.col("prediction").alias("own")).join(
+        cl.predict(cl.load_model(path), feats).select("line_no", F.col("prediction").alias("loaded")), "line_no")
+    kept = predict_genre(lines, model, vocab).select("line_no", F.lit(1).alias("kept"))
+    one = lines.select("line_no").join(both, "line_no", "left").join(kept, "line_no", "left")
+    dropped = F.col("kept").isNull() & (F.col("own") == 0)
+    return one.agg(F.count("*").alias("n_lines"), F.sum(((F.col("kept") == 1) | dropped).cast("long")).alias("kept_plus_dropped"),
+                   F.sum((~F.col("own").eqNullSafe(F.col("loaded"))).cast("long")).alias("differ_after_reload"))
 
 
 # ---------------------------------------------------------------------------
@@ -648,10 +737,10 @@ def q_unescape(spark, d):
     return table(spark, d, "pages").select("page_id", nz.unescape_html("html").alias("text"))
 
 
-@register("q_moses_tok", _duck_explode("doc_id", dk.moses_tokenize("text"), "tok_no", "token", "documents"))
+@register("q_moses_tok", _duck_explode("doc_id", dk.moses_tokenize("text"), "tok_no", "token", MARKUP))
 def q_moses_tok(spark, d):
-    """Moses-style tokens of every document."""
-    return _explode(table(spark, d, "documents"), ["doc_id"], nz.moses_tokenize("text"), "tok_no", "token")
+    """Moses-style tokens of every markup document."""
+    return _explode(docs_markup(spark, d), ["doc_id"], nz.moses_tokenize("text"), "tok_no", "token")
 
 
 # ---------------------------------------------------------------------------
@@ -693,34 +782,148 @@ def q_json_roundtrip(spark, d):
     return lines.select(io.process_jsonl(F.col("raw"), pr.clean_webcrawl).alias("json"))
 
 
+# ---------------------------------------------------------------------------
+# Sources, sinks and jobs as file round trips; the public API
+# ---------------------------------------------------------------------------
+
+@register("q_read_books", "SELECT md5(coalesce(text, '') || chr(10)) AS text_md5 FROM documents")
+def q_read_books(spark, d):
+    """A3: every document written as a text file of its own and read as a whole file
+    (the writer ends each with a newline)."""
+    path = _scratch(spark, "books")
+    table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "doc_id").write.partitionBy("doc_id").text(path)
+    return io.read_books(spark, path, pattern="*").select(F.md5("text").alias("text_md5"))
+
+
+@register("q_book_metadata", f"SELECT book_name, array_to_string(categories, '|') AS categories FROM {_META} m")
+def q_book_metadata(spark, d):
+    """A4: the metadata written as one JSON array (lists, and plain strings for
+    single categories) and read back."""
+    path = _scratch(spark, "metadata")
+    meta = book_metadata(spark, d)
+    cats = F.when(F.size("categories") > 1, F.to_json("categories")).otherwise(F.to_json(F.array(F.get("categories", 0))).substr(F.lit(2), F.length(F.to_json(F.array(F.get("categories", 0)))) - 2))
+    item = F.concat(F.lit('{"book_name": '), io.json_string("book_name"), F.lit(', "categories": '), cats, F.lit("}"))
+    meta.agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value")).coalesce(1).write.text(path)
+    return io.read_book_metadata(spark, path).select("book_name", F.array_join("categories", "|").alias("categories"))
+
+
+@register("q_shards", "SELECT doc_id % 4 AS split, CAST(count(*) AS BIGINT) AS n_docs, CAST(1 AS BIGINT) AS n_shards FROM documents GROUP BY 1")
+def q_shards(spark, d):
+    """A5: four shard files read in one run; each document's shard is its file."""
+    path = _scratch(spark, "shards")
+    docs = table(spark, d, "documents").select(F.concat((F.col("doc_id") % 4).cast("string"), F.lit(" "), F.coalesce("text", F.lit(""))).alias("text"),
+                                               F.lit("Pile-CC").alias("subset"), (F.col("doc_id") % 4).alias("split"))
+    for k in range(4):
+        io.write_pile_jsonl(docs.where(F.col("split") == k).coalesce(1), f"{path}/split{k}")
+    read = io.read_documents(spark, f"{path}/*")
+    return read.groupBy(F.split("text", " ")[0].cast("long").alias("split")).agg(
+        F.count("*").alias("n_docs"), F.countDistinct("shard").alias("n_shards"))
+
+
+@register("q_vocab_artifact", f"WITH {VOCAB} SELECT token, id, freq FROM vocab")
+def q_vocab_artifact(spark, d):
+    """The vocabulary built and saved, then loaded (the second call gets documents
+    without a token, so a rebuilt one would be empty)."""
+    path = _scratch(spark, "vocab")
+    docs = table(spark, d, "documents")
+    vb.load_or_build_vocab(docs, path)
+    return vb.load_or_build_vocab(docs.withColumn("text", F.lit(" ")), path)
+
+
+def _counters_duck() -> str:
+    base = _j1_duck(True, False).rsplit("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1", 1)[0]
+    return (base + "SELECT CAST((SELECT count(*) FROM g) AS BIGINT) AS gated, CAST((SELECT count(*) FROM h) AS BIGINT) AS rows, "
+            "CAST((SELECT count(*) FROM h WHERE rn = 1) AS BIGINT) AS emitted")
+
+
+@register("q_run_counters", _counters_duck())
+def q_run_counters(spark, d):
+    """The corpus job's run counters, gathered while it writes its corpus (B1)."""
+    counters: dict = {}
+    out = process_corpus(docs_markup(spark, d), ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN,
+                         chunk_text=True, text_chunk_size=CHUNK, counters=counters)
+    io.write_corpus(out, _scratch(spark, "counted"))
+    got = [counters[k].get["n"] for k in ("gated", "rows", "emitted")]
+    return spark.createDataFrame([got], "gated long, rows long, emitted long")
+
+
+@register("q_filter_language_files",
+          f"WITH {VOCAB_EN}, {dk.unk_ratio_cte('documents')} "
+          "SELECT md5(text) AS text_md5 FROM documents JOIN ratios USING (doc_id) WHERE unk_ratio < 0.05")
+def q_filter_language_files(spark, d):
+    """J3 with A2 and B3: JSON strings in, the passing lines out as they were."""
+    src, out = _scratch(spark, "lines_in"), _scratch(spark, "lines_out")
+    io.write_json_strings(table(spark, d, "documents").where("text IS NOT NULL"), src)
+    filter_language_files(spark, src, out, english_vocab(spark, d))
+    kept = spark.read.text(out).join(spark.read.text(src).distinct(), "value", "left_semi")
+    return kept.select(F.md5(io.decode_json_string("value")).alias("text_md5"))
+
+
+@register("q_normalize_files", f"SELECT md5({dk.normalize_text('text')}) AS text_md5 FROM {MARKUP}")
+def q_normalize_files(spark, d):
+    """J2 with A2 and B2: JSON strings in, normalised JSON strings out."""
+    src, out = _scratch(spark, "raw_in"), _scratch(spark, "normal_out")
+    io.write_json_strings(docs_markup(spark, d), src)
+    normalize_files(spark, src, out)
+    return io.read_json_strings(spark, out).select(F.md5("text").alias("text_md5"))
+
+
+@register("q_user_profile", _duck_explode("doc_id", "list_transform(list_filter(string_split(text, chr(10)), lambda p: length(p) > 20), lambda p: '* ' || p)",
+                                          "para_no", "para", "documents"))
+def q_user_profile(spark, d):
+    """U1 + U2: a plain Python cleaner registered for a source of its own and dispatched to."""
+    pr.register_profile("bullets", lambda text: [f"* {p}" for p in text.split("\n") if len(p) > 20], subsets=["Bullets"], python=True)
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("Bullets").alias("subset"))
+    paras = docs.withColumn("paras", pr.clean_by_subset("text", "subset", ["Bullets"]))
+    return _explode(paras, ["doc_id"], F.col("paras"), "para_no", "para")
+
+
+@register("q_public_api",
+          " UNION ALL ".join(f"SELECT doc_id, '{n}' AS cleaner, md5(array_to_string({fn('text')}, chr(10))) AS paras_md5 FROM {MARKUP}" for n, fn in [
+              ("books3", dk.clean_books3), ("gutenberg", dk.clean_gutenberg), ("webcrawl", dk.clean_webcrawl), ("wiki", dk.clean_wiki),
+              ("sentences", lambda x: dk.sentence_pack(x, CHUNK))]))
+def q_public_api(spark, d):
+    """The public cleaners and the sentence splitter, by their public names."""
+    from textmill import api
+
+    fns = {"books3": api.process_books3, "gutenberg": api.process_gutenberg, "webcrawl": api.process_webcrawls, "wiki": api.process_wiki,
+           "sentences": lambda c: api.naive_sentence_split(c, CHUNK)}
+    docs = docs_markup(spark, d)
+    one = docs.select("doc_id", F.explode(F.array(*(F.struct(F.lit(n).alias("cleaner"), F.md5(F.array_join(fn("text"), "\n")).alias("paras_md5"))
+                                                    for n, fn in fns.items()))).alias("r"))
+    return one.select("doc_id", "r.cleaner", "r.paras_md5")
+
+
 # ---------------------------------------------------------------------------
 # The corpus job as a stream
 # ---------------------------------------------------------------------------
 
-@register("q_stream_dedup", _j1_duck(True, False))
+@register("q_stream_dedup", _j1_duck(True, False).replace("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1",
+                                                        "SELECT hash FROM h WHERE rn = 1"))
 def q_stream_dedup(spark, d):
-    """S1 + S2: the vocabulary-free corpus job over the documents file stream
-    (availableNow), deduplicated across micro-batches through the persisted
-    hash table; equals the batch job's result."""
+    """S1 + S2: the vocabulary-free corpus job over a stream of document files
+    (availableNow, several micro-batches), deduplicated across them through the
+    persisted hash table.  The hashes equal the batch job's; which of several
+    equal texts stays depends on the batch that brings it first."""
     import os
     import uuid
 
     from textmill.sources.tables import DOCS_MARKUP_SQL
     from textmill.streaming.incremental import run_stream_dedup
 
-    schema = table(spark, d, "documents").schema
+    # Four files, one by micro-batch, so that duplicates meet across batches.
+    source = _scratch(spark, "stream_source")
+    docs = table(spark, d, "documents")
+    docs.repartition(4, F.pmod("doc_id", F.lit(4))).write.parquet(source)
 
     def prepare(stream):
-        # One small file arrives as one split: spread it over the cores as the
-        # batch reader does (a stream cannot ask for its partition count).
-        stream = stream.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
         docs = spark.sql(DOCS_MARKUP_SQL, documents=stream)
         return process_corpus(docs, ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True,
                               text_chunk_size=CHUNK, deduplicate=False)
 
-    out = run_stream_dedup(spark, os.path.join(d, "documents*.parquet"), schema, prepare,
-                           order=["subset", "doc_id", "chunk_no"], name=f"stream_dedup_{uuid.uuid4().hex}")
-    return out.select("doc_id", "chunk_no", "subset", "text", "hash")
+    out = run_stream_dedup(spark, os.path.join(source, "*.parquet"), docs.schema, prepare,
+                           order=["subset", "doc_id", "chunk_no"], name=f"stream_dedup_{uuid.uuid4().hex}", max_files_per_trigger=1)
+    return out.select("hash")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,22 +1,17 @@
-"""User-facing jobs (J1-J3) composed from the operators.
+"""User-facing jobs (J1-J6) composed from the operators.
 
 J1 ``process_corpus`` plan, for a 100 TB input:
 
 1. scan -> source and raw-length gates (pushed into the parquet scan where
-   pushable) -> hash-partition by ``doc_id`` once (pass ``repartition=False``
-   when the input is already partitioned by it, e.g. a bucketed table);
-2. unknown-token ratio: exploded tokens hash-join the vocabulary (broadcast
-   after a size check) and aggregate per document inside that partitioning;
-   the join back to the text reuses it (no shuffle);
+   pushable);
+2. unknown-token ratio: token lists against the broadcast vocabulary (at most
+   2^16 rows by construction), row by row: narrow;
 3. cleaning and normalising: one projection of column expressions per row
-   (JVM, no Python), behind a generator barrier so no later filter re-runs
-   it; when the redundancy gate follows, the cleaned text is checkpointed to
-   the shared checkpoint folder so that its two readers do not clean twice;
-4. redundancy gate: character windows, same per-document pattern as 2; the
-   per-document shares are checkpointed with the same partitioning, so the
-   join back moves no text; then long-document chunking and md5 per row;
-5. dedup: a map-side-combined ``min`` per hash (one shuffle of the output
-   text), then an anti join with the saved hash list.
+   (JVM, no Python), behind a generator barrier so no later filter re-runs it;
+4. redundancy gate: character windows, narrow like 2; then long-document
+   chunking and md5 per row;
+5. dedup: a map-side-combined ``min`` per hash, the job's one shuffle of the
+   output text, then an anti join with the saved hash list.
 """
 
 from __future__ import annotations
@@ -27,10 +22,10 @@ from pyspark.sql import functions as F
 from textmill.functions import normalize as nz
 from textmill.functions.segment import join_lines, pack_paragraphs, sentence_pack
 from textmill.functions.text import let
+from textmill.functions.tokens import word_tokens
 from textmill.operators import dedup as dd
 from textmill.operators import vocab as vb
 from textmill.operators.profiles import clean_by_subset, validate_subsets
-from textmill.session import checkpoint_keep_partitioning
 
 ALL_SUBSETS = ["Books3", "Gutenberg (PG-19)", "OpenWebText2", "Pile-CC", "Wikipedia (en)"]
 
@@ -63,7 +58,7 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
                    max_text_length: int = 1_000_000_000, chunk_text: bool = False, text_chunk_size: int = 1024,
                    max_unk_ratio: float = 0.1, sp_filter_ratio: float = 0.3, vocab: DataFrame | None = None,
                    pieces: DataFrame | None = None, normalize: bool = True, deduplicate: bool = True,
-                   hash_list: DataFrame | None = None, repartition: bool = True,
+                   hash_list: DataFrame | None = None,
                    counters: dict | None = None) -> DataFrame:
     """``doc_id, chunk_no, subset, text, hash`` for the kept documents.
 
@@ -89,8 +84,6 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
     d = docs.select("doc_id", "subset", "text").where(
         F.col("subset").isin(*subsets) & (F.length("text") >= min_text_length))          # C1, C2
     d = observe(d, "gated")
-    if repartition and (vocab is not None or pieces is not None):
-        d = vb.by_doc(d)
     if vocab is not None:
         d = vb.unk_cut(d, vocab, max_unk_ratio)                                            # C5
     paras = clean_paragraphs(F.col("text"), F.col("subset"), subsets, normalize, chunk_text, text_chunk_size)
@@ -98,13 +91,7 @@ def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_tex
     d = d.select("doc_id", "subset", F.explode(F.array(join_lines(paras))).alias("text"))  # E12
     d = d.where(F.length("text") >= min_text_length)                                       # C3
     if pieces is not None:
-        # The gate reads the cleaned text twice (windows, and the rows it
-        # keeps): materialise it once in the shared checkpoint folder rather
-        # than cleaning twice; the partitioning by doc_id is kept.
-        if repartition and vocab is None:
-            d = vb.by_doc(d)
-        d = checkpoint_keep_partitioning(d)
-        d = vb.redundancy_gate(d, pieces, min_text_length, sp_filter_ratio, materialize=True)  # C7
+        d = vb.redundancy_gate(d, pieces, min_text_length, sp_filter_ratio)                # C7
     out = d.select("doc_id", "subset",
                    F.posexplode(chunk_document(F.col("text"), min_text_length, max_text_length))
                    .alias("chunk_no", "text"))                                              # E11, C4
@@ -122,78 +109,66 @@ def normalize_corpus(lines: DataFrame, text_col: str = "text") -> DataFrame:
     return lines.withColumn(text_col, nz.normalize_text(F.col(text_col)))
 
 
-def filter_language(docs: DataFrame, vocab: DataFrame, unk_threshold: float = 0.05, head_chars: int = 2**19,
-                    key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keep the documents whose unknown-token share of the first
-    ``head_chars`` characters (C15, the job's own memory guard) is below the
-    threshold (C6).  Returns the documents that pass, unchanged."""
-    d = vb.by_doc(docs, key)
-    r = vb.with_unk_ratio(d, vocab, key=key, text_col=text_col, head_chars=head_chars)
-    return r.where(F.col("unk_ratio") < unk_threshold).drop("unk_ratio")
+def filter_language(docs: DataFrame, vocab: DataFrame, unk_threshold: float = 0.05, head_chars: int | None = None,
+                    text_col: str = "text") -> DataFrame:
+    """Keep the documents whose unknown-token share is below the threshold
+    (C6); returns the documents that pass, unchanged.  ``head_chars`` scores
+    only the first so many characters (C15, the reference's memory guard; off)."""
+    return vb.language_filter(docs, vocab, unk_threshold, text_col=text_col, head_chars=head_chars)
 
 
 # ---------------------------------------------------------------------------
 # The genre classifier
 # ---------------------------------------------------------------------------
 
-def prepare_books(meta: DataFrame, books: DataFrame, vocab: DataFrame | None = None,
-                  head_chars: int = 2**22) -> tuple[DataFrame, DataFrame]:
-    """Label the metadata (H1), attach the book texts (F6, first 2^22 chars
-    as the reference reads them), build the vocabulary if none is given (G2)
-    and encode (G3).  Returns ``(tokenized, vocab)``; ``tokenized`` has
-    ``book_name, categories, label, ids, n_pad`` for the fiction and
-    nonfiction books (label 2, unknown, is set aside as in the reference)."""
+def prepare_books(meta: DataFrame, books: DataFrame, vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Label the metadata (H1), attach the book texts (F6), build the
+    vocabulary over all books if none is given (G2) and encode (G3).  Returns
+    ``(tokenized, vocab)``; ``tokenized`` has ``book_name, categories, label,
+    tokens`` for every fiction and nonfiction book, also those without tokens
+    (label 2, unknown, is set aside as in the reference)."""
     from textmill.operators import classify as cl
 
-    labelled = meta.withColumn("label", cl.label_from_categories("categories"))
-    texts = books.select("book_name", F.substring("text", 1, head_chars).alias("text"))
-    joined = cl.attach_books(labelled.where(F.col("label") != cl.UNKNOWN), texts)
+    labelled = meta.select("book_name", "categories").withColumn("label", cl.label_from_categories("categories"))
+    joined = cl.attach_books(labelled.where(F.col("label") != cl.UNKNOWN), books.select("book_name", "text"))
     if vocab is None:
-        vocab = vb.build_vocab(texts)
-    enc = vb.encode(joined.select("book_name", "text"), vocab, key="book_name")
-    return joined.drop("text").join(enc, "book_name"), vocab
+        vocab = vb.build_vocab(books)
+    toks = word_tokens(F.coalesce(F.col("text"), F.lit("")))
+    ids = vb.Lookup(vocab, "id").column(toks, "array<int>", vb._ids)
+    return joined.select("book_name", "categories", "label", ids.alias("tokens")), vocab
 
 
-def train_genre_model(tokenized: DataFrame, vocab_size: int = 2000, kind: str = "gbt", seed: int = 42):
-    """BOW features (G6/G7, on the ``vocab_size`` most frequent ids), exact
-    stratified 80/20 split (H3), GBT training (H4), predictions on train and
-    test (H5) and their classification reports (G9).
-    Returns ``(model, train_report, test_report)``."""
+def book_vectors(tokenized: DataFrame, size: int = vb.VOCAB_SIZE) -> DataFrame:
+    """G6 + G7 of ``book_name, tokens``: one vector over all ids per book."""
     from textmill.operators import classify as cl
 
-    ids = tokenized.select("book_name", F.explode("ids").alias("id"), "n_pad")
-    counts = ids.groupBy("book_name", "id").agg(F.count(F.lit(1)).alias("c"))
-    pad = tokenized.where(F.col("n_pad") > 0).select("book_name", F.lit(vb.PAD_ID).alias("id"),
-                                                      F.col("n_pad").alias("c"))
-    long = bow_from_counts(counts.unionByName(pad), key="book_name")
-    feats = cl.bow_vectors(long, vb.VOCAB_SIZE, key="book_name", max_id=vocab_size)
+    enc = tokenized.select("book_name", F.col("tokens").alias("ids"), F.greatest(F.lit(0), F.lit(vb.VOCAB_SIZE) - F.size("tokens")).alias("n_pad"))
+    return cl.bow_vectors(cl.bow_from_ids(enc, "book_name"), size, key="book_name")
+
+
+def train_genre_model(tokenized: DataFrame, kind: str = "gbt", seed: int = 42, size: int = vb.VOCAB_SIZE, **kw):
+    """BOW features over all ids (G6/G7), exact stratified 80/20 split (H3),
+    GBT training (H4), predictions on train and test (H5) and their
+    classification reports (G9).  Returns ``(model, train_report, test_report)``."""
+    from textmill.operators import classify as cl
+
+    feats = book_vectors(tokenized, size)
     data = feats.join(tokenized.select("book_name", "label"), "book_name")
     split = cl.stratified_split(data, key="book_name", seed=seed)
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    model = cl.train_classifier(train, kind=kind)
+    model = cl.train_classifier(train, kind=kind, **kw)
     return (model, cl.classification_report(cl.predict(model, train)),
             cl.classification_report(cl.predict(model, test)))
 
 
-def bow_from_counts(counts: DataFrame, key: str, clip: int = 5000) -> DataFrame:
-    """G6 from ``key, id, c`` counts: clip, then L2-normalise per document."""
-    from pyspark.sql import Window
-
-    c = F.least(F.col("c"), F.lit(clip)).cast("double")
-    clipped = counts.select(key, F.col("id").cast("int").alias("id"), c.alias("c"))
-    norm = F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy(key)))
-    return clipped.select(key, "id", (F.col("c") / norm).alias("weight"))
-
-
 def predict_genre(lines: DataFrame, model, vocab: DataFrame, key: str = "line_no", text_col: str = "text",
-                  vocab_size: int = 2000) -> DataFrame:
+                  size: int = vb.VOCAB_SIZE) -> DataFrame:
     """J6 (H6): encode each line, vectorise, predict, keep the class-1 lines (C16);
-    returns the input rows unchanged."""
+    returns the input rows unchanged.  Lines without tokens are scored, too."""
     from textmill.operators import classify as cl
 
     long = cl.bow_long(lines.select(key, text_col), vocab, key=key, text_col=text_col)
-    feats = cl.bow_vectors(long, vb.VOCAB_SIZE, key=key, max_id=vocab_size)
-    keep = cl.keep_positive(cl.predict(model, feats)).select(key)
+    keep = cl.keep_positive(cl.predict(model, cl.bow_vectors(long, size, key=key))).select(key)
     return lines.join(keep, key, "left_semi")
 
 
@@ -237,10 +212,48 @@ def normalize_files(spark, input_path: str, output_path: str) -> None:
 
 
 def filter_language_files(spark, input_path: str, output_path: str, vocab, unk_threshold: float = 0.05) -> None:
-    """J3 end to end: JSON strings (A2) -> language filter on the first 2^19
-    chars (C15, C6) -> the passing input lines, unchanged (B3)."""
+    """J3 end to end: JSON strings (A2) -> language filter (C6) -> the passing
+    input lines, unchanged (B3)."""
+    from textmill.sources import io
+
+    lines = io.read_json_strings(spark, input_path)
+    kept = filter_language(lines, vocab, unk_threshold)
+    io.write_raw_lines(kept, output_path)
+
+
+def prepare_books_files(spark, metadata_path: str, books_path: str, output_path: str, vocab_path: str) -> dict:
+    """J4 end to end: metadata (A4) and text files (A3) -> vocabulary, loaded or
+    built over all books and saved (B5) -> tokenised books, one folder per class
+    (B4).  Returns the class counts of the metadata (G10, B8)."""
+    from textmill.operators import classify as cl
+    from textmill.sources import io
+
+    meta, books = io.read_book_metadata(spark, metadata_path), io.read_books(spark, books_path)
+    vocab = vb.load_or_build_vocab(books, vocab_path)
+    tokenized, _ = prepare_books(meta, books, vocab)
+    io.write_tokenized_books(tokenized, output_path)
+    labelled = meta.withColumn("label", cl.label_from_categories("categories"))
+    return {r.label: r.n_books for r in cl.class_counts(labelled).collect()}
+
+
+def train_genre_files(spark, tokenized_path: str, model_path: str, **options) -> tuple[DataFrame, DataFrame]:
+    """J5 end to end: tokenised books (A6) -> model (H3-H5), saved.
+    Returns the train and test reports (G9)."""
+    from textmill.operators import classify as cl
+    from textmill.sources import io
+
+    model, train, test = train_genre_model(io.read_tokenized_books(spark, tokenized_path), **options)
+    cl.save_model(model, model_path)
+    return train, test
+
+
+def predict_genre_files(spark, input_path: str, output_path: str, model_path: str, vocab_path: str) -> None:
+    """J6 end to end: JSON strings (A2) -> saved model and vocabulary (B6, B5) ->
+    the input lines predicted as class 1, unchanged (B3)."""
+    from textmill.operators import classify as cl
     from textmill.sources import io
 
     lines = io.read_json_strings(spark, input_path)
-    kept = filter_language(lines, vocab, unk_threshold, key="line_no", text_col="text")
+    model = cl.load_model(model_path)
+    kept = predict_genre(lines, model, spark.read.parquet(vocab_path))
     io.write_raw_lines(kept, output_path)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Cleaning costs many regex passes per byte, so scan splits stay small; AQE
@@ -47,35 +44,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts.
-
-    A cluster names it in ``spark.checkpoint.dir``; it is read from the session.
-    Only when it is unset (local runs, tests) a fresh scratch folder is taken.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder for lineage cuts, stream state and scratch tables: the
+    session's ``spark.checkpoint.dir``.  Whoever builds the session names it
+    (all executors must reach it); without it this raises."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="textmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def checkpoint_keep_partitioning(df):
-    """Reliable ``checkpoint()`` into the shared checkpoint folder that keeps the
-    hash partitioning of ``df`` visible to later plans.
-
-    With adaptive execution on, a checkpointed plan reports no partitioning,
-    so later per-key joins and aggregates would shuffle again; the checkpoint
-    itself is therefore planned without it (the rest of the job keeps AQE).
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)

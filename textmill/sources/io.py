@@ -37,19 +37,30 @@ def read_documents(spark: SparkSession, path: str, strict: bool = True) -> DataF
                      F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("shard"))
 
 
+def decode_json_string(c) -> Column:
+    """A2 decoding of one JSON string literal; anything else (malformed JSON,
+    another type, several values) aborts the job and names the line."""
+    c = F.col(c) if isinstance(c, str) else c
+    items = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", {"mode": "FAILFAST"})
+    one = F.regexp_like(c, F.lit(r'\A[ \t\r\n]*+"')) & (F.size(items) == 1)
+    bad = F.raise_error(F.concat(F.lit("not a JSON string: "), F.coalesce(F.substring(c, 1, 200), F.lit("null"))))
+    return F.when(one, F.get(items, 0)).otherwise(bad)
+
+
 def read_json_strings(spark: SparkSession, path: str) -> DataFrame:
-    """A2: one JSON-encoded string per line: ``line_no, raw, text``."""
+    """A2: one JSON-encoded string per line: ``line_no, raw, text`` (fails fast)."""
     lines = spark.read.text(path)
-    text = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<string>")[0]
     return lines.select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("raw"),
-                        text.alias("text"))
+                        decode_json_string("value").alias("text"))
 
 
-def read_books(spark: SparkSession, path: str, head_chars: int = 2**22, pattern: str = "*.txt") -> DataFrame:
-    """A3: whole text files (``book_name``, first ``head_chars`` chars as ``text``)."""
+def read_books(spark: SparkSession, path: str, head_chars: int | None = None, pattern: str = "*.txt") -> DataFrame:
+    """A3: whole text files (``book_name, text``).  Spark lists no files of zero
+    bytes, so those have no row.  ``head_chars`` keeps only the first so many
+    characters of each (the reference's memory guard; off)."""
     df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
-    return df.select(F.col("_metadata.file_name").alias("book_name"),
-                     F.substring("value", 1, head_chars).alias("text"))
+    text = F.col("value") if head_chars is None else F.substring("value", 1, head_chars)
+    return df.select(F.col("_metadata.file_name").alias("book_name"), text.alias("text"))
 
 
 def read_book_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +94,8 @@ def write_corpus(df: DataFrame, path: str, by_subset: bool = False, mode: str =
 def json_string(c) -> Column:
     """B2 encoding: the JSON string literal of a text (quotes and escapes)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    encoded = F.to_json(F.array(c))
+    return F.substring(encoded, F.lit(2), F.length(encoded) - 2)
 
 
 def write_json_strings(df: DataFrame, path: str, text_col: str = "text", mode: str = "overwrite") -> None:
@@ -114,12 +126,6 @@ def json_list(arr) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(arr, json_string), ", "), F.lit("]"))
 
 
-def decode_json_string(c) -> Column:
-    """A2 decoding of one JSON string literal."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>")[0]
-
-
 def process_jsonl(c, cleaner) -> Column:
     """JSON string in -> cleaner -> JSON list of paragraphs out."""
     return json_list(cleaner(decode_json_string(c)))

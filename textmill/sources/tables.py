@@ -22,7 +22,12 @@ DOCS_MARKUP_SQL = """
 SELECT doc_id, lang, source,
   CASE doc_id % 5 WHEN 0 THEN 'Books3' WHEN 1 THEN 'Gutenberg (PG-19)' WHEN 2 THEN 'OpenWebText2'
                   WHEN 3 THEN 'Pile-CC' ELSE 'Wikipedia (en)' END AS subset,
-  concat(
+  CASE WHEN doc_id % 101 = 7 THEN '' WHEN doc_id % 101 = 8 THEN concat('  ', chr(10), ' ') ELSE concat(
+    CASE doc_id % 11
+      WHEN 0 THEN concat('😀😀😀 opening', chr(10), 'left\u2028right | a &#124; b', chr(10))
+      WHEN 1 THEN concat('1ª EDICIÓN', chr(10), 'Nº 5', chr(10), 'ﬁne Ａ１ ① ｶ', chr(10))
+      WHEN 2 THEN concat('你好 世界 and 日本 語の. Mr. Smith said... wait. No. 5 is it. e.g. this. End', chr(10))
+      ELSE '' END,
     CASE doc_id % 8
       WHEN 0 THEN concat('# Heading ', doc_id, chr(10), '**Part One** extra', chr(10), '**Part Two** extra', chr(10))
       WHEN 1 THEN concat('1 alpha', chr(10), '2 beta', chr(10), '3 gamma', chr(10))
@@ -37,32 +42,13 @@ SELECT doc_id, lang, source,
       WHEN 1 THEN replace(text, chr(10), concat(chr(10), chr(10)))
       ELSE replace(text, chr(10), concat(chr(10), chr(10), chr(10))) END,
     CASE WHEN doc_id % 8 = 5 THEN concat(chr(10), '*** END OF THIS TEXT ***', chr(10), 'legal words here') ELSE '' END
-  ) AS text
+  ) END AS text
 FROM {documents}
 """
 
 
-# Text tables and their row keys.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give CPU-heavy text work at least two partitions per core.
-
-    A large input already arrives in many scan splits and is returned as is
-    (no shuffle).  A small one (a few files, one row group each) would run on
-    a single core; it is hash-partitioned by its row key instead, which also
-    hands the per-document operators a partitioning they can reuse.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(2 * target, key) if key else df.repartition(2 * target)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
@@ -108,5 +94,5 @@ def book_metadata_duckdb() -> str:
 
 def book_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The book texts as (book_name, text) rows."""
-    return table(spark, sf_dir, "documents").select(
+    return docs_markup(spark, sf_dir).select(
         F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("book_name"), "text")
