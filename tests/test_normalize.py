@@ -91,3 +91,57 @@ def test_latin1_fast_paths_match_python(many):
         return "".join(ch for ch in unicodedata.normalize("NFD", t) if unicodedata.category(ch) != "Mn")
 
     assert many(nz.strip_accents, texts) == [strip(t) for t in texts]
+
+
+def test_published_punctuation_pair(one):
+    assert one(nz.moses_punct_normalize, "«Hello World» — she said…") == '"Hello World" - she said...'
+
+
+def test_moses_sentence_periods_and_multi_dots(one):
+    cases = {
+        "Hello world. Next one... and more. End": "Hello world . Next one ... and more . End",
+        "wait...": "wait ...",
+        "Mr. Smith and Dr. No. went": "Mr. Smith and Dr. No. went",
+        "No. 5 and No. Five": "No. 5 and No . Five",
+        "the U.S. Army, e.g. this. that": "the U.S. Army , e.g. this. that",
+        "It ended. 'Yes.' He left.": "It ended . &apos; Yes . &apos; He left .",
+        "A. Person has 3.14, not 2.": "A. Person has 3.14 , not 2 .",
+        "a | b [c] <d> & \"e\"": "a &#124; b &#91; c &#93; &lt; d &gt; &amp; &quot; e &quot;",
+    }
+    for text, want in cases.items():
+        assert " ".join(one(nz.moses_tokenize, text)) == want
+
+
+def test_detokenizer_unescapes_what_the_tokenizer_escapes(one):
+    text = "a | b [c] & e"
+    tokens = " ".join(one(nz.moses_tokenize, text))
+    assert one(nz.fix_tokenized, tokens) == "a | b [c] & e"
+
+
+def test_cjk_tokens_attach(one):
+    assert one(nz.fix_tokenized, "你好 世界 and 日本 語の x 世") == "你好世界 and 日本語の x 世"
+    assert one(nz.fix_tokenized, "你好 , 世界") == "你好, 世界"
+
+
+def test_many_quotes_are_linear(one):
+    import time
+
+    t0 = time.time()
+    out = one(nz.fix_tokenized, '" a \' b ' * 20_000)
+    assert out.startswith('"a \'b"a\' b') or out.startswith('"a')
+    assert time.time() - t0 < 10
+
+
+def test_quotes_agree_with_the_model(many):
+    import random
+
+    from models import detokenize
+
+    rng = random.Random(12)
+    pieces = ['"', "'", "''", "“", "„", "`", "words", "a", "is", "'s", ",", "(", ")", "$", "世", "界x"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 24))) for _ in range(400)]
+    assert many(nz.fix_tokenized, texts) == [detokenize(t) for t in texts]
+
+
+def test_special_map_with_compatibility_characters(one):
+    assert one(nz.special_normalize, "ﬁne Ａ１ ① ｶ ª º … ¨x") == 'fine A1 1 カ a o ... "x'

@@ -128,3 +128,12 @@ def test_books3_skipped_indent_strips_are_noops(many):
              "Some longer words of text.", "â\u0080\u0099", "Ã©", "**"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(200)]
     assert many(pr.clean_books3, texts) == many(every_step, texts)
+
+
+def test_license_cut_counts_code_points(one):
+    assert one(tx.cut_license, "body😀😀😀\n*** END OF X ***\nlegal") == "body😀😀😀"
+
+
+def test_upper_with_ordinal_indicators(one):
+    for text in ("1ª EDICIÓN", "Nº 5", "ABC", "ABC 1", "123", "", "Ab", "ß", "ÀÉ ǅ", "Ⅷ", "ÇA"):
+        assert one(tx.is_upper, text) == text.isupper(), text
