@@ -185,7 +185,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     k, tables = plan(df.count(), threshold)
     found = saved(_profiles(source, k, tables), "profiles")
     usable = found.where("dim > 0 AND id IS NOT NULL")
-    classes = usable.groupBy("dim", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
+    classes = saved(usable.groupBy("dim", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "weights")
     members = usable.join(classes.withColumnRenamed("rep", "id"), ["id", "dim", "h1", "h2"]).dropDuplicates(["id", "dim", "h1", "h2"])
     members = saved(members, "classes")
     placed = members.select("id", "dim", F.posexplode("keys").alias("band", "key"))

@@ -217,7 +217,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bands = n_bands(threshold)
     found = saved(profiles(df, id_col, text_col, width, bands), "profiles")
     usable = found.where("n > 0 AND id IS NOT NULL")
-    classes = usable.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
+    classes = saved(usable.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "classes")
     members = usable.join(classes.select(F.col("rep").alias("id"), "n", "h1", "h2"), ["id", "n", "h1", "h2"], "left_semi").dropDuplicates(["id", "n", "h1", "h2"])
     placed = members.select("id", "n", F.posexplode("bands").alias("band", "key"))
     full = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("centre")).where("size > 1")
