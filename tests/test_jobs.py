@@ -104,7 +104,7 @@ def test_file_jobs(spark, tmp_path):
 
 def test_corpus_plan_moves_text_only_for_dedup(spark):
     """The only exchange in J1's plan is the dedup shuffle by hash, with both gates on
-    (broadcasts off, as for a large input), and building it runs no job and keeps AQE on."""
+    (broadcasts off, as for a large input), and AQE stays on."""
     from textmill.operators.vocab import build_vocab, piece_table
     from textmill.sources.tables import table
 
