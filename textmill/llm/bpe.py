@@ -29,6 +29,8 @@ from textmill.llm.arrow import lists, map_text, ragged
 
 #: The tokenizer file is shipped to the tasks; larger files are refused.
 MAX_FILE_BYTES = 64 << 20
+#: Bytes of text whose distinct words share one pair index.
+PIECE = 2 << 20
 
 # Characters whose NFC form is themselves and on whose classes all Unicode versions agree.
 # Chunks with any other character go through the tokenizers library's own normaliser and splitter.
@@ -268,7 +270,7 @@ def _shipped(df: DataFrame, path: str):
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Append ``ids``, the token ids of the whole text (no special tokens added)."""
     spec = _shipped(df, path)
-    return map_text(df, text_col, lambda t: [encode_batch(vocabulary(spec.value), t)], [IDS])
+    return map_text(df, text_col, lambda t: [encode_batch(vocabulary(spec.value), t)], [IDS], limit=PIECE)
 
 
 def round_trip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -280,7 +282,7 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         ids = encode_batch(v, texts)
         return [ids, decode_batch(v, ids)]
 
-    return map_text(df, text_col, both, [IDS, DECODED])
+    return map_text(df, text_col, both, [IDS, DECODED], limit=PIECE)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", skip_special_tokens: bool = False) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.arrow import fresh, map_text, raw, strings
+from textmill.llm.arrow import fresh, map_text, raw, slices, strings
 
 ORDER = 3
 SAMPLE_DOCS = 1000
@@ -81,7 +81,7 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     sample = rows.where(F.pmod(F.xxhash64("i"), F.lit(1 << 24)) < F.element_at(share, F.col("l")) * (1 << 24))
 
     def count(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "t", 1 << 19)):
             texts, langs = strings(batch.column(1)), batch.column(0).dictionary_encode()
             offs, data = raw(texts)
             lang = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.uint64), np.diff(offs))
@@ -229,4 +229,4 @@ def predict(df: DataFrame, counts: Counts, text_col: str = "text") -> DataFrame:
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     mark = fresh(df, "letter")
     marked = df.withColumn(mark, letter)
-    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=(mark,), limit=1 << 19).drop(mark)
+    return map_text(marked, text_col, lambda t, has: _predict(shipped.value.model, t, has), FIELDS, also=(mark,), limit=1 << 18).drop(mark)
