@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, embed, langid, lines, lmscore, minhash, secrets, substrings
+from textmill.llm import bpe, chat, decontam, embed, langid, lines, minhash, secrets, substrings, wordscore
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -61,9 +61,8 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
-    model = lmscore.count(docs.join(good.hint("shuffle_hash"), "doc_id", "left"), F.col("good"))
-    return lmscore.score(docs, model).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return wordscore.scores(docs, good).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
