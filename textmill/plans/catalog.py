@@ -352,29 +352,46 @@ def q_redundancy_gate(spark, d):
           f"SELECT token, true AS joins_back, true AS in_range, true AS marked FROM "
           f"(SELECT DISTINCT unnest({dk.word_tokens('text')}) AS token FROM documents)")
 def q_bpe_pieces(spark, d):
-    """BPE subword model (200 merges) trained on all words and applied to every
-    word.  SQL checks the words and that each word's pieces join back to it, that
-    there are 1 to length + 1 of them, and that the first one bears the word mark."""
-    from textmill.operators.subword import WORD_START, bpe_piece_table
+    """BPE subword model (the operator's 1000 merges) trained on all words and applied
+    to every word.  SQL checks the words and that each word's pieces join back to it, that
+    there are 1 to length + 1 of them, and that the first one bears the word mark; the pieces
+    themselves are q_bpe_piece_rows."""
+    from textmill.operators.subword import WORD_START
 
-    p = bpe_piece_table(table(spark, d, "documents"), n_merges=200, keep_pieces=True)
+    p = q_bpe_piece_rows(spark, d)
     n = F.size("sym")
     return p.select("token", (F.array_join("sym", "") == F.concat(F.lit(WORD_START), "token")).alias("joins_back"),
                     ((n >= 1) & (n <= F.length("token") + 1)).alias("in_range"), F.get("sym", 0).startswith(WORD_START).alias("marked"))
 
 
+@register("q_bpe_piece_rows")
+def q_bpe_piece_rows(spark, d):
+    """The pieces of every word (rows only: an iterative training has no SQL form)."""
+    from textmill.operators.subword import bpe_piece_table
+
+    return bpe_piece_table(table(spark, d, "documents"), keep_pieces=True)
+
+
 @register("q_token_char_ratio_bpe",
           "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, true AS in_range FROM documents")
 def q_token_char_ratio_bpe(spark, d):
     """G5 + C8 with the BPE pieces: token/char ratio of every document.  SQL checks
-    the documents and that the pieces lie between the words and the characters plus one mark a word."""
-    from textmill.operators.subword import bpe_piece_table
-
+    the documents and that the pieces lie between the words and the characters plus one mark a word;
+    the counts and ratios themselves are q_token_char_ratio_bpe_rows."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    r = vb.token_char_ratios(docs, ["doc_id"], bpe_piece_table(docs, n_merges=200))
+    r = q_token_char_ratio_bpe_rows(spark, d)
     n = docs.select("doc_id", F.size(word_tokens("text")).alias("w"))
     ok = (F.col("n_pieces") >= F.col("w")) & (F.col("n_pieces") <= 2 * F.col("n_chars") + F.col("w"))
-    return r.join(n, "doc_id").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), ok.alias("in_range"))
+    return r.join(n, "doc_id").select("doc_id", "n_chars", ok.alias("in_range"))
+
+
+@register("q_token_char_ratio_bpe_rows")
+def q_token_char_ratio_bpe_rows(spark, d):
+    """G5 + C8: characters, BPE pieces and their ratio by document (rows only)."""
+    from textmill.operators.subword import bpe_piece_table
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return vb.token_char_ratios(docs, ["doc_id"], bpe_piece_table(docs)).withColumn("n_chars", F.col("n_chars").cast("long"))
 
 
 # ---------------------------------------------------------------------------
