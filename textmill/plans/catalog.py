@@ -812,27 +812,35 @@ def q_read_books(spark, d):
     return io.read_books(spark, path, pattern="*").select(F.md5("text").alias("text_md5"))
 
 
+#: Books in a file of q_book_metadata, about.
+METADATA_ITEMS = 10_000
+
+
 @register("q_book_metadata", f"SELECT book_name, array_to_string(categories, '|') AS categories FROM {_META} m")
 def q_book_metadata(spark, d):
-    """A4: the metadata written as one JSON array (lists, and plain strings for
-    single categories) and read back."""
+    """A4: the metadata written as JSON arrays of about METADATA_ITEMS books a file (lists, and
+    plain strings for single categories) and read back as one folder."""
     path = _scratch(spark, "metadata")
     meta = book_metadata(spark, d)
     cats = F.when(F.size("categories") > 1, F.to_json("categories")).otherwise(F.to_json(F.array(F.get("categories", 0))).substr(F.lit(2), F.length(F.to_json(F.array(F.get("categories", 0)))) - 2))
     item = F.concat(F.lit('{"book_name": '), io.json_string("book_name"), F.lit(', "categories": '), cats, F.lit("}"))
-    meta.agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value")).coalesce(1).write.text(path)
+    files = -(-meta.count() // METADATA_ITEMS) or 1
+    arrays = meta.groupBy(F.pmod(F.xxhash64("book_name"), F.lit(files)).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return io.read_book_metadata(spark, path).select("book_name", F.array_join("categories", "|").alias("categories"))
 
 
 @register("q_shards", "SELECT doc_id % 4 AS split, CAST(count(*) AS BIGINT) AS n_docs, CAST(1 AS BIGINT) AS n_shards FROM documents GROUP BY 1")
 def q_shards(spark, d):
-    """A5: four shard files read in one run; each document's shard is its file."""
+    """A5: four shards of several files each read in one run; each document's shard is the
+    write that its file's name bears (part-<number>-<write>-<...>)."""
     path = _scratch(spark, "shards")
     docs = table(spark, d, "documents").select(F.concat((F.col("doc_id") % 4).cast("string"), F.lit(" "), F.coalesce("text", F.lit(""))).alias("text"),
                                                F.lit("Pile-CC").alias("subset"), (F.col("doc_id") % 4).alias("split"))
     for k in range(4):
-        io.write_pile_jsonl(docs.where(F.col("split") == k).coalesce(1), f"{path}/split{k}")
-    read = io.read_documents(spark, f"{path}/*")
+        io.write_pile_jsonl(docs.where(F.col("split") == k), f"{path}/split{k}")
+    read = io.read_documents(spark, f"{path}/*").withColumn("shard", F.regexp_extract("shard", r"^part-\d+-([0-9a-f]+(-[0-9a-f]+){4})", 1))
     return read.groupBy(F.split("text", " ")[0].cast("long").alias("split")).agg(
         F.count("*").alias("n_docs"), F.countDistinct("shard").alias("n_shards"))
 
