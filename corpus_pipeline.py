@@ -33,8 +33,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut lines whose template recurs across documents; all documents stay."""
-    return lines.drop_recurring_lines(docs).select(*_columns(docs, F.col("text")))
+    """Cut lines whose template recurs across documents, several templates a leaf; all documents stay."""
+    return lines.drop_recurring_lines(docs, several=True).select(*_columns(docs, F.col("text")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
