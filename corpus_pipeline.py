@@ -38,8 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates (the smallest id)."""
-    return minhash.drop_near_duplicates(docs, threshold=SIMILARITY)
+    """Keep one document of each group of near duplicates (the smallest id), then one copy of each long
+    line that documents still share (before, near copies would lose what makes them alike)."""
+    once = saved(minhash.drop_near_duplicates(docs, threshold=SIMILARITY), "near-dedup")
+    return lines.drop_copied_passages(once).select(*_columns(docs, F.col("text")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
