@@ -17,8 +17,8 @@ So links inside one component aren't multiplied out, hot buckets are split, and
 components is lost beyond the stated chance.
 
 Defined results: a null, empty or blank text has an empty set and links with nothing; rows with a
-null id link with nothing; rows that repeat an id are each judged
-by their own text; ties go to the smallest id; an
+null id link with nothing; rows that repeat an id share
+its links (:func:`drop_near_duplicates` judges each by its own text); ties go to the smallest id; an
 empty table gives an empty table; other columns are not read.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.arrow import lists, ragged, raw, slices, strings, whole_groups, words
+from textmill.llm.arrow import fresh, lists, ragged, raw, slices, strings, whole_groups, words
 from textmill.llm.graph import components
 from textmill.llm.store import saved
 
@@ -256,10 +256,19 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
                          width: int = WIDTH) -> DataFrame:
     """The rows of ``df`` without those that have a near duplicate of smaller id; of rows that repeat
     id and text one stays, and rows with a null id all stay."""
-    found = near_duplicates(df, id_col, text_col, threshold, width)
-    gone = found.where(~F.col("kept")).select(id_col).distinct()
-    once = df
-    if not found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
-        null_ids = df.where(F.col(id_col).isNull())
-        once = df.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(null_ids)
-    return once.join(gone.hint("shuffle_hash"), id_col, "left_anti").select(*df.columns)
+    ids = df.where(F.col(id_col).isNotNull())
+    if ids.groupBy(id_col).count().where("count > 1").isEmpty():
+        gone = near_duplicates(df, id_col, text_col, threshold, width).where(~F.col("kept")).select(id_col).distinct()
+        return df.join(gone.hint("shuffle_hash"), id_col, "left_anti").select(*df.columns)
+    # Each (id, text) becomes a node of its own, numbered in the order of the ids.
+    node, key = fresh(df, "node"), fresh(df, "text_key")
+    once = ids.dropDuplicates([id_col, text_col]).withColumn(key, F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)))
+    numbered = saved(once.join(_numbered(once.select(id_col, key).distinct(), [id_col, key], node), [id_col, key]), "nodes")
+    gone = near_duplicates(numbered, node, text_col, threshold, width).where(~F.col("kept")).select(node).distinct()
+    left = numbered.join(gone.hint("shuffle_hash"), node, "left_anti")
+    return left.select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))
+
+
+def _numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with distinct numbers that rise in the given order (range partitions, then the place in each)."""
+    return saved(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), "numbers")
