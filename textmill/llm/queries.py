@@ -11,10 +11,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, embed, langid, lines, minhash, secrets, substrings, wordscore
+from textmill.llm import bpe, chat, collocations, decontam, embed, langid, lines, minhash, pieces, secrets, substrings, wordscore
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
+#: Model of op13.
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,6 +161,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM split),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+total AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+f AS (SELECT lang, k AS size, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS gram, count(*) AS n
+      FROM places, range(1, 5) t(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, size, gram, string_split(gram, ' ') AS ws, n AS a FROM f WHERE size > 1),
+parts AS (SELECT lang, gram, a, k, array_to_string(list_slice(ws, 1, k), ' ') AS x, array_to_string(list_slice(ws, k + 1, size), ' ') AS y
+          FROM cand, range(1, 4) t(k) WHERE k < size),
+cuts AS (SELECT p.lang, p.gram, a, k, l.n AS l, r.n AS r, (2000000::HUGEINT * a // (l.n::HUGEINT + r.n))::BIGINT AS score
+         FROM parts p JOIN f l ON l.lang = p.lang AND l.gram = x JOIN f r ON r.lang = p.lang AND r.gram = y),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS gram, max(a) AS m
+           FROM cand, range(1, 4) s(i), range(2, 4) t(k) WHERE k < size AND i + k - 1 <= size GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inner_ USING (lang, gram) WHERE m IS NULL OR 100::HUGEINT * m < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank, gram AS phrase, a, l, r, total.n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs, tokenizer_path(PIECE_MODEL)).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), _digest(F.array_join("ids", ",")).alias("ids_sha256"),
+        _digest("decoded").alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_langid": op2_langid,
@@ -170,5 +206,7 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
+    "op11_collocations": op11_collocations,
+    "op13_pieces": op13_pieces,
 }
-ORACLES = {"op7_lines": OP7_SQL, "op10_chat": OP10_SQL}
+ORACLES = {"op7_lines": OP7_SQL, "op10_chat": OP10_SQL, "op11_collocations": OP11_SQL}
