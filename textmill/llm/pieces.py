@@ -33,6 +33,8 @@ MAX_FILE_BYTES = 64 << 20
 PIECE = 2 << 20
 #: Words of more symbols are merged one by one, with a heap.
 LONG_WORD = 1000
+#: Words whose pieces a task remembers, and the longest of them in bytes.
+SEEN, SEEN_BYTES = 300_000, 64
 
 MARK = "▁".encode()
 # Piece types of the model format (fixed values).
@@ -104,6 +106,38 @@ class CharacterMap:
         return length, value
 
 
+class Seen:
+    """The pieces of words that a task has met, to be taken again; begun anew when SEEN words are held."""
+
+    def __init__(self):
+        self.place: dict[bytes, int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.joined: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.ends = [0]
+
+    def get(self, words: list[bytes]) -> np.ndarray:
+        place = self.place
+        return np.array([place.get(w, -1) for w in words], np.int64)
+
+    def add(self, words: list[bytes], ids: np.ndarray, length: np.ndarray, ends: np.ndarray) -> None:
+        if len(self.place) + len(words) > SEEN or self.ends[-1] + len(ids) > 8 * SEEN:
+            self.__init__()
+        base = len(self.place)
+        self.place.update(zip(words, range(base, base + len(words))))
+        self.parts.append((ids.astype(np.int32), length.astype(np.int32)))
+        last = self.ends[-1]
+        self.ends.extend((ends[1:] + last).tolist())
+        self.joined = None
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, lengths, offsets by word)."""
+        if self.joined is None:
+            ids, length = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.zeros(0, np.int32),) * 2
+            self.parts = [(ids, length)]
+            self.joined = ids, length, np.array(self.ends)
+        return self.joined
+
+
 class Model:
     """Pieces, scores, merges and the normaliser of one model file."""
 
@@ -163,6 +197,7 @@ class Model:
         self.by_pair = dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.made.tolist())))
         marked = ["▁" in t.lstrip("▁") for t in text.values()]
         self.splits = not any(marked)
+        self.seen = Seen()
         # What each piece decodes to; byte pieces are one byte.
         surface = [b"" if kinds[k] == CONTROL else trainer.get(44, " ⁇ ".encode()) if kinds[k] == UNKNOWN
                    else bytes([self.bytes[k]]) if kinds[k] == BYTE else p.replace(MARK, b" ") for k, p in enumerate(self.pieces)]
@@ -177,6 +212,8 @@ class Model:
         Source bytes are counted from the start of the text; a text's ending entry stands at
         ``offset of the next text + number of the text``.
         """
+        if not len(self.map.units) and not self.squeeze:
+            return self._unchanged(offs, data)
         n = len(offs) - 1
         starts = np.flatnonzero((data & 0xC0) != 0x80)
         row = np.searchsorted(offs, starts, "right") - 1
@@ -244,17 +281,40 @@ class Model:
         origin[new[1:] + np.arange(n)] = end
         return new, made, origin
 
+    def _unchanged(self, offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`normalise` without a map: only spaces become marks."""
+        size = np.diff(offs)
+        front = ((size > 0) & self.prefix).astype(np.int64)
+        # A space goes before each text, an end behind it; then spaces are spelled out.
+        at = np.repeat(np.cumsum(front + 1) - 1, size) + np.arange(len(data))
+        full = np.full(len(data) + int(front.sum()) + len(size), 0x20, np.uint8)
+        full[at] = data
+        ends = np.cumsum(size + front + 1) - 1
+        place = np.zeros(len(full), np.int32)
+        place[at] = np.arange(len(data)) - np.repeat(offs[:-1], size)
+        place[ends] = size
+        width = np.where(full == 0x20, 3, 1).astype(np.int8)
+        width[ends] = 1
+        origin = np.repeat(place, width)
+        made = np.repeat(full, width)
+        stop = np.cumsum(width, dtype=np.int64)
+        spaces = stop[width == 3] - 3
+        for k in range(3):
+            made[spaces + k] = MARK[k]
+        keep = np.ones(len(made), bool)
+        keep[stop[ends] - 1] = False
+        return np.append(0, stop[ends] - np.arange(1, len(size) + 1)), made[keep], origin
+
     # -- merging ----------------------------------------------------------------------------------
 
-    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, product) of each pair of symbols, -1 if it never merges."""
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, class, product) of each pair of symbols, class -1 if it never merges."""
         keys = np.where((left < 0) | (right < 0), -1, left * self.size + right)
         if not len(self.keys):
-            return np.full(len(keys), -1), np.full(len(keys), -1)
+            return keys, np.full(len(keys), -1), keys
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
-        ok = self.keys[at] == keys
-        return np.where(ok, self.rank[at], -1), np.where(ok, self.made[at], -1)
+        return keys, np.where(self.keys[at] == keys, self.rank[at], -1), self.made[at]
 
     def merge(self, symbols: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Merge all words in place, best class first and from the left; False where a symbol was merged away."""
@@ -265,37 +325,43 @@ class Model:
         after[np.append(edge, True)] = -1
         before = np.arange(-1, n - 1)
         before[np.append(True, edge)] = -1
-        waiting: dict[int, list[np.ndarray]] = {}
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         classes: list[int] = []
 
         def enter(positions: np.ndarray) -> None:
-            rank, _ = self.find(symbols[positions], symbols[after[positions]])
-            on = rank >= 0
-            if not on.any():
+            right = symbols[after[positions]]
+            keys, rank, product = self.find(symbols[positions], right)
+            on = np.flatnonzero(rank >= 0)
+            if not len(on):
                 return
-            rank, positions = rank[on], positions[on]
-            order = np.argsort(rank, kind="stable")
-            rank, positions = rank[order], positions[order]
-            cuts = np.flatnonzero(np.diff(rank)) + 1
-            for r, part in zip(rank[np.append(0, cuts)].tolist(), np.split(positions, cuts)):
+            on = on[np.argsort(rank[on], kind="stable")]
+            rank, entries = rank[on], (positions[on], keys[on], product[on])
+            cuts = np.append(0, np.flatnonzero(np.diff(rank)) + 1)
+            for r, a, b in zip(rank[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(rank)]):
                 if r not in waiting:
                     waiting[r] = []
                     heapq.heappush(classes, r)
-                waiting[r].append(part)
+                waiting[r].append(tuple(x[a:b] for x in entries))
 
         enter(np.flatnonzero(after >= 0))
         while classes:
             r = heapq.heappop(classes)
-            at = np.unique(np.concatenate(waiting.pop(r)))
-            at = at[alive[at] & (after[at] >= 0)]
-            rank, product = self.find(symbols[at], symbols[after[at]])
-            at, product = at[rank == r], product[rank == r]
-            if not len(at):
+            held = waiting.pop(r)
+            at, keys, product = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held))
+            right = after[at]
+            on = alive[at] & (right >= 0)
+            on[on] = symbols[at[on]] * self.size + symbols[right[on]] == keys[on]
+            on = np.flatnonzero(on)
+            if not len(on):
                 continue
+            on = on[np.argsort(at[on], kind="stable")]
+            at, keys, product = at[on], keys[on], product[on]
+            if len(at) > 1 and not (new := np.append(True, at[1:] != at[:-1])).all():
+                at, keys, product = at[new], keys[new], product[new]
             if self.stepwise[r]:
                 first = np.append(True, word[at[1:]] != word[at[:-1]])
                 if not first.all():
-                    waiting[r] = [at[~first]]
+                    waiting[r] = [(at[~first], keys[~first], product[~first])]
                     heapq.heappush(classes, r)
                     at, product = at[first], product[first]
             elif len(at) > 1:  # pairs that overlap: every other one of a chain, from the left
@@ -340,11 +406,10 @@ class Model:
             enter(i)
         return [k for k in range(n) if not gone[k]]
 
-    def segment(self, offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, normalised bytes of each, opens, piece offsets by word) of distinct words.
+    def segment(self, offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, normalised bytes of each, piece offsets by word) of words.
 
-        A character that is no piece is spelled in byte pieces: only the last covers its bytes, and
-        ``opens`` is False for those.
+        A character that is no piece is spelled in byte pieces: only the last covers its bytes.
         """
         starts = np.flatnonzero((data & 0xC0) != 0x80)
         word = np.searchsorted(offs, starts, "right") - 1
@@ -377,17 +442,34 @@ class Model:
         n_ids = np.where(spelled, span, 1)
         ids = np.repeat(symbols, n_ids)
         length = np.repeat(span, n_ids)
-        opens = np.repeat(~spelled, n_ids)
         if spelled.any():
             where = np.repeat(spelled, n_ids)
             ids[where] = self.byte_ids[data[ragged(starts[spelled], span[spelled])]]
-            ends = np.cumsum(n_ids) - 1
-            keep = np.ones(len(ids), bool)
-            keep[where] = False
-            keep[ends] = True
-            length[~keep] = 0
+            where[np.cumsum(n_ids) - 1] = False
+            length[where] = 0
         by_word = np.append(0, np.cumsum(np.bincount(word, weights=n_ids, minlength=n).astype(np.int64)))
-        return ids, length, opens, by_word
+        return ids, length, by_word
+
+    def pieces_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, normalised bytes of each, piece offsets by word) of distinct words, most of them met before."""
+        names = words.to_pylist()
+        place = self.seen.get(names)
+        new = np.flatnonzero(place < 0)
+        old = np.flatnonzero(place >= 0)
+        fresh = self.segment(*_binary(words.take(pa.array(new))))
+        seen = self.seen.table()
+        count = np.zeros(len(names), np.int64)
+        count[new] = np.diff(fresh[2])
+        count[old] = np.diff(seen[2])[place[old]]
+        begin = np.zeros(len(names), np.int64)
+        begin[new] = fresh[2][:-1] + len(seen[0])
+        begin[old] = seen[2][:-1][place[old]]
+        at = ragged(begin, count)
+        ids, length = np.concatenate([seen[0], fresh[0]])[at], np.concatenate([seen[1], fresh[1]])[at]
+        short = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False)[new] <= SEEN_BYTES)
+        own = ragged(fresh[2][:-1][short], np.diff(fresh[2])[short])
+        self.seen.add([names[k] for k in new[short].tolist()], fresh[0][own], fresh[1][own], np.append(0, np.cumsum(np.diff(fresh[2])[short])))
+        return ids, length, np.append(0, np.cumsum(count))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row offsets, ids, first source bytes, ends of the source bytes) of the pieces."""
@@ -406,8 +488,7 @@ class Model:
                                                                      pa.py_buffer(np.ascontiguousarray(norm))])
         coded = words.dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        d_offs, d_data = _binary(coded.dictionary)
-        ids, length, _, ends = self.segment(d_offs, d_data)
+        ids, length, ends = self.pieces_of(coded.dictionary)
         count = np.diff(ends)[code]
         at = ragged(ends[:-1][code], count)
         ids, length = ids[at], length[at]
