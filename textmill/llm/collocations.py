@@ -40,7 +40,7 @@ from textmill.llm.minhash import mix
 from textmill.llm.store import saved
 
 #: Bytes of text whose n-grams a task counts together.
-SLICE = 8 << 20
+SLICE = 4 << 20
 SCALE = 2_000_000
 UNDETERMINED = "und"
 #: Bits of a filter sent to the tasks, probes of an entry, and bits of a part of it.
@@ -58,9 +58,19 @@ KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = BREAK
 
 
 def hashed(words: pa.Array) -> np.ndarray:
-    """64-bit hashes of words (binary or string)."""
-    own = np.array([*words.cast(pa.string()).to_pylist(), ""], dtype=object)[:-1]
-    return pd.util.hash_array(own, categorize=False).astype(np.uint64) if len(own) else np.zeros(0, np.uint64)
+    """64-bit hashes of words (binary or string): the sum of a mixed number for each (place, byte)."""
+    words = pa.concat_arrays([words.cast(pa.large_binary()), pa.array([], pa.large_binary())])
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offs, data = words.buffers()
+    offs = np.frombuffer(offs, np.int64)[: len(words) + 1]
+    if offs[-1] == offs[0]:
+        return np.zeros(len(words), np.uint64)
+    data = np.frombuffer(data, np.uint8)[offs[0] : offs[-1]]
+    offs = offs - offs[0]
+    place = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
+    total = np.append(np.uint64(0), np.cumsum(mix(((place << 8) | data).astype(np.uint64))))
+    return mix(total[offs[1:]] - total[offs[:-1]])
 
 
 def chained(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -129,9 +139,12 @@ class Slice:
         coded = flat.dictionary_encode()
         self.words, self.word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         row = np.searchsorted(offs, starts, "right") - 1
-        breaks = np.cumsum(kind == BREAK)[starts] if len(starts) else np.zeros(0, np.int64)
         self.linked = np.zeros(len(starts), bool)  # with the next word
-        self.linked[:-1] = (row[1:] == row[:-1]) & (breaks[1:] == breaks[:-1])
+        self.linked[:-1] = (row[1:] == row[:-1]) & (kind[ends[:-1]] != BREAK) & (kind[starts[1:] - 1] != BREAK)
+        wide = np.flatnonzero(self.linked[:-1] & (starts[1:] - ends[:-1] > 2))
+        if len(wide):
+            stops = np.flatnonzero(kind == BREAK)
+            self.linked[wide] = np.searchsorted(stops, ends[wide]) == np.searchsorted(stops, starts[wide + 1])
         langs = pc.fill_null(langs.cast(pa.string()), UNDETERMINED).dictionary_encode()
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
 
@@ -139,7 +152,7 @@ class Slice:
         """(lang, phrase, count) of the n-grams of ``size`` words of which all parts of k words are in
         ``frequent[k]``, and one of the two parts of one word less in ``open_``."""
         d = max(len(self.words), 1)
-        hashes = hashed(self.words)
+        hashes = hashed(self.words) if size > 1 else np.zeros(len(self.words), np.uint64)
         # ``at``: where the n-grams begin; ``of``: the number of each among the distinct ones, ``first`` where each is found.
         at = np.arange(len(self.word))
         of, first, h = self._distinct(self.lang * d + self.word, at)
@@ -168,7 +181,9 @@ class Slice:
     @staticmethod
     def _distinct(keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number of each key, where each distinct one is first found, its index)."""
-        _, where, of = np.unique(keys, return_index=True, return_inverse=True)
+        of, distinct = pd.factorize(keys)
+        where = np.zeros(len(distinct), np.int64)
+        where[of[::-1]] = np.arange(len(of))[::-1]
         return of, at[where], where
 
 
