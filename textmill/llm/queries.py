@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, collocations, decontam, embed, langid, lines, minhash, pieces, secrets, substrings, wordscore
+from textmill.llm import bpe, chat, collocations, decontam, embed, langid, lines, minhash, pieces, repair, secrets, substrings, wordscore
 
 #: Tokenizer of op1 (a parameter; see its public package).
 TOKENIZER = "word_bpe_49k.json"
@@ -188,6 +188,29 @@ FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
 """
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` damaged by the hash of their place: dropped, emptied, without sentence
+    ends, repeated, or given to the user.  Nulls are one space."""
+    def spaced(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20
+    own = rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(spaced("role")).alias("role"),
+                      F.when(kind == 1, "").when(kind == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text")).alias("text"),
+                      F.array_repeat(F.lit(1), F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)).alias("times"))
+    return own.withColumn("times", F.explode("times")).drop("times")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.report(repair.edits(damaged(rows))).withColumnRenamed("conv_id", "own")
+    everyone = rows.select("conv_id").distinct()
+    joined = everyone.join(found, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    longs = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *longs, F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", _digest(F.lit(""))).alias("repaired_sha256"))
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.round_trip(docs, tokenizer_path(PIECE_MODEL)).select(
@@ -207,6 +230,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
     "op11_collocations": op11_collocations,
+    "op12_repair": op12_repair,
     "op13_pieces": op13_pieces,
 }
 ORACLES = {"op7_lines": OP7_SQL, "op10_chat": OP10_SQL, "op11_collocations": OP11_SQL}
