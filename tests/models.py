@@ -161,36 +161,25 @@ def detokenize(text: str) -> str:
     return re.sub(" {2,}", " ", "".join(out)).strip()
 
 
-def batch_bpe(words: dict, n_merges: int, per_round: int, min_count: int = 2) -> dict:
-    """Batch BPE over a word-frequency dict (see textmill.operators.subword)."""
-    sym = {w: ["▁"] + list(w) for w in words}
+def plain_bpe(words: dict, n_merges: int, min_count: int = 2) -> tuple[list, dict]:
+    """(merges, symbols by word) of plain BPE: all pairs counted again for every merge, ties by the pair."""
+    sym = {w: ["▁", *w] for w in words}
     merges = []
     while len(merges) < n_merges:
         counts = {}
         for w, f in words.items():
-            s = sym[w]
-            for a, b in zip(s, s[1:]):
-                counts[(a, b)] = counts.get((a, b), 0) + f
-        top = sorted((p for p in counts.items() if p[1] >= min_count), key=lambda x: (-x[1], x[0][0], x[0][1]))
-        top = top[:per_round]
-        if not top:
+            for pair in zip(sym[w], sym[w][1:]):
+                counts[pair] = counts.get(pair, 0) + f
+        best = min(((-c, p) for p, c in counts.items() if c >= min_count), default=None)
+        if best is None:
             break
-        used, chosen = set(), []
-        for (a, b), _ in top:
-            if len(merges) + len(chosen) >= n_merges:
-                break
-            if a in used or b in used:
-                continue
-            chosen.append((a, b))
-            used.update((a, b))
-        merges.extend(chosen)
-        keys = set(chosen)
+        merges.append(best[1])
         for w in words:
             out = []
             for s in sym[w]:
-                if out and (out[-1], s) in keys:
-                    out[-1] = out[-1] + s
+                if out and (out[-1], s) == best[1]:
+                    out[-1] += s
                 else:
                     out.append(s)
             sym[w] = out
-    return {w: len(s) for w, s in sym.items()}
+    return merges, sym

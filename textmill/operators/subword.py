@@ -1,93 +1,334 @@
-"""Byte-pair-encoding subword model trained as Spark jobs (G5, Sennrich et al. 2016).
-
-The reference's subword model file is missing; this trains one from the
-corpus.  The training data is the word-count table (one row per distinct
-word, with its frequency), never the raw text again.  Each round is one
-aggregate over adjacent symbol pairs (weighted by word frequency, combined
-map-side), a bounded top-k of the best pairs, and one linear rewrite of each
-word.  A round takes the best pairs that share no symbol with one another, up
-to ``per_round`` of them (1: plain BPE); each merge is then the same as if it
-had been chosen alone.  The word table is checkpointed to the shared
-checkpoint folder every few rounds to cut lineage.
-
-A word is kept as one string of marked symbols, so a merge is a plain string
-replacement: linear in the word, left to right, never overlapping.
+"""Byte-pair-encoding subword model trained as Spark jobs and applied where the text is (G5, Sennrich et al. 2016).
+
+The reference's subword model file is missing; this trains one from the corpus.  The training data is the
+word-count table (one row per distinct word, with its frequency), never the raw text again.  The result is
+that of plain BPE: the most frequent pair of neighbouring symbols is merged, ties by the pair, over and over.
+
+One Spark job per merge would be slow, so merges are guessed and proved in rounds:
+
+* the driver guesses the next merges by plain BPE over the HINT_WORDS most frequent words (a hint of
+  bounded size that cannot change the result);
+* tasks apply the guessed merges to the words that hold one of their pairs, and send what each step adds
+  to and takes from the count of every pair beside a merge (added up map-side).  Nothing else is counted
+  again, and no word is rewritten: a word's symbols follow from the merges so far;
+* the counts of all pairs are kept as a table; with the steps' changes they show how far the guess was
+  right.  That far it is taken, and the table is brought up to date.  The first guess is the table's
+  best pair, so every round proves at least one merge.
+
+A model is its list of merges (at most MAX_MERGES), so it is sent to every task whatever the number of
+words, and scores token lists without a shuffle (:class:`BpeModel`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+from collections import defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.operators.vocab import word_counts
 
 WORD_START = "▁"
-# Around each symbol; the word normaliser leaves no control characters in words.
-OPEN, CLOSE = "\u0001", "\u0002"
+#: A model's merges are sent to every task.
+MAX_MERGES = 2**16
+#: Words that the driver guesses from, and merges guessed in a round.
+HINT_WORDS, AHEAD = 100_000, 128
+#: Tokens of at most so many characters whose pieces a task remembers, and how many of them.
+CACHE_CHARS, CACHE_TOKENS = 64, 2**18
+
+Pair = tuple[str, str]
+
+
+class Merges:
+    """A ranked list of merges.  A pair that a list holds twice applies at either rank."""
+
+    def __init__(self, merges: list[Pair]):
+        if len(merges) > MAX_MERGES:
+            raise ValueError(f"a model may have at most {MAX_MERGES} merges")
+        self.ranks: dict[Pair, list[int]] = defaultdict(list)
+        for rank, pair in enumerate(merges):
+            self.ranks[tuple(pair)].append(rank)
+        self.known: dict[str, int] = {}
+
+    def symbols(self, token: str, since: int = 0, changes: dict | None = None, weight: int = 1) -> list[str]:
+        """The pieces of a token: merges in the order of their ranks, each from the left.
+
+        ``changes`` receives ``{(step, left, right): count}``, what each merge of rank ``since + step``
+        adds to and takes from the pairs of the word.
+        """
+        sym = [WORD_START, *token]
+        n = len(sym)
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        heap: list[tuple[int, int, Pair]] = []
+
+        def enter(i: int, above: int) -> None:
+            if i >= 0 and after[i] >= 0:
+                pair = sym[i], sym[after[i]]
+                for rank in self.ranks.get(pair, ()):
+                    if rank > above:
+                        heapq.heappush(heap, (rank, i, pair))
+                        break
+
+        for i in range(n - 1):
+            enter(i, -1)
+        while heap:
+            rank, i, pair = heapq.heappop(heap)
+            j = after[i]
+            if j < 0 or sym[i] != pair[0] or sym[j] != pair[1]:  # a symbol that was merged away is empty
+                continue
+            p, q, made = before[i], after[j], pair[0] + pair[1]
+            if changes is not None and rank >= since:
+                step = rank - since
+                changes[step, *pair] -= weight
+                if p >= 0:
+                    changes[step, sym[p], pair[0]] -= weight
+                    changes[step, sym[p], made] += weight
+                if q >= 0:
+                    changes[step, pair[1], sym[q]] -= weight
+                    changes[step, made, sym[q]] += weight
+            sym[i], sym[j], after[i], after[j] = made, "", q, -1
+            if q >= 0:
+                before[q] = i
+            enter(p, rank)
+            enter(i, rank)
+        return [s for s in sym if s]
+
+    def count(self, token: str) -> int:
+        """The number of pieces, remembered for short tokens."""
+        n = self.known.get(token)
+        if n is None:
+            n = len(self.symbols(token))
+            if len(token) <= CACHE_CHARS:
+                if len(self.known) >= CACHE_TOKENS:
+                    self.known.clear()
+                self.known[token] = n
+        return n
+
+
+class BpeModel:
+    """A trained model, sent to every task once: a piece source for the token/character gates
+    and ratios (G5) of texts with any number of different words."""
+
+    def __init__(self, spark: SparkSession, merges: list[Pair]):
+        self.spark, self.merges = spark, [tuple(m) for m in merges]
+        self.shipped = spark.sparkContext.broadcast(Merges(self.merges))
+
+    def column(self, tokens: Column, returns: str, fn) -> Column:
+        """Apply ``fn(token lists, pieces of each token, token array)`` to Arrow batches of token lists."""
+        shipped = self.shipped
+
+        @F.arrow_udf(returns)
+        def run(lists: pa.Array) -> pa.Array:
+            lists = pa.concat_arrays([lists])
+            flat = lists.flatten()
+            coded = flat.dictionary_encode()
+            own = np.array([*map(shipped.value.count, coded.dictionary.to_pylist())], np.int32)
+            return fn(lists, own[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else own, flat)
+
+        return run(tokens)
+
+    def pieces(self, tokens: DataFrame) -> DataFrame:
+        """``token, sym, pieces`` of the ``token`` column, row by row."""
+        shipped = self.shipped
 
+        @F.arrow_udf("array<string>")
+        def run(names: pa.Array) -> pa.Array:
+            return pa.array([None if t is None else shipped.value.symbols(t) for t in names.to_pylist()], pa.list_(pa.string()))
 
-def _marked(token: Column) -> Column:
-    """The word mark and each character as a symbol of its own."""
-    return F.concat(F.lit(OPEN + WORD_START + CLOSE), F.regexp_replace(token, "(?s)(.)", OPEN + "$1" + CLOSE))
+        return tokens.select("token", run("token").alias("sym")).withColumn("pieces", F.size("sym"))
 
+    def save(self, path: str) -> None:
+        """The merges as a table (``rank, left, right``)."""
+        merge_table(self.spark, self.merges).write.mode("overwrite").parquet(path)
 
-def _symbols(word: Column) -> Column:
-    """The symbols of a marked word, as an array."""
-    return F.split(F.regexp_replace(word, f"^{OPEN}|{CLOSE}$", ""), CLOSE + OPEN, -1)
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BpeModel:
+        rows = spark.read.parquet(path).orderBy("rank").limit(MAX_MERGES + 1).collect()
+        return cls(spark, [(r["left"], r["right"]) for r in rows])
 
 
-def _merged(word: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply the merges one after the other (a fold, so the expression stays flat)."""
-    if not merges:
-        return word
-    steps = F.array(*(F.struct(F.lit(OPEN + a + CLOSE + OPEN + b + CLOSE).alias("old"), F.lit(OPEN + a + b + CLOSE).alias("new")) for a, b in merges))
-    return F.aggregate(steps, word, lambda w, m: F.replace(w, m["old"], m["new"]))
+def merge_table(spark: SparkSession, merges: list[Pair]) -> DataFrame:
+    return spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(merges)], "rank int, left string, right string")
 
 
-def train_bpe(words: DataFrame, n_merges: int = 1000, per_round: int = 25, min_count: int = 2, checkpoint_every: int = 5):
-    """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces, model)``:
-    ``merges(rank, left, right)`` in the order learnt, ``pieces(token, sym,
-    pieces)`` of the training words, and the merges as a list (at most
-    ``n_merges`` pairs), which ``bpe_pieces`` applies to any other words."""
+class Guess:
+    """Plain BPE over a few words on the driver, to say which merges may come next."""
+
+    def __init__(self, words: list[tuple[str, int]]):
+        self.words = [([WORD_START, *token], freq) for token, freq in words]
+        self.counts: dict[Pair, int] = defaultdict(int)
+        self.holders: dict[Pair, set[int]] = defaultdict(set)
+        for k in range(len(self.words)):
+            self._count(k, 1)
+
+    def _count(self, k: int, sign: int) -> None:
+        sym, freq = self.words[k]
+        for pair in zip(sym, sym[1:]):
+            self.counts[pair] += sign * freq
+            self.holders[pair].add(k)
+
+    def merge(self, pair: Pair) -> set[Pair]:
+        """Take a merge; the pairs whose counts have changed."""
+        changed = set()
+        for k in self.holders.pop(pair, ()):
+            sym, freq = self.words[k]
+            self._count(k, -1)
+            changed.update(zip(sym, sym[1:]))
+            out: list[str] = []
+            for s in sym:
+                if out and (out[-1], s) == pair:
+                    out[-1] += s
+                else:
+                    out.append(s)
+            self.words[k] = out, freq
+            self._count(k, 1)
+            changed.update(zip(out, out[1:]))
+        return changed
+
+    def ahead(self, top: list[tuple[Pair, int]], n: int) -> list[Pair]:
+        """The best pair and the merges that may follow it, without taking them.  The pairs of ``top`` begin with
+        their true counts; what merges change is scaled up from the words at hand."""
+        own = Guess.__new__(Guess)
+        own.words = list(self.words)
+        own.counts = defaultdict(int, self.counts)
+        own.holders = defaultdict(set, {p: set(h) for p, h in self.holders.items()})
+        seen = sum(own.counts.get(p, 0) for p, _ in top)
+        scale = sum(c for _, c in top) / seen if seen else 1
+        # A pair that is not among the best is at most as frequent as the last of them.
+        extra = {p: top[-1][1] - scale * c for p, c in own.counts.items() if scale * c > top[-1][1]}
+        extra |= {p: c - scale * own.counts.get(p, 0) for p, c in top}
+
+        def likely(p: Pair) -> int:  # whole, so that equal counts stay equal
+            return round(scale * own.counts[p] + extra.get(p, 0))
+
+        heap = [(-likely(p), p) for p in own.counts.keys() | extra.keys()]
+        heapq.heapify(heap)
+        out, pair = [], top[0][0]
+        while True:
+            out.append(pair)
+            extra.pop(pair, None)
+            if len(out) == n:
+                return out
+            for p in own.merge(pair):
+                heapq.heappush(heap, (-likely(p), p))
+            while heap and (likely(heap[0][1]) != -heap[0][0] or heap[0][0] >= 0):  # outdated, or gone
+                heapq.heappop(heap)
+            if not heap:
+                return out
+            pair = heap[0][1]
+
+
+def _steps(words: DataFrame, merges: list[Pair], guessed: list[Pair]) -> DataFrame:
+    """(a, b, steps): by pair, what each guessed merge changes in its count, from the words that hold one of
+    the guessed pairs."""
+    shipped = words.sparkSession.sparkContext.broadcast(Merges([*merges, *guessed]))
+    since = len(merges)
+    wanted = sorted({a + b for a, b in guessed})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import re
+
+        pattern = "|".join(map(re.escape, wanted))
+        changes: dict = defaultdict(int)
+        for batch in batches:
+            marked = pc.binary_join_element_wise(WORD_START, batch.column("token"), "")
+            own = batch.filter(pc.match_substring_regex(marked, pattern))
+            for token, freq in zip(own.column("token").to_pylist(), own.column("freq").to_pylist()):
+                shipped.value.symbols(token, since, changes, freq)
+            if len(changes) > 1 << 18:
+                yield _rows(changes)
+                changes.clear()
+        yield _rows(changes)
+
+    def _rows(changes: dict) -> pa.RecordBatch:
+        rows = [(*k, v) for k, v in changes.items() if v]
+        step, a, b, n = zip(*rows) if rows else ((),) * 4
+        return pa.RecordBatch.from_arrays([pa.array(step, pa.int32()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())],
+                                          names=["step", "a", "b", "n"])
+
+    rows = words.mapInArrow(run, "step int, a string, b string, n long").groupBy("a", "b", "step").agg(F.sum("n").alias("n"))
+    return rows.groupBy("a", "b").agg(F.collect_list(F.struct("step", "n")).alias("steps"))
+
+
+def _proved(rows: list, counts: dict[Pair, int], guessed: list[Pair], last: tuple[int, Pair] | None, min_count: int) -> int:
+    """How many of the guessed merges are those of plain BPE, as far as the pairs at hand show.
+
+    ``counts`` has the best pairs before the round, ``rows`` those that steps change (with their count
+    before).  With ``last`` = (-count, pair) all other pairs come after it, whatever the steps do.
+    """
+    own = dict(counts)
+    by_step = defaultdict(list)
+    for r in rows:
+        own[r.a, r.b] = r.c or 0
+        for s in r.steps:
+            by_step[s.step].append(((r.a, r.b), s.n))
+    heap = [(-c, p) for p, c in own.items()]
+    heapq.heapify(heap)
+    for step, pair in enumerate(guessed):
+        while heap and own[heap[0][1]] != -heap[0][0]:  # outdated
+            heapq.heappop(heap)
+        if not heap or heap[0][1] != pair or -heap[0][0] < min_count or last and heap[0] > last:
+            return step
+        for p, n in by_step[step]:
+            own[p] += n
+            heapq.heappush(heap, (-own[p], p))
+    return len(guessed)
+
+
+def train_bpe(words: DataFrame, n_merges: int = 1000, min_count: int = 2, hint_words: int = HINT_WORDS, ahead: int = AHEAD):
+    """Train on ``words`` (``token, freq``).  Returns ``(merges, pieces, model)``: ``merges(rank, left, right)``
+    in the order learnt, ``pieces(token, sym, pieces)`` of the training words, and the merges as a list
+    (at most ``n_merges`` pairs)."""
     from textmill.session import checkpoint_dir
 
+    if n_merges > MAX_MERGES:
+        raise ValueError(f"at most {MAX_MERGES} merges")
     spark = words.sparkSession
     checkpoint_dir(spark)
-    w = words.select("token", "freq", _marked(F.col("token")).alias("word")).checkpoint()
-    model: list[tuple[str, str]] = []
-    rounds = 0
+    w = words.select("token", F.col("freq").cast("long").alias("freq")).where("token IS NOT NULL").checkpoint()
+    sym = F.concat(F.array(F.lit(WORD_START)), F.filter(F.split("token", ""), lambda c: c != ""))
+    pairs = (w.select("freq", sym.alias("s")).select("freq", F.explode(F.arrays_zip(F.slice("s", 1, F.size("s") - 1).alias("a"), F.slice("s", 2, F.size("s")).alias("b"))).alias("p"))
+             .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("freq").alias("c")).checkpoint())
+    hint = w.orderBy(F.desc("freq"), "token").limit(hint_words).collect()
+    guess = Guess([(r.token, r.freq) for r in hint])
+    model: list[Pair] = []
     while len(model) < n_merges:
-        sym = _symbols(F.col("word"))
-        pairs = (w.select("freq", F.explode(F.arrays_zip(sym.alias("a"), F.slice(sym, 2, F.size(sym)).alias("b"))).alias("p"))
-                 .where(F.col("p.b").isNotNull())
-                 .groupBy("p.a", "p.b").agg(F.sum("freq").alias("c"))
-                 .where(F.col("c") >= min_count))
-        top = pairs.orderBy(F.desc("c"), "a", "b").limit(per_round).collect()
+        top = pairs.where(F.col("c") >= min_count).orderBy(F.desc("c"), "a", "b").limit(2 * ahead + 1).collect()
         if not top:
             break
-        used: set[str] = set()
-        chosen = []
-        for r in top:
-            if r.a not in used and r.b not in used and len(model) + len(chosen) < n_merges:
-                chosen.append((r.a, r.b))
-                used |= {r.a, r.b}
-        model += chosen
-        w = w.withColumn("word", _merged(F.col("word"), chosen))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            w = w.checkpoint()
-    merges = spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(model)], "rank int, left string, right string")
-    return merges, _pieces(w), model
-
-
-def _pieces(marked: DataFrame) -> DataFrame:
-    return marked.select("token", _symbols(F.col("word")).alias("sym")).withColumn("pieces", F.size("sym"))
-
-
-def bpe_pieces(tokens: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
-    """Apply a trained model to the distinct ``token`` values of ``tokens``:
-    ``token, sym, pieces``.  Does to its words exactly what training did."""
-    return _pieces(tokens.select("token").distinct().withColumn("word", _merged(_marked(F.col("token")), model)))
+        last = (-top[-1].c, (top[-1].a, top[-1].b)) if len(top) > 2 * ahead else None
+        least = -last[0] if last else min_count
+        guessed = guess.ahead([((r.a, r.b), r.c) for r in top], min(ahead, n_merges - len(model)))
+        steps = _steps(w, model, guessed).checkpoint()
+        # The pairs whose count ever reaches ``least``; all others stay behind ``last``.
+        reach = F.array_max(F.transform(F.array_sort("steps"), lambda s: F.coalesce("c", F.lit(0)) + F.aggregate(
+            F.filter("steps", lambda x: x["step"] <= s["step"]), F.lit(0).cast("long"), lambda n, x: n + x["n"])))
+        touched = steps.join(pairs, ["a", "b"], "left").where((F.coalesce("c", F.lit(0)) >= least) | (reach >= least)).collect()
+        m = max(1, _proved(touched, {(r.a, r.b): r.c for r in top}, guessed, last, min_count))
+        taken = guessed[:m]
+        for pair in taken:
+            guess.merge(pair)
+        model += taken
+        change = F.aggregate(F.filter("steps", lambda x: x["step"] < m), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+        pairs = (pairs.unionByName(steps.select("a", "b", change.alias("c"))).groupBy("a", "b").agg(F.sum("c").alias("c"))
+                 .where("c > 0").checkpoint())
+    return merge_table(spark, model), BpeModel(spark, model).pieces(w), model
+
+
+def bpe_pieces(tokens: DataFrame, model: list[Pair]) -> DataFrame:
+    """Apply a trained model to the distinct ``token`` values of ``tokens``: ``token, sym, pieces``."""
+    return BpeModel(tokens.sparkSession, model).pieces(tokens.select("token").distinct())
+
+
+def bpe_model(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, min_word_freq: int = 1, **kw) -> BpeModel:
+    """A model trained on all words of ``docs`` that occur at least ``min_word_freq`` times."""
+    words = word_counts(docs, text_col).where(F.col("freq") >= min_word_freq)
+    return BpeModel(docs.sparkSession, train_bpe(words, n_merges=n_merges, **kw)[2])
 
 
 def bpe_piece_table(docs: DataFrame, text_col: str = "text", n_merges: int = 1000, min_word_freq: int = 1,

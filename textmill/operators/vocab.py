@@ -7,8 +7,10 @@
   task once and each text is scored where it is: ids, unknown counts and piece
   counts are narrow (no shuffle), by an Arrow-batched lookup of the token
   lists that the JVM makes.
-* Piece tables of any size (a BPE table has a row for each word of the corpus)
-  go through a join of (row, token) counts instead (``token_char_ratios``).
+* The gates also take a BPE model (``subword.BpeModel``): its bounded merge list
+  goes to every task and makes the pieces of any token, so no vocabulary is too
+  large.  Piece tables of any size go through a join of (row, token) counts
+  instead (``token_char_ratios``).
 """
 
 from __future__ import annotations
@@ -205,9 +207,15 @@ def piece_table(vocab: DataFrame) -> DataFrame:
     return vocab.where(F.col("id") > UNK_ID).select("token", F.lit(1).alias("pieces"))
 
 
+def _piece_source(pieces):
+    """Where the gates look up the pieces of a token: a piece table of at most VOCAB_SIZE rows, or a model that
+    makes the pieces of any token (``subword.BpeModel``)."""
+    return Lookup(pieces, "pieces") if isinstance(pieces, DataFrame) else pieces
+
+
 def token_char_ratios(rows: DataFrame, keys: list[str], pieces: DataFrame, text_col: str = "text") -> DataFrame:
     """``keys, n_chars, n_pieces, ratio`` (pieces per character), for piece
-    tables of any size.  Tokens are counted per row before the join, so a
+    tables of any size; an empty text has no ratio.  Tokens are counted per row before the join, so a
     token is one row per text, however often the text has it."""
     counts = token_rows(rows, keys, text_col).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("n"))
     summed = (counts.join(pieces, "token", "left")
@@ -215,24 +223,25 @@ def token_char_ratios(rows: DataFrame, keys: list[str], pieces: DataFrame, text_
     base = rows.select(*keys, F.length(text_col).alias("n_chars"))
     return (base.join(summed, keys, "left")
             .withColumn("n_pieces", F.coalesce(F.col("n_pieces"), F.lit(0)))
-            .withColumn("ratio", F.col("n_pieces") / F.col("n_chars")))
+            .withColumn("ratio", F.try_divide("n_pieces", "n_chars")))
 
 
-def redundancy_filter(rows: DataFrame, pieces: DataFrame, text_col: str = "text", threshold: float = 0.25) -> DataFrame:
-    """Keep rows whose token/char ratio is below ``threshold`` (narrow; ``pieces``
-    has at most VOCAB_SIZE rows).  Empty texts have no ratio and go."""
-    n = Lookup(pieces, "pieces").column(word_tokens(F.coalesce(F.col(text_col), F.lit(""))), "bigint", _pieces)
-    return (rows.withColumn("_n", n).where((F.length(text_col) > 0) & (F.col("_n") / F.length(text_col) < threshold)).drop("_n"))
+def redundancy_filter(rows: DataFrame, pieces, text_col: str = "text", threshold: float = 0.25) -> DataFrame:
+    """Keep rows whose token/char ratio is below ``threshold``.  Narrow: ``pieces`` is a piece table
+    of at most VOCAB_SIZE rows or a BPE model for texts of any vocabulary.  Empty texts have no ratio and go."""
+    n = _piece_source(pieces).column(word_tokens(F.coalesce(F.col(text_col), F.lit(""))), "bigint", _pieces)
+    return (rows.withColumn("_n", n).where(F.try_divide("_n", F.length(text_col)) < threshold).drop("_n"))
 
 
-def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float,
+def window_bad_share(docs: DataFrame, pieces, width: int, sp_filter_ratio: float,
                      text_col: str = "text") -> DataFrame:
     """G8 over E10 windows: adds ``n_windows, bad_share`` to every row, where a
     window of ``width`` chars is bad if its token/char ratio exceeds
-    ``sp_filter_ratio``.  Narrow; an empty text has no windows and a NULL share."""
+    ``sp_filter_ratio``.  Narrow (``pieces`` as in :func:`redundancy_filter`); an empty text
+    has no windows and a NULL share."""
     from textmill.functions.segment import char_windows
 
-    lookup = Lookup(pieces, "pieces")
+    lookup = _piece_source(pieces)
     # One list holds the tokens of all windows; the windows' token counts cut it up again.
     wins = docs.withColumn("_w", char_windows(F.coalesce(F.col(text_col), F.lit("")), width))
     toks = wins.withColumn("_t", F.transform("_w", word_tokens))
@@ -252,7 +261,7 @@ def window_bad_share(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_r
     return scored.select(*docs.columns, n.alias("n_windows"), F.when(n > 0, F.size(bad) / n).alias("bad_share"))
 
 
-def redundancy_gate(docs: DataFrame, pieces: DataFrame, width: int, sp_filter_ratio: float = 0.3,
+def redundancy_gate(docs: DataFrame, pieces, width: int, sp_filter_ratio: float = 0.3,
                     max_bad_share: float = 0.10, text_col: str = "text") -> DataFrame:
     """Drop documents whose share of bad windows is greater than 0.10."""
     return (window_bad_share(docs, pieces, width, sp_filter_ratio, text_col)

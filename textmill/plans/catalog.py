@@ -348,6 +348,53 @@ def q_redundancy_gate(spark, d):
     return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
 
 
+# A small given model, as a user may have saved it; the first merges that the documents teach.
+GIVEN_MERGES = [("▁", "e"), ("t", "h"), ("o", "n"), ("▁", "th"), ("r", "e"), ("i", "n"), ("▁", "a"), ("▁", "."), ("t", "i"), ("▁", "o"), ("h", "e"), ("n", "d"),
+                ("e", "r"), ("l", "e"), ("▁", ","), ("e", "n"), ("▁th", "e"), ("▁e", "r"), ("s", "t"), ("c", "h"), ("a", "n"), ("▁", "d"), ("ti", "on"), ("▁", "on"),
+                ("▁e", "n"), ("h", "a"), ("o", "u"), ("l", "y"), ("o", "r"), ("in", "g"), ("a", "t"), ("n", "t"), ("e", "a"), ("b", "le"), ("w", "h"), ("▁a", "n")]
+
+
+@register("q_redundancy_gate_bpe",
+          f"WITH w AS {_WIN_SRC}, t AS (SELECT doc_id, win, unnest({dk.word_tokens('wtext')}) AS token FROM w), "
+          f"p AS (SELECT token, {dk.bpe_pieces('token', GIVEN_MERGES)} AS pieces FROM (SELECT DISTINCT token FROM t)), "
+          "pc AS (SELECT doc_id, win, sum(pieces) AS n FROM t JOIN p USING (token) GROUP BY ALL), "
+          "r AS (SELECT doc_id, coalesce(n, 0) / length(wtext) AS ratio FROM w LEFT JOIN pc USING (doc_id, win)), "
+          "s AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_windows, avg(CASE WHEN ratio > 0.65 THEN 1.0 ELSE 0.0 END) AS bad_share FROM r GROUP BY doc_id) "
+          "SELECT doc_id, n_windows, bad_share, NOT (bad_share > 0.1) AS kept FROM s")
+def q_redundancy_gate_bpe(spark, d):
+    """C7 + G5 with a BPE model: the pieces of every token are made where the text is."""
+    from textmill.operators.subword import BpeModel
+
+    s = vb.window_bad_share(table(spark, d, "documents").select("doc_id", "text"), BpeModel(spark, GIVEN_MERGES), WINDOW, 0.65).drop("text")
+    return s.withColumn("kept", ~(F.col("bad_share") > 0.1))
+
+
+@register("q_redundancy_filter_bpe",
+          f"WITH t AS (SELECT doc_id, unnest({dk.word_tokens('text')}) AS token FROM documents), "
+          f"p AS (SELECT token, {dk.bpe_pieces('token', GIVEN_MERGES)} AS pieces FROM (SELECT DISTINCT token FROM t)), "
+          "pc AS (SELECT doc_id, sum(pieces) AS n FROM t JOIN p USING (token) GROUP BY doc_id) "
+          "SELECT doc_id FROM documents LEFT JOIN pc USING (doc_id) WHERE coalesce(n, 0) / length(text) < 0.6")
+def q_redundancy_filter_bpe(spark, d):
+    """C8 with a BPE model."""
+    from textmill.operators.subword import BpeModel
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return vb.redundancy_filter(docs, BpeModel(spark, GIVEN_MERGES), threshold=0.6).select("doc_id")
+
+
+_TRAINED: dict = {}
+
+
+def _bpe_model(spark, d):
+    """The model of all words of ``documents`` (the operator's 1000 merges), trained once for the queries below."""
+    from textmill.operators.subword import BpeModel, bpe_model
+
+    key = spark.sparkContext.applicationId, d
+    if key not in _TRAINED:
+        _TRAINED[key] = bpe_model(table(spark, d, "documents")).merges
+    return BpeModel(spark, _TRAINED[key])
+
+
 @register("q_bpe_pieces",
           f"SELECT token, true AS joins_back, true AS in_range, true AS marked FROM "
           f"(SELECT DISTINCT unnest({dk.word_tokens('text')}) AS token FROM documents)")
@@ -367,9 +414,7 @@ def q_bpe_pieces(spark, d):
 @register("q_bpe_piece_rows")
 def q_bpe_piece_rows(spark, d):
     """The pieces of every word (rows only: an iterative training has no SQL form)."""
-    from textmill.operators.subword import bpe_piece_table
-
-    return bpe_piece_table(table(spark, d, "documents"), keep_pieces=True)
+    return _bpe_model(spark, d).pieces(vb.word_counts(table(spark, d, "documents")))
 
 
 @register("q_token_char_ratio_bpe",
@@ -387,11 +432,11 @@ def q_token_char_ratio_bpe(spark, d):
 
 @register("q_token_char_ratio_bpe_rows")
 def q_token_char_ratio_bpe_rows(spark, d):
-    """G5 + C8: characters, BPE pieces and their ratio by document (rows only)."""
-    from textmill.operators.subword import bpe_piece_table
-
+    """G5 + C8: characters, BPE pieces and their ratio by document (rows only), by the pieces of every
+    word; tests hold this join against the model that makes pieces where the text is."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return vb.token_char_ratios(docs, ["doc_id"], bpe_piece_table(docs)).withColumn("n_chars", F.col("n_chars").cast("long"))
+    pieces = _bpe_model(spark, d).pieces(vb.word_counts(docs)).select("token", "pieces")
+    return vb.token_char_ratios(docs, ["doc_id"], pieces).withColumn("n_chars", F.col("n_chars").cast("long"))
 
 
 # ---------------------------------------------------------------------------

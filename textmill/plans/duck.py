@@ -284,6 +284,14 @@ def piece_count_cte(src: str, keys: str, text: str, name: str) -> str:
             f"LEFT JOIN vocab v USING (token) GROUP BY {keys})")
 
 
+def bpe_pieces(x: str, merges: list[tuple[str, str]]) -> str:
+    """G5 with a given model: every merge is a replacement in a string of marked symbols."""
+    w = f"concat(chr(1), '▁', chr(2), regexp_replace({x}, '(.)', chr(1) || '\\1' || chr(2), 'g'))"
+    for a, b in merges:
+        w = f"replace({w}, chr(1) || {lit(a)} || chr(2) || chr(1) || {lit(b)} || chr(2), chr(1) || {lit(a + b)} || chr(2))"
+    return f"(length({w}) - length(replace({w}, chr(1), '')))"
+
+
 # --- normaliser ----------------------------------------------------------------------
 # Written apart from textmill.functions.normalize, so that a slip there shows.
 

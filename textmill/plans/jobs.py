@@ -57,13 +57,14 @@ def chunk_document(text, min_text_length: int, max_text_length: int) -> Column:
 def process_corpus(docs: DataFrame, subsets: list[str] | None = None, *, min_text_length: int = 10,
                    max_text_length: int = 1_000_000_000, chunk_text: bool = False, text_chunk_size: int = 1024,
                    max_unk_ratio: float = 0.1, sp_filter_ratio: float = 0.3, vocab: DataFrame | None = None,
-                   pieces: DataFrame | None = None, normalize: bool = True, deduplicate: bool = True,
+                   pieces=None, normalize: bool = True, deduplicate: bool = True,
                    hash_list: DataFrame | None = None,
                    counters: dict | None = None) -> DataFrame:
     """``doc_id, chunk_no, subset, text, hash`` for the kept documents.
 
     ``docs`` needs ``doc_id, subset, text``.  ``vocab`` enables the unknown
-    token cut (C5), ``pieces`` the redundancy gate (C7), ``hash_list`` the
+    token cut (C5), ``pieces`` the redundancy gate (C7; a piece table of at most
+    2^16 rows, or a BPE model for any vocabulary), ``hash_list`` the
     cross-run dedup (F3).  Pass a dict as ``counters`` to receive B8 run
     counters (``Observation`` objects, filled by the first action on the
     result): ``gated`` documents after C1/C2, ``rows`` before dedup and
