@@ -113,9 +113,9 @@ def test_gates_take_models_of_any_vocabulary(spark, many):
 def test_windows_equal_the_join(spark, many):
     from textmill.functions.segment import char_windows
 
-    docs, model, table = many
+    docs, model, _ = many
     wins = docs.select("doc_id", F.posexplode(char_windows(F.coalesce("text", F.lit("")), 100)).alias("w", "text"))
-    by_window = vb.token_char_ratios(wins, ["doc_id", "w"], table)
+    by_window = vb.token_char_ratios(wins, ["doc_id", "w"], window_pieces(wins, model))
     limit = by_window.agg(F.percentile_approx("ratio", 0.85)).first()[0]
     want = {r.doc_id: (r.n, r.share) for r in by_window.groupBy("doc_id").agg(F.count("*").alias("n"), F.avg((F.col("ratio") > limit).cast("double")).alias("share")).collect()}
     got = vb.window_bad_share(docs, model, 100, limit)
@@ -125,6 +125,11 @@ def test_windows_equal_the_join(spark, many):
     assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def window_pieces(wins, model):
+    """The pieces of the windows' tokens; a window's edge may cut a word."""
+    return subword.bpe_pieces(vb.token_rows(wins, [], "text"), model.merges).select("token", "pieces")
+
+
 def ratio_kept(shares):
     return [k for k, (_, s) in shares.items() if s <= 0.10]
 
@@ -133,11 +138,11 @@ def test_corpus_job_with_a_bpe_model(spark, many):
     """J1 with a subword model: one exchange (the dedup), the documents whose windows pass."""
     from textmill.plans.jobs import process_corpus
 
-    docs, model, table = many
+    docs, model, _ = many
     own = docs.where("text IS NOT NULL").select("doc_id", F.lit("Pile-CC").alias("subset"), "text")
     plain = process_corpus(own, min_text_length=100, normalize=False)
-    scores = vb.token_char_ratios(plain.select("doc_id", F.posexplode(F.expr("transform(sequence(1, length(text), 100), i -> substring(text, i, 100))")).alias("w", "text")),
-                                  ["doc_id", "w"], table)
+    wins = plain.select("doc_id", F.posexplode(F.expr("transform(sequence(1, length(text), 100), i -> substring(text, i, 100))")).alias("w", "text")).checkpoint()
+    scores = vb.token_char_ratios(wins, ["doc_id", "w"], window_pieces(wins, model))
     limit = scores.agg(F.percentile_approx("ratio", 0.85)).first()[0]
     want = {r.doc_id for r in scores.groupBy("doc_id").agg(F.avg((F.col("ratio") > limit).cast("double")).alias("s")).where("s <= 0.10").collect()}
     gated = process_corpus(own, min_text_length=100, normalize=False, pieces=model, sp_filter_ratio=limit)
