@@ -1,21 +1,26 @@
 """Book-genre style document classifier.
 
-Features are bag-of-words counts over the word vocabulary, clipped and
-L2-normalised, computed as a per-document aggregate in long form
-(``doc_id, id, weight``); only the final vector assembly is a small
-Arrow-batched helper (one call per document, not per token).  Training and prediction are Spark ML (distributed GBT / logistic
-regression).  The stratified split is exact and distributed: a global sort by
-(label, hash) and per-label offsets, no per-label window in one task.
+Features are bag-of-words counts over the word vocabulary, clipped and L2-normalised.  They
+are made where the ids are: a row's ids are sorted and run-length counted in Arrow batches
+(``bow_column``), so neither the long form (``doc_id, id, weight``) nor the vectors need a
+shuffle.  The stratified split is exact without a sort: a histogram of hash prefixes is
+refined to the k-th hash of each label, then a narrow comparison marks the rows.  Training
+keeps the ids that tell the classes apart best (chi-square of presence counts, a distributed
+aggregate) and hands them to Spark ML (gradient-boosted trees or logistic regression).
 """
 
 from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +29,8 @@ from textmill.session import checkpoint_dir
 
 FICTION, NONFICTION, UNKNOWN = 1, 0, 2
 BOW_CLIP = 5000
+#: Ids that the trees see (at most), and labels that a split may have.
+N_FEATURES, MAX_LABELS = 1024, 1000
 
 
 def label_from_categories(categories) -> F.Column:
@@ -60,15 +67,35 @@ def bow_long(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: s
     return bow_from_ids(vb.encode(docs, vocab, key, text_col), key, clip)
 
 
+def bow_column(ids: Column, n_pad: Column, clip: int = BOW_CLIP) -> Column:
+    """G6 of one row, without a shuffle: ``struct<id, weight>`` of two arrays, by id.  Counts per id with the
+    left padding counted as id 0 (never materialised), clipped at ``clip``, L2-normalised.  A row
+    without ids is all padding: weight 1 at id 0."""
+
+    @F.arrow_udf("struct<id:array<int>,weight:array<double>>")
+    def run(lists: pa.Array, pads: pa.Array) -> pa.Array:
+        lists = pa.concat_arrays([lists])
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        pad = pc.fill_null(pads, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        padded = np.flatnonzero(pad > 0)
+        row = np.concatenate([np.repeat(np.arange(len(sizes)), sizes), padded])
+        key = (row << 32) | np.concatenate([pc.fill_null(lists.flatten(), vb.UNK_ID).to_numpy(zero_copy_only=False).astype(np.int64), np.full(len(padded), vb.PAD_ID)])
+        key, at = np.unique(key, return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([np.ones(int(sizes.sum())), pad[padded]]), minlength=len(key))
+        row, c = key >> 32, np.minimum(count, clip)
+        norm = np.sqrt(np.bincount(row, weights=c * c, minlength=len(sizes)))
+        offs = pa.array(np.searchsorted(row, np.arange(len(sizes) + 1)).astype(np.int32))
+        parts = [(key & 0xFFFFFFFF).astype(np.int32), c / norm[row]]
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offs, pa.array(x)) for x in parts], names=["id", "weight"])
+
+    return run(ids, n_pad)
+
+
 def bow_from_ids(encoded: DataFrame, key: str = "doc_id", clip: int = BOW_CLIP) -> DataFrame:
-    """G6 from ``key, ids, n_pad``: counts per id, the left padding counted as id 0
-    without being materialised, clipped at ``clip`` and L2-normalised per document.
-    A document without tokens is all padding: weight 1 at id 0."""
-    pad = F.when(F.col("n_pad") > 0, F.array(F.struct(F.lit(vb.PAD_ID).alias("id"), F.col("n_pad").cast("long").alias("n"))))
-    rows = F.concat(F.transform("ids", lambda i: F.struct(i.alias("id"), F.lit(1).cast("long").alias("n"))),
-                    F.coalesce(pad, F.array().cast("array<struct<id:int,n:bigint>>")))
-    counts = encoded.select(key, F.explode(rows).alias("r")).groupBy(key, F.col("r.id").alias("id")).agg(F.sum("r.n").alias("c"))
-    return bow_from_counts(counts, key, clip)
+    """G6 from ``key, ids, n_pad`` in long form (see ``bow_column``)."""
+    bow = encoded.select(key, bow_column(F.col("ids"), F.col("n_pad"), clip).alias("b"))
+    pairs = F.arrays_zip(F.col("b.id").alias("id"), F.col("b.weight").alias("weight"))
+    return bow.select(key, F.explode(pairs).alias("p")).select(key, "p.id", "p.weight")
 
 
 def bow_from_counts(counts: DataFrame, key: str, clip: int = BOW_CLIP) -> DataFrame:
@@ -85,33 +112,91 @@ def _sparse(size, ids, ws):
     return SparseVector(size, ids, ws)
 
 
+def vector_column(bow: Column, size: int = vb.VOCAB_SIZE) -> Column:
+    """G7 of one row: the sparse vector over ``size`` ids of a ``bow_column``."""
+    return _sparse(F.lit(size), bow["id"], bow["weight"])
+
+
+def document_vectors(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text_col: str = "text", size: int = vb.VOCAB_SIZE) -> DataFrame:
+    """G3 + G6 + G7: ``key, features`` of every text, row by row."""
+    bow = vb.encode(docs, vocab, key, text_col).select(key, bow_column(F.col("ids"), F.col("n_pad")).alias("b"))
+    return bow.select(key, vector_column(F.col("b"), size).alias("features"))
+
+
 def bow_vectors(long: DataFrame, size: int = vb.VOCAB_SIZE, key: str = "doc_id") -> DataFrame:
-    """One sparse vector over all ``size`` ids per document (``key, features``)."""
+    """G7 from the long form: one sparse vector over all ``size`` ids per document (``key,
+    features``); ``document_vectors`` makes them without the shuffle."""
     packed = long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "weight"))).alias("p"))
     return packed.select(key, _sparse(F.lit(size), F.col("p.id"), F.col("p.weight")).alias("features"))
 
 
+def _last_of_test(rows: DataFrame, test_size: float) -> dict:
+    """By label: a text that the hashes of the ``round(test_size * n)`` first rows precede, and no others.
+
+    ``rows`` has ``y, h`` (hex hashes).  Counts by the first four digits give the bin in which the last
+    such row lies, four more digits of that bin the next, until a bin ends with it."""
+    sizes = rows.groupBy("y").agg(F.round(F.count(F.lit(1)) * F.lit(test_size)).cast("long").alias("k")).limit(MAX_LABELS + 1).collect()
+    if len(sizes) > MAX_LABELS:
+        raise ValueError(f"a split may have at most {MAX_LABELS} labels")
+    found, left, prefix, width = {r.y: "" for r in sizes}, {r.y: r.k for r in sizes if r.k}, {r.y: "" for r in sizes}, 0
+    while left:
+        width += 4
+        y = F.col("y")
+        mine = [(y.eqNullSafe(F.lit(v)), v) for v in left]
+        inside, k = F.lit(False), F.lit(None).cast("long")
+        for same, v in mine:
+            inside, k = inside | (same & F.col("h").startswith(prefix[v])), F.when(same, left[v]).otherwise(k)
+        bins = rows.where(inside).groupBy("y", F.substring("h", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("y").orderBy("p")))
+        for r in upto.where(F.col("upto") >= k).groupBy("y").agg(F.min(F.struct("p", "n", "upto")).alias("b")).collect():
+            prefix[r.y], rest = r.b.p, left[r.y] - (r.b.upto - r.b.n)
+            if rest == r.b.n or width >= 32:
+                found[r.y] = r.b.p + "g"  # behind every hash that begins so
+                del left[r.y]
+            else:
+                left[r.y] = rest
+    return found
+
+
 def stratified_split(df: DataFrame, label_col: str = "label", key: str = "doc_id", test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """H3: adds ``is_test``: per label, the ``round(test_size * n)`` rows with the
-    smallest ``md5(key:seed)`` go to the test set (exact, reproducible)."""
-    h = df.withColumn("_h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))))
-    ranked = vb.global_rank(h, F.col(label_col), F.col("_h"), name="_r")
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    offs = sizes.select(label_col, "_n", (F.sum("_n").over(Window.orderBy(label_col)) - F.col("_n")).alias("_o"))
-    out = ranked.join(F.broadcast(offs), label_col)
-    k = F.round(F.col("_n") * F.lit(test_size))
-    return out.withColumn("is_test", (F.col("_r") - F.col("_o")) <= k).drop("_h", "_r", "_n", "_o")
+    """H3: adds ``is_test``: per label, the ``round(test_size * n)`` rows with the smallest ``md5(key:seed)`` go
+    to the test set (exact, reproducible; rows that repeat a key stay together).  Only labels and hashes
+    are counted; no row is sorted, moved or written."""
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    found = _last_of_test(df.select(F.col(label_col).alias("y"), h.alias("h")), test_size)
+    is_test = F.lit(False)
+    for label, end in found.items():
+        is_test = F.when(F.col(label_col).eqNullSafe(F.lit(label)), h < F.lit(end)).otherwise(is_test)
+    return df.withColumn("is_test", is_test)
+
+
+def select_features(rows: DataFrame, n_features: int = N_FEATURES, ids_col: str = "ids", label_col: str = "label") -> list[int]:
+    """The ids whose presence tells class 1 from the others best: the ``n_features`` largest chi-square values
+    of (id, label) document counts (ties by id; without any difference, the pad id), in order."""
+    y = F.col(label_col) == FICTION
+    n, n1 = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(y.cast("long")), F.lit(0))).first()
+    seen = (rows.select(y.alias("y"), F.explode(F.array_distinct(ids_col)).alias("id")).groupBy("id")
+            .agg(F.sum(F.col("y").cast("long")).cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("m")))
+    # (n (a (n0 - b) - b (n1 - a))^2) / (m (n - m) n1 n0) with b = m - a
+    off = F.col("a") * F.lit(float(n)) - F.col("m") * F.lit(float(n1))
+    chi2 = F.try_divide(off * off * F.lit(float(n)), F.col("m") * (F.lit(float(n)) - F.col("m")) * F.lit(float(n1)) * F.lit(float(n - n1)))
+    top = seen.select("id", F.coalesce(chi2, F.lit(0.0)).alias("chi2")).where("chi2 > 0").orderBy(F.desc("chi2"), "id").limit(n_features).collect()
+    return sorted(r.id for r in top) or [vb.PAD_ID]
 
 
 def train_classifier(train: DataFrame, label_col: str = "label", kind: str = "gbt", seed: int = 123,
-                     max_iter: int = 20) -> PipelineModel:
-    """H4: gradient-boosted trees (log-loss), or logistic regression as a fast baseline."""
+                     max_iter: int = 20, features: list[int] | None = None) -> PipelineModel:
+    """H4: gradient-boosted trees (log-loss), or logistic regression as a fast baseline; over the ids of
+    ``features`` only (the model takes whole vectors and picks them), or over all."""
+    stages, column = [], "features"
+    if features is not None:
+        stages, column = [VectorSlicer(inputCol="features", outputCol="selected", indices=features)], "selected"
     if kind == "gbt":
-        est = GBTClassifier(featuresCol="features", labelCol=label_col, seed=seed, maxIter=max_iter)
+        est = GBTClassifier(featuresCol=column, labelCol=label_col, seed=seed, maxIter=max_iter)
     else:
-        est = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter)
-    model = Pipeline(stages=[est]).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+        est = LogisticRegression(featuresCol=column, labelCol=label_col, maxIter=max_iter)
+    model = Pipeline(stages=[*stages, est]).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
     if kind == "gbt":
         return model
     # A fitted regression holds its training summary, and with it the session, which can't be sent

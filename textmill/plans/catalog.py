@@ -644,13 +644,12 @@ def q_bow(spark, d):
 @register("q_bow_vectors", _BOW_SQL)
 def q_bow_vectors(spark, d):
     """The same features as one sparse vector per book, taken apart again."""
-    long = cl.bow_long(_trainset(spark, d).select("book_name", "text"), corpus_vocab(spark, d), key="book_name")
+    vectors = cl.document_vectors(_trainset(spark, d).select("book_name", "text"), corpus_vocab(spark, d), "book_name")
 
     @F.udf("array<struct<id:int,weight:double>>", useArrow=True)
     def entries(v):
         return [(int(i), float(w)) for i, w in zip(v.indices, v.values)]
 
-    vectors = cl.bow_vectors(long, key="book_name")
     return vectors.select("book_name", F.explode(entries("features")).alias("e")).select("book_name", "e.id", "e.weight")
 
 
@@ -744,6 +743,31 @@ def q_train_report(spark, d):
     return part(train, "train", True).unionByName(part(test, "test", False))
 
 
+_BY_LANG = "(SELECT concat('doc', doc_id, '.txt') AS book_name, CAST(lang = 'en' AS INT) AS label FROM documents WHERE lang IS NOT NULL)"
+
+
+@register("q_genre_separable",
+          f"WITH s AS (SELECT label, count(*) AS n FROM {_BY_LANG} GROUP BY label) "
+          "SELECT CAST(label AS VARCHAR) AS row, CAST(round(0.2 * n) AS BIGINT) AS support, true AS learnt FROM s "
+          "UNION ALL SELECT 'accuracy', CAST(sum(round(0.2 * n)) AS BIGINT), true FROM s "
+          "UNION ALL SELECT 'kept lines', CAST(sum(n) AS BIGINT), true FROM s")
+def q_genre_separable(spark, d):
+    """J5 + J6 on books that a word vocabulary can tell apart (English or not): the report of the test part.
+    SQL checks its supports, that precision and recall of both classes and the accuracy on unseen books
+    are 0.95 at least, and that the kept lines are the English ones but for one in twenty."""
+    docs = table(spark, d, "documents").where("lang IS NOT NULL")
+    books = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("book_name"), "text", (F.col("lang") == "en").cast("int").alias("label"))
+    vocab = corpus_vocab(spark, d)
+    tokens = vb.encode(books, vocab, "book_name").select("book_name", F.col("ids").alias("tokens"))
+    model, _, test = train_genre_model(books.select("book_name", "label").join(tokens, "book_name"), max_iter=5)
+    good = (F.col("f1") >= 0.95) & (F.coalesce("precision", F.lit(1.0)) >= 0.95) & (F.coalesce("recall", F.lit(1.0)) >= 0.95)
+    report = test.where(F.col("row").isin("0", "1", "accuracy")).select("row", "support", good.alias("learnt"))
+    kept = predict_genre(books, model, vocab, key="book_name").select("book_name", F.lit(1).alias("kept"))
+    wrong = (F.col("kept").isNotNull() != (F.col("label") == 1)).cast("long")
+    lines = books.join(kept, "book_name", "left").agg(F.count(F.lit(1)).alias("support"), F.sum(wrong).alias("wrong"))
+    return report.unionByName(lines.select(F.lit("kept lines").alias("row"), "support", (F.col("wrong") * 20 <= F.col("support")).alias("learnt")))
+
+
 @register("q_predict_filter",
           "SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) AS BIGINT) AS kept_plus_dropped, "
           "CAST(0 AS BIGINT) AS differ_after_reload FROM documents")
@@ -753,7 +777,7 @@ def q_predict_filter(spark, d):
     lines and that both models agree on each."""
     _, vocab, model, path, _, _ = _genre_files(spark, d)
     lines = table(spark, d, "documents").select(F.col("doc_id").alias("line_no"), "text")
-    feats = cl.bow_vectors(cl.bow_long(lines, vocab, key="line_no"), key="line_no")
+    feats = cl.document_vectors(lines, vocab, "line_no")
     both = cl.predict(model, feats).select("line_no", F.col("prediction").alias("own")).join(
         cl.predict(cl.load_model(path), feats).select("line_no", F.col("prediction").alias("loaded")), "line_no")
     kept = predict_genre(lines, model, vocab).select("line_no", F.lit(1).alias("kept"))

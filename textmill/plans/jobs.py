@@ -140,24 +140,26 @@ def prepare_books(meta: DataFrame, books: DataFrame, vocab: DataFrame | None = N
 
 
 def book_vectors(tokenized: DataFrame, size: int = vb.VOCAB_SIZE) -> DataFrame:
-    """G6 + G7 of ``book_name, tokens``: one vector over all ids per book."""
+    """G6 + G7 of ``tokens``: every row with ``ids`` (its different ids) and ``features`` (one vector over all ids)."""
     from textmill.operators import classify as cl
 
-    enc = tokenized.select("book_name", F.col("tokens").alias("ids"), F.greatest(F.lit(0), F.lit(vb.VOCAB_SIZE) - F.size("tokens")).alias("n_pad"))
-    return cl.bow_vectors(cl.bow_from_ids(enc, "book_name"), size, key="book_name")
+    pad = F.greatest(F.lit(0), F.lit(vb.VOCAB_SIZE) - F.coalesce(F.size("tokens"), F.lit(0)))
+    bow = tokenized.withColumn("_b", cl.bow_column(F.col("tokens"), pad))
+    return bow.select(*tokenized.columns, F.col("_b.id").alias("ids"), cl.vector_column(F.col("_b"), size).alias("features"))
 
 
-def train_genre_model(tokenized: DataFrame, kind: str = "gbt", seed: int = 42, size: int = vb.VOCAB_SIZE, **kw):
-    """BOW features over all ids (G6/G7), exact stratified 80/20 split (H3),
-    GBT training (H4), predictions on train and test (H5) and their
-    classification reports (G9).  Returns ``(model, train_report, test_report)``."""
+def train_genre_model(tokenized: DataFrame, kind: str = "gbt", seed: int = 42, size: int = vb.VOCAB_SIZE, n_features: int | None = None, **kw):
+    """BOW features over all ids (G6/G7), exact stratified 80/20 split (H3), the
+    ``n_features`` ids that tell the classes of the training part apart best, GBT training (H4),
+    predictions on train and test (H5) and their classification reports (G9).
+    Returns ``(model, train_report, test_report)``.  Up to the training no row is moved."""
     from textmill.operators import classify as cl
 
-    feats = book_vectors(tokenized, size)
-    data = feats.join(tokenized.select("book_name", "label"), "book_name")
-    split = cl.stratified_split(data, key="book_name", seed=seed)
-    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    model = cl.train_classifier(train, kind=kind, **kw)
+    split = cl.stratified_split(tokenized.select("book_name", "label", "tokens"), key="book_name", seed=seed)
+    data = book_vectors(split, size).drop("tokens")
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    chosen = cl.select_features(train.select("label", "ids"), n_features or cl.N_FEATURES)
+    model = cl.train_classifier(train.select("label", "features"), kind=kind, features=chosen, **kw)
     return (model, cl.classification_report(cl.predict(model, train)),
             cl.classification_report(cl.predict(model, test)))
 
@@ -165,12 +167,13 @@ def train_genre_model(tokenized: DataFrame, kind: str = "gbt", seed: int = 42, s
 def predict_genre(lines: DataFrame, model, vocab: DataFrame, key: str = "line_no", text_col: str = "text",
                   size: int = vb.VOCAB_SIZE) -> DataFrame:
     """J6 (H6): encode each line, vectorise, predict, keep the class-1 lines (C16);
-    returns the input rows unchanged.  Lines without tokens are scored, too."""
+    returns the input rows unchanged.  Row by row (no shuffle, no join back); lines without tokens
+    are scored, too."""
     from textmill.operators import classify as cl
 
-    long = cl.bow_long(lines.select(key, text_col), vocab, key=key, text_col=text_col)
-    keep = cl.keep_positive(cl.predict(model, cl.bow_vectors(long, size, key=key))).select(key)
-    return lines.join(keep, key, "left_semi")
+    row = lines.withColumn("_row", F.struct(*lines.columns)).select("_row", F.col(text_col).alias("_text"))
+    feats = cl.document_vectors(row, vocab, "_row", "_text", size)
+    return cl.keep_positive(cl.predict(model, feats)).select("_row.*")
 
 
 # ---------------------------------------------------------------------------
