@@ -154,3 +154,30 @@ def test_book_files_end_to_end(spark, tmp_path):
     predict_genre_files(spark, str(lines), str(tmp_path / "kept"), model, vocab)
     kept = {r.value for r in spark.read.text(str(tmp_path / "kept")).collect()}
     assert raw[1] not in kept and raw[0] in kept and kept <= set(raw)
+
+
+def test_hash_list_in_buckets_is_not_shuffled(spark, tmp_path):
+    """F3 + B7: the corpus job's dedup deals the rows like the saved list; the anti join moves neither."""
+    import re
+
+    path = str(tmp_path / "hash's list")
+    df = spark.createDataFrame([(k, f"text {k % 700}") for k in range(2000)] + [(5000, None)], "doc_id long, text string")
+    dd.save_new_hashes(dd.with_hash(df).where("doc_id < 300 OR text IS NULL").distinct(), path)
+    dd.save_new_hashes(dd.with_hash(df).where("doc_id BETWEEN 300 AND 399"), path)
+    known = dd.load_hash_list(spark, path)
+    assert known.columns == ["hash"] and known.count() == 400
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = dd.drop_known(dd.dedup_exact(dd.with_hash(df), order=["doc_id"]), known)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "Bucketed: true" in plan
+        got = sorted((r.doc_id for r in new.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [*range(400, 700), 5000]
+    other = spark.newSession()  # the layout is found again by its path
+    assert dd.load_hash_list(other, path).count() == 400
+    plain = str(tmp_path / "plain")
+    spark.createDataFrame([("a",)], "hash string").write.parquet(plain)
+    dd.save_new_hashes(spark.createDataFrame([("b",), (None,)], "hash string"), plain)
+    assert sorted(r.hash for r in dd.load_hash_list(spark, plain).collect()) == ["a", "b"]
