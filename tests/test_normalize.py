@@ -74,7 +74,27 @@ def test_detokenize_matches_model(many):
 
 
 def test_unescape_html5(one):
-    assert one(lambda c: nz.unescape_html(c, html5=True), "&amp; &NotEqualTilde; &copy x") == "& ≂̸ © x"
+    assert one(nz.unescape_html, "&amp; &NotEqualTilde; &copy x") == "& ≂̸ © x"
+
+
+def test_unescape_equals_the_standard_library(spark):
+    """All names with and without semicolon, numbers, and references put together at random."""
+    import html
+    import random
+    from html.entities import html5
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    numbers = [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFFFE, 0x10FFFE, 0x10FFFF, 0x110000, 2**40, 10**30]
+    refs = [f"&{n}" for n in html5] + [f"&{n.rstrip(';')}" for n in html5] + [f"&#{n};" for n in numbers] + [f"&#x{n:X}" for n in numbers] + [f"&#X000{n:x};" for n in numbers]
+    texts = ["|".join(refs[k : k + 40]) for k in range(0, len(refs), 40)]
+    parts = refs + ["&", ";", " ", "x", "&&", "&#", "&#x", "&#;", "&notit;", "&notin", "é", "😀", "&é;", "&ampamp;", "&" + "a" * 40, "\n", "<", "&lt", "gt;", "1", "&#12", "&AMP", "$1", "\\"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(3000)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None])], "k int, t string")
+    got = {r.k: r.o for r in df.select("k", nz.unescape_html(F.col("t")).alias("o")).collect()}
+    assert [got[k] for k in range(len(texts))] == [html.unescape(t) for t in texts]
+    assert got[len(texts)] is None
 
 
 def test_latin1_fast_paths_match_python(many):

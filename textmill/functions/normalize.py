@@ -1,9 +1,9 @@
 """Text normaliser columns.
 
-Unicode NFKC / NFD and HTML unescaping have no Spark SQL built-in, but the
-libraries Spark itself ships (ICU4J, commons-text) have static methods for
-them, called with ``java_method``: everything stays JVM-side, no Python
-(except the optional full HTML5 entity table, ``unescape_html(html5=True)``).
+Unicode NFKC / NFD have no Spark SQL built-in, but a library that Spark itself
+ships (ICU4J) has static methods for them, called with ``java_method``.  HTML
+references are looked up in constant maps (``entities``).  Everything stays
+JVM-side, no Python.
 
 The punctuation normaliser and the (de)tokeniser follow the English rules of
 the Moses toolkit (Koehn et al., 2007) as published in its scripts; they are
@@ -78,23 +78,12 @@ def strip_accents(c) -> Column:
     return let(c, body)
 
 
-def unescape_html(c, html5: bool = False) -> Column:
-    """HTML entities and numeric character references -> characters.
+def unescape_html(c) -> Column:
+    """HTML 5 entities (with or without semicolon) and numeric character references
+    -> characters, in the JVM.  Rows without ``&`` skip it."""
+    from textmill.functions import entities
 
-    Default: HTML 4 entity set (commons-text, JVM).  ``html5=True`` uses
-    Python's full HTML5 table through an Arrow UDF for the rows holding ``&``.
-    Rows without ``&`` skip either call."""
-    if html5:
-        from textmill.functions.pyhelpers import html5_unescape
-
-        t = _c(c)  # Python UDFs cannot sit inside lambda functions: no let() here
-        return F.coalesce(html5_unescape(F.when(F.instr(t, "&") > 0, t)), t)
-
-    def body(t):
-        return F.when(F.instr(t, "&") > 0,
-                      _java("org.apache.commons.text.StringEscapeUtils", "unescapeHtml4", t)).otherwise(t)
-
-    return let(c, body)
+    return let(c, lambda t: F.when(F.instr(t, "&") > 0, entities.unescape(t)).otherwise(t))
 
 
 def lowerize(c) -> Column:

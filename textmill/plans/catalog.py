@@ -823,6 +823,28 @@ def q_unescape(spark, d):
     return table(spark, d, "pages").select("page_id", nz.unescape_html("html").alias("text"))
 
 
+def _entity_names():
+    """(place, name, characters) of every HTML 5 name."""
+    from html.entities import html5
+
+    return [(k, n, html5[n]) for k, n in enumerate(sorted(html5))]
+
+
+_NAMES_SQL = "(VALUES " + ", ".join(f"({k}, {dk.lit(n)}, {dk.lit(v)})" for k, n, v in _entity_names()) + ") e(k, name, chars)"
+
+
+@register("q_unescape_html5",
+          f"SELECT page_id, e.k, concat('<b>', chars, '</b>', replace(replace(replace(replace(html, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')) AS text "
+          f"FROM pages, (VALUES (0), (1), (2)) j(j), {_NAMES_SQL} WHERE e.k = (3 * page_id + j) % {len(_entity_names())}")
+def q_unescape_html5(spark, d):
+    """Every page with three of all HTML 5 names (with and without semicolon), decoded."""
+    names = spark.createDataFrame(_entity_names(), "k int, name string, chars string")
+    pages = table(spark, d, "pages").select("page_id", "html", F.explode(F.array(*[F.lit(j) for j in range(3)])).alias("j"))
+    text = F.concat(F.lit("<b>&"), "name", F.lit("</b>"), "html")
+    joined = pages.withColumn("k", ((3 * F.col("page_id") + F.col("j")) % len(_entity_names())).cast("int")).join(F.broadcast(names), "k")
+    return joined.select("page_id", "k", nz.unescape_html(text).alias("text"))
+
+
 @register("q_moses_tok", _duck_explode("doc_id", dk.moses_tokenize("text"), "tok_no", "token", MARKUP))
 def q_moses_tok(spark, d):
     """Moses-style tokens of every markup document."""
