@@ -99,3 +99,20 @@ def test_counters(spark):
     obs_df, obs = io.with_counters(df, "c", rows=F.count(F.lit(1)), even=F.sum((F.col("id") % 2 == 0).cast("int")))
     obs_df.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 10, "even": 5}
+
+
+def test_empty_book_files_are_books(spark, tmp_path):
+    """A3 + G3: a file of zero bytes is a book without tokens, all padding."""
+    from textmill.operators import vocab as vb
+
+    for name, text in {"a.txt": "one two", "empty one é+%20.txt": "", "sub.md": "", "none.txt": "", "c d.txt": "x\ny\n"}.items():
+        (tmp_path / name).write_text(text)
+    books = io.read_books(spark, str(tmp_path))
+    assert {r.book_name: r.text for r in books.collect()} == {"a.txt": "one two", "empty one é+%20.txt": "", "none.txt": "", "c d.txt": "x\ny\n"}
+    vocab = spark.createDataFrame([("one", 2)], "token string, id int")
+    enc = {r.book_name: (r.ids, r.n_pad) for r in vb.encode(books, vocab, "book_name").collect()}
+    assert enc["none.txt"] == ([], 65536) and enc["a.txt"] == ([2, 1], 65534)
+    only = tmp_path / "only"
+    only.mkdir()
+    (only / "x.txt").write_text("")
+    assert [tuple(r) for r in io.read_books(spark, str(only)).collect()] == [("x.txt", "")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,12 +57,26 @@ def read_json_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_books(spark: SparkSession, path: str, head_chars: int | None = None, pattern: str = "*.txt") -> DataFrame:
-    """A3: whole text files (``book_name, text``).  Spark lists no files of zero
-    bytes, so those have no row.  ``head_chars`` keeps only the first so many
-    characters of each (the reference's memory guard; off)."""
+    """A3: whole text files (``book_name, text``), files of zero bytes as empty books.
+    ``head_chars`` keeps only the first so many characters of each (the reference's memory guard; off)."""
     df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
     text = F.col("value") if head_chars is None else F.substring("value", 1, head_chars)
-    return df.select(F.col("_metadata.file_name").alias("book_name"), text.alias("text"))
+    # Spark gives file names as in a URI.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    books = df.select(name.alias("book_name"), text.alias("text"))
+    return books.unionByName(_empty_files(spark, path, pattern).select("book_name", F.lit("").alias("text")))
+
+
+def _empty_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """``book_name`` of the files of zero bytes, which a scan skips: those that Spark's file index lists and a
+    scan of names and lengths (no content is read) does not."""
+    scan = spark.read.format("binaryFile").load(path, pathGlobFilter=pattern)
+    listed = spark.createDataFrame([(f, unquote(f.rsplit("/", 1)[-1])) for f in scan.inputFiles()], "file string, book_name string")
+
+    def place(c):  # file:/x and file:///x are one place
+        return F.regexp_replace(c, "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("file")
+
+    return listed.select(place("file"), "book_name").join(scan.select(place(F.col("_metadata.file_path"))), "file", "left_anti").select("book_name")
 
 
 def read_book_metadata(spark: SparkSession, path: str) -> DataFrame:
