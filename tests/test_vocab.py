@@ -76,3 +76,17 @@ def test_global_rank(spark):
     r = vb.global_rank(df, F.desc("k"))
     got = [(x.k, x.rank) for x in r.orderBy("rank").collect()]
     assert got == [(999 - i, i + 1) for i in range(1000)]
+
+
+def test_shard_counts_merge_to_the_full_vocabulary(spark, tmp_path):
+    """A token that is rare in every shard counts by its sum; a shard saved twice counts once."""
+    import random
+
+    rng = random.Random(2)
+    docs = _docs(spark, [(k, " ".join(rng.choices("abcdefghijklmnop", weights=range(1, 17), k=30))) for k in range(40)] + [(90, "rare"), (91, None)] + [(92 + k, "rare") for k in range(8)])
+    path = str(tmp_path / "counts")
+    for n in (0, 1, 2, 1, 3):
+        vb.save_shard_counts(docs.where(f"doc_id % 4 = {n}"), path, f"shard{n}")
+    whole = sorted(map(tuple, vb.build_vocab(docs, vocab_size=15).collect()))
+    assert sorted(map(tuple, vb.vocab_from_shards(spark, path, vocab_size=15).collect())) == whole
+    assert ("rare", 9) in [(t, n) for t, _, n in vb.vocab_from_shards(spark, path).collect()]

@@ -67,13 +67,18 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     """``token, id, freq``; ``<pad>``=0, ``<unk>``=1, then the most frequent
     tokens with at least ``min_freq`` occurrences (ties by token), up to
     ``vocab_size`` entries including the two specials."""
+    return rank_vocab(word_counts(docs, text_col), vocab_size, min_freq)
+
+
+def rank_vocab(counts: DataFrame, vocab_size: int = VOCAB_SIZE, min_freq: int = MIN_FREQ) -> DataFrame:
+    """G2 from ``token, freq`` counts."""
     from textmill.session import checkpoint_dir
 
-    checkpoint_dir(docs.sparkSession)
-    # The corpus is tokenised once: the counts (one row per distinct frequent
-    # token) are materialised in the shared checkpoint folder for the
-    # histogram and the ranking below.
-    counts = word_counts(docs, text_col).where(F.col("freq") >= min_freq).checkpoint()
+    spark = counts.sparkSession
+    checkpoint_dir(spark)
+    # The counts (one row per distinct frequent token) are materialised in the shared
+    # checkpoint folder for the histogram and the ranking below.
+    counts = counts.where(F.col("freq") >= min_freq).checkpoint()
     k = vocab_size - 2
     # Prune with the count histogram first: only tokens whose count reaches
     # the k-th largest count can enter the vocabulary.
@@ -83,7 +88,6 @@ def build_vocab(docs: DataFrame, text_col: str = "text", vocab_size: int = VOCAB
     cand = counts if cut is None else counts.where(F.col("freq") >= cut)
     ranked = global_rank(cand, F.desc("freq"), F.asc("token"))
     words = ranked.where(F.col("rank") <= k).select("token", (F.col("rank") + 1).cast("int").alias("id"), "freq")
-    spark = docs.sparkSession
     specials = spark.createDataFrame([(PAD, PAD_ID, 0), (UNK, UNK_ID, 0)], "token string, id int, freq long")
     # At most vocab_size rows: materialised once, so that its size check and
     # every join that uses it read the result instead of re-ranking.
@@ -101,6 +105,20 @@ def load_or_build_vocab(docs: DataFrame, path: str, **kw) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_shard_counts(docs: DataFrame, path: str, shard: str, text_col: str = "text") -> None:
+    """B5, mergeable: the token counts of one shard, all of them, saved under its name.  A shard that
+    is saved again replaces its own counts only."""
+    (word_counts(docs, text_col).withColumn("shard", F.lit(shard)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
+
+
+def vocab_from_shards(spark, path: str, vocab_size: int = VOCAB_SIZE, min_freq: int = MIN_FREQ) -> DataFrame:
+    """G2 from the saved counts of all shards: the vocabulary of their texts together, without reading a
+    text again.  A new shard costs its own counts and the sums."""
+    summed = spark.read.parquet(path).groupBy("token").agg(F.sum("freq").alias("freq"))
+    return rank_vocab(summed, vocab_size, min_freq)
+
+
 class Lookup:
     """A token table small enough to be sent to every task: sorted tokens and a number for each."""
 

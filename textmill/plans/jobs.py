@@ -16,6 +16,9 @@ J1 ``process_corpus`` plan, for a 100 TB input:
 
 from __future__ import annotations
 
+from itertools import groupby
+from urllib.parse import quote, unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -208,6 +211,42 @@ def process_corpus_files(spark, input_path: str, output_path: str, deduplicate:
     return got
 
 
+def process_shards(spark, input_path: str, output_path: str, deduplicate: bool = True, vocab=None, pieces=None, **options) -> dict:
+    """J1 shard by shard (A5), resumable: every input file under ``input_path`` (a folder or glob) is a shard, whose corpus
+    goes to ``<output_path>/corpus/shard=<name>`` and its hashes to ``<output_path>/hashes/shard=<name>``.  A shard
+    counts as done once its row stands in ``<output_path>/done``, which is written last: a
+    run that is started again leaves out the done shards, writes an unfinished one anew, and
+    compares with the hashes of done shards only, so it gives what an unbroken run gives.  Shards
+    are taken by name.  With ``deduplicate`` a text that an earlier shard (or run) has emitted is dropped.
+    Returns the rows emitted by this run, by shard."""
+    from textmill.sources import io
+
+    docs = io.read_documents(spark, input_path)
+    schema = "shard string, n long"
+    done_path, hashes_path = f"{output_path}/done", f"{output_path}/hashes"
+
+    def done() -> DataFrame:
+        return spark.read.schema(schema).parquet(done_path) if dd._exists(spark, done_path) else spark.createDataFrame([], schema)
+
+    files = spark.createDataFrame([(unquote(f),) for f in docs.inputFiles()], "file string")  # Spark lists URIs
+    name = F.regexp_extract("file", r"([^/]*?)(\.[^./]*)?$", 1)
+    todo = files.select(name.alias("shard"), "file").join(done(), "shard", "left_anti").orderBy("shard").collect()
+    emitted: dict = {}
+    for shard, group in groupby(todo, key=lambda r: r.shard):
+        own = io.read_documents(spark, [r.file for r in group])
+        known = None
+        if deduplicate and dd._exists(spark, hashes_path):
+            known = spark.read.schema("hash string, shard string").parquet(hashes_path).join(F.broadcast(done().select("shard")), "shard", "left_semi").select("hash")
+        out = process_corpus(own, vocab=vocab, pieces=pieces, deduplicate=deduplicate, hash_list=known, **options)
+        place = quote(shard)
+        io.write_corpus(out, f"{output_path}/corpus/shard={place}")
+        written = spark.read.schema("subset string, text string, hash string").json(f"{output_path}/corpus/shard={place}")
+        written.select("hash").write.mode("overwrite").parquet(f"{hashes_path}/shard={place}")
+        emitted[shard] = spark.read.parquet(f"{hashes_path}/shard={place}").count()
+        spark.createDataFrame([(shard, emitted[shard])], schema).coalesce(1).write.mode("append").parquet(done_path)
+    return emitted
+
+
 def normalize_files(spark, input_path: str, output_path: str) -> None:
     """J2 end to end: JSON strings (A2) -> normaliser (D25) -> JSON strings (B2)."""
     from textmill.sources import io

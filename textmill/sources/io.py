@@ -24,7 +24,7 @@ def _required(c: Column, what: str) -> Column:
     return F.when(c.isNull(), F.raise_error(F.lit(f"missing {what}"))).otherwise(c)
 
 
-def read_documents(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
     """A1 (+A5): JSONL documents with ``text`` and ``meta.pile_set_name``.
 
     Malformed JSON aborts the job (FAILFAST); with ``strict`` a missing key
