@@ -1042,6 +1042,29 @@ def q_stream_dedup(spark, d):
     return out.select("hash")
 
 
+@register("q_process_shards", _j1_duck(True, False).replace("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1",
+                                                          "SELECT hash FROM h WHERE rn = 1"))
+def q_process_shards(spark, d):
+    """A5 + J1: the vocabulary-free corpus job over four files, a resumable shard each; no text is emitted
+    by two of them.  The hashes equal the batch job's."""
+    from textmill.plans.jobs import process_shards
+
+    source, out = _scratch(spark, "shard_source"), _scratch(spark, "shard_runs")
+    io.write_pile_jsonl(docs_markup(spark, d).repartition(4, F.pmod("doc_id", F.lit(4))), source)
+    process_shards(spark, f"{source}/*.json", out, subsets=ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True, text_chunk_size=CHUNK)
+    return spark.read.schema("hash string, shard string").parquet(f"{out}/hashes").select("hash")
+
+
+@register("q_vocab_shards", ORACLES["q_vocab_topk"])
+def q_vocab_shards(spark, d):
+    """G2 + B5: the vocabulary from the saved token counts of four shards of the documents."""
+    path = _scratch(spark, "shard_counts")
+    docs = table(spark, d, "documents")
+    for n in range(4):
+        vb.save_shard_counts(docs.where(F.pmod(F.col("doc_id"), F.lit(4)) == n), path, f"shard{n}")
+    return vb.vocab_from_shards(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
