@@ -34,3 +34,15 @@ def test_long_lines_of_few_documents_stay_once(spark):
     for n, p in passage.items():
         assert sum(p in r.text for r in out) == 1
     assert all(r.text in ("\n".join(own[r.doc_id]), "\n".join(own[r.doc_id][::2])) for r in out)
+
+def test_very_long_lines_are_linear(spark):
+    """Near copies of one line of 20 000 tokens: each leaves out another token."""
+    import time
+
+    rng = random.Random(4)
+    line = made(rng, 20_000).split(" ")
+    rows = [(k, " ".join([*line[: 5000 + k], "changed", *line[5001 + k :]]) + "\nown line") for k in range(12)]
+    t0 = time.time()
+    out = lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), several=True).collect()
+    assert time.time() - t0 < 60
+    assert {r.n_dropped for r in out} == {2}

@@ -59,12 +59,14 @@ def _agreeing(places: DataFrame, by_line: DataFrame, seen: DataFrame, min_docs:
     """(template): lines whose frequent (position, token) pairs stand together in ``min_docs`` texts."""
     counted = places.join(by_line.select("template", "n", "texts"), "template")
     frequent = counted.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("held")).where(F.col("held") >= min_docs).select("leaf", "at", "token")
+    # A set of pairs goes by the exclusive or of their hashes, so leaving one out is one step: linear in the line.
+    pair = F.xxhash64("at", "token")
     own = counted.join(frequent, ["leaf", "at", "token"]).groupBy("leaf", "template", "n").agg(
-        F.sort_array(F.collect_list(F.struct("at", "token"))).alias("pairs"))
+        F.bit_xor(pair).alias("all"), F.collect_list(pair).alias("each"))
     need = SIMILAR * (F.col("n") - DEPTH)
-    less = F.when(F.size("pairs") - 1 >= need, F.transform("pairs", lambda x: F.xxhash64(F.filter("pairs", lambda y: y["at"] != x["at"]))))
-    sets = own.where(F.size("pairs") >= need).select("leaf", "template", F.explode(
-        F.concat(F.array(F.xxhash64("pairs")), F.coalesce(less, F.array().cast("array<bigint>")))).alias("set"))
+    less = F.when(F.size("each") - 1 >= need, F.transform("each", lambda h: F.col("all").bitwiseXOR(h)))
+    sets = own.where(F.size("each") >= need).select("leaf", "template", F.explode(
+        F.concat(F.array("all"), F.coalesce(less, F.array().cast("array<bigint>")))).alias("set"))
     sets = saved(sets, "sets-of-pairs")
     texts = seen.select("template", "text_key").join(sets, "template").select("leaf", "set", "text_key").distinct()
     held = texts.groupBy("leaf", "set").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_docs).select("leaf", "set")
