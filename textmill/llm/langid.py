@@ -91,10 +91,14 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
                 for j in range(k + 1):
                     code = (code << np.uint64(8)) | data[j : len(data) - k + j].astype(np.uint64)
                 whole = place[k:] >= k
-                key, n = np.unique(code[whole] | (lang[k:][whole] << np.uint64(56)), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary.take(pa.array((key >> np.uint64(56)).astype(np.int64))), pa.array(np.full(len(key), k, np.int32)),
-                     pa.array((key & np.uint64((1 << 56) - 1)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["l", "k", "c", "n"])
+                # Codes take 56 bits, so languages are counted 256 at a time.
+                for first in range(0, len(langs.dictionary), 256):
+                    mine = lang[k:] - np.uint64(first)
+                    on = whole & (mine < 256)
+                    key, n = np.unique(code[on] | (mine[on] << np.uint64(56)), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.dictionary.take(pa.array((key >> np.uint64(56)).astype(np.int64) + first)), pa.array(np.full(len(key), k, np.int32)),
+                         pa.array((key & np.uint64((1 << 56) - 1)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["l", "k", "c", "n"])
 
     found = sample.select("l", "t").mapInArrow(count, "l string, k int, c bigint, n bigint").groupBy("l", "k", "c").agg(F.sum("n").alias("n")).toArrow()
     number = pc.index_in(found["l"], value_set=pa.array(languages)).to_numpy().astype(np.int64)
