@@ -57,7 +57,8 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+    return cut.select("doc_id", "n_bytes", F.octet_length("kept").cast("long").alias("n_kept"),
+                      (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
