@@ -753,15 +753,18 @@ _BY_LANG = "(SELECT concat('doc', doc_id, '.txt') AS book_name, CAST(lang = 'en'
           "UNION ALL SELECT 'kept lines', CAST(sum(n) AS BIGINT), true FROM s")
 def q_genre_separable(spark, d):
     """J5 + J6 on books that a word vocabulary can tell apart (English or not): the report of the test part.
-    SQL checks its supports, that precision and recall of both classes and the accuracy on unseen books
-    are 0.95 at least, and that the kept lines are the English ones but for one in twenty."""
+    SQL checks its supports, that on unseen books the model makes at most half the errors of naming the
+    larger class, with precision and recall of both classes over a half, and that the kept lines are the
+    English ones but for one in twenty."""
     docs = table(spark, d, "documents").where("lang IS NOT NULL")
     books = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("book_name"), "text", (F.col("lang") == "en").cast("int").alias("label"))
     vocab = corpus_vocab(spark, d)
     tokens = vb.encode(books, vocab, "book_name").select("book_name", F.col("ids").alias("tokens"))
-    model, _, test = train_genre_model(books.select("book_name", "label").join(tokens, "book_name"), max_iter=5)
-    good = (F.col("f1") >= 0.95) & (F.coalesce("precision", F.lit(1.0)) >= 0.95) & (F.coalesce("recall", F.lit(1.0)) >= 0.95)
-    report = test.where(F.col("row").isin("0", "1", "accuracy")).select("row", "support", good.alias("learnt"))
+    model, _, test = train_genre_model(books.select("book_name", "label").join(tokens, "book_name"))
+    by_class = test.where(F.col("row").isin("0", "1")).agg(F.max("support").alias("most"), F.sum("support").alias("all"))
+    better = F.when(F.col("row") == "accuracy", 2 * (1 - F.col("f1")) <= 1 - F.col("most") / F.col("all")).otherwise(
+        (F.col("precision") > 0.5) & (F.col("recall") > 0.5))
+    report = test.where(F.col("row").isin("0", "1", "accuracy")).crossJoin(F.broadcast(by_class)).select("row", "support", better.alias("learnt"))
     kept = predict_genre(books, model, vocab, key="book_name").select("book_name", F.lit(1).alias("kept"))
     wrong = (F.col("kept").isNotNull() != (F.col("label") == 1)).cast("long")
     lines = books.join(kept, "book_name", "left").agg(F.count(F.lit(1)).alias("support"), F.sum(wrong).alias("wrong"))
