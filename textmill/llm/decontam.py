@@ -6,8 +6,8 @@ the word windows of each document against the hash set and verify each hit word
 document word inside any occurrence of a window is hit.
 
 The benchmark is read by the driver in blocks of at most BLOCK_BYTES of text (a longer single item
-forms its own block); a larger benchmark is scanned block by block, so what is broadcast never
-grows beyond the bound and no item is left out.
+forms its own block); a larger benchmark is scanned block by block and no item is left out.  Each
+broadcast is bounded, their sum is not: the blocks are scans in one plan, so a worker comes to hold them all.
 
 Defined results: a null, blank or wordless text has no words and no hits; wordless and null items
 have no windows; equal items are all reported; the benchmark may be empty; input columns named as

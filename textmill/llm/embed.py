@@ -180,7 +180,8 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """(id_col, n_links, component_id, kept) by row of ``df``."""
+    """(id_col, n_links, component_id, kept) by row of ``df``.  Components are read as 32-bit floats (a column
+    of doubles is rounded to them); cosines of those are taken in double precision."""
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
     k, tables = plan(df.count(), threshold)
     found = saved(_profiles(source, k, tables), "profiles")
