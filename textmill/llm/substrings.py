@@ -6,15 +6,19 @@ also the same one) is removed.
 1. *Initial buckets.*  Each window of ``length`` bytes is led by its smallest q-gram, the anchor, so
    equal windows have equal anchors at equal offsets, and only anchor suffixes need to be bucketed,
    by the identifier of their q-gram.  A window whose anchor's bucket has one member is unique.
-2. *Refinement.*  Identifiers of longer strings are made from those of shorter ones at later offsets
-   (prefix doubling up to the q-gram, running sums beyond it) and are used again by every later step.
-   The members of a bucket are split by the identifier of the whole context that their windows span:
-   a part of two or more members repeats in every window; buckets of a single part are done.
-3. Of each part of a bucket that is still mixed, one member's context goes on; its windows are sorted
-   by their identifiers, and equal neighbours repeat.  Buckets of up to GROUP parts are sorted in one
-   task; larger ones are spread by window identifier, whatever their size.
-
-Identifiers are 64-bit hashes, and two windows are equal if anchor, offset and window agree (128 bits).
+2. *Equal contexts.*  The members of a bucket are split by the identifier of the whole context that
+   their windows span: a part of two or more members repeats in every window; buckets of a single
+   part are done.  Of each part of a bucket that is still mixed, one member's context goes on.
+3. *Refinement.*  All suffixes of a bucket's contexts are sorted by their first GRAM0 bytes into
+   sub-buckets, which are refined by sorting on (own bucket pointer, bucket pointer at a later offset):
+   pointers of width w, taken at offset w, give those of width 2 w, and each round uses the pointers
+   that the round before has updated.  A suffix alone in its bucket is settled and takes part no more.
+   Windows that share a bucket at width ``length`` repeat; no hash is involved.  This is done in one
+   task for some whole buckets of up to GROUP parts.  Larger buckets are spread by the identifiers of
+   their windows, whatever their size: there a pointer would have to be fetched by a join.
+
+Identifiers (steps 1 and 2, large buckets) are 64-bit hashes, made from those of shorter strings; in a
+large bucket two windows are equal if anchor, offset and window agree (128 bits).
 
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing; rows that repeat
 count as other documents, so whole copies of at least ``length`` bytes vanish entirely, all of them;
@@ -35,6 +39,8 @@ from textmill.llm.store import saved
 
 LENGTH = 400
 GRAM = 32
+#: Bytes that the first sort of the refinement looks at: as many as a machine word holds.
+GRAM0 = 8
 GROUP = 4096
 #: Texts are worked on in pieces that fit the processor's cache.
 PIECE = 1 << 19
@@ -150,13 +156,17 @@ def _compressed(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(g, kinds, row, place, context) of the members of mixed buckets."""
+    """(g, kinds, row, place, context) of the members of mixed buckets; rows that repeat, in a task, count once."""
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
+        seen = set()
         for batch in batches:
             col = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
-            for k in range(batch.num_rows):
+            for k, row in enumerate(col["row"].to_pylist()):
+                if row in seen:
+                    continue
+                seen.add(row)
                 data = unpack(col["z"][k].as_py())
                 own = col["held"].slice(k, 1).flatten()
                 place = own.field("place").to_numpy(zero_copy_only=False)
@@ -169,13 +179,51 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "g bigint, kinds bigint, row bigint, place bigint, context binary")
 
 
+def _pointers(keys: np.ndarray) -> np.ndarray:
+    """The bucket, from 1, of each key that others equal; 0 for a key of its own."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
+    size = np.diff(first)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(np.where(size > 1, np.cumsum(size > 1), 0), size)
+    return out
+
+
+def refined(offs: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """The bucket pointer of each suffix of some texts at width ``length`` (0: no other suffix begins alike, or too short)."""
+    grams, k = data.astype(_U), 1
+    while k < GRAM0:
+        grams = (grams[:-k] << _U(8 * k)) | grams[k:] if len(grams) > k else grams[:0]
+        k *= 2
+    room = np.repeat(offs[1:], np.diff(offs)) - np.arange(len(data))
+    live = np.flatnonzero(room >= GRAM0)
+    found, width = _pointers(grams[live]), GRAM0
+    while True:
+        pointer = np.zeros(len(data), np.int64)
+        pointer[live] = found
+        if width == length:
+            return pointer
+        step = min(width, length - width)
+        live = live[(found > 0) & (room[live] >= width + step)]
+        ahead = pointer[live + step]
+        live, ahead = live[ahead > 0], ahead[ahead > 0]
+        found, width = _pointers(pointer[live] << 32 | ahead), width + step
+
+
+def _places(batch: pa.RecordBatch, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, window number, byte) of all windows of some contexts."""
+    _, windows, _ = _unpacked(batch.column(3).to_numpy())
+    member = np.repeat(np.arange(batch.num_rows), windows + 1)
+    number = ragged(np.zeros(batch.num_rows, np.int64), windows + 1)
+    return member, number, offs[:-1][member] + number
+
+
 def _windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(identifier with anchor and offset, member, window number) of all windows of some contexts."""
     offs, data = raw(batch.column(4))
-    _, windows, offset = _unpacked(batch.column(3).to_numpy())
-    member = np.repeat(np.arange(batch.num_rows), windows + 1)
-    number = ragged(np.zeros(batch.num_rows, np.int64), windows + 1)
-    at = offs[:-1][member] + number
+    member, number, at = _places(batch, offs)
+    _, _, offset = _unpacked(batch.column(3).to_numpy())
     gram = batch.column(0).to_numpy().view(_U)[member]
     same = _pair(gram, (offset[member] - number).astype(_U))
     return _pair(Identifiers(data).of(at, at + length), same), member, number
@@ -198,7 +246,7 @@ RUNS = "row bigint, start bigint, end bigint"
 
 
 def _sorted_repeats(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeating runs in buckets of bounded size: their windows are sorted in one task."""
+    """Repeating runs in buckets of bounded size: they are refined in one task."""
 
     def run(batches):
         for batch, starts in whole_groups(batches, 1):
@@ -209,12 +257,9 @@ def _sorted_repeats(contexts: DataFrame, length: int) -> DataFrame:
                 to = max(at + 1, int(np.searchsorted(offs[ends], offs[starts[at]] + 2 * PIECE, "right")))
                 part = batch.slice(int(starts[at]), int(ends[to - 1] - starts[at]))
                 part = pa.RecordBatch.from_arrays([pa.concat_arrays([c, c.slice(0, 0)]) for c in part.columns], names=part.schema.names)
-                h, member, number = _windows(part, length)
-                order = np.argsort(h, kind="stable")
-                equal = h[order[1:]] == h[order[:-1]]
-                again = np.zeros(len(h), bool)
-                again[order[1:]] |= equal
-                again[order[:-1]] |= equal
+                own, data = raw(part.column(4))
+                member, number, place = _places(part, own)
+                again = refined(own, data, length)[place] > 0
                 yield _runs(part, member[again], number[again], length)
                 at = to
 
