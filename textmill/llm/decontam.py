@@ -6,8 +6,8 @@ the word windows of each document against the hash set and verify each hit word
 document word inside any occurrence of a window is hit.
 
 The benchmark is read by the driver in blocks of at most BLOCK_BYTES of text (a longer single item
-forms its own block); a larger benchmark is scanned block by block and no item is left out.  Each
-broadcast is bounded, their sum is not: the blocks are scans in one plan, so a worker comes to hold them all.
+forms its own block); a larger benchmark is scanned block by block and no item is left out.  The rows
+are saved after each block but the last, and its broadcast is destroyed, so a worker holds one block at a time.
 
 Defined results: a null, blank or wordless text has no words and no hits; wordless and null items
 have no windows; equal items are all reported; the benchmark may be empty; input columns named as
@@ -16,7 +16,7 @@ the outputs (``n_words``, ``n_hit``, ``item_ids``, ``spans``) are replaced.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.arrow import lists, map_text, raw, strings, words
+from textmill.llm.arrow import lists, map_text, ragged, raw, strings, words
+from textmill.llm.store import saved
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -48,12 +49,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _rolled(ids: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each run of ``n`` ids."""
-    m = len(ids) - n + 1
-    h = np.full(m, n, np.uint64)
-    for k in range(n):
-        h = _mix(h + ids[k : k + m].astype(np.uint64) + np.uint64(1))
+def _hashed(columns: Iterable[np.ndarray], n: int) -> np.ndarray:
+    """A hash of the ``n`` ids of each window, given by position."""
+    h = np.uint64(n)
+    for ids in columns:
+        h = _mix(h + ids.astype(np.uint64) + np.uint64(1))
     return h
 
 
@@ -65,25 +65,23 @@ class WindowSet:
         coded = flat.dictionary_encode()
         self.vocabulary = coded.dictionary
         ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        owners: dict[tuple, set[int]] = defaultdict(set)
-        for k, (item, _) in enumerate(items):
-            own = ids[rows[k] : rows[k + 1]].tolist()
-            if own:
-                n = min(window, len(own))
-                for at in range(len(own) - n + 1):
-                    owners[tuple(own[at : at + n])].add(item)
-        self.items = sorted({i for o in owners.values() for i in o})
-        number = {i: k for k, i in enumerate(self.items)}
+        counts = np.diff(rows)
+        names = np.array([i for i, _ in items], np.int64)
+        self.items = np.unique(names[counts > 0])
         self.by_length = {}
-        for n in sorted({len(w) for w in owners}):
-            own = [w for w in owners if len(w) == n]
-            content = np.array(own, np.int64).reshape(len(own), n)
-            hashes = np.concatenate([_rolled(r, n) for r in content])
+        lengths = np.minimum(counts, window)
+        for n in np.unique(lengths[lengths > 0]).tolist():
+            own = np.flatnonzero(lengths == n)
+            many = counts[own] - n + 1
+            content, inverse = np.unique(ids[ragged(rows[own], many)[:, None] + np.arange(n)], axis=0, return_inverse=True)
+            hashes = _hashed(content.T, n)
             order = np.argsort(hashes, kind="stable")
-            who = [np.array(sorted(number[i] for i in owners[own[k]]), np.int64) for k in order]
-            counts = np.array([len(w) for w in who], np.int64)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            pairs = np.unique(np.stack([place[inverse.ravel()], np.searchsorted(self.items, np.repeat(names[own], many))], axis=1), axis=0)
+            first = np.searchsorted(pairs[:, 0], np.arange(len(order) + 1))
             # Windows of equal hash (if any) follow one another; all of them are compared.
-            self.by_length[n] = (hashes[order], content[order], np.cumsum(counts) - counts, counts, np.concatenate(who))
+            self.by_length[n] = (hashes[order], content[order], first[:-1], np.diff(first), pairs[:, 1].copy())
 
     def hits(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hit flag by word, document and item number of each distinct occurrence pair)."""
@@ -99,9 +97,7 @@ class WindowSet:
                 at = np.flatnonzero((missing[n:] == missing[:-n]) & (row[n - 1 :] == row[: len(row) - n + 1]))
                 if not len(at):
                     continue
-                h = np.full(len(at), n, np.uint64)
-                for k in range(n):
-                    h = _mix(h + code[at + k].astype(np.uint64) + np.uint64(1))
+                h = _hashed((code[at + k] for k in range(n)), n)
                 slot = np.searchsorted(hashes, h)
                 while True:
                     ok = slot < len(hashes)
@@ -125,7 +121,7 @@ def _scan(found: WindowSet, texts: pa.Array, *prior: pa.Array) -> list[pa.Array]
     rows, flat, starts, ends = words(texts, WORD_BYTES)
     offs, data = raw(texts)
     hit, docs, items = found.hits(flat, rows)
-    items = np.array(found.items, np.int64)[items]
+    items = found.items[items]
     n = len(rows) - 1
     row = np.repeat(np.arange(n), np.diff(rows))
     points = np.append(0, np.cumsum((data & 0xC0) != 0x80)) if len(prior) or hit.any() else np.zeros(len(data) + 1, np.int64)
@@ -166,6 +162,9 @@ def scan(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
         block = [(r.i, r.t) for r in items.where(spread == k).collect()]
         shipped = df.sparkSession.sparkContext.broadcast(WindowSet(block, window))
         df = map_text(df, text_col, lambda *columns, s=shipped: _scan(s.value, *columns), FIELDS, also=("item_ids", "spans") if k else (), limit=1 << 20)
+        if k + 1 < blocks:
+            df = saved(df, "scanned")
+            shipped.destroy()
     return df
 
 
