@@ -89,7 +89,7 @@ def unit(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _profiles(df: DataFrame, k: int, tables: int) -> DataFrame:
-    """(id, usable, h1, h2, vector, keys): a 128-bit digest of the vector and its bucket keys."""
+    """(id, dim, h1, h2, vector, keys): a 128-bit digest of the vector and its bucket keys."""
 
     def run(batches):
         import hashlib
@@ -112,7 +112,8 @@ def _profiles(df: DataFrame, k: int, tables: int) -> DataFrame:
                      column, lists(np.append(0, np.cumsum(counts)), pa.array(own[usable].ravel()))],
                     names=["id", "dim", "h1", "h2", "vector", "keys"])
 
-    return df.mapInArrow(run, "id bigint, dim int, h1 bigint, h2 bigint, vector array<float>, keys array<int>")
+    vector = df.schema["v"].dataType.simpleString()
+    return df.mapInArrow(run, f"id bigint, dim int, h1 bigint, h2 bigint, vector {vector}, keys array<int>")
 
 
 def _linked(rows: DataFrame, threshold: float) -> DataFrame:
@@ -180,9 +181,10 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """(id_col, n_links, component_id, kept) by row of ``df``.  Components are read as 32-bit floats (a column
-    of doubles is rounded to them); cosines of those are taken in double precision."""
-    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    """(id_col, n_links, component_id, kept) by row of ``df``.  Components are read as they are (32-bit floats,
+    or doubles for any other type of number); cosines are taken in double precision."""
+    element = "float" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{element}>").alias("v"))
     k, tables = plan(df.count(), threshold)
     found = saved(_profiles(source, k, tables), "profiles")
     usable = found.where("dim > 0 AND id IS NOT NULL")
