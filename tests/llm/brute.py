@@ -115,33 +115,6 @@ def secrets(text: str | None) -> list[tuple[str, int, int]]:
     return [(kind, a, e) for a, _, e, kind in sorted(out)]
 
 
-def trigram_loss(corpus: list[str | None]):
-    """-log2 of a byte given the two before it, by Witten-Bell interpolation."""
-    counts = [collections.Counter() for _ in range(3)]
-    for t in corpus:
-        b = b"\xff\xff" + (t or "").encode()
-        for i in range(2, len(b)):
-            for k in range(3):
-                counts[k][b[i - k : i + 1]] += 1
-    total, kinds = [collections.Counter() for _ in range(3)], [collections.Counter() for _ in range(3)]
-    for k in range(3):
-        for gram, n in counts[k].items():
-            total[k][gram[:-1]] += n
-            kinds[k][gram[:-1]] += 1
-
-    def p(gram, k):
-        if k < 0:
-            return 1 / 256
-        lower, c = p(gram[1:], k - 1), gram[:-1]
-        return (counts[k][gram] + kinds[k][c] * lower) / (total[k][c] + kinds[k][c]) if total[k][c] else lower
-
-    def mean(text):
-        b = b"\xff\xff" + (text or "").encode()
-        return sum(-math.log2(p(b[i - 2 : i + 1], 2)) for i in range(2, len(b))) / max(len(b) - 2, 1)
-
-    return mean
-
-
 def ppm_bits(corpus: list[str], text: str, order: int, alphabet: set[int] | None = None) -> float:
     """Code length of ``text`` under method C with exclusions, statistics frozen over ``corpus``."""
     tree = collections.defaultdict(collections.Counter)

@@ -124,6 +124,15 @@ def test_embeddings_odd_rows(spark):
     assert embed.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_embeddings_of_doubles_are_not_rounded(spark):
+    rows = [(1, [1e300, 1e299]), (2, [2e300, 2e299]), (3, [1e-300, 0.0]), (4, [-1e-300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed.near_duplicates(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+    whole = spark.createDataFrame([(1, [2**40 + 1, 1]), (2, [2**40 + 1, 1])], "vec_id long, embedding array<long>")
+    assert [r.n_links for r in embed.near_duplicates(whole).collect()] == [1, 1]
+
+
 def test_plan_of_tables_meets_its_bound():
     for n in (10, 10_000, 1_000_000):
         k, tables = embed.plan(n)
@@ -156,6 +165,32 @@ def test_substrings_equal_brute_force(spark, group, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("length", [8, 9, 16, 23, 64])
+def test_refined_buckets_equal_brute_force(length):
+    rng = random.Random(length)
+    part = [bytes(rng.choice(b"ab\xff") for _ in range(rng.randint(0, 90))) for _ in range(6)]
+    texts = [rng.choice(part) + rng.choice(part)[rng.randint(0, 20) :] for _ in range(30)] + [b"", b"a", b"a" * 70]
+    offs = np.append(0, np.cumsum([len(t) for t in texts]))
+    got = substrings.refined(offs, np.frombuffer(b"".join(texts), np.uint8), length)
+    seen = {}
+    for k, t in enumerate(texts):
+        for at in range(len(t) - length + 1):
+            seen.setdefault(t[at : at + length], []).append(int(offs[k]) + at)
+    again = [sorted(v) for v in seen.values() if len(v) > 1]
+    assert again
+    assert sorted(np.flatnonzero(got).tolist()) == sorted(x for v in again for x in v)
+    assert sorted(np.flatnonzero(got == b).tolist() for b in np.unique(got[got > 0])) == sorted(again)
+
+
+def test_repeated_rows_send_one_context(spark):
+    rng = random.Random(1)
+    core = "".join(rng.choice("abcdefgh ") for _ in range(500))
+    sides = ["".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(4)]
+    rows = [(1, sides[0] + core + sides[1])] * 40 + [(2, sides[2] + core + sides[3])]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(len(r.kept) for r in got) == [0] * 40 + [800]
+
+
 def test_substrings_odd_rows(spark, odd):
     rows = substrings.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

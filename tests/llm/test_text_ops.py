@@ -4,10 +4,10 @@ import random
 
 import pyarrow as pa
 import pytest
-from brute import contamination, ppm_bits, secrets as brute_secrets, sha, trigram_loss
+from brute import contamination, ppm_bits, secrets as brute_secrets, sha
 from pyspark.sql import functions as F
 
-from textmill.llm import bpe, chat, decontam, langid, lmscore, secrets
+from textmill.llm import bpe, chat, decontam, langid, secrets
 from textmill.llm.queries import tokenizer_path
 
 LONG = "the quick brown fox " * 60_000
@@ -100,22 +100,6 @@ def test_langid_accuracy_and_odd_rows(spark, odd):
     assert langid.predict(odd.limit(0), counts).collect() == []
 
 
-def test_lmscore_equals_brute_force(spark, odd):
-    rng = random.Random(3)
-    texts = ["".join(rng.choice("ab é") for _ in range(rng.randint(0, 40))) for _ in range(40)] + [None, ""]
-    docs = spark.createDataFrame([(k, t, k % 3 == 0) for k, t in enumerate(texts)], "doc_id long, text string, good boolean")
-    target, background = trigram_loss([t for k, t in enumerate(texts) if k % 3 == 0]), trigram_loss(texts)
-    for r in lmscore.score(docs, lmscore.count(docs, F.col("good"))).collect():
-        assert r.n_tokens == len((r.text or "").encode())
-        assert r.loss_target == pytest.approx(target(r.text), abs=1e-4)
-        assert r.loss_background == pytest.approx(background(r.text), abs=1e-4)
-        assert r.score == pytest.approx(r.loss_background - r.loss_target)
-    none = lmscore.count(odd, F.lit(None).cast("boolean"))
-    rows = lmscore.score(odd, none).collect()
-    assert all(r.loss_target == pytest.approx(8 if r.text else 0) for r in rows)
-    assert lmscore.score(odd.limit(0), lmscore.count(odd.limit(0), F.lit(True))).collect() == []
-
-
 def _windows(rows):
     return [(r.n_words, r.n_hit, r.item_ids, [(s.start, s.end) for s in r.spans]) for r in rows]
 
