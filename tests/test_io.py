@@ -1,5 +1,6 @@
 """Sources and sinks (A1-A6, B1-B4, B8) as round trips in scratch folders."""
 
+import hashlib
 import json
 import os
 import tempfile
@@ -116,3 +117,19 @@ def test_empty_book_files_are_books(spark, tmp_path):
     only.mkdir()
     (only / "x.txt").write_text("")
     assert [tuple(r) for r in io.read_books(spark, str(only)).collect()] == [("x.txt", "")]
+
+
+def test_books_are_written_many_in_a_folder(spark, tmp_path, monkeypatch):
+    """A file each, but no folder each; no name comes to the driver where no file is empty."""
+    from textmill.plans import catalog
+
+    docs = [(i, None if i == 3 else f"text {i}\n") for i in range(40)]
+    spark.createDataFrame([*docs, (7, "again")], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "_scratch", lambda s, name: str(tmp_path / name))
+    monkeypatch.setattr(catalog, "FOLDER_BOOKS", 10)
+    monkeypatch.setattr(type(spark.range(0)), "inputFiles", lambda self: pytest.fail("names were fetched"))
+    got = [r.text_md5 for r in catalog.q_read_books(spark, str(tmp_path)).collect()]
+    texts = {**{i: t or "" for i, t in docs}, 7: "text 7\n\nagain"}
+    assert sorted(got) == sorted(hashlib.md5(f"{t}\n".encode()).hexdigest() for t in texts.values())
+    folders = [p for p in (tmp_path / "books").iterdir() if p.is_dir()]
+    assert 1 < len(folders) <= 5 and sum(len([f for f in p.iterdir() if f.suffix == ".txt"]) for p in folders) == 40

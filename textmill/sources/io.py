@@ -67,10 +67,19 @@ def read_books(spark: SparkSession, path: str, head_chars: int | None = None, pa
     return books.unionByName(_empty_files(spark, path, pattern).select("book_name", F.lit("").alias("text")))
 
 
+def write_books(df: DataFrame, path: str) -> None:
+    """Every ``text`` as a text file of its own (for A3), those of a task in one folder: it is renamed as a
+    whole when the job commits, and many folders are listed side by side."""
+    (df.select(F.col("text").alias("value"), F.spark_partition_id().alias("folder"))
+     .write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path))
+
+
 def _empty_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """``book_name`` of the files of zero bytes, which a scan skips: those that Spark's file index lists and a
     scan of names and lengths (no content is read) does not."""
     scan = spark.read.format("binaryFile").load(path, pathGlobFilter=pattern)
+    if len(scan._jdf.inputFiles()) == scan.count():  # no name has to come to the driver
+        return spark.createDataFrame([], "book_name string")
     listed = spark.createDataFrame([(f, unquote(f.rsplit("/", 1)[-1])) for f in scan.inputFiles()], "file string, book_name string")
 
     def place(c):  # file:/x and file:///x are one place
