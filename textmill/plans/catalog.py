@@ -1025,6 +1025,15 @@ def q_public_api(spark, d):
 # The corpus job as a stream
 # ---------------------------------------------------------------------------
 
+#: Documents in a file of q_stream_dedup and q_process_shards, about.
+FILE_DOCS = 1_000
+
+
+def _files_a_quarter(docs) -> int:
+    """The files of FILE_DOCS documents that a quarter of ``docs`` fills."""
+    return -(-docs.count() // (4 * FILE_DOCS)) or 1
+
+
 @register("q_stream_dedup", _j1_duck(True, False).replace("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1",
                                                         "SELECT hash FROM h WHERE rn = 1"))
 def q_stream_dedup(spark, d):
@@ -1038,10 +1047,11 @@ def q_stream_dedup(spark, d):
     from textmill.sources.tables import DOCS_MARKUP_SQL
     from textmill.streaming.incremental import run_stream_dedup
 
-    # Four files, one by micro-batch, so that duplicates meet across batches.
+    # Four micro-batches of as many files each, so that duplicates meet across batches.
     source = _scratch(spark, "stream_source")
     docs = table(spark, d, "documents")
-    docs.repartition(4, F.pmod("doc_id", F.lit(4))).write.parquet(source)
+    files = _files_a_quarter(docs)
+    docs.repartition(4 * files).write.parquet(source)
 
     def prepare(stream):
         docs = spark.sql(DOCS_MARKUP_SQL, documents=stream)
