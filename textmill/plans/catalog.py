@@ -1059,20 +1059,23 @@ def q_stream_dedup(spark, d):
                               text_chunk_size=CHUNK, deduplicate=False)
 
     out = run_stream_dedup(spark, os.path.join(source, "*.parquet"), docs.schema, prepare,
-                           order=["subset", "doc_id", "chunk_no"], name=f"stream_dedup_{uuid.uuid4().hex}", max_files_per_trigger=1)
+                           order=["subset", "doc_id", "chunk_no"], name=f"stream_dedup_{uuid.uuid4().hex}", max_files_per_trigger=files)
     return out.select("hash")
 
 
 @register("q_process_shards", _j1_duck(True, False).replace("SELECT doc_id, chunk_no, subset, text, hash FROM h WHERE rn = 1",
                                                           "SELECT hash FROM h WHERE rn = 1"))
 def q_process_shards(spark, d):
-    """A5 + J1: the vocabulary-free corpus job over four files, a resumable shard each; no text is emitted
-    by two of them.  The hashes equal the batch job's."""
+    """A5 + J1: the vocabulary-free corpus job over four folders of files, a resumable shard each; no text is
+    emitted by two of them.  The hashes equal the batch job's."""
     from textmill.plans.jobs import process_shards
 
     source, out = _scratch(spark, "shard_source"), _scratch(spark, "shard_runs")
-    io.write_pile_jsonl(docs_markup(spark, d).repartition(4, F.pmod("doc_id", F.lit(4))), source)
-    process_shards(spark, f"{source}/*.json", out, subsets=ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True, text_chunk_size=CHUNK)
+    docs = docs_markup(spark, d)
+    files = _files_a_quarter(table(spark, d, "documents"))
+    for k in range(4):
+        io.write_pile_jsonl(docs.where(F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0)) == k).repartition(files), f"{source}/shard{k}")
+    process_shards(spark, f"{source}/*/*.json", out, by_folder=True, subsets=ALL_SUBSETS, min_text_length=MIN_LEN, max_text_length=MAX_LEN, chunk_text=True, text_chunk_size=CHUNK)
     return spark.read.schema("hash string, shard string").parquet(f"{out}/hashes").select("hash")
 
 

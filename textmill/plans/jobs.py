@@ -211,9 +211,9 @@ def process_corpus_files(spark, input_path: str, output_path: str, deduplicate:
     return got
 
 
-def process_shards(spark, input_path: str, output_path: str, deduplicate: bool = True, vocab=None, pieces=None, **options) -> dict:
-    """J1 shard by shard (A5), resumable: every input file under ``input_path`` (a folder or glob) is a shard, whose corpus
-    goes to ``<output_path>/corpus/shard=<name>`` and its hashes to ``<output_path>/hashes/shard=<name>``.  A shard
+def process_shards(spark, input_path: str, output_path: str, deduplicate: bool = True, vocab=None, pieces=None, by_folder: bool = False, **options) -> dict:
+    """J1 shard by shard (A5), resumable: every input file under ``input_path`` (a folder or glob) is a shard, or with
+    ``by_folder`` all files of a folder, whose corpus goes to ``<output_path>/corpus/shard=<name>`` and its hashes to ``<output_path>/hashes/shard=<name>``.  A shard
     counts as done once its row stands in ``<output_path>/done``, which is written last: a
     run that is started again leaves out the done shards, writes an unfinished one anew, and
     compares with the hashes of done shards only, so it gives what an unbroken run gives.  Shards
@@ -229,7 +229,7 @@ def process_shards(spark, input_path: str, output_path: str, deduplicate: bool =
         return spark.read.schema(schema).parquet(done_path) if dd._exists(spark, done_path) else spark.createDataFrame([], schema)
 
     files = spark.createDataFrame([(unquote(f),) for f in docs.inputFiles()], "file string")  # Spark lists URIs
-    name = F.regexp_extract("file", r"([^/]*?)(\.[^./]*)?$", 1)
+    name = F.regexp_extract("file", r"([^/]*)/[^/]*$" if by_folder else r"([^/]*?)(\.[^./]*)?$", 1)
     todo = files.select(name.alias("shard"), "file").join(done(), "shard", "left_anti").orderBy("shard").collect()
     emitted: dict = {}
     for shard, group in groupby(todo, key=lambda r: r.shard):
