@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,9 +72,7 @@ def bow_column(ids: Column, n_pad: Column, clip: int = BOW_CLIP) -> Column:
     left padding counted as id 0 (never materialised), clipped at ``clip``, L2-normalised.  A row
     without ids is all padding: weight 1 at id 0."""
 
-    @F.arrow_udf("struct<id:array<int>,weight:array<double>>")
-    def run(lists: pa.Array, pads: pa.Array) -> pa.Array:
-        lists = pa.concat_arrays([lists])
+    def own(lists: pa.ListArray, pads: pa.Array) -> pa.Array:
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         pad = pc.fill_null(pads, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         padded = np.flatnonzero(pad > 0)
@@ -88,6 +86,10 @@ def bow_column(ids: Column, n_pad: Column, clip: int = BOW_CLIP) -> Column:
         parts = [(key & 0xFFFFFFFF).astype(np.int32), c / norm[row]]
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offs, pa.array(x)) for x in parts], names=["id", "weight"])
 
+    @F.arrow_udf("struct<id:array<int>,weight:array<double>>")
+    def run(lists: pa.Array, pads: pa.Array) -> pa.Array:
+        return vb.in_slices(own, pa.concat_arrays([lists]), pads)
+
     return run(ids, n_pad)
 
 
@@ -106,10 +108,11 @@ def bow_from_counts(counts: DataFrame, key: str, clip: int = BOW_CLIP) -> DataFr
     return clipped.select(key, "id", (F.col("c") / norm).alias("weight"))
 
 
-@F.udf(VectorUDT(), useArrow=True)
-def _sparse(size, ids, ws):
-    """One ML vector per document (Arrow-batched; Spark SQL cannot build a UDT value)."""
-    return SparseVector(size, ids, ws)
+@F.arrow_udf(VectorUDT())
+def _sparse(size: pa.Array, ids: pa.Array, ws: pa.Array) -> pa.Array:
+    """One sparse ML vector per document, the id and weight lists as they are (Spark SQL cannot build a UDT value)."""
+    kind = pa.array(np.zeros(len(ids), np.int8))
+    return pa.StructArray.from_arrays([kind, size, ids, ws], names=["type", "size", "indices", "values"])
 
 
 def vector_column(bow: Column, size: int = vb.VOCAB_SIZE) -> Column:

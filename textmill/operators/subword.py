@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.operators.vocab import word_counts
+from textmill.operators.vocab import in_slices, word_counts
 
 WORD_START = "▁"
 #: A model's merges are sent to every task.
@@ -122,14 +122,16 @@ class BpeModel:
         """Apply ``fn(token lists, pieces of each token, token array)`` to Arrow batches of token lists."""
         shipped = self.shipped
 
-        @F.arrow_udf(returns)
-        def run(lists: pa.Array) -> pa.Array:
-            lists = pa.concat_arrays([lists])
+        def counted(lists: pa.ListArray) -> pa.Array:
             flat = lists.flatten()
             coded = flat.dictionary_encode()
             own = np.array([*map(shipped.value.count, coded.dictionary.to_pylist())], np.int32)
             return fn(lists, own[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else own, flat)
 
+        @F.arrow_udf(returns)
+        def run(lists: pa.Array) -> pa.Array:
+            return in_slices(counted, pa.concat_arrays([lists]))
+
         return run(tokens)
 
     def pieces(self, tokens: DataFrame) -> DataFrame:

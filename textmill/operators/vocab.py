@@ -28,6 +28,10 @@ PAD, UNK = "<pad>", "<unk>"
 PAD_ID, UNK_ID = 0, 1
 VOCAB_SIZE = 2**16
 MIN_FREQ = 2**3
+#: Tokens that a task works on at a time; longer single lists are taken alone.
+SLICE_TOKENS = 2**18
+
+
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """1-based rank over the whole DataFrame in ``order`` without a single task.
 
@@ -119,6 +123,18 @@ def vocab_from_shards(spark, path: str, vocab_size: int = VOCAB_SIZE, min_freq:
     return rank_vocab(summed, vocab_size, min_freq)
 
 
+def in_slices(fn, lists: pa.ListArray, *more: pa.Array) -> pa.Array:
+    """``fn`` of the rows of an Arrow batch, SLICE_TOKENS list items at a time, so that what it makes on the way
+    stays small however long the lists are."""
+    offs = lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
+    parts, at = [], 0
+    while at < len(lists) or not parts:
+        to = min(len(lists), max(at + 1, int(np.searchsorted(offs, offs[at] + SLICE_TOKENS, "right")) - 1))
+        parts.append(fn(*(a.slice(at, to - at) for a in (lists, *more))))
+        at = to
+    return pa.concat_arrays(parts)
+
+
 class Lookup:
     """A token table small enough to be sent to every task: sorted tokens and a number for each."""
 
@@ -133,15 +149,17 @@ class Lookup:
         """Apply ``fn(token lists, values or -1, token array)`` to Arrow batches of token lists."""
         shipped = self.shipped
 
-        @F.arrow_udf(returns)
-        def run(lists: pa.Array) -> pa.Array:
+        def own(lists: pa.ListArray) -> pa.Array:
             names, values = shipped.value
-            lists = pa.concat_arrays([lists])
             flat = lists.flatten()
             at = pc.index_in(flat, value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
             found = np.where(at >= 0, values[at], -1) if len(values) else np.full(len(flat), -1, "int32")
             return fn(lists, found.astype("int32"), flat)
 
+        @F.arrow_udf(returns)
+        def run(lists: pa.Array) -> pa.Array:
+            return in_slices(own, pa.concat_arrays([lists]))
+
         return run(tokens)
 
 

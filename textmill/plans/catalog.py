@@ -645,12 +645,9 @@ def q_bow(spark, d):
 def q_bow_vectors(spark, d):
     """The same features as one sparse vector per book, taken apart again."""
     vectors = cl.document_vectors(_trainset(spark, d).select("book_name", "text"), corpus_vocab(spark, d), "book_name")
-
-    @F.udf("array<struct<id:int,weight:double>>", useArrow=True)
-    def entries(v):
-        return [(int(i), float(w)) for i, w in zip(v.indices, v.values)]
-
-    return vectors.select("book_name", F.explode(entries("features")).alias("e")).select("book_name", "e.id", "e.weight")
+    entries = vectors.select("book_name", F.unwrap_udt("features").alias("v"))
+    pairs = F.arrays_zip(F.col("v.indices").alias("id"), F.col("v.values").alias("weight"))
+    return entries.select("book_name", F.explode(pairs).alias("e")).select("book_name", "e.id", "e.weight")
 
 
 @register("q_split", f"SELECT book_name, label, row_number() OVER (PARTITION BY label ORDER BY md5(book_name || ':42')) "
