@@ -40,20 +40,136 @@ MAX_MERGES = 2**16
 HINT_WORDS, AHEAD = 100_000, 128
 #: Tokens of at most so many characters whose pieces a task remembers, and how many of them.
 CACHE_CHARS, CACHE_TOKENS = 64, 2**18
+#: Characters of words that a task merges at a time (a longer word is taken alone), and the number of Unicode code points.
+CHARS_AT_ONCE, CODE_POINTS = 2**20, 0x110000
 
 Pair = tuple[str, str]
 
 
+def _portions(tokens: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, length) of neighbouring tokens with about CHARS_AT_ONCE characters together."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHARS_AT_ONCE, "right")))
+        yield at, to - at
+        at = to
+
+
 class Merges:
     """A ranked list of merges.  A pair that a list holds twice applies at either rank."""
 
     def __init__(self, merges: list[Pair]):
         if len(merges) > MAX_MERGES:
             raise ValueError(f"a model may have at most {MAX_MERGES} merges")
+        self.merges = [tuple(m) for m in merges]
         self.ranks: dict[Pair, list[int]] = defaultdict(list)
-        for rank, pair in enumerate(merges):
-            self.ranks[tuple(pair)].append(rank)
+        for rank, pair in enumerate(self.merges):
+            self.ranks[pair].append(rank)
         self.known: dict[str, int] = {}
+        # For arrays of symbols: a character is its code point, other symbols are numbered behind.
+        self.names: list[str] = sorted({s for a, b in self.merges for s in (a, b, a + b) if len(s) > 1})
+        number = {s: CODE_POINTS + k for k, s in enumerate(self.names)}
+        self.steps = [tuple(number[s] if len(s) > 1 else ord(s) for s in (a, b, a + b)) for a, b in self.merges]
+        keys = np.array([a << 32 | b for a, b, _ in self.steps], np.int64)
+        self.keys, at = np.unique(keys, return_inverse=True)
+        self.places = np.sort(at * (len(keys) + 1) + np.arange(len(keys)))
+
+    def name(self, symbol: int) -> str:
+        return chr(symbol) if symbol < CODE_POINTS else self.names[symbol - CODE_POINTS]
+
+    def _next(self, left: np.ndarray, right: np.ndarray, above: int) -> np.ndarray:
+        """The lowest rank above ``above`` of each pair, or -1."""
+        n = len(self.merges) + 1
+        key = left << 32 | right
+        pair = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        at = np.minimum(np.searchsorted(self.places, pair * n + above + 1), n - 2)
+        found = self.places[at]
+        return np.where((self.keys[pair] == key) & (found // n == pair) & (found % n > above), found % n, -1)
+
+    def apply(self, tokens: pa.Array, since: int | None = None, weights: np.ndarray | None = None):
+        """``symbols`` of many tokens at once: the symbols left, the number of them by token, and with ``since`` and
+        ``weights`` the changes as ``(key, count)`` arrays, a key being ``step << 42 | left << 21 | right``."""
+        sizes = pc.utf8_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        text = "".join(WORD_START + t for t in tokens.to_pylist())
+        sym = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        n, ends = len(sym), np.cumsum(sizes)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        if n:
+            after[ends - 1] = -1
+            before[ends - sizes] = -1
+        alive = np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = defaultdict(list)
+        heap: list[int] = []
+
+        def enter(at: np.ndarray, above: int) -> None:
+            at = at[(at >= 0) & (after[at] >= 0)]
+            rank = self._next(sym[at], sym[after[at]], above)
+            at, rank = at[rank >= 0], rank[rank >= 0]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            cuts = np.flatnonzero(np.diff(rank)) + 1
+            for part, r in zip(np.split(at, cuts), rank[np.append(0, cuts)].tolist() if len(rank) else ()):
+                if r not in waiting:
+                    heapq.heappush(heap, r)
+                waiting[r].append(part)
+
+        keys, counts = [], []
+        if self.merges:
+            enter(np.arange(n), -1)
+        while heap:
+            rank = heapq.heappop(heap)
+            a, b, made = self.steps[rank]
+            i = np.unique(np.concatenate(waiting.pop(rank)))
+            i = i[alive[i] & (sym[i] == a) & (after[i] >= 0)]
+            i = i[sym[after[i]] == b]
+            if a == b and len(i):  # of pairs that overlap, each second one from the left
+                first = np.append(True, after[i[:-1]] != i[1:])
+                place = np.arange(len(i))
+                i = i[(place - np.maximum.accumulate(np.where(first, place, 0))) % 2 == 0]
+            if not len(i):
+                continue
+            j = after[i]
+            p, q = before[i], after[j]
+            has_p, has_q = p >= 0, q >= 0
+            if since is not None and rank >= since:
+                w = weights[word[i]]
+                left = sym[p]
+                left[1:][p[1:] == j[:-1]] = made  # the pair before has just been merged
+                right = sym[q]
+                step = rank - since << 42
+                same = np.full(len(i), step | a << 21 | b)
+                keys += [same, step | left[has_p] << 21 | a, step | left[has_p] << 21 | made,
+                         step | b << 21 | right[has_q], step | made << 21 | right[has_q]]
+                counts += [-w, -w[has_p], w[has_p], -w[has_q], w[has_q]]
+            sym[i] = made
+            alive[j] = False
+            after[i] = q
+            before[q[has_q]] = i[has_q]
+            enter(np.unique(np.concatenate([before[i], i])), rank)
+        left_of = np.bincount(word[alive], minlength=len(sizes))
+        if since is None:
+            return sym[alive], left_of
+        if not keys:
+            return sym[alive], left_of, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, at, np.concatenate(counts))
+        return sym[alive], left_of, key[total != 0], total[total != 0]
+
+    def lists(self, tokens: pa.Array) -> pa.Array:
+        """``symbols`` of each token; null for null."""
+        parts = [pa.array([], pa.list_(pa.string()))]
+        for at, size in _portions(tokens):
+            own = tokens.slice(at, size)
+            left, n = self.apply(own.drop_null())
+            kinds, code = np.unique(left, return_inverse=True)
+            flat = pa.array([self.name(k) for k in kinds.tolist()], pa.string()).take(pa.array(code))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), flat)
+            there = own.is_valid().to_numpy(zero_copy_only=False)
+            parts.append(lists.take(pa.array(np.cumsum(there) - 1, pa.int64(), mask=~there)))
+        return pa.concat_arrays(parts)
 
     def symbols(self, token: str, since: int = 0, changes: dict | None = None, weight: int = 1) -> list[str]:
         """The pieces of a token: merges in the order of their ranks, each from the left.
@@ -140,7 +256,7 @@ class BpeModel:
 
         @F.arrow_udf("array<string>")
         def run(names: pa.Array) -> pa.Array:
-            return pa.array([None if t is None else shipped.value.symbols(t) for t in names.to_pylist()], pa.list_(pa.string()))
+            return shipped.value.lists(names)
 
         return tokens.select("token", run("token").alias("sym")).withColumn("pieces", F.size("sym"))
 
@@ -236,22 +352,26 @@ def _steps(words: DataFrame, merges: list[Pair], guessed: list[Pair]) -> DataFra
         import re
 
         pattern = "|".join(map(re.escape, wanted))
-        changes: dict = defaultdict(int)
+        held, n = [], 0
         for batch in batches:
             marked = pc.binary_join_element_wise(WORD_START, batch.column("token"), "")
-            own = batch.filter(pc.match_substring_regex(marked, pattern))
-            for token, freq in zip(own.column("token").to_pylist(), own.column("freq").to_pylist()):
-                shipped.value.symbols(token, since, changes, freq)
-            if len(changes) > 1 << 18:
-                yield _rows(changes)
-                changes.clear()
-        yield _rows(changes)
-
-    def _rows(changes: dict) -> pa.RecordBatch:
-        rows = [(*k, v) for k, v in changes.items() if v]
-        step, a, b, n = zip(*rows) if rows else ((),) * 4
-        return pa.RecordBatch.from_arrays([pa.array(step, pa.int32()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())],
-                                          names=["step", "a", "b", "n"])
+            held.append(batch.filter(pc.match_substring_regex(marked, pattern)))
+            n += held[-1].num_rows + pc.sum(pc.utf8_length(held[-1]["token"])).as_py() if held[-1].num_rows else 0
+            if n >= CHARS_AT_ONCE:
+                yield from _rows(held)
+                held, n = [], 0
+        if n:
+            yield from _rows(held)
+
+    def _rows(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pa.Table.from_batches(held).combine_chunks()
+        tokens, freq, model = pa.concat_arrays(own["token"].chunks), own["freq"].to_numpy(), shipped.value
+        for at, size in _portions(tokens):
+            *_, key, n = model.apply(tokens.slice(at, size), since, freq[at:at + size])
+            kinds, code = np.unique(np.append(key >> 21 & (1 << 21) - 1, key & (1 << 21) - 1), return_inverse=True)
+            names = pa.array([model.name(k) for k in kinds.tolist()], pa.string()).take(pa.array(code))
+            yield pa.RecordBatch.from_arrays([pa.array((key >> 42).astype(np.int32)), names.slice(0, len(key)), names.slice(len(key)), pa.array(n)],
+                                             names=["step", "a", "b", "n"])
 
     rows = words.mapInArrow(run, "step int, a string, b string, n long").groupBy("a", "b", "step").agg(F.sum("n").alias("n"))
     return rows.groupBy("a", "b").agg(F.collect_list(F.struct("step", "n")).alias("steps"))
