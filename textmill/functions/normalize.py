@@ -28,22 +28,15 @@ def _java(cls: str, method: str, *args) -> Column:
 def _latin1_rules():
     """Built by rule from Unicode data, for U+0000-U+00FF: the characters that
     NFKC leaves unchanged (none of them is a combining mark, so a text made
-    only of them is NFKC already), and the accent-stripping map (NFD, then
-    drop non-spacing marks) of the Latin-1 letters."""
+    only of them is NFKC already)."""
     import unicodedata
 
     stable = [chr(i) for i in range(0x100) if unicodedata.normalize("NFKC", chr(i)) == chr(i)]
-    src, dst = [], []
-    for i in range(0xC0, 0x100):
-        base = "".join(ch for ch in unicodedata.normalize("NFD", chr(i)) if unicodedata.category(ch) != "Mn")
-        if base != chr(i):
-            src.append(chr(i))
-            dst.append(base)
     cls = "".join("\\x{%X}" % ord(ch) for ch in stable)
-    return "[^" + cls + "]", "".join(src), "".join(dst)
+    return "[^" + cls + "]"
 
 
-_NFKC_GATE, _ACCENTED, _ACCENT_BASE = _latin1_rules()
+_NFKC_GATE = _latin1_rules()
 
 
 def nfkc(c) -> Column:
@@ -68,12 +61,12 @@ def nfd(c) -> Column:
 
 
 def strip_accents(c) -> Column:
-    """NFD, then drop non-spacing marks.  Text within U+0000-U+00FF takes an
-    exact ``translate`` of the Latin-1 letters instead of the NFD call."""
+    """NFD, then drop non-spacing marks; ASCII skips both."""
 
     def body(t):
-        return F.when(F.regexp_like(t, F.lit("[^\\x00-\\xFF]")),
-                      F.regexp_replace(nfd(t), "\\p{Mn}", "")).otherwise(F.translate(t, _ACCENTED, _ACCENT_BASE))
+        return F.when(F.regexp_like(t, F.lit("[^" + rx.singles("\0", "\x7f") + "]")),
+                      F.regexp_replace(_java("com.ibm.icu.text.Normalizer", "decompose", t, F.lit(False)),
+                                       "[[^" + rx.singles("\0", "\x7f") + "]&&\\p{Mn}]", "")).otherwise(t)
 
     return let(c, body)
 
@@ -114,7 +107,7 @@ PUNCT_RULES = [
     (r"\r", ""),
     (r"\(", " ("),
     (r"\)", ") "),
-    (r" +", " "),
+    (r" {2,}", " "),
     (r"\) ([.!:?;,])", ")$1"),
     (r"\( ", "("),
     (r" \)", ")"),
@@ -130,7 +123,7 @@ PUNCT_RULES = [
     (r"”", '"'),
     (r"–", "-"),
     (r"—", " - "),
-    (r" +", " "),
+    (r" {2,}", " "),
     (r"´", "'"),
     (r"([a-zA-Z])‘([a-zA-Z])", "$1'$2"),
     (r"([a-zA-Z])’([a-zA-Z])", "$1'$2"),
@@ -157,7 +150,7 @@ PUNCT_RULES = [
     ("\u00a0\\!", "!"),
     ("\u00a0;", ";"),
     (",\u00a0", ", "),
-    (r" +", " "),
+    (r" {2,}", " "),
     # English: quotation followed by comma / period
     (r'"([,.]+)', '$1"'),
     # numbers
@@ -171,10 +164,10 @@ PUNCT_RULES = [
 _NBSP = "\u00a0"
 PUNCT_GROUPS = [
     (slice(0, 3), r"[\r()]"),
-    (slice(3, 4), None),  # space runs: always
-    (slice(4, 10), r"\) [.!:?;,]|\( | \)|\p{Nd} %| [:;]"),
+    (slice(3, 4), "  "),
+    (slice(4, 10), "(?![" + rx.LETTERS + r"])(?:\) [.!:?;,]|\( | \)|\p{Nd} %| [:;])"),
     (slice(10, 12), r"`|''"),
-    (slice(12, 27), "[„“”–—´‘‚’…]|''|  "),
+    (slice(12, 27), "(?![" + rx.LETTERS + "])(?:[„“”–—´‘‚’…]|''|  )"),
     (slice(27, 33), "[«»]"),
     (slice(33, 43), _NBSP + "|  "),
     (slice(43, 44), r'"[,.]'),
@@ -200,7 +193,7 @@ def moses_punct_normalize(c) -> Column:
 
     t = _c(c)
     for sl, guard in PUNCT_GROUPS:
-        t = rules(sl)(t) if guard is None else let(t, guarded(rules(sl), guard))
+        t = let(t, guarded(rules(sl), guard))
     return strip_ws(t)
 
 
@@ -303,8 +296,12 @@ def detokenize(tokens) -> Column:
 # punctuation, a contraction, or a stand-alone quote; or text the detokeniser
 # rewrites before splitting (XML entities, ``@-@``).
 _WS = rx.PY_WS
-_SPECIAL_TOKEN = ("(?:^|" + _WS + ")(?:[\\p{Sc}(\\[{¿¡]+|[,.?!:;\\\\%}\\])]+|['\"„“`]+)(?=" + _WS + "|$)"
-                  "|" + _WS + "'\\p{IsAlphabetic}|&|@-@|[" + CJK + "]" + _WS + "+[" + CJK + "]")
+_SHIFTED = "(?:[\\p{Sc}(\\[{¿¡]+|[,.?!:;\\\\%}\\])]+|['\"„“`]+)(?=" + _WS + "|$)"
+_OTHER = rx.singles("!", "%") + rx.singles("'", "?") + rx.singles("A", "~")
+# But at the start, all forms begin with whitespace, ``&``, ``@`` or a CJK character: other characters are passed by, and
+# so is whitespace before a letter or digit.
+_SPECIAL_TOKEN = ("^" + _SHIFTED + "|(?=[^" + _OTHER + "])(?:[[ \\t\\n]" + _WS + "](?![" + rx.LETTERS + rx.DIGITS + "])(?:" + _SHIFTED +
+                  "|'\\p{IsAlphabetic})|&|@-@|[[^ " + _OTHER + "]&&[" + CJK + "]]" + _WS + "+[" + CJK + "])")
 
 
 def fix_tokenized(c) -> Column:

@@ -93,6 +93,7 @@ URL = (
     r"(?U)[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b(?:[-a-zA-Z0-9()@:%_\+.~#?&/=]*)"
     r"|https?://(?:www\.)?[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b(?:[-a-zA-Z0-9()@:%_\+.~#?&/=]*)"
 )
+URL_GATE = r"\.[a-zA-Z0-9()]"
 ILLUSTRATION_BOOKS = r"(?md)^\[.*(?:\n.*){0,10}\]"
 ILLUSTRATION_PG = r"(?d)\[.*(?:\n.*){0,10}\]"
 END_LICENSE = r"(?d)\n.*(?:" + "|".join(GUTENBERG_END_MARKERS) + ")"
@@ -104,14 +105,19 @@ HEADER_PREFIX = (
     + "|".join(p if not p.startswith(".*") else "(?m:^)" + p for p in GUTENBERG_HEADER_PHRASES)
     + r")(?:\n.*){0,3}\n\n"
 )
-SPACE_RUN = r" +"
+SPACE_RUN = r" {2,}"
 
 # Python str.isspace() characters.
 PY_WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-# The trailing alternative first matches one whitespace character (a cheap
-# test at every other position), then the look-behind rejects it unless it
-# starts a run, so a long run is scanned once, not once per position.
-STRIP_WS = "^" + PY_WS + "++|" + PY_WS + "(?<!" + PY_WS + PY_WS + ")" + PY_WS + "*+\\z"
+PY_WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
+def singles(first: str, last: str) -> str:
+    """The characters of a range one by one: Java looks those below U+0100 up in one table, ranges one after another."""
+    return "".join("\\x%02X" % k for k in range(ord(first), ord(last) + 1))
+
+
+LETTERS, DIGITS = singles("A", "Z") + singles("a", "z"), singles("0", "9")
 
 # Runs of list-like lines (possessive; see module doc).
 BOLD_RUN = r"(?md)(?:^\*\*.{1,100}\*\*.{0,100}\n++){2,}+"
@@ -126,5 +132,6 @@ CHAPTER_SPLIT_PG = r"\n\n\n+|(?:\* *){5}"
 LINE_SPLIT = r"\n"
 
 # Sentence boundary: after ``."``, ``.)``, ``.``, ``?`` or ``!`` unless the next
-# character is ``)``, ``'``, ``"`` or ``.`` (zero-width, for ``split``).
-SENTENCE_BOUNDARY = r"""(?<=\."|\.\)|[.?!])(?![)'".])"""
+# character is ``)``, ``'``, ``"`` or ``.`` (zero-width, for ``split``).  The first
+# look-behind rejects most places by one character.
+SENTENCE_BOUNDARY = r"""(?<=[.?!")])(?<=\."|\.\)|[.?!])(?![)'".])"""
