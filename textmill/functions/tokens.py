@@ -7,11 +7,14 @@ and isolate every punctuation character as its own token.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmill.functions import rx
 from textmill.functions.normalize import strip_accents
-from textmill.functions.text import _c
+from textmill.functions.text import _c, let
 
 
 # CJK ideograph blocks the BERT normaliser pads with spaces.
@@ -23,6 +26,16 @@ CONTROL = r"[\p{C}&&[^\t\n\r]]|\x{FFFD}"
 WHITESPACE = r"[\s\p{Z}]"
 
 
+# Built by rule from Unicode data, for the characters below U+0100 that the normaliser neither drops nor pads: the
+# punctuation among them, and those with an accent and what is left of them.
+_LATIN = [ch for ch in map(chr, range(0x100)) if ch in "\t\n\r " or unicodedata.category(ch)[0] not in "CZ"]
+_RARE = "[^" + "".join(map(rx.singles, _LATIN, _LATIN)) + "]"
+_NON_ASCII = "[^" + rx.singles("\0", "\x7f") + "]"
+_LATIN_PUNCT = "".join(rx.singles(ch, ch) for ch in _LATIN if unicodedata.category(ch)[0] == "P" or "!" <= ch <= "~" and not ch.isalnum())
+_ACCENTED = "".join(ch for ch in _LATIN if unicodedata.normalize("NFD", ch) != ch)
+_BARE = "".join(unicodedata.normalize("NFD", ch)[0] for ch in _ACCENTED)
+
+
 def word_normalize(c) -> Column:
     """BERT normaliser: clean, pad CJK, lower-case, strip accents."""
     t = F.regexp_replace(_c(c), CONTROL, "")
@@ -32,6 +45,15 @@ def word_normalize(c) -> Column:
 
 
 def word_tokens(c) -> Column:
-    """G1: ``ARRAY<STRING>`` of word and punctuation tokens."""
-    t = F.regexp_replace(word_normalize(c), "(" + PUNCT + ")", " $1 ")
-    return F.filter(F.split(t, " +", -1), lambda w: w != "")
+    """G1: ``ARRAY<STRING>`` of word and punctuation tokens.  A text of plain Latin-1 characters only, in which
+    nothing is dropped or padded but punctuation, takes fewer and cheaper scans to the same tokens."""
+
+    def latin(t):
+        low = let(F.lower(t), lambda x: F.when(F.regexp_like(x, F.lit(_NON_ASCII)), F.translate(x, _ACCENTED, _BARE)).otherwise(x))
+        return F.split(F.regexp_replace(low, "[" + _LATIN_PUNCT + "]", " $0 "), r"[ \t\n\r]", -1)
+
+    def body(t):
+        whole = F.split(F.regexp_replace(word_normalize(t), "(" + PUNCT + ")", " $1 "), " +", -1)
+        return F.when(F.regexp_like(t, F.lit(_RARE)), whole).otherwise(latin(t))
+
+    return F.filter(let(c, body), lambda w: w != "")

@@ -228,35 +228,34 @@ def classification_report(pred: DataFrame, label_col: str = "label", pred_col: s
     """
     conf = pred.groupBy(F.col(label_col).cast("int").alias("y"), F.col(pred_col).cast("int").alias("p")) \
                .agg(F.count(F.lit(1)).alias("n"))
-    tp = conf.where(F.col("y") == F.col("p")).groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("tp"))
-    pp = conf.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("pp"))
-    sup = conf.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    per = (sup.join(pp, "c", "full").join(tp, "c", "left")
-           .select("c", *[F.coalesce(F.col(x), F.lit(0)).alias(x) for x in ("tp", "pp", "support")]))
+    # Both sides of each count in one go, so that the predictions are made once (rows without a class stay apart).
+    sides = conf.select("y", "p", "n", F.explode(F.array(F.lit("y"), F.lit("p"))).alias("side"))
+    c, of_y, of_p = F.when(F.col("side") == "y", F.col("y")).otherwise(F.col("p")), F.col("side") == "y", F.col("side") == "p"
+    per = (sides.withColumn("c", c).groupBy("c", F.when(F.col("c").isNull(), F.col("side")).alias("_no"))
+           .agg(*[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias(name)
+                  for name, x in (("tp", of_y & (F.col("y") == F.col("p"))), ("pp", of_p), ("support", of_y))]))
     per = (per.withColumn("precision", F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(0.0))
               .withColumn("recall", F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0))
               .withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                        2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
                           .otherwise(0.0)))
-    tot = per.agg(F.sum("support").alias("N"), F.sum("tp").alias("TP"), F.count(F.lit(1)).alias("K"),
+    r3 = lambda c: F.round(c, 3)
+
+    def line(row, precision, recall, f1, support):
+        return F.struct(row.cast("string").alias("row"), r3(precision).alias("precision"), r3(recall).alias("recall"),
+                        r3(f1).alias("f1"), support.cast("long").alias("support"))
+
+    own = line(*[F.col(x) for x in ("c", "precision", "recall", "f1", "support")])
+    tot = per.agg(F.collect_list(own).alias("own"), F.sum("support").alias("N"), F.sum("tp").alias("TP"), F.count(F.lit(1)).alias("K"),
                   F.sum("precision").alias("sp"), F.sum("recall").alias("sr"), F.sum("f1").alias("sf"),
                   F.sum(F.col("precision") * F.col("support")).alias("wp"),
                   F.sum(F.col("recall") * F.col("support")).alias("wr"),
                   F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    r3 = lambda c: F.round(c, 3)
-    rows = per.select(F.col("c").cast("string").alias("row"), r3(F.col("precision")).alias("precision"),
-                      r3(F.col("recall")).alias("recall"), r3(F.col("f1")).alias("f1"),
-                      F.col("support").cast("long").alias("support"))
-    acc = tot.select(F.lit("accuracy").alias("row"), F.lit(None).cast("double").alias("precision"),
-                     F.lit(None).cast("double").alias("recall"), r3(F.col("TP") / F.col("N")).alias("f1"),
-                     F.col("N").cast("long").alias("support"))
-    macro = tot.select(F.lit("macro avg").alias("row"), r3(F.col("sp") / F.col("K")).alias("precision"),
-                       r3(F.col("sr") / F.col("K")).alias("recall"), r3(F.col("sf") / F.col("K")).alias("f1"),
-                       F.col("N").cast("long").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("row"), r3(F.col("wp") / F.col("N")).alias("precision"),
-                          r3(F.col("wr") / F.col("N")).alias("recall"), r3(F.col("wf") / F.col("N")).alias("f1"),
-                          F.col("N").cast("long").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    over = lambda total, *sums: [F.try_divide(F.col(x), F.col(total)) for x in sums]
+    summary = F.array(line(F.lit("accuracy"), F.lit(None).cast("double"), F.lit(None).cast("double"), *over("N", "TP"), F.col("N")),
+                      line(F.lit("macro avg"), *over("K", "sp", "sr", "sf"), F.col("N")),
+                      line(F.lit("weighted avg"), *over("N", "wp", "wr", "wf"), F.col("N")))
+    return tot.select(F.inline(F.concat("own", summary)))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

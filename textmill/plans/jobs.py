@@ -16,6 +16,7 @@ J1 ``process_corpus`` plan, for a 100 TB input:
 
 from __future__ import annotations
 
+import uuid
 from itertools import groupby
 from urllib.parse import quote, unquote
 
@@ -29,6 +30,7 @@ from textmill.functions.tokens import word_tokens
 from textmill.operators import dedup as dd
 from textmill.operators import vocab as vb
 from textmill.operators.profiles import clean_by_subset, validate_subsets
+from textmill.session import checkpoint_dir
 
 ALL_SUBSETS = ["Books3", "Gutenberg (PG-19)", "OpenWebText2", "Pile-CC", "Wikipedia (en)"]
 
@@ -151,15 +153,23 @@ def book_vectors(tokenized: DataFrame, size: int = vb.VOCAB_SIZE) -> DataFrame:
     return bow.select(*tokenized.columns, F.col("_b.id").alias("ids"), cl.vector_column(F.col("_b"), size).alias("features"))
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the session's checkpoint folder and read again, for what is read several times."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def train_genre_model(tokenized: DataFrame, kind: str = "gbt", seed: int = 42, size: int = vb.VOCAB_SIZE, n_features: int | None = None, **kw):
     """BOW features over all ids (G6/G7), exact stratified 80/20 split (H3), the
     ``n_features`` ids that tell the classes of the training part apart best, GBT training (H4),
     predictions on train and test (H5) and their classification reports (G9).
-    Returns ``(model, train_report, test_report)``.  Up to the training no row is moved."""
+    Returns ``(model, train_report, test_report)``.  The books' vectors are written once: choosing the features,
+    the trees' passes over the training part and the reports all read them."""
     from textmill.operators import classify as cl
 
     split = cl.stratified_split(tokenized.select("book_name", "label", "tokens"), key="book_name", seed=seed)
-    data = book_vectors(split, size).drop("tokens")
+    data = saved(book_vectors(split, size).drop("book_name", "tokens"), "book-vectors")
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
     chosen = cl.select_features(train.select("label", "ids"), n_features or cl.N_FEATURES)
     model = cl.train_classifier(train.select("label", "features"), kind=kind, features=chosen, **kw)
