@@ -26,7 +26,7 @@ from textmill.functions import rx
 from textmill.operators import dedup as dd
 from textmill.operators import classify as cl
 from textmill.plans.jobs import (filter_language, filter_language_files, normalize_files, predict_genre, prepare_books, process_corpus,
-                                 train_genre_model)
+                                 saved, train_genre_model)
 from textmill.plans import duck as dk
 from textmill.sources import io
 from textmill.sources.tables import book_files, book_metadata, book_metadata_duckdb, docs_markup, docs_markup_duckdb, table
@@ -777,7 +777,7 @@ def q_predict_filter(spark, d):
     lines and that both models agree on each."""
     _, vocab, model, path, _, _ = _genre_files(spark, d)
     lines = table(spark, d, "documents").select(F.col("doc_id").alias("line_no"), "text")
-    feats = cl.document_vectors(lines, vocab, "line_no")
+    feats = saved(cl.document_vectors(lines, vocab, "line_no"), "line-vectors")  # both models read them
     both = cl.predict(model, feats).select("line_no", F.col("prediction").alias("own")).join(
         cl.predict(cl.load_model(path), feats).select("line_no", F.col("prediction").alias("loaded")), "line_no")
     kept = predict_genre(lines, model, vocab).select("line_no", F.lit(1).alias("kept"))
