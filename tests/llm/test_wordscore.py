@@ -4,6 +4,8 @@ import collections
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from textmill.llm import wordscore
@@ -62,3 +64,25 @@ def test_words_of_the_target_count(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.score for r in wordscore.scores(df, df.where("doc_id < 4").select("doc_id")).collect()}
     assert got[4] > 0 > got[9]
+
+
+def test_texts_are_shuffled_once(spark):
+    """Counting and scoring read one exchange of the texts; a chunk that lacks a bucket gets its sums all the same."""
+    rows = [(k, f"w{k} w{k % 7} " + "some longer text " * 200) for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = wordscore.scores(df, df.where("doc_id % 3 = 0").select("doc_id"))
+    assert len(out.collect()) == 2000
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("FlatMapCoGroupsInArrow") == 2
+
+
+def test_slices_of_a_chunk_add_up():
+    texts = ["a b a", None, "", "b a b a", "c", "a b a", "é a"]
+    docs = pa.table({"text": pa.chunked_array([texts[:3], texts[3:]], pa.string())})
+    chosen = np.array([True, False, True, True, False, False, True])
+    whole, cut = wordscore.Chunk(docs, "text"), wordscore.Chunk(docs, "text", limit=1)
+    assert len(cut.parts) > len(whole.parts) and cut.hashes.tolist() == whole.hashes.tolist() == sorted(set(whole.hashes.tolist()))
+    for these in (None, chosen):
+        assert cut.counts(these).tolist() == whole.counts(these).tolist()
+    words = whole.counts()[(whole.hashes & np.uint64(3)) == wordscore.WORD]
+    assert sorted(words.tolist()) == [1, 1, 4, 7]  # c, é, b, a
