@@ -133,3 +133,57 @@ def test_books_are_written_many_in_a_folder(spark, tmp_path, monkeypatch):
     assert sorted(got) == sorted(hashlib.md5(f"{t}\n".encode()).hexdigest() for t in texts.values())
     folders = [p for p in (tmp_path / "books").iterdir() if p.is_dir()]
     assert 1 < len(folders) <= 5 and sum(len([f for f in p.iterdir() if f.suffix == ".txt"]) for p in folders) == 40
+
+
+def test_short_books_are_read_many_in_a_task(spark, tmp_path):
+    """By Spark's count of megabytes a file, these would be dozens of tasks; none has a book more or less."""
+    texts = {f"{i} é+%20.txt": "" if i == 7 else f"book {i}\n\nline\r\nlast {'x' * (i % 5)}" for i in range(400)}
+    for i, (name, text) in enumerate(texts.items()):
+        folder = tmp_path / f"folder={i % 3}"
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_bytes(text.encode())
+    books = io.read_books(spark, str(tmp_path))
+    assert {r.book_name: r.text for r in books.collect()} == texts and books.count() == 400
+    (tmp_path / "folder=1" / "7 é+%20.txt").write_text("full")
+    assert io.read_books(spark, str(tmp_path)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("local, folder_books", [(True, 40), (True, 5), (False, 40)])
+def test_books_are_written_as_files_of_their_own(spark, tmp_path, monkeypatch, local, folder_books):
+    """One file a book, local ones without checksum files (Hadoop starts processes for these); other stores by Spark's writer."""
+    texts = ["one", "", None, "two\nlines\n", " é", *(f"{i}" for i in range(95))]
+    rows = [*enumerate(texts), (3, None), (3, "again"), (None, "no id"), (None, "nor here")]
+    want = sorted(f"{t}\n".encode() for t in [*(t or "" for k, t in enumerate(texts) if k != 3), "two\nlines\n\n\nagain", "no id\nnor here"])
+    if not local:
+        monkeypatch.setattr(io, "_local_folder", lambda *a: None)
+    path = tmp_path / "books"
+    io.write_books(spark.createDataFrame(rows, "id long, text string").coalesce(1), f"file://{path}", "id", folder_books)
+    files = [p for p in path.glob("folder=*/*") if p.name.startswith("part-")]
+    assert sorted(p.read_bytes() for p in files) == want
+    assert all(p.suffix == ".txt" for p in files) and 1 < len(list(path.glob("folder=*"))) <= (3 if folder_books == 40 else 40)
+    assert not local or not list(path.rglob("*.crc"))
+    assert not local or len(list(path.glob("_attempt-*"))) == 1 or folder_books == 5  # one large partition is dealt out
+    assert folder_books == 40 or len(list(path.glob("_attempt-*"))) > 1
+    assert sorted(r.text.encode() for r in io.read_books(spark, str(path)).collect()) == want
+    with pytest.raises(Exception, match="exist"):
+        io.write_books(spark.createDataFrame([(1, "x")], "id long, text string"), str(path), "id", 40)
+
+
+def test_books_of_other_stores_are_not_taken_for_local(spark, tmp_path):
+    assert io._local_folder(spark, str(tmp_path)) == io._local_folder(spark, f"file:{tmp_path}") == str(tmp_path)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.books.link./in", f"file://{tmp_path}")
+    try:
+        assert io._local_folder(spark, "viewfs://books/in/x") is None
+    finally:
+        conf.unset("fs.viewfs.mounttable.books.link./in")
+
+
+def test_packed_books_are_read_unpacked(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a b.txt.gz").write_bytes(gzip.compress("é one\n".encode()))
+    (tmp_path / "c.txt").write_text("two")
+    (tmp_path / "none.txt").write_text("")
+    assert {r.book_name: r.text for r in io.read_books(spark, str(tmp_path), pattern="*").collect()} == {"a b.txt.gz": "é one\n", "c.txt": "two", "none.txt": ""}
+    assert {r.book_name: r.text for r in io.read_books(spark, str(tmp_path), head_chars=2).collect()} == {"c.txt": "tw", "none.txt": ""}

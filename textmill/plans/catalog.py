@@ -895,7 +895,7 @@ def q_json_roundtrip(spark, d):
 # ---------------------------------------------------------------------------
 
 #: Files in a folder of q_read_books, about.
-FOLDER_BOOKS = 256
+FOLDER_BOOKS = 1024
 
 
 @register("q_read_books", "SELECT md5(coalesce(text, '') || chr(10)) AS text_md5 FROM documents")
@@ -903,11 +903,8 @@ def q_read_books(spark, d):
     """A3: every document written as a text file of its own and read as a whole file
     (the writer ends each with a newline).  Rows of one partition that share an id share a file."""
     path = _scratch(spark, "books")
-    docs = table(spark, d, "documents").select(
-        "doc_id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("row", "text"))), lambda r: r["text"])
-    dealt = docs.repartition(-(-docs.count() // FOLDER_BOOKS) or 1, "part", "doc_id")
-    io.write_books(dealt.groupBy("part", "doc_id").agg(F.array_join(lines, "\n").alias("text")), path)
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    io.write_books(docs, path, "doc_id", FOLDER_BOOKS)
     return io.read_books(spark, path, pattern="*").select(F.md5("text").alias("text_md5"))
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,30 +61,94 @@ def read_json_strings(spark: SparkSession, path: str) -> DataFrame:
                         decode_json_string("value").alias("text"))
 
 
+#: Short books that one task reads, about; by Spark's count it would be a few.
+TASK_BOOKS = 2048
+#: Names of files that Spark's text reader decompresses.
+PACKED = r"\.(bz2|deflate|gz|lz4|snappy|zst)$"
+
+
 def read_books(spark: SparkSession, path: str, head_chars: int | None = None, pattern: str = "*.txt") -> DataFrame:
     """A3: whole text files (``book_name, text``), files of zero bytes as empty books.
-    ``head_chars`` keeps only the first so many characters of each (the reference's memory guard; off)."""
-    df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
-    text = F.col("value") if head_chars is None else F.substring("value", 1, head_chars)
-    # Spark gives file names as in a URI.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    books = df.select(name.alias("book_name"), text.alias("text"))
+    ``head_chars`` keeps only the first so many characters of each (the reference's memory guard; off).
+
+    Plain files are read as bytes: the text reader copies Hadoop's whole configuration for each file."""
+    scan = spark.read.format("binaryFile").load(path, pathGlobFilter=pattern)
+    n_listed = len(scan._jdf.inputFiles())  # no name has to come to the driver
+    n_found, n_bytes, n_packed = (scan.select("path", "length").coalesce(_tasks(spark, n_listed))
+                                  .agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.count_if(F.rlike("path", F.lit(PACKED)))).first())
+    if n_packed:
+        scan = spark.read.text(path, wholetext=True, pathGlobFilter=pattern)
+        # Spark gives file names as in a URI.
+        name, text = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))), F.col("value")
+    else:
+        name, text = F.substring_index("path", "/", -1), F.col("content").cast("string")
+    books = scan.select(name.alias("book_name"), (text if head_chars is None else F.substring(text, 1, head_chars)).alias("text"))
+    books = books.coalesce(_tasks(spark, n_found, n_bytes))
+    if n_listed == n_found:
+        return books
     return books.unionByName(_empty_files(spark, path, pattern).select("book_name", F.lit("").alias("text")))
 
 
-def write_books(df: DataFrame, path: str) -> None:
-    """Every ``text`` as a text file of its own (for A3), those of a task in one folder: it is renamed as a
-    whole when the job commits, and many folders are listed side by side."""
-    (df.select(F.col("text").alias("value"), F.spark_partition_id().alias("folder"))
+def _tasks(spark: SparkSession, n_files: int, n_bytes: int = 0) -> int:
+    """Tasks that read so many files, of so many bytes in all: Spark counts each file as some megabytes more."""
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(spark.sparkContext.defaultParallelism, -(-n_files // TASK_BOOKS), -(-n_bytes // split))
+
+
+def write_books(df: DataFrame, path: str, key: str, folder_books: int) -> None:
+    """Every ``text`` in a text file of its own (for A3), with a newline after it; rows of one partition that share
+    ``key`` share a file, in their order.  About ``folder_books`` files share a folder: many are listed side by side."""
+    place = _local_folder(df.sparkSession, path)
+    if place is None:
+        _write_books_to_store(df, path, key, folder_books)
+        return
+    rows = df.select(F.struct(F.spark_partition_id(), key).alias("book"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text"))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    if max(sizes, default=0) > max(8 * folder_books, 2 * sum(sizes) / df.sparkSession.sparkContext.defaultParallelism):
+        # A few partitions have most rows, as of a table with one row group.
+        rows = rows.repartition(-(-sum(sizes) // folder_books), "book").sortWithinPartitions("row")
+    # Hadoop would write a checksum beside each local file, and start a process (chmod) or more for both.
+    os.makedirs(place)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, numbers = f"_attempt-{TaskContext.get().taskAttemptId()}", {}
+        for batch in batches:
+            part, book = batch.column(0).flatten()
+            for *book, text in zip(part.to_pylist(), book.to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n = numbers.setdefault(tuple(book), len(numbers))
+                folder = f"{place}/{own}/{n // folder_books}"
+                if n % folder_books == 0:
+                    os.makedirs(folder, exist_ok=True)
+                with open(f"{folder}/part-{n:09d}.txt", "ab") as f:
+                    f.write((text or b"") + b"\n")
+        yield pa.RecordBatch.from_pydict({"folder": [f"{own}/{k}" for k in range(-(-len(numbers) // folder_books))]}, pa.schema([("folder", pa.string())]))
+
+    # Only the folders of tasks whose results count are seen by readers.
+    done = rows.select("book", "text").mapInArrow(run, "folder string").collect()
+    for k, r in enumerate(done):
+        os.rename(f"{place}/{r.folder}", f"{place}/folder={k}")
+
+
+def _write_books_to_store(df: DataFrame, path: str, key: str, folder_books: int) -> None:
+    """The same by Spark's own writer: a task's files are in one folder, which is renamed as a whole when the job commits."""
+    rows = df.select(F.col(key).alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), "text")
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("row", "text"))), lambda r: F.coalesce(r["text"], F.lit("")))
+    dealt = rows.repartition(-(-rows.count() // folder_books) or 1, "part", "key")
+    (dealt.groupBy("part", "key").agg(F.array_join(lines, "\n").alias("value")).select("value", F.spark_partition_id().alias("folder"))
      .write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path))
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the machines' own file system names it, if it is there (on a cluster: mounted by all)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(place).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def _empty_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """``book_name`` of the files of zero bytes, which a scan skips: those that Spark's file index lists and a
     scan of names and lengths (no content is read) does not."""
     scan = spark.read.format("binaryFile").load(path, pathGlobFilter=pattern)
-    if len(scan._jdf.inputFiles()) == scan.count():  # no name has to come to the driver
-        return spark.createDataFrame([], "book_name string")
     listed = spark.createDataFrame([(f, unquote(f.rsplit("/", 1)[-1])) for f in scan.inputFiles()], "file string, book_name string")
 
     def place(c):  # file:/x and file:///x are one place
